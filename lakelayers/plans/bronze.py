@@ -11,7 +11,8 @@ from pyspark.sql import types as T
 
 from lakelayers.operators.clean import add_bronze_metadata
 from lakelayers.plans.lake import Lake
-from lakelayers.sources.layers import Writer, Written, append_layer, overwrite_layer, write_counted
+from lakelayers.schemas import PARTITION
+from lakelayers.sources.layers import Writer, Written, append_layer, overwrite_layer, write_counted, write_days
 from lakelayers.sources.raw import read_raw
 
 
@@ -45,19 +46,23 @@ def ingest_to_bronze(
     """Read one date's files as they are, add lineage columns, write them; one pass over the input."""
     raw = read_raw(spark, source_path, raw_format, schema, infer)
     bronze = add_bronze_metadata(raw, source_path, dt, run_id or new_run_id(), as_of)
-    written = write_counted(bronze, _writer(out, mode, fmt), [dt])
-    return {"dataset": dataset, "row_count": written.rows, "path": out}
+    rows = write_counted(bronze, _writer(out, mode, fmt))
+    return {"dataset": dataset, "row_count": rows, "path": out}
 
 
 def bronze_frame(
     spark: SparkSession, lake: Lake, dates: Sequence[str], run_id: str, as_of: datetime | None = None
 ) -> DataFrame:
-    """Raw rows of several dates in one scan; each row's date comes from the path of its file."""
+    """Raw rows of several dates in one scan; each row's date comes from the path of its file.
+
+    The date is cut out by position, once per row: on text files a regular expression here costs as much time
+    as parsing the line.
+    """
     raw = read_raw(spark, lake.raw_glob(dates), lake.raw_format, lake.raw_schema, lake.infer)
-    dt = F.regexp_extract(F.col("_metadata.file_path"), lake.date_pattern, 1)
+    dt = F.substring(F.substring_index(F.col("_metadata.file_path"), lake.date_marker, -1), 1, len(dates[0]))
     before, after = lake.raw_path("{dt}").split("{dt}")
-    source = F.concat(F.lit(before), dt, F.lit(after))
-    return add_bronze_metadata(raw, source, dt, run_id, as_of)
+    source = F.concat(F.lit(before), F.col(PARTITION), F.lit(after))
+    return add_bronze_metadata(raw.withColumn(PARTITION, dt), source, F.col(PARTITION), run_id, as_of)
 
 
 def ingest_days(
@@ -65,4 +70,5 @@ def ingest_days(
 ) -> Written:
     """All dates in one job. A scan task reads one date's file, so no shuffle is needed to sort out dates."""
     bronze = bronze_frame(spark, lake, dates, run_id, as_of)
-    return write_counted(bronze, _writer(lake.bronze, lake.bronze_mode, lake.fmt), list(dates))
+    writer = _writer(lake.bronze, lake.bronze_mode, lake.fmt)
+    return write_days(bronze, writer, lake.bronze, dates, lake.fmt, run_id)

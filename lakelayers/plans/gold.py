@@ -17,7 +17,7 @@ from lakelayers.sources.layers import (
     for_partition,
     overwrite_layer,
     read_layer,
-    write_counted,
+    write_days,
 )
 
 
@@ -38,8 +38,12 @@ def build_days(
     """Summaries of several dates in one job; columns may be added to the table over time."""
     dates = list(dates)
     summary = gold_frame(for_partition(read_layer(spark, silver, fmt), *dates), as_of)
-    written = write_counted(
-        compact(summary, dates), lambda df: overwrite_layer(df, gold, scope, "merge", fmt), dates
+    written = write_days(
+        compact(summary, dates),
+        lambda df: overwrite_layer(df, gold, scope, "merge", fmt),
+        gold,
+        dates,
+        fmt,
     )
     if scope == "partition":
         for dt, rows in written.by_date.items():

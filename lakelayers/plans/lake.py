@@ -65,6 +65,11 @@ class Lake:
     def raw_glob(self, dates: Sequence[str]) -> str:
         return self.raw_path(dates[0] if len(dates) == 1 else "{" + ",".join(dates) + "}")
 
+    @property
+    def date_marker(self) -> str:
+        """Text that stands directly before the date in a raw file's path."""
+        return self.layout.removeprefix("{raw}").replace("{dataset}", self.dataset).split("{dt}")[0]
+
     @property
     def date_pattern(self) -> str:
         return layout_pattern(self.layout, self.dataset)

@@ -27,7 +27,9 @@ from lakelayers.sources.layers import (
     for_partition,
     overwrite_layer,
     read_layer,
+    rows_by_date,
     write_counted,
+    write_days,
 )
 
 
@@ -101,23 +103,25 @@ def transform_days(
     """
     dates = list(dates)
     source = for_partition(read_layer(spark, bronze, fmt), *dates)
-    staged_rows = write_counted(
-        compact(silver_frame(source, as_of), dates),
+    rows = silver_frame(source, as_of)
+    kept = write_days(
+        compact(rows, dates),
         lambda df: overwrite_layer(df, staging, "table", "replace", fmt),
+        staging,
         dates,
+        fmt,
     )
-    # Counting partition rows reads no column, only row counts in the file footers.
-    rows_in = {r[PARTITION]: r["count"] for r in source.groupBy(PARTITION).count().collect()}
-    duplicates = {dt: rows_in.get(dt, 0) - staged_rows.by_date[dt] for dt in dates}
+    rows_in = rows_by_date(source)
+    duplicates = {dt: rows_in.get(dt, 0) - kept.by_date[dt] for dt in dates}
 
-    staged = read_layer(spark, staging, fmt, schema=_stored_schema(source, as_of))
+    # With the schema given nothing is inferred, not even from a table without files.
+    staged = read_layer(spark, staging, fmt, schema=rows.schema)
     checked = check_dates(staged, RULES[dataset] if rules is None else rules, dataset, dates, threshold)
     if not checked.passed:
         return Silver(Written(0, {}), duplicates, checked)
     good = for_partition(staged, *checked.passed)
-    written = write_counted(
-        good, lambda df: overwrite_layer(df, silver, scope, "replace", fmt), checked.passed
-    )
+    total = write_counted(good, lambda df: overwrite_layer(df, silver, scope, "replace", fmt))
+    written = Written(total, {dt: kept.by_date[dt] for dt in checked.passed})
     if scope == "partition":
         for dt, rows in written.by_date.items():
             if rows == 0:
@@ -125,11 +129,6 @@ def transform_days(
     return Silver(written, duplicates, checked)
 
 
-def _stored_schema(source: DataFrame, as_of: datetime | None):
-    """Schema of the staged rows, so that reading them back infers nothing (not even from an empty table)."""
-    return silver_frame(source, as_of).schema
-
-
 def transform_orders_silver(
     spark: SparkSession, bronze: str, silver: str, dt: str, staging: str | None = None, **options: object
 ) -> dict[str, object]:

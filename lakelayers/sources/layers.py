@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -87,6 +87,17 @@ def _check_mergeable(df: DataFrame, path: str, fmt: str) -> None:
         raise ValueError(f"cannot merge into {path}: type of {changed} differs from the stored table")
 
 
+def write_counted(df: DataFrame, writer: Writer) -> int:
+    """Write ``df`` and count its rows in the same job.
+
+    The counter sits directly under the write, in the job's last stage, where Spark counts each finished task
+    once even if executors are lost and tasks run again.
+    """
+    observed = Observation()
+    writer(df.observe(observed, F.count(F.lit(1)).alias("rows")))
+    return observed.get["rows"]
+
+
 @dataclass(frozen=True)
 class Written:
     """Row count of one write, per partition date as well."""
@@ -95,14 +106,24 @@ class Written:
     by_date: dict[str, int]
 
 
-def write_counted(df: DataFrame, writer: Writer, dates: list[str]) -> Written:
-    """Write ``df`` and count its rows in the same job.
+def write_days(
+    df: DataFrame, writer: Writer, path: str, dates: Sequence[str], fmt: str = "parquet", run_id: str | None = None
+) -> Written:
+    """Write rows of the given dates and count them per date.
 
-    The counters sit directly under the write, in the job's last stage, where Spark counts each finished task
-    once even if executors are lost and tasks run again.
+    One date needs no more than the counted write. Counts of several dates come from the written files, where
+    only row counts are read; with ``run_id`` rows of earlier deliveries are left out.
     """
-    observed = Observation()
-    per_date = [F.count_if(F.col(PARTITION) == dt).alias(f"d{i}") for i, dt in enumerate(dates)]
-    writer(df.observe(observed, F.count(F.lit(1)).alias("rows"), *per_date))
-    counts = observed.get
-    return Written(counts["rows"], {dt: counts[f"d{i}"] for i, dt in enumerate(dates)})
+    rows = write_counted(df, writer)
+    if len(dates) == 1:
+        return Written(rows, {dates[0]: rows})
+    stored = for_partition(read_layer(df.sparkSession, path, fmt, schema=df.schema), *dates)
+    if run_id is not None:
+        stored = stored.filter(F.col("_pipeline_run") == run_id)
+    found = rows_by_date(stored)
+    return Written(rows, {dt: found.get(dt, 0) for dt in dates})
+
+
+def rows_by_date(df: DataFrame) -> dict[str, int]:
+    """Rows per partition date; on a layer table no data column is read, and there is one row per date."""
+    return {row[PARTITION]: row["count"] for row in df.groupBy(PARTITION).count().collect()}

@@ -146,12 +146,12 @@ def row_counts(spark, sf_dir):
     base = scratch_path(spark, "counts")
     raw = views.orders_raw(spark, sf_dir).withColumn(PARTITION, F.lit(DAY_1))
     counted = {}
-    counted["bronze"] = write_counted(raw, lambda df: overwrite_layer(df, f"{base}/bronze"), [DAY_1]).rows
+    counted["bronze"] = write_counted(raw, lambda df: overwrite_layer(df, f"{base}/bronze"))
     bronze = read_layer(spark, f"{base}/bronze")
     silver = clean_orders(dedup(bronze, ["order_id"], ["seq"])).drop("seq")
-    counted["silver"] = write_counted(silver, lambda df: overwrite_layer(df, f"{base}/silver"), [DAY_1]).rows
+    counted["silver"] = write_counted(silver, lambda df: overwrite_layer(df, f"{base}/silver"))
     gold = daily_order_summary(read_layer(spark, f"{base}/silver"), by=[PARTITION])
-    counted["gold"] = write_counted(gold, lambda df: overwrite_layer(df, f"{base}/gold"), [DAY_1]).rows
+    counted["gold"] = write_counted(gold, lambda df: overwrite_layer(df, f"{base}/gold"))
     return spark.createDataFrame(list(counted.items()), "layer string, row_count bigint")
 
 
