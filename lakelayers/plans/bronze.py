@@ -12,7 +12,15 @@ from pyspark.sql import types as T
 from lakelayers.operators.clean import add_bronze_metadata
 from lakelayers.plans.lake import Lake
 from lakelayers.schemas import PARTITION
-from lakelayers.sources.layers import Writer, Written, append_layer, overwrite_layer, write_counted, write_days
+from lakelayers.sources.layers import (
+    Writer,
+    Written,
+    append_layer,
+    clear_empty,
+    overwrite_layer,
+    write_counted,
+    write_days,
+)
 from lakelayers.sources.raw import read_raw
 
 
@@ -47,6 +55,8 @@ def ingest_to_bronze(
     raw = read_raw(spark, source_path, raw_format, schema, infer)
     bronze = add_bronze_metadata(raw, source_path, dt, run_id or new_run_id(), as_of)
     rows = write_counted(bronze, _writer(out, mode, fmt))
+    if mode == "overwrite":
+        clear_empty(bronze, out, {dt: rows}, fmt)
     return {"dataset": dataset, "row_count": rows, "path": out}
 
 
@@ -71,4 +81,7 @@ def ingest_days(
     """All dates in one job. A scan task reads one date's file, so no shuffle is needed to sort out dates."""
     bronze = bronze_frame(spark, lake, dates, run_id, as_of)
     writer = _writer(lake.bronze, lake.bronze_mode, lake.fmt)
-    return write_days(bronze, writer, lake.bronze, dates, lake.fmt, run_id)
+    written = write_days(bronze, writer, lake.bronze, dates, lake.fmt, run_id)
+    if lake.bronze_mode == "overwrite":
+        clear_empty(bronze, lake.bronze, written.by_date, lake.fmt)
+    return written

@@ -13,7 +13,7 @@ from lakelayers.plans.silver import compact
 from lakelayers.schemas import PARTITION
 from lakelayers.sources.layers import (
     Written,
-    clear_partition,
+    clear_empty,
     for_partition,
     overwrite_layer,
     read_layer,
@@ -46,9 +46,7 @@ def build_days(
         fmt,
     )
     if scope == "partition":
-        for dt, rows in written.by_date.items():
-            if rows == 0:
-                clear_partition(summary, gold, dt, fmt)
+        clear_empty(summary, gold, written.by_date, fmt)
     return written
 
 

@@ -23,7 +23,7 @@ from lakelayers.operators.quality import (
 from lakelayers.schemas import PARTITION, QUALITY_RULES, QUALITY_SUMMARY
 from lakelayers.sources.layers import (
     Written,
-    clear_partition,
+    clear_empty,
     for_partition,
     overwrite_layer,
     read_layer,
@@ -123,9 +123,7 @@ def transform_days(
     total = write_counted(good, lambda df: overwrite_layer(df, silver, scope, "replace", fmt))
     written = Written(total, {dt: kept.by_date[dt] for dt in checked.passed})
     if scope == "partition":
-        for dt, rows in written.by_date.items():
-            if rows == 0:
-                clear_partition(good, silver, dt, fmt)
+        clear_empty(good, silver, written.by_date, fmt)
     return Silver(written, duplicates, checked)
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -67,10 +67,11 @@ def overwrite_layer(
     writer.partitionBy(PARTITION).save(path)
 
 
-def clear_partition(df: DataFrame, path: str, dt: str, fmt: str = "parquet") -> None:
-    """Empty one date of a Parquet layer; a dynamic overwrite leaves a date it has no rows for as it was."""
+def clear_empty(df: DataFrame, path: str, by_date: Mapping[str, int], fmt: str = "parquet") -> None:
+    """Empty the dates that were written without rows; a dynamic overwrite leaves such a date as it was."""
     empty = df.sparkSession.createDataFrame([], df.drop(PARTITION).schema)
-    empty.write.format(fmt).mode("overwrite").save(f"{path}/{PARTITION}={dt}")
+    for dt in (dt for dt, rows in by_date.items() if rows == 0):
+        empty.write.format(fmt).mode("overwrite").save(f"{path}/{PARTITION}={dt}")
 
 
 def _check_mergeable(df: DataFrame, path: str, fmt: str) -> None:
