@@ -157,9 +157,13 @@ def rule_results(
 
 
 def _one_pass(df, rules, key, by, expected, present) -> DataFrame:
-    """Rule rows that one grouping by ``key`` (or no grouping) can answer; ``None`` entries are left out."""
+    """Rule rows that one grouping by ``key`` (or no grouping) can answer; ``None`` entries are left out.
+
+    Counts get numbered names: ``n`` rows, ``nulls_i`` per column, ``bad_i`` per rule, ``repeated`` for the key.
+    """
     group = [] if by is None else ["_group"]
     kinds = {f.name: f.dataType for f in df.schema}
+    nulls: dict[str, str] = {} if key is None else {key: "nulls_0"}
     flags: dict[str, Column] = {}
     outcome = []
     for number, rule in enumerate(rules, start=1):
@@ -168,72 +172,67 @@ def _one_pass(df, rules, key, by, expected, present) -> DataFrame:
         column = None if rule.column is None else present.get(rule.column.lower())
         if rule.method == UNIQUE and column is not None and column != key:
             continue  # answered by its own pass
-        outcome.append((number, rule, column))
-        if column is None or rule.method == EXISTS:
-            continue
-        if column != key:
-            flags[f"null_{column}"] = F.col(column).isNull()
-        if rule.conforms is not None:
-            fits = F.coalesce(rule.conforms(F.col(column), kinds[column]), F.lit(False))
-            flags[f"bad_{number}"] = F.col(column).isNotNull() & ~fits
+        if column is not None and rule.method != EXISTS:
+            if column not in nulls:
+                nulls[column] = f"nulls_{number}"
+                flags[nulls[column]] = F.col(column).isNull()
+            if rule.conforms is not None:
+                fits = F.coalesce(rule.conforms(F.col(column), kinds[column]), F.lit(False))
+                flags[f"bad_{number}"] = F.col(column).isNotNull() & ~fits
+        outcome.append(_rule_values(number, rule, column, nulls.get(column)))
 
     source = df if by is None else df.withColumn("_group", F.col(by))
     counts = [F.count(F.lit(1)).alias("n"), *[F.count_if(flag).alias(name) for name, flag in flags.items()]]
     if key is None:
         totals = source.groupBy(*group).agg(*counts)
     else:
-        def total(value: Column, name: str) -> Column:
-            return F.coalesce(F.sum(value), F.lit(0)).cast("bigint").alias(name)
-
-        is_null = F.col("_key").isNull()
-        repeated = ~is_null & (F.col("n") > 1)
+        sums = {"n": "n", "nulls_0": "CASE WHEN _key IS NULL THEN n END"}
+        sums["repeated"] = "CASE WHEN _key IS NOT NULL AND n > 1 THEN n END"
+        sums |= {name: name for name in flags}
         totals = (
             source.groupBy(*group, F.col(key).alias("_key"))
             .agg(*counts)
             .groupBy(*group)
-            .agg(
-                total(F.col("n"), "n"),
-                total(F.when(is_null, F.col("n")), f"null_{key}"),
-                total(F.when(repeated, F.col("n")), "repeated"),
-                *[total(F.col(name), name) for name in flags],
-            )
+            .agg(*[F.expr(f"coalesce(sum({value}), 0L) AS {name}") for name, value in sums.items()])
         )
     if by is not None and expected:
         dates = df.sparkSession.createDataFrame([(d,) for d in expected], "_group string")
         totals = dates.join(totals, "_group", "full_outer").fillna(0)
-    rows = [_rule_row(number, rule, column, column in df.columns) for number, rule, column in outcome]
-    return totals.select(*group, F.inline(F.array(*rows)))
 
+    columns = "(rule_no, element_count, missing_count, unexpected_count, success)"
+    rows = totals.selectExpr(*group, f"stack({len(outcome)}, {', '.join(outcome)}) AS {columns}")
+    described = F.element_at(F.from_json(F.lit(_describe(rules)), _DESCRIPTION), F.col("rule_no"))
+    return rows.withColumn("_rule", described).select("*", "_rule.*").drop("_rule")
+
+
+_DESCRIPTION = "array<struct<method string, column string, args string, scored boolean>>"
 
-def _rule_row(number: int, rule: Rule, column: str | None, exact_name: bool) -> Column:
-    none = F.lit(None).cast("bigint")
-    elements, missing, unexpected = F.col("n"), none, none
+
+def _describe(rules: Sequence[Rule | None]) -> str:
+    """What is fixed about each rule, by position."""
+    return json.dumps(
+        [
+            {"method": r.method, "column": r.column, "args": json.dumps(dict(r.args), sort_keys=True), "scored": r.scored}
+            if r
+            else None
+            for r in rules
+        ]
+    )
+
+
+def _rule_values(number: int, rule: Rule, column: str | None, missing: str | None) -> str:
+    """Values of one rule row: number, element, missing and unexpected count, success."""
+    none = "CAST(NULL AS BIGINT)"
     if rule.method == EXISTS:
-        elements, success = none, F.lit(exact_name and column == rule.column)
+        values = (none, none, none, str(column is not None and column == rule.column).lower())
     elif rule.method == ROW_COUNT:
-        success = elements.between(rule.args["min_value"], rule.args["max_value"])
+        values = ("n", none, none, f"n BETWEEN {rule.args['min_value']:d} AND {rule.args['max_value']:d}")
     elif column is None:
-        elements, success = none, F.lit(False)
+        values = (none, none, none, "false")
     else:
-        missing = F.col(f"null_{column}")
-        if rule.method == NOT_NULL:
-            unexpected = missing
-        elif rule.method == UNIQUE:
-            unexpected = F.col("repeated")
-        else:
-            unexpected = F.col(f"bad_{number}")
-        success = unexpected == 0
-    return F.struct(
-        F.lit(number).alias("rule_no"),
-        F.lit(rule.method).alias("method"),
-        F.lit(rule.column).cast("string").alias("column"),
-        F.lit(json.dumps(dict(rule.args), sort_keys=True)).alias("args"),
-        elements.alias("element_count"),
-        missing.alias("missing_count"),
-        unexpected.alias("unexpected_count"),
-        success.alias("success"),
-        F.lit(rule.scored).alias("scored"),
-    )
+        unexpected = {NOT_NULL: missing, UNIQUE: "repeated"}.get(rule.method, f"bad_{number}")
+        values = ("n", missing, unexpected, f"{unexpected} = 0")
+    return ", ".join((str(number), *values))
 
 
 def score(results: DataFrame, threshold: float = DEFAULT_THRESHOLD) -> DataFrame:
