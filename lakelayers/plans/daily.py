@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime, timedelta, timezone
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,7 +45,7 @@ class DayRun:
     failures: dict[str, str] = field(default_factory=dict)
     duplicates: dict[str, int] = field(default_factory=dict)
     records: list[tuple] = field(default_factory=list)
-    checks: list[Checked] = field(default_factory=list)
+    checks: dict[str, Checked] = field(default_factory=dict)
 
     def record(self, lake, task, layer, started, states: Mapping[str, str], rows=None, path=None) -> None:
         finished = _now()
@@ -139,7 +140,7 @@ def _run(spark, lake: Lake, dates: list[str], run: DayRun, as_of) -> None:
             return check_dates(rows, rules, lake.dataset, dates, lake.threshold)
 
         begun, checked = step(VALIDATE, None, dates, validate)
-        run.checks.append(checked)
+        run.checks["bronze"] = checked
         stopped = checked.failures if lake.bronze_gate == "raise" else {}
         run.failures.update(stopped)
         run.record(lake, VALIDATE, None, begun, {dt: "failed" if dt in stopped else "success" for dt in dates})
@@ -165,7 +166,7 @@ def _run(spark, lake: Lake, dates: list[str], run: DayRun, as_of) -> None:
                 as_of=as_of,
             ),
         )
-        run.checks.append(silver.checked)
+        run.checks["silver"] = silver.checked
         run.duplicates = silver.duplicates
         run.failures.update(silver.checked.failures)
         states = {dt: "failed" if dt in silver.checked.failures else "success" for dt in dates}
@@ -190,10 +191,15 @@ def emit_metrics(spark: SparkSession, lake: Lake, run: DayRun) -> None:
         return
     runs = spark.createDataFrame(run.records, RUNS)
     samples = row_count_gauge(runs).unionByName(task_duration(runs)).unionByName(failure_samples(runs))
-    for checked in run.checks:
+    for table, part in (("quality_rules", "results"), ("quality_summary", "summary")):
+        tables = [
+            getattr(checked, part).withColumns({"layer": F.lit(layer), "run_id": F.lit(run.run_id)})
+            for layer, checked in run.checks.items()
+        ]
+        if tables:
+            _append(reduce(DataFrame.unionByName, tables), lake.control(table))
+    for checked in run.checks.values():
         samples = samples.unionByName(pass_rate_gauge(checked.summary))
-        _append(checked.results.withColumn("run_id", F.lit(run.run_id)), lake.control("quality_rules"))
-        _append(checked.summary.withColumn("run_id", F.lit(run.run_id)), lake.control("quality_summary"))
     _append(samples, lake.control("metric_samples"))
     _append(runs, lake.control("runs"))
 

@@ -10,6 +10,7 @@ from pyspark.sql import SparkSession
 SESSION_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
     # These two carry meaning: dates are days in UTC, and a partition date stays text when read back.
     "spark.sql.session.timeZone": "UTC",
@@ -17,6 +18,9 @@ SESSION_DEFAULTS = {
 }
 
 SHUFFLE_BYTES_PER_TASK = 128 * 1024 * 1024
+# Every map task reports on every reduce partition, so beyond this width the driver's bookkeeping costs more than
+# smaller tasks gain; larger partitions spill instead.
+MAX_WIDTH = 30_000
 WIDTH_CONF = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
 
@@ -37,7 +41,7 @@ def shuffle_width(spark: SparkSession, input_bytes: int) -> Iterator[int]:
     """
     before = spark.conf.get(WIDTH_CONF, None)
     current = int(before or spark.conf.get("spark.sql.shuffle.partitions"))
-    width = max(current, -(-input_bytes // SHUFFLE_BYTES_PER_TASK))
+    width = max(current, min(MAX_WIDTH, -(-input_bytes // SHUFFLE_BYTES_PER_TASK)))
     if width == current:
         yield current
         return

@@ -3,7 +3,7 @@
 import pytest
 
 from lakelayers.schemas import PARTITION, RAW_ORDERS
-from lakelayers.session import WIDTH_CONF, get_spark, shuffle_width
+from lakelayers.session import MAX_WIDTH, WIDTH_CONF, get_spark, shuffle_width
 from lakelayers.sources import workspace
 from lakelayers.sources.layers import (
     append_layer,
