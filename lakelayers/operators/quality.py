@@ -269,11 +269,12 @@ class QualityGateError(ValueError):
     """Raised when too few rules passed."""
 
 
+# Fixed value: text of a failed gate, with the rates in percent.
+FAILURE_TEXT = "[QUALITY] FAILED for '%s' on %s. Pass rate: %.1f%% < threshold %.1f%%"
+
+
 def failure_text(dataset: str, dt: str, passed: int, total: int, threshold: float) -> str:
-    return (
-        f"[QUALITY] FAILED for '{dataset}' on {dt}. "
-        f"Pass rate: {passed / total:.1%} < threshold {threshold:.1%}"
-    )
+    return FAILURE_TEXT % (dataset, dt, passed / total * 100, threshold * 100)
 
 
 def gate(summary: DataFrame, on_fail: str = "raise") -> DataFrame:
@@ -283,7 +284,7 @@ def gate(summary: DataFrame, on_fail: str = "raise") -> DataFrame:
     """
     if on_fail == "report":
         text = F.format_string(
-            "[QUALITY] FAILED for '%s' on %s. Pass rate: %.1f%% < threshold %.1f%%",
+            FAILURE_TEXT,
             "dataset",
             "partition_date",
             F.bround(F.col("passed") / F.col("total_checks") * 100, 1),

@@ -26,6 +26,11 @@ TIME_LIMIT = 2 * 60 * 60
 EMOJI = {"error": "❌", "warning": "⚠️", "info": "✅"}
 OTHER_EMOJI = "ℹ️"
 
+# Alert texts.
+ALERT_TEXT = "%s *[DataPipeline]* %s"
+FAILURE_ALERT = "DAG `%s` | Task `%s` FAILED\nExecution: %s\nLog: %s"
+SLA_ALERT = "SLA MISS on DAG `%s`: tasks %s"
+
 
 def sla_miss(runs: DataFrame, sla: Mapping[str, int] = TASK_SLA, as_of: datetime | None = None) -> DataFrame:
     """Runs that finished later than their task allows after the scheduled time.
@@ -65,13 +70,13 @@ def alert_messages(df: DataFrame, level: str | Column, text: str = "text") -> Da
     emoji = F.lit(OTHER_EMOJI)
     for name, sign in EMOJI.items():
         emoji = F.when(wanted == name, F.lit(sign)).otherwise(emoji)
-    return df.withColumn("message", F.format_string("%s *[DataPipeline]* %s", emoji, F.col(text)))
+    return df.withColumn("message", F.format_string(ALERT_TEXT, emoji, F.col(text)))
 
 
 def failure_alerts(runs: DataFrame, ts_format: str = "yyyy-MM-dd HH:mm:ss") -> DataFrame:
     """One message per failed run."""
     text = F.format_string(
-        "DAG `%s` | Task `%s` FAILED\nExecution: %s\nLog: %s",
+        FAILURE_ALERT,
         "dag_id",
         "task_id",
         F.date_format("scheduled_at", ts_format),
@@ -90,5 +95,5 @@ def sla_alerts(misses: DataFrame) -> DataFrame:
     tasks = misses.select("dag_id", "task_id").distinct()
     listed = tasks.groupBy("dag_id").agg(F.array_sort(F.collect_list("task_id")).alias("tasks"))
     names = F.concat(F.lit("['"), F.array_join("tasks", "', '"), F.lit("']"))
-    text = F.format_string("SLA MISS on DAG `%s`: tasks %s", F.col("dag_id"), names)
+    text = F.format_string(SLA_ALERT, F.col("dag_id"), names)
     return alert_messages(listed.withColumn("text", text), "warning").select("dag_id", "message")

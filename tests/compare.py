@@ -12,10 +12,11 @@ TYPES = {"BIGINT": "bigint", "INTEGER": "int", "VARCHAR": "string", "DOUBLE": "d
 TYPES |= {"DATE": "date", "TIMESTAMP": "timestamp_ntz"}
 
 
-def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
+def connect(sf_dir: str, files: str = "*.parquet") -> duckdb.DuckDBPyConnection:
+    """A view per table; a table may also be a folder of files (``*.parquet/*.parquet``)."""
     con = duckdb.connect()
-    for file in sorted(Path(sf_dir).glob("*.parquet")):
-        con.execute(f"CREATE VIEW {file.stem} AS SELECT * FROM '{file}'")
+    for table in sorted(Path(sf_dir).glob("*.parquet")):
+        con.execute(f"CREATE VIEW {table.stem} AS SELECT * FROM '{table}{files.removeprefix('*.parquet')}'")
     return con
 
 

@@ -176,4 +176,6 @@ def test_shuffle_width_only_grows_and_is_put_back(spark):
         assert spark.conf.get(WIDTH_CONF, None) is None
     with shuffle_width(spark, 100 * 128 * 1024 * 1024 + 1) as width:
         assert width == 101 and spark.conf.get(WIDTH_CONF) == "101"
+    with shuffle_width(spark, 10**15) as width:
+        assert width == MAX_WIDTH
     assert spark.conf.get(WIDTH_CONF, None) is None
