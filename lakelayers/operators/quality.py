@@ -141,13 +141,12 @@ def rule_results(
     per key and task. Each further unique rule reads only its own column.
     """
     present = {name.lower(): name for name in df.columns}
-    keys = [r.column for r in rules if r.method == UNIQUE and r.column.lower() in present]
-    keys = [present[k.lower()] for k in dict.fromkeys(keys)]
+    unique_columns = [present.get(r.column.lower()) for r in rules if r.method == UNIQUE]
+    keys = list(dict.fromkeys(column for column in unique_columns if column is not None))
     passes = [_one_pass(df, rules, keys[0] if keys else None, by, expected, present)]
-    passes += [
-        _one_pass(df, [r if r.column == key and r.method == UNIQUE else None for r in rules], key, by, expected, present)
-        for key in keys[1:]
-    ]
+    for key in keys[1:]:
+        own = [r if r.method == UNIQUE and present.get(r.column.lower()) == key else None for r in rules]
+        passes.append(_one_pass(df, own, key, by, expected, present))
     results = passes[0]
     for other in passes[1:]:
         results = results.unionByName(other)
@@ -210,14 +209,12 @@ _DESCRIPTION = "array<struct<method string, column string, args string, scored b
 
 def _describe(rules: Sequence[Rule | None]) -> str:
     """What is fixed about each rule, by position."""
-    return json.dumps(
-        [
-            {"method": r.method, "column": r.column, "args": json.dumps(dict(r.args), sort_keys=True), "scored": r.scored}
-            if r
-            else None
-            for r in rules
-        ]
-    )
+
+    def facts(rule: Rule) -> dict[str, object]:
+        args = json.dumps(dict(rule.args), sort_keys=True)
+        return {"method": rule.method, "column": rule.column, "args": args, "scored": rule.scored}
+
+    return json.dumps([None if rule is None else facts(rule) for rule in rules])
 
 
 def _rule_values(number: int, rule: Rule, column: str | None, missing: str | None) -> str:

@@ -35,8 +35,8 @@ SLA_ALERT = "SLA MISS on DAG `%s`: tasks %s"
 def sla_miss(runs: DataFrame, sla: Mapping[str, int] = TASK_SLA, as_of: datetime | None = None) -> DataFrame:
     """Runs that finished later than their task allows after the scheduled time.
 
-    The allowances are a literal map in the plan, so no join is needed, and the task filter reaches the scan. With ``as_of``, runs that have not
-    finished count with that time.
+    The allowances are a literal map in the plan, so no join is needed, and the task filter reaches the scan.
+    With ``as_of``, runs that have not finished count with that time.
     """
     allowed = F.create_map(*[F.lit(x) for pair in sla.items() for x in pair])
     end = F.col("finished_at") if as_of is None else F.coalesce("finished_at", F.lit(as_of))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
-from datetime import datetime, timedelta, timezone
+from datetime import date, datetime, timedelta, timezone
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -53,9 +53,8 @@ class DayRun:
             scheduled = datetime.fromisoformat(dt).replace(tzinfo=timezone.utc) + timedelta(days=1)
             count = None if rows is None else rows.get(dt)
             log = f"{lake.root}/logs/{DAG_ID}/{task}/{self.run_id}"
-            self.records.append(
-                (self.run_id, DAG_ID, task, lake.dataset, layer, dt, scheduled, started, finished, state, count, path, log)
-            )
+            subject = (self.run_id, DAG_ID, task, lake.dataset, layer, dt)
+            self.records.append((*subject, scheduled, started, finished, state, count, path, log))
 
 
 def _now() -> datetime:
@@ -93,9 +92,10 @@ def run_days(
     others are published, then the gate error is raised. Run records, check results and metrics are written in
     any case. The day list and everything recorded about it is small; rows stay in tables.
     """
+    wanted = sorted({date.fromisoformat(dt).isoformat() for dt in dates})
     run = DayRun(new_run_id())
     try:
-        _run(spark, lake, sorted(set(dates)), run, as_of)
+        _run(spark, lake, wanted, run, as_of)
     finally:
         emit_metrics(spark, lake, run)
     if run.failures:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -271,13 +272,10 @@ def quality_by_date(spark, sf_dir):
 
 
 def _scores(spark, sf_dir, thresholds):
-    raw, silver = quality_orders_raw(spark, sf_dir), quality_orders_silver(spark, sf_dir)
-    parts = [(name, df, limit) for name, df in (("raw", raw), ("silver", silver)) for limit in thresholds]
-    summary = None
-    for name, df, limit in parts:
-        one = score(df, limit).withColumn("dataset", F.lit(name))
-        summary = one if summary is None else summary.unionByName(one)
-    return summary
+    raw = quality_orders_raw(spark, sf_dir).withColumn("dataset", F.lit("raw"))
+    silver = quality_orders_silver(spark, sf_dir).withColumn("dataset", F.lit("silver"))
+    results = raw.unionByName(silver)
+    return reduce(DataFrame.unionByName, [score(results, limit) for limit in thresholds])
 
 
 def quality_summary(spark, sf_dir):
@@ -304,9 +302,8 @@ def _ingested(spark, sf_dir) -> str:
     """Bronze layer of the whole raw delivery as one date."""
     base = scratch_path(spark, "layers")
     write_csv(views.orders_text(spark, sf_dir).select(*ORDER_COLUMNS), f"{base}/raw/orders/{DAY_1}.csv")
-    ingest_to_bronze(
-        spark, f"{base}/raw/orders/{DAY_1}.csv", "orders", DAY_1, f"{base}/bronze/orders", run_id="airflow_1", as_of=AS_OF
-    )
+    source, out = f"{base}/raw/orders/{DAY_1}.csv", f"{base}/bronze/orders"
+    ingest_to_bronze(spark, source, "orders", DAY_1, out, run_id="airflow_1", as_of=AS_OF)
     return base
 
 
@@ -318,9 +315,8 @@ def bronze_ingest(spark, sf_dir):
 def _transformed(spark, sf_dir) -> str:
     base = _ingested(spark, sf_dir)
     rules = quality.limit_rows(quality.allow(RULES["orders"], UNKNOWN_ALLOWED), 10**15)
-    transform_orders_silver(
-        spark, f"{base}/bronze/orders", f"{base}/silver/orders", DAY_1, f"{base}/staging/orders", rules=rules, as_of=AS_OF
-    )
+    bronze, silver, staging = (f"{base}/{layer}/orders" for layer in ("bronze", "silver", "staging"))
+    transform_orders_silver(spark, bronze, silver, DAY_1, staging, rules=rules, as_of=AS_OF)
     return base
 
 
@@ -379,7 +375,8 @@ def metric_decode(spark, sf_dir):
 
 def metric_mapping(spark, sf_dir):
     mapped = metrics.map_metrics(views.mixed_metrics(spark, sf_dir))
-    labels = [F.col("labels")[label].alias(f"label_{label}") for label in ("layer", "dataset", "task", "dag_id", "task_id")]
+    names = ("layer", "dataset", "task", "dag_id", "task_id")
+    labels = [F.col("labels")[name].alias(f"label_{name}") for name in names]
     return mapped.select("event_id", "metric", "value", "name", F.size("labels").alias("n_labels"), *labels)
 
 

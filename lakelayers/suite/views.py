@@ -33,7 +33,8 @@ def orders_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     orders = table(spark, sf_dir, "orders")
     copied = orders.withColumn("seq", _copies(F.col("o_orderkey") % 10 == 0))
-    key, price, state, late = F.col("o_orderkey"), F.col("o_totalprice"), F.col("o_orderstatus"), F.col("seq") == 1
+    key, price, state = F.col("o_orderkey"), F.col("o_totalprice"), F.col("o_orderstatus")
+    late = F.col("seq") == 1
     return copied.select(
         key.cast("string").alias("order_id"),
         F.col("o_custkey").cast("string").alias("customer_id"),
@@ -107,9 +108,8 @@ def metric_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     kinds = F.when(F.col("event_type") == "error", F.array(F.lit("g"), F.lit("c"))).otherwise(F.array(F.lit("g")))
     rows = events.withColumn("kind", F.explode(kinds))
     gauge = F.format_string(f"{NAMESPACE}.{DURATION_PATH}".replace("{task}", "%s"), "event_type")
-    counter = F.format_string(
-        f"{NAMESPACE}.{FAILURE_PATH}".replace("{dag}", "dag%d").replace("{task}", "%s"), F.col("user_id") % 3, "event_type"
-    )
+    failure = f"{NAMESPACE}.{FAILURE_PATH}".replace("{dag}", "dag%d").replace("{task}", "%s")
+    counter = F.format_string(failure, F.col("user_id") % 3, "event_type")
     is_counter = F.col("kind") == "c"
     return rows.select(
         F.col("ts").cast("timestamp").alias("ts"),
@@ -130,4 +130,10 @@ def mixed_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(key % 5 == 3, F.format_string("data_pipeline.failure.dag%d.%s", F.col("user_id") % 3, kind))
         .otherwise(F.format_string("data_pipeline.failure.dag.group.%s", kind))
     )
-    return event.select(F.col("ts").cast("timestamp").alias("ts"), "event_id", metric.alias("metric"), "value", F.lit("g").alias("kind"))
+    return event.select(
+        F.col("ts").cast("timestamp").alias("ts"),
+        "event_id",
+        metric.alias("metric"),
+        "value",
+        F.lit("g").alias("kind"),
+    )

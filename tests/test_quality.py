@@ -83,6 +83,17 @@ def test_two_unique_rules_and_none(spark):
     assert [r.unexpected_count for r in results(df, [q.not_null("y")])] == [1]
 
 
+def test_unique_rules_with_names_in_other_case(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 2)], "x string, y int")
+    rows = results(df, [q.unique("X"), q.unique("Y"), q.unique("x"), q.exists("X")])
+    assert [(r.rule_no, r.unexpected_count, r.success) for r in rows] == [
+        (1, 2, False),
+        (2, 0, True),
+        (3, 2, False),
+        (4, None, False),
+    ]
+
+
 def test_text_amounts_are_compared_as_numbers(spark):
     df = spark.createDataFrame([("9",), ("x",), ("-1",), (None,), ("NaN",), ("10.5",)], "amount string")
     (row,) = results(df, [q.between("amount", 0, 10)])

@@ -9,7 +9,10 @@ from lakelayers.operators import runs as r
 from lakelayers.schemas import METRIC_SAMPLES
 
 T0 = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
-RUN = "run_id int, dag_id string, task_id string, scheduled_at timestamp, started_at timestamp, finished_at timestamp, state string, log_url string"
+RUN = (
+    "run_id int, dag_id string, task_id string, scheduled_at timestamp, started_at timestamp, "
+    "finished_at timestamp, state string, log_url string"
+)
 
 
 def at(seconds):
