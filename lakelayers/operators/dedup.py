@@ -17,7 +17,7 @@ def dedup(
     """Keep one row per key; all NULL keys are one group.
 
     ``latest`` takes the row that is highest in ``order_by`` (default ``_ingested_at`` where present) and then
-    in the other business columns, so a re-run keeps the same row. Every scan task already reduces its rows to
+    in the other business columns by name, so a re-run keeps the same row. Every scan task already reduces its rows to
     one per key before the shuffle (``WindowGroupLimit`` in the plan), so a key that holds a third of the table
     ships one row per task. ``any`` takes whichever row Spark meets first.
     """
@@ -27,7 +27,7 @@ def dedup(
         raise ValueError(f"keep must be 'latest' or 'any', not {keep!r}")
     if order_by is None:
         order_by = [c for c in ("_ingested_at",) if c in df.columns]
-    ties = [c for c in df.columns if c not in keys and c not in order_by and not c.startswith("_")]
+    ties = sorted(c for c in df.columns if c not in keys and c not in order_by and not c.startswith("_"))
     ranked = Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in [*order_by, *ties]])
     return df.withColumn("_rank", F.row_number().over(ranked)).filter("_rank = 1").drop("_rank")
 

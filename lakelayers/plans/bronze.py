@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -66,13 +67,32 @@ def bronze_frame(
     """Raw rows of several dates in one scan; each row's date comes from the path of its file.
 
     The date is cut out by position, once per row: on text files a regular expression here costs as much time
-    as parsing the line.
+    as parsing the line. Days whose headers differ are scanned apart and get the columns of all days.
     """
-    raw = read_raw(spark, lake.raw_glob(dates), lake.raw_format, lake.raw_schema, lake.infer)
-    dt = F.substring(F.substring_index(F.col("_metadata.file_path"), lake.date_marker, -1), 1, len(dates[0]))
+    frames = [
+        read_raw(spark, lake.raw_glob(alike), lake.raw_format, lake.raw_schema, lake.infer)
+        for alike in _same_header(spark, lake, dates)
+    ]
+    frames = [_with_date(frame, lake, len(dates[0])) for frame in frames]
+    raw = reduce(lambda one, other: one.unionByName(other, allowMissingColumns=True), frames)
     before, after = lake.raw_path("{dt}").split("{dt}")
     source = F.concat(F.lit(before), F.col(PARTITION), F.lit(after))
-    return add_bronze_metadata(raw.withColumn(PARTITION, dt), source, F.col(PARTITION), run_id, as_of)
+    return add_bronze_metadata(raw, source, F.col(PARTITION), run_id, as_of)
+
+
+def _with_date(raw: DataFrame, lake: Lake, length: int) -> DataFrame:
+    after = F.substring_index(F.col("_metadata.file_path"), lake.date_marker, -1)
+    return raw.withColumn(PARTITION, F.substring(after, 1, length))
+
+
+def _same_header(spark: SparkSession, lake: Lake, dates: Sequence[str]) -> list[list[str]]:
+    """The dates by the columns of their text files; reads one line per date, and none where types are given."""
+    if len(dates) == 1 or lake.raw_format != "csv" or lake.raw_schema is not None or lake.infer:
+        return [list(dates)]
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for dt in dates:
+        groups.setdefault(tuple(read_raw(spark, lake.raw_path(dt)).columns), []).append(dt)
+    return list(groups.values())
 
 
 def ingest_days(

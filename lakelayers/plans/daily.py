@@ -23,7 +23,7 @@ from lakelayers.plans.lake import Lake
 from lakelayers.plans.silver import Checked, check_dates, transform_days
 from lakelayers.schemas import RUNS
 from lakelayers.session import shuffle_width
-from lakelayers.sources.layers import for_partition, read_layer
+from lakelayers.sources.layers import read_dates, read_layer
 from lakelayers.sources.raw import available_dates, list_files, pending_dates
 
 # Names under which runs are recorded.
@@ -135,7 +135,7 @@ def _run(spark, lake: Lake, dates: list[str], run: DayRun, as_of) -> None:
         run.record(lake, INGEST, "bronze", begun, dict.fromkeys(dates, "success"), bronze.by_date, lake.bronze)
 
         def validate() -> Checked:
-            rows = for_partition(read_layer(spark, lake.bronze, lake.fmt), *dates)
+            rows = read_dates(spark, lake.bronze, dates, lake.fmt)
             rules = [*lake.rules, parses_as_money("amount")]
             return check_dates(rows, rules, lake.dataset, dates, lake.threshold)
 

@@ -14,9 +14,8 @@ from lakelayers.schemas import PARTITION
 from lakelayers.sources.layers import (
     Written,
     clear_empty,
-    for_partition,
     overwrite_layer,
-    read_layer,
+    read_dates,
     write_days,
 )
 
@@ -37,7 +36,7 @@ def build_days(
 ) -> Written:
     """Summaries of several dates in one job; columns may be added to the table over time."""
     dates = list(dates)
-    summary = gold_frame(for_partition(read_layer(spark, silver, fmt), *dates), as_of)
+    summary = gold_frame(read_dates(spark, silver, dates, fmt), as_of)
     written = write_days(
         compact(summary, dates),
         lambda df: overwrite_layer(df, gold, scope, "merge", fmt),

@@ -26,6 +26,7 @@ from lakelayers.sources.layers import (
     clear_empty,
     for_partition,
     overwrite_layer,
+    read_dates,
     read_layer,
     rows_by_date,
     write_counted,
@@ -102,7 +103,7 @@ def transform_days(
     repeats the shuffle of the deduplication.
     """
     dates = list(dates)
-    source = for_partition(read_layer(spark, bronze, fmt), *dates)
+    source = read_dates(spark, bronze, dates, fmt)
     rows = silver_frame(source, as_of)
     kept = write_days(
         compact(rows, dates),

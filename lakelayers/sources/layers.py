@@ -24,10 +24,38 @@ def read_layer(
 ) -> DataFrame:
     """A layer table. ``merge`` unites the columns of all files, which opens every footer: for small tables."""
     reader = spark.read if schema is None else spark.read.schema(schema)
-    df = reader.option("mergeSchema", merge).format(fmt).load(path)
-    # A session that infers partition types reads the date as DATE; the column is text in this data model.
+    return _dated(reader.option("mergeSchema", merge).format(fmt).load(path))
+
+
+def read_dates(
+    spark: SparkSession,
+    path: str,
+    dates: Sequence[str],
+    fmt: str = "parquet",
+    schema: T.StructType | None = None,
+) -> DataFrame:
+    """Rows of the given dates, listing only their folders, however many other dates the table has.
+
+    Without a schema the columns are those of these dates: days whose files have other columns do not matter,
+    and several days are read with the columns of all of them.
+    """
+    if fmt != "parquet":
+        return for_partition(read_layer(spark, path, fmt, schema), *dates)
+    folders = dates[0] if len(dates) == 1 else "{" + ",".join(dates) + "}"
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    reader = reader.option("mergeSchema", schema is None and len(dates) > 1).option("basePath", path)
+    try:
+        return _dated(reader.parquet(f"{path}/{PARTITION}={folders}"))
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return for_partition(read_layer(spark, path, fmt, schema), *dates)
+
+
+def _dated(df: DataFrame) -> DataFrame:
+    """A session that infers partition types reads the date as DATE; the column is text in this data model."""
     if PARTITION in df.columns and df.schema[PARTITION].dataType != T.StringType():
-        df = df.withColumn(PARTITION, F.col(PARTITION).cast("string"))
+        return df.withColumn(PARTITION, F.col(PARTITION).cast("string"))
     return df
 
 
@@ -118,7 +146,7 @@ def write_days(
     rows = write_counted(df, writer)
     if len(dates) == 1:
         return Written(rows, {dates[0]: rows})
-    stored = for_partition(read_layer(df.sparkSession, path, fmt, schema=df.schema), *dates)
+    stored = read_dates(df.sparkSession, path, dates, fmt, schema=df.schema)
     if run_id is not None:
         stored = stored.filter(F.col("_pipeline_run") == run_id)
     found = rows_by_date(stored)

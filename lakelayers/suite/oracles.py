@@ -26,7 +26,7 @@ latest AS (
   SELECT order_id, customer_id, amount, order_date, status, seq
   FROM (SELECT *, row_number() OVER (
           PARTITION BY order_id
-          ORDER BY seq DESC NULLS LAST, customer_id DESC NULLS LAST, amount DESC NULLS LAST,
+          ORDER BY seq DESC NULLS LAST, amount DESC NULLS LAST, customer_id DESC NULLS LAST,
                    order_date DESC NULLS LAST, status DESC NULLS LAST) AS rn
         FROM orders_raw)
   WHERE rn = 1)"""
@@ -202,7 +202,7 @@ kept AS (
   SELECT * FROM (
     SELECT *, row_number() OVER (
       PARTITION BY dt, order_id
-      ORDER BY customer_id DESC NULLS LAST, amount DESC NULLS LAST, order_date DESC NULLS LAST,
+      ORDER BY amount DESC NULLS LAST, customer_id DESC NULLS LAST, order_date DESC NULLS LAST,
                status DESC NULLS LAST) AS rn
     FROM by_day) WHERE rn = 1),
 silver AS (SELECT {CLEAN_COLUMNS}, dt AS _partition_dt FROM kept)"""
@@ -212,7 +212,7 @@ kept AS (
   SELECT * FROM (
     SELECT *, row_number() OVER (
       PARTITION BY order_id
-      ORDER BY customer_id DESC NULLS LAST, amount DESC NULLS LAST, order_date DESC NULLS LAST,
+      ORDER BY amount DESC NULLS LAST, customer_id DESC NULLS LAST, order_date DESC NULLS LAST,
                status DESC NULLS LAST) AS rn
     FROM orders_text) WHERE rn = 1),
 silver AS (SELECT {CLEAN_COLUMNS}, '2024-01-01' AS _partition_dt FROM kept)"""
@@ -341,7 +341,7 @@ SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS
 silver AS (
   SELECT {CLEAN_COLUMNS}
   FROM (SELECT *, row_number() OVER (
-          PARTITION BY order_id ORDER BY customer_id DESC NULLS LAST, amount DESC NULLS LAST,
+          PARTITION BY order_id ORDER BY amount DESC NULLS LAST, customer_id DESC NULLS LAST,
                                          order_date DESC NULLS LAST, status DESC NULLS LAST) AS rn
         FROM deliveries WHERE _partition_dt = '2024-01-02')
   WHERE rn = 1)""",

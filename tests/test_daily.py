@@ -10,7 +10,7 @@ from lakelayers.plans.gold import build_daily_order_summary
 from lakelayers.plans.lake import Lake
 from lakelayers.plans.silver import transform_orders_silver
 from lakelayers.schemas import PARTITION
-from lakelayers.sources.layers import read_layer
+from lakelayers.sources.layers import read_dates, read_layer
 
 HEADER = "order_id,customer_id,amount,order_date,status\n"
 D1, D2, D3 = "2024-01-01", "2024-01-02", "2024-01-03"
@@ -169,3 +169,25 @@ def test_single_jobs(spark, lake, tmp_path):
     with pytest.raises(ValueError):
         ingest_to_bronze(spark, lake.raw_path(D1), "orders", D1, lake.bronze, mode="upsert")
     assert bronze_plan.new_run_id().startswith("airflow_")
+
+
+def test_days_with_other_columns(spark, lake):
+    """One day has its columns in another order and one more; every day is run by its own header."""
+    put(lake, D1, DAY_1)
+    put(lake, D2, "status,order_id,customer_id,amount,order_date,channel\nSHIPPED,9,z,4,2024-01-02,web\n")
+    daily.run_days(spark, lake, [D1, D2])
+    assert silver(spark, lake) == [*SILVER_1, (D2, "9", "4.00", "SHIPPED")]
+    assert rows(spark, lake.silver, "order_id", "channel", merge=True)[-1] == ("9", "web")
+    put(lake, D3, DAY_2)
+    daily.run_day(spark, lake, D3)
+    assert [r for r in silver(spark, lake) if r[0] == D3] == [(D3, *r[1:]) for r in SILVER_2]
+
+
+def test_a_day_reads_only_its_own_folders(spark, lake):
+    put(lake, D1, DAY_1)
+    put(lake, D2, DAY_2)
+    daily.run_days(spark, lake, [D1, D2])
+    one, both = read_dates(spark, lake.bronze, [D2]), read_dates(spark, lake.bronze, [D1, D2, D3])
+    assert all(D2 in file for file in one.inputFiles()) and one.count() == 2
+    assert both.count() == 5 and dict(both.dtypes)[PARTITION] == "string"
+    assert read_dates(spark, lake.bronze, [D3]).count() == 0
