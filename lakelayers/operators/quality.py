@@ -78,7 +78,7 @@ def parses_as_money(column: str) -> Rule:
     return Rule("parses_as_money", column, {}, lambda col, _: col.try_cast(MONEY).isNotNull(), scored=False)
 
 
-# Statuses, bounds and the e-mail pattern of the two rule sets.
+# Statuses, bounds, e-mail pattern, threshold, and the rules of each dataset in their order.
 STATUSES = ("PENDING", "CONFIRMED", "SHIPPED", "DELIVERED", "CANCELLED")
 MAX_AMOUNT = 10_000_000
 MAX_ROWS = 10_000_000

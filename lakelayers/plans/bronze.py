@@ -25,9 +25,13 @@ from lakelayers.sources.layers import (
 from lakelayers.sources.raw import read_raw
 
 
+# Fixed value: prefix of a run's id in ``_pipeline_run``.
+RUN_PREFIX = "airflow_"
+
+
 def new_run_id() -> str:
-    """Value of ``_pipeline_run``."""
-    return f"airflow_{datetime.now(timezone.utc).replace(tzinfo=None).isoformat()}"
+    """Prefix and time."""
+    return f"{RUN_PREFIX}{datetime.now(timezone.utc).replace(tzinfo=None).isoformat()}"
 
 
 def _writer(out: str, mode: str, fmt: str) -> Writer:

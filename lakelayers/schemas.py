@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+# Names of the metadata and order columns, type of money.
 PARTITION = "_partition_dt"
 BRONZE_ONLY = ("_ingested_at", "_source_path", "_pipeline_run")
 

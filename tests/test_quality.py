@@ -113,6 +113,12 @@ def test_informational_rule_is_not_scored(spark):
     assert q.score(checked).collect()[0].total_checks == 1
 
 
+def test_own_rule(spark):
+    df = spark.createDataFrame([(1,), (2,), (None,)], "qty int")
+    (row,) = results(df, [q.Rule("expect_even", "qty", {}, lambda col, _: col % 2 == 0)])
+    assert (row.method, row.missing_count, row.unexpected_count) == ("expect_even", 1, 1)
+
+
 def test_dates_are_checked_apart(spark):
     df = spark.createDataFrame([("d1", "k"), ("d2", "k"), ("d2", "k")], "dt string, x string")
     rows = results(df, [q.unique("x"), q.row_count_between(1, 9)], by="dt", expected=["d1", "d2", "d3"])
