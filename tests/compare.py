@@ -22,7 +22,7 @@ def connect(sf_dir: str, files: str = "*.parquet") -> duckdb.DuckDBPyConnection:
 
 def _norm(value):
     if isinstance(value, float):
-        return "nan" if math.isnan(value) else float(f"{value:.9g}")
+        return "nan" if math.isnan(value) else value
     if isinstance(value, decimal.Decimal):
         return str(value)
     return value

@@ -150,7 +150,7 @@ def test_counts(spark, tmp_path):
     assert write_days(day(spark, "2024-01-01"), lambda df: append_layer(df, path), path, dates[:1]).rows == 0
 
 
-def test_shared_folder(spark, monkeypatch):
+def test_shared_folder(spark):
     assert workspace.scratch_path(spark, "x") != workspace.scratch_path(spark, "x")
 
     class Session:
@@ -159,6 +159,8 @@ def test_shared_folder(spark, monkeypatch):
 
     shared = Session(spark_checkpoint_dir="hdfs://shared/work/", spark_master="yarn")
     assert workspace.shared_dir(shared) == "hdfs://shared/work"
+    local = Session(spark_master="local[2]")
+    assert workspace.shared_dir(local) == workspace.shared_dir(local)
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         workspace.shared_dir(Session(spark_master="yarn"))
 
