@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from collections.abc import Callable, Iterable, Iterator
+from pathlib import Path
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,6 +31,30 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def map_arrow(
+    df: DataFrame, function: Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str
+) -> DataFrame:
+    """``mapInArrow`` with the package sent along, as executors need not have it installed."""
+    _ship(df.sparkSession)
+    return df.mapInArrow(function, schema)
+
+
+_shipped: set[str] = set()
+
+
+def _ship(spark: SparkSession) -> None:
+    application = spark.sparkContext.applicationId
+    if application in _shipped:
+        return
+    package = Path(__file__).resolve().parent.parent
+    archive = Path(tempfile.mkdtemp(prefix="lakelayers-")) / "lakelayers.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, file.relative_to(package.parent))
+    spark.sparkContext.addPyFile(str(archive))
+    _shipped.add(application)
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z lower-cased, other letters left alone; ``lower`` is the quick way where there are no others."""
     plain = F.octet_length(text) == F.char_length(text)

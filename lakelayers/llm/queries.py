@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakelayers.llm import decontamination, line_dedup, mixing, url_filter
-from lakelayers.llm.common import table
+from lakelayers.llm import decontamination, language_id, line_dedup, mixing, simhash, url_filter
+from lakelayers.llm.common import held_out, table
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,10 +17,24 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    outside = held_out(F.col("doc_id"), 5, 0)
+    model = language_id.train(docs.filter(~outside))
+    judged = language_id.identify(docs.select("doc_id", "text"), model)
+    doc_id = F.col("_row.doc_id")
+    return judged.select(doc_id.alias("doc_id"), held_out(doc_id, 5, 0).alias("held_out"), "lang_pred", "score")
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture_sizes(mixing.mix(table(spark, sf_dir, "documents")))
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = decontamination.judge_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return judged.select(
@@ -39,7 +53,9 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_line_dedup": op2_line_dedup,
+    "op4_language_id": op4_language_id,
     "op5_mixing": op5_mixing,
+    "op6_simhash": op6_simhash,
     "op7_decontamination": op7_decontamination,
     "op9_url_filter": op9_url_filter,
 }

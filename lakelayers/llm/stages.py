@@ -3,11 +3,20 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lakelayers.llm import decontamination as phrases
+from lakelayers.llm import language_id as languages
 from lakelayers.llm import line_dedup as lines
 from lakelayers.llm import mixing as mixture
-from lakelayers.llm.common import table
+from lakelayers.llm import simhash
+from lakelayers.llm.common import held_out, table
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a language that the models know go."""
+    labelled = docs.filter(~held_out(F.col("doc_id"), 5, 0))
+    return languages.known_language(docs, languages.train(labelled))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -15,6 +24,11 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return lines.dedup_lines(docs)
 
 
+def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays."""
+    return simhash.first_of_each(docs)
+
+
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a window of a benchmark item go."""
     return phrases.clean_documents(docs, table(spark, sf_dir, "benchmark"))
