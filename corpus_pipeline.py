@@ -8,11 +8,14 @@ from lakelayers.llm import stages
 from lakelayers.llm.common import stored, table
 
 STAGES = [
+    ("language_id", stages.language_id),
     ("line_dedup", stages.line_dedup),
+    ("simhash_near_dedup", stages.simhash_near_dedup),
     ("decontamination", stages.decontamination),
     ("mixing", stages.mixing),
 ]
 
+# The language models have no counterpart in SQL.
 ORACLE_SQL = None
 
 
