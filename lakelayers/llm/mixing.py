@@ -117,15 +117,14 @@ def _truncated(queued: DataFrame, targets: DataFrame, slices: int) -> DataFrame:
     queued = queued.withColumn("slice", slice_of)
     sums = queued.filter("slice IS NOT NULL").groupBy("slice").agg(F.sum(load).alias("total"))
     ahead = W.orderBy("slice").rowsBetween(W.unboundedPreceding, -1)
-    budget = F.sum("target").alias("budget")
     edges = sums.select("slice", "total", F.coalesce(F.sum("total").over(ahead), F.lit(0)).alias("before"))
-    edges = edges.join(F.broadcast(targets.agg(budget)))  # one row
     queued = queued.join(edges, "slice", "left")
-    whole = F.col("before") + F.col("total") <= F.col("budget")
-    cut = (F.col("before") <= F.col("budget")) & ~whole
+    budget = F.lit(targets.agg(F.coalesce(F.sum("target"), F.lit(0.0))).first()[0])
+    whole = F.col("before") + F.col("total") <= budget
+    cut = (F.col("before") <= budget) & ~whole
     order = W.partitionBy("slice").orderBy("finish", "rank", "pass", "key", "doc_id", "rid")
     running = F.sum(load).over(order.rowsBetween(W.unboundedPreceding, 0))
-    last = queued.filter(cut).withColumn("taken", F.col("before") + running <= F.col("budget"))
+    last = queued.filter(cut).withColumn("taken", F.col("before") + running <= budget)
     rest = queued.filter(~F.coalesce(cut, F.lit(False))).withColumn("taken", F.coalesce(whole, F.lit(False)))
     return rest.unionByName(last).select(
         "doc_id", "rid", "source", "copies", "size", "source_size", "target", "pass", "finish", "taken"

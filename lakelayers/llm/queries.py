@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakelayers.llm import decontamination, language_id, line_dedup, mixing, simhash, url_filter
+from lakelayers.llm import decontamination, embeddings, language_id, line_dedup, mixing, quality, simhash, url_filter
 from lakelayers.llm.common import held_out, table
 
 
@@ -47,15 +47,29 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"))
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").filter(~held_out(F.col("doc_id"), 3, 1))
+    scores = quality.score(docs, quality.train(docs, labels))
+    predicted = (F.col("score") >= 0.5).cast("int")
+    return scores.select("doc_id", held_out(F.col("doc_id"), 3, 1).alias("held_out"), "score", predicted.alias("predicted"))
+
+
 QUERIES = {
     "op2_line_dedup": op2_line_dedup,
     "op4_language_id": op4_language_id,
     "op5_mixing": op5_mixing,
     "op6_simhash": op6_simhash,
     "op7_decontamination": op7_decontamination,
+    "op8_embedding_near_dedup": op8_embedding_near_dedup,
     "op9_url_filter": op9_url_filter,
+    "op10_quality": op10_quality,
 }
