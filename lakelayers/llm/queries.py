@@ -5,10 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakelayers.llm import decontamination, embeddings, language_id, line_dedup, mixing, quality, simhash, url_filter
+from lakelayers.llm import decontamination, embeddings, language_id, line_dedup, mixing, quality, simhash, suffix_dedup, url_filter
 from lakelayers.llm.common import held_out, table
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     kept = line_dedup.with_kept_lines(docs, line_dedup.line_bitmaps(docs))
@@ -64,6 +69,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op2_line_dedup": op2_line_dedup,
     "op4_language_id": op4_language_id,
     "op5_mixing": op5_mixing,
