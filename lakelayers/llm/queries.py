@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakelayers.llm import decontamination, embeddings, language_id, line_dedup, mixing, quality, simhash, suffix_dedup, url_filter
+from lakelayers.llm import decontamination, embeddings, html_extract, language_id, line_dedup, mixing, quality, simhash, suffix_dedup, url_filter
 from lakelayers.llm.common import held_out, table
 
 
@@ -22,6 +22,11 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_extract.main_texts(table(spark, sf_dir, "pages"))
+    return found.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     outside = held_out(F.col("doc_id"), 5, 0)
@@ -71,6 +76,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_line_dedup": op2_line_dedup,
+    "op3_html_extract": op3_html_extract,
     "op4_language_id": op4_language_id,
     "op5_mixing": op5_mixing,
     "op6_simhash": op6_simhash,
