@@ -10,6 +10,7 @@ from pathlib import Path
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakelayers.sources.workspace import scratch_path
 
@@ -32,7 +33,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def map_arrow(
-    df: DataFrame, function: Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str
+    df: DataFrame, function: Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | T.StructType
 ) -> DataFrame:
     """``mapInArrow`` with the package sent along, as executors need not have it installed."""
     _ship(df.sparkSession)

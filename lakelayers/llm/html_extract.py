@@ -21,7 +21,7 @@ LONGEST_GROUP = 12
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|"
-    r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|([^<]+|<)",
+    r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[/a-zA-Z][^>]*\Z|([^<]+|<)",
     re.S,
 )
 NAMES = re.compile(r"""\b(class|id|role|itemprop|hidden|aria-hidden)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.I)
@@ -199,16 +199,29 @@ def folded(stream: Iterable[Item]) -> tuple[Item, ...]:
 
 
 def _unified(a: Item, b: Item) -> Item | None:
-    """One item for both: equal, a group of aligned bodies, or an option of what is inside; None if there is none."""
+    """One item for both: equal, a group or option of aligned bodies; None if there is none."""
     if a == b:
         return a
-    for kind in ("?", "+"):
-        if isinstance(a, tuple) and a[0] == kind or isinstance(b, tuple) and b[0] == kind:
-            left = a[1] if isinstance(a, tuple) and a[0] == kind else (a,)
-            right = b[1] if isinstance(b, tuple) and b[0] == kind else (b,)
-            if not left or not right or _head(left) != _head(right):
-                return None
-            return kind, aligned(left, right)
+    if isinstance(a, tuple) and isinstance(b, tuple) and a[0] == b[0]:
+        return (a[0], aligned(a[1], b[1])) if _head(a[1]) == _head(b[1]) else None
+    for one, other in ((a, b), (b, a)):
+        if isinstance(one, tuple) and len(one[1]) == 1:
+            both = _unified(one[1][0], other)
+            if both is not None:
+                return one[0], (both,)
+    return None
+
+
+def _matches(a: tuple[Item, ...], b: tuple[Item, ...], i: int, j: int) -> tuple[Item, int, int] | None:
+    """What ``a`` from ``i`` and ``b`` from ``j`` have in common, and how many items of each it takes."""
+    both = _unified(a[i], b[j])
+    if both is not None:
+        return both, 1, 1
+    # A group or option meets its own body written out.
+    if isinstance(a[i], tuple) and a[i][1] == b[j : j + len(a[i][1])]:
+        return a[i], 1, len(a[i][1])
+    if isinstance(b[j], tuple) and b[j][1] == a[i : i + len(b[j][1])]:
+        return b[j], len(b[j][1]), 1
     return None
 
 
@@ -228,16 +241,16 @@ def aligned(a: tuple[Item, ...], b: tuple[Item, ...]) -> tuple[Item, ...]:
     while stop < min(len(a), len(b)) - start and a[-1 - stop] == b[-1 - stop]:
         stop += 1
     left, right = a[start : len(a) - stop], b[start : len(b) - stop]
-    # Longest common subsequence of items that unify.
+    # Longest common subsequence of items that match.
     best = [[0] * (len(right) + 1) for _ in range(len(left) + 1)]
-    match: dict[tuple[int, int], Item] = {}
+    match: dict[tuple[int, int], tuple[Item, int, int]] = {}
     for i in range(len(left) - 1, -1, -1):
         for j in range(len(right) - 1, -1, -1):
-            both = _unified(left[i], right[j])
+            both = _matches(left, right, i, j)
             best[i][j] = max(best[i + 1][j], best[i][j + 1])
             if both is not None:
                 match[i, j] = both
-                best[i][j] = max(best[i][j], 1 + best[i + 1][j + 1])
+                best[i][j] = max(best[i][j], max(both[1:]) + best[i + both[1]][j + both[2]])
     out: list[Item] = list(a[:start])
     i = j = 0
     only: tuple[list[Item], list[Item]] = ([], [])
@@ -250,10 +263,11 @@ def aligned(a: tuple[Item, ...], b: tuple[Item, ...]) -> tuple[Item, ...]:
                 side.clear()
 
     while i < len(left) or j < len(right):
-        if (i, j) in match and best[i][j] == 1 + best[i + 1][j + 1]:
+        both = match.get((i, j))
+        if both and best[i][j] == max(both[1:]) + best[i + both[1]][j + both[2]]:
             flush()
-            out.append(match[i, j])
-            i, j = i + 1, j + 1
+            out.append(both[0])
+            i, j = i + both[1], j + both[2]
         elif j == len(right) or i < len(left) and best[i][j] == best[i + 1][j]:
             only[0].append(left[i])
             i += 1

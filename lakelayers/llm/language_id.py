@@ -11,6 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakelayers.llm.common import map_arrow
 
@@ -232,10 +233,9 @@ def _scored(docs: DataFrame, model: LanguageModel, text_col: str) -> DataFrame:
     rows = docs.select(
         F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("_row"), docs[text_col].cast("binary").alias("_text")
     )
-    kind = rows.schema["_row"].dataType.simpleString()
-    return map_arrow(
-        rows, scored, f"_row {kind}, lang_pred string, score double, entropy double, symbols long, rejected boolean"
-    )
+    schema = T.StructType([rows.schema["_row"]])
+    schema.add("lang_pred", "string").add("score", "double").add("entropy", "double")
+    return map_arrow(rows, scored, schema.add("symbols", "long").add("rejected", "boolean"))
 
 
 @dataclass(frozen=True)

@@ -99,13 +99,13 @@ def two_stage_order(text: np.ndarray, wanted: np.ndarray, depth: int = LENGTH) -
 
     Only suffixes smaller than their successors are sorted directly. Each other suffix follows from its
     successor, which lies in an earlier place: buckets by first byte are scanned in order, and what stands
-    before each suffix is appended to its own bucket. ``text`` ends in ``depth + 8`` zeros.
+    before each suffix is appended to its own bucket. ``text`` ends in a zero and ``depth + 8`` zeros more.
     """
     size = len(text) - depth - 8
     step = np.sign(text[1 : size + 1].astype(np.int16) - text[:size])
     later = np.where(step != 0, np.arange(size), size - 1)
-    smaller = step[np.minimum.accumulate(later[::-1])[::-1]] > 0
-    smaller[-1] = True
+    decided = np.minimum.accumulate(later[::-1])[::-1]
+    smaller = (step[decided] > 0) | (decided == size - 1)
     # A larger suffix needs its successor, up to the next smaller one.
     stops = np.flatnonzero(smaller)
     until = stops[np.searchsorted(stops, wanted)]

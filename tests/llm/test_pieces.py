@@ -1,0 +1,190 @@
+"""The parts that the operators are made of."""
+
+import random
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from lakelayers.llm import embeddings, html_extract, language_id, mixing, quality, simhash, suffix_dedup
+from lakelayers.llm.components import components
+from lakelayers.llm.pairs import merged_links, runs_of, spans_product
+
+from . import brute
+
+
+@given(st.lists(st.sampled_from(b"ab\x00\xff c"), min_size=1, max_size=300), st.randoms())
+@settings(max_examples=60, deadline=None)
+def test_two_stage_order_sorts_suffixes(symbols, rnd):
+    text = bytes(symbols) + bytes(1 + 108)
+    wanted = np.array(sorted(rnd.sample(range(len(symbols)), rnd.randint(1, len(symbols)))))
+    order = suffix_dedup.two_stage_order(np.frombuffer(text, np.uint8), wanted)
+    windows = [text[i : i + 100] for i in order]
+    assert sorted(order) == wanted.tolist() and windows == sorted(windows)
+    prefixes = suffix_dedup.adjacent_prefixes(np.frombuffer(text, np.uint8), order)
+    for k in range(1, len(order)):
+        a, b = windows[k - 1], windows[k]
+        assert prefixes[k] == next((i for i in range(100) if a[i] != b[i]), 100)
+
+
+@pytest.mark.parametrize("piece", [1 << 20, 256])
+def test_every_window_has_an_anchor_that_moves_with_it(monkeypatch, piece):
+    suffix_dedup._powers()
+    rnd = random.Random(3)
+    shared = bytes(rnd.choices(b"abc ", k=700))
+    a, b = bytes(rnd.choices(b"xyz ", k=333)) + shared, shared + bytes(rnd.choices(b"uvw ", k=90))
+    monkeypatch.setattr(suffix_dedup, "PIECE", piece)
+    found = {x: suffix_dedup.anchors(x)[0] for x in (a, b)}
+    for text in (a, b):
+        assert max(np.diff(np.r_[-1, found[text], len(text) - suffix_dedup.GRAM + 1])) <= suffix_dedup.SPAN
+    inner = lambda place, at: {p - at for p in place if at + 70 <= p < at + 600}
+    assert inner(found[a], 333) == inner(found[b], 0)
+    monkeypatch.undo()
+    for text in (a, b):
+        assert all(np.array_equal(x, y) for x, y in zip(suffix_dedup.anchors(text)[:1], [found[text]]))
+
+
+def test_gray_rank(spark):
+    codes = [i ^ (i >> 1) for i in range(64)]
+    rows = spark.createDataFrame([(c,) for c in codes], "c long").select(simhash.gray_rank(F.col("c")).alias("r"))
+    assert [r.r for r in rows.collect()] == list(range(64))
+
+
+@pytest.mark.parametrize("chunk", [4096, 50])
+def test_code_links_connect_what_is_near(spark, monkeypatch, chunk):
+    monkeypatch.setattr(simhash, "CHUNK", chunk)
+    rnd = random.Random(5)
+    codes = {0, 15, 31, (1 << 64) - 1}
+    for _ in range(60):
+        code = rnd.getrandbits(64)
+        for _ in range(rnd.randint(1, 12)):
+            codes.add(code)
+            for bit in rnd.sample(range(64), rnd.randint(1, 5)):
+                code ^= 1 << bit
+    hub = rnd.getrandbits(64)
+    codes |= {hub ^ (1 << a) ^ (1 << b) for a in range(0, 20) for b in range(20, 30)}
+    ids = sorted(codes)
+    table = np.array(ids, np.uint64)
+    exact = brute.grouped(ids, lambda i: np.flatnonzero(np.bitwise_count(table ^ table[i]) <= 4))
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+    links = simhash.code_links(spark.createDataFrame([(signed(c),) for c in ids], "fp long"))
+    rows = [(r.a & (1 << 64) - 1, r.b & (1 << 64) - 1) for r in links.collect()]
+    assert all(bin(a ^ b).count("1") <= 4 * len(ids) for a, b in rows)
+    place = {c: i for i, c in enumerate(ids)}
+    near = {i: [] for i in range(len(ids))}
+    for a, b in rows:
+        near[place[a]].append(place[b])
+    assert brute.grouped(ids, lambda i: near[i]) == exact
+    assert len(rows) < 15 * len(ids)
+
+
+@given(st.lists(st.tuples(st.integers(0, 30), st.integers(0, 30)), max_size=60))
+@settings(max_examples=50, deadline=None)
+def test_merged_links_keep_components(links):
+    a, b = (np.array([x[i] for x in links], np.int64) for i in (0, 1))
+    u, v = merged_links([(a, b)])
+    both = []
+    for pairs in (links, list(zip(u.tolist(), v.tolist()))):
+        near = {i: [y for x, y in pairs if x == i] for i in range(31)}
+        both.append(brute.grouped(list(range(31)), lambda i: near[i]))
+    assert both[0] == both[1] and len(u) <= 30
+
+
+def test_spans():
+    assert [x.tolist() for x in runs_of(np.array([1, 1, 1, 2, 2]), 2)] == [[0, 2, 3], [2, 1, 2]]
+    pairs = [p for a, b in spans_product(*map(np.array, ([0, 5], [2, 1], [3, 6], [1, 2]))) for p in zip(a.tolist(), b.tolist())]
+    assert pairs == [(0, 3), (1, 3), (5, 6), (5, 7)]
+
+
+def test_components(spark):
+    rnd = random.Random(1)
+    links = [(i, i + 1) for i in range(0, 200)] + [(500, 300 + i) for i in range(100)]
+    links += [(rnd.randint(1000, 1400), rnd.randint(1000, 1400)) for _ in range(260)] + [(7, 7), (None, 3), (3, None)]
+    found = {r.node: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
+    ids = sorted({x for a, b in links if a is not None and b is not None and a != b for x in (a, b)})
+    place = {x: i for i, x in enumerate(ids)}
+    near = {i: [] for i in range(len(ids))}
+    for a, b in links:
+        if a in place and b in place:
+            near[place[a]].append(place[b])
+    assert found == brute.grouped(ids, lambda i: near[i])
+    assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+@given(st.dictionaries(st.one_of(st.none(), st.text("abc", max_size=3)), st.integers(0, 50), min_size=1, max_size=6))
+@settings(max_examples=15, deadline=None)
+def test_source_targets_share_out(spark, sizes):
+    rows = spark.createDataFrame(list(sizes.items()), "source string, source_size long")
+    found = {r.source: r.target for r in mixing.source_targets(rows).collect()}
+    exact = {s: float(t) for s, t in brute.targets(sizes).items()}
+    assert found == pytest.approx(exact)
+
+
+def test_language_model_is_a_distribution():
+    rnd = np.random.default_rng(0)
+    symbols = rnd.integers(97, 103, 4000)
+    symbols[::7] = 0
+    grams = symbols[:-3] << 36 | symbols[1:-2] << 24 | symbols[2:-1] << 12 | symbols[3:]
+    model = language_id.KneserNey(*np.unique(grams, return_counts=True), symbols=1 << 12)
+    every = np.arange(1 << 12)
+    for context in (grams[0] >> 12, grams[5] >> 12, 97 << 24 | 999 << 12 | 97, 5 << 24 | 6 << 12 | 7):
+        assert model.probability(context << 12 | every).sum() == pytest.approx(1)
+
+
+def test_wrappers_generalise():
+    one = html_extract.signature("<body><nav><a>x</a></nav><div id=x><p>a<p>b</div><p>end</body>")
+    two = html_extract.signature("<body><div id=x><p>a</p><p>b</p><p>c</p><ul><li>1<li>2</ul></div><p>end</body>")
+    assert one == ("body", "!nav", "#", "/!nav", "div", ("+", ("p", "#", "/p")), "/div", "p", "#", "/p", "/body")
+    both = html_extract.aligned(one, two)
+    assert both == (
+        "body", ("?", ("!nav", "#", "/!nav")), "div", ("+", ("p", "#", "/p")),
+        ("?", ("ul", ("+", ("li", "#", "/li")), "/ul")), "/div", "p", "#", "/p", "/body",
+    )
+    assert html_extract.aligned(both, one) == both and html_extract.aligned(both, two) == both
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        (
+            "<html><head><title>T</title><style>p{}</style></head><body><header>Site</header><div class='main-menu'>M</div>"
+            "<div class='cookie-notice'>We use cookies</div><main><h1>Head &amp; line</h1><p>One\n two&nbsp;<b>bold</b>er"
+            "<p>x &lt; y<br>z<form><label>mail</label><input></form><div class=advert>Buy</div><ul><li>a<li>b</ul>"
+            "<aside>side</aside></main><section id=comments><article class=comment><p>I say</p></article></section>"
+            "<footer>foot</footer><script>var a='<p>no</p>'</script></body></html>",
+            "Head & line\n\nOne two bolder\n\nx < y z\n\na\n\nb",
+        ),
+        ("<div><div class=nav>menu</div><div><p>Long text of the page here</p><p>and more</p></div><ul><li>short</ul></div>",
+         "Long text of the page here\n\nand more"),
+        ("", ""), ("<!-- only -->", ""), ("just text &eacute;", "just text é"), ("<p>a<!-- x -->b</p", "ab"),
+        ("<article><p>open <i>never closed", "open never closed"),
+    ],
+)
+def test_article(page, text):
+    assert html_extract.article(page, None) == text
+
+
+def test_term_counts_see_the_whole_text(monkeypatch):
+    text = ("Some words, 12 of them.\n" * 50).encode()
+    whole = quality.term_counts(text)
+    assert whole.sum() > 0 and quality.term_counts(None).sum() == quality.term_counts(b"").sum() > 0
+    assert quality.term_counts(text + b"***" * 2000)[: quality.SHAPES].sum() > whole[: quality.SHAPES].sum() + 5000
+
+
+@pytest.mark.parametrize("chunk", [8192, 40])
+def test_embedding_links_in_clusters(spark, chunk):
+    rnd = np.random.default_rng(2)
+    centres = rnd.standard_normal((6, 12))
+    vectors = np.concatenate([c + 0.25 * rnd.standard_normal((60, 12)) for c in centres]).astype(np.float32)
+    vectors = np.concatenate([vectors, vectors[:20], 3 * vectors[:5]])
+    unit = vectors.astype(np.float64)
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    near = [np.setdiff1d(np.flatnonzero(unit @ v >= 0.95), [i]) for i, v in enumerate(unit)]
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<float>")
+    found = {r.vec_id: r for r in embeddings.near_duplicates(rows, blocks=3, chunk=chunk).collect()}
+    component = brute.grouped(list(range(len(vectors))), lambda i: near[i])
+    assert {i: r.n_links for i, r in found.items()} == {i: len(x) for i, x in enumerate(near)}
+    assert {i: r.component_id for i, r in found.items()} == component
+    assert sum(map(len, near)) > 1000
