@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from functools import lru_cache
 
 import numpy as np
@@ -19,7 +19,7 @@ LENGTH = 100
 # A string of LENGTH bytes holds SPAN grams of GRAM bytes; the least by hash are its anchors.
 GRAM = 32
 SPAN = LENGTH - GRAM + 1
-PIECE = 1 << 20
+PIECE = 1 << 17
 # An anchor's strings start 0 to SPAN - 1 bytes before it. Those of one part share all but a few of their bytes.
 PARTS = (0, 18, 35, 52, SPAN)
 # Surroundings of one gram that are sorted together; a gram with more is dealt by the longer shared parts.
@@ -31,7 +31,7 @@ def _powers() -> tuple[np.ndarray, np.ndarray]:
     base = 0x9E3779B97F4A7C55
     out = []
     for factor in (base, pow(base, -1, 1 << 64)):
-        steps = np.full(PIECE + 4 * LENGTH, factor, np.uint64)
+        steps = np.full(2 * PIECE + 8 * LENGTH, factor, np.uint64)
         steps[0] = 1
         out.append(np.cumprod(steps, dtype=np.uint64))
     return out[0], out[1]
@@ -52,46 +52,91 @@ def _sliding(pick: np.ufunc, values: np.ndarray, width: int) -> np.ndarray:
     return pick(values[: len(values) - rest], values[rest:]) if rest else values
 
 
-def anchors(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Place, hash of the gram and hash of the surroundings of every anchor, by place.
+class Anchors:
+    """The anchors of some texts, by text and place, with what their strings cover.
 
     Every string of ``LENGTH`` bytes holds an anchor, and which grams of it are anchors depends on its bytes
-    alone. The surroundings are all strings that hold the anchor, cut at the ends of the text.
+    alone. The surroundings of an anchor are all strings that hold it, cut at the ends of the text. ``text`` is the
+    number of the text, ``place`` where the gram begins in it, ``gram`` its hash, ``around`` the hash of the
+    surroundings, which go from ``begin`` to ``end``; ``again`` marks surroundings that the text has further up.
     """
-    found = []
-    for at in range(0, max(1, len(text) - LENGTH + 1), PIECE):
-        # A piece owns the strings that start in it, and sees the surroundings of their anchors.
-        low = max(0, at - SPAN)
-        found.append(_anchors_of(text[low : at + PIECE + 3 * LENGTH], low, at, len(text)))
-    if len(found) == 1:
-        return found[0]
-    place, gram, around = (np.concatenate(x) for x in zip(*found, strict=True))
-    place, first = np.unique(place, return_index=True)
-    return place, gram[first], around[first]
-
-
-def _anchors_of(data: bytes, low: int, at: int, total: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    raw = np.frombuffer(data, np.uint8)
-    if len(raw) < LENGTH:
-        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
+
+    def __init__(self, texts: Sequence[bytes]) -> None:
+        sizes = np.array([len(t) for t in texts], np.int64)
+        found = [_anchors_of(block, sizes) for block in _blocks(texts)]
+        columns = [np.concatenate(x) for x in zip(*found, strict=True)] if found else [np.empty(0, np.int64)] * 4
+        self.text, self.place, self.gram, self.around = columns
+        if (sizes > PIECE).any():
+            # Two pieces of a long text may both have found an anchor between them.
+            by = np.lexsort((self.place, self.text))
+            columns = [x[by] for x in columns]
+            new = np.r_[True, (np.diff(columns[0]) != 0) | (np.diff(columns[1]) != 0)][: len(by)]
+            self.text, self.place, self.gram, self.around = (x[new] for x in columns)
+        self.begin = np.maximum(self.place - SPAN + 1, 0)
+        self.end = np.minimum(self.place + LENGTH, sizes[self.text])
+        self.keys = self.around.view(np.uint64) ^ _mixed(self.text.astype(np.uint64) + np.uint64(1))
+        by = np.argsort(self.keys, kind="stable")
+        self.again = np.zeros(len(by), bool)
+        self.again[by[1:][self.keys[by[1:]] == self.keys[by[:-1]]]] = True
+
+    def among(self, lists: Sequence[Sequence[int] | None]) -> np.ndarray:
+        """Which anchors have surroundings that the list of their text names."""
+        wanted = np.array([x for own in lists for x in own or ()], np.int64).view(np.uint64)
+        owner = np.repeat(np.arange(len(lists)), [len(own or ()) for own in lists]).astype(np.uint64)
+        return np.isin(self.keys, wanted ^ _mixed(owner + np.uint64(1)))
+
+
+def _blocks(texts: Sequence[bytes]) -> Iterator[list[tuple[int, int, int, bytes]]]:
+    """Texts long enough to matter, ``(number, from, owned from, bytes)``, about a piece together; long ones in pieces.
+
+    A piece owns the strings that start in it, and sees the surroundings of their anchors.
+    """
+    block, held = [], 0
+    for number, text in enumerate(texts):
+        for at in range(0, len(text) - LENGTH + 1, PIECE):
+            low = max(0, at - SPAN)
+            block.append((number, low, at, text[low : at + PIECE + 3 * LENGTH]))
+            held += len(block[-1][3])
+            if held >= PIECE:
+                yield block
+                block, held = [], 0
+    if block:
+        yield block
+
+
+def _anchors_of(block: list[tuple[int, int, int, bytes]], sizes: np.ndarray) -> tuple[np.ndarray, ...]:
+    raw = np.frombuffer(b"".join(x[3] for x in block), np.uint8)
     up, down = _powers()
     sums = np.zeros(len(raw) + 1, np.uint64)
-    np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * up[: len(raw)], out=sums[1:])
-    grams = _mixed((sums[GRAM:] - sums[:-GRAM]) * down[: len(sums) - GRAM])
-    least = _sliding(np.minimum, grams, SPAN)
-    owned = np.arange(len(least)) + low
-    least[(owned < at) | (owned >= at + PIECE)] = 0
-    edge = np.zeros(SPAN - 1, np.uint64)
-    place = np.flatnonzero((_sliding(np.maximum, np.r_[edge, least, edge], SPAN) == grams) & (grams > 0))
-    begin = np.maximum(place - SPAN + 1, 0)
-    end = np.minimum(place + LENGTH, len(raw))
-    shape = ((place - begin) * 1000 + (end - place)).astype(np.uint64)
+    terms = raw.astype(np.uint64)
+    terms += np.uint64(1)
+    terms *= up[: len(raw)]
+    np.cumsum(terms, out=sums[1:])
+    grams = sums[GRAM:] - sums[:-GRAM]
+    grams *= down[: len(grams)]
+    grams ^= grams >> np.uint64(32)
+    grams *= np.uint64(0xD6E8FEB86659FD93)
+    # The least is decided by the upper half; on a tie all are anchors.
+    ranks = (grams >> np.uint64(32)).astype(np.uint32)
+    least = _sliding(np.minimum, ranks, SPAN)
+    ends = np.cumsum([len(x[3]) for x in block])
+    owned = np.zeros(len(least), bool)
+    for (_, low, at, data), end in zip(block, ends.tolist(), strict=True):
+        first = end - len(data)
+        owned[first + at - low : min(first + at - low + PIECE, end - LENGTH + 1)] = True
+    least[~owned] = 0
+    edge = np.zeros(SPAN - 1, np.uint32)
+    found = np.flatnonzero((_sliding(np.maximum, np.concatenate([edge, least, edge]), SPAN) == ranks) & (ranks > 0))
+    piece = np.searchsorted(ends, found, "right")
+    number, low = (np.array([x[i] for x in block], np.int64)[piece] for i in (0, 1))
+    first = ends[piece] - np.array([len(x[3]) for x in block])[piece]
+    place = found - first + low
+    before = np.minimum(place, SPAN - 1)
+    after = np.minimum(sizes[number] - place, LENGTH)
+    begin, end = found - before, found + after
+    shape = (before * 1000 + after).astype(np.uint64)
     around = _mixed((sums[end] - sums[begin]) * down[begin] + shape * np.uint64(0xC2B2AE3D27D4EB4F))
-    return place + low, grams[place].view(np.int64), around.view(np.int64)
-
-
-def _surroundings(place: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    return np.maximum(place - SPAN + 1, 0), np.minimum(place + LENGTH, size)
+    return number, place, grams[found].view(np.int64), around.view(np.int64)
 
 
 def two_stage_order(text: np.ndarray, wanted: np.ndarray, depth: int = LENGTH) -> np.ndarray:
@@ -161,7 +206,7 @@ def adjacent_prefixes(text: np.ndarray, order: np.ndarray, most: int = LENGTH) -
 
 
 def repeated_starts(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``doc, tie, start`` of the strings in these surroundings that another one holds earlier.
+    """``doc, tie, start`` of the strings in these surroundings that another one holds earlier; some several times.
 
     Columns ``route, part, doc, tie, begin, lead, bytes``: rows with one route share the gram ``lead`` bytes in;
     ``part`` -1 means all strings around it, else one part of them.
@@ -175,19 +220,28 @@ def repeated_starts(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     matrix[inside] = np.frombuffer(b"".join(rows["bytes"].to_pylist()), np.uint8)
     route, origin = rows["route"].to_numpy(), rows["begin"].to_numpy() - (SPAN - 1 - lead)
     up, _ = _powers()
-    pieces, owners, firsts = [], [], []
+    values = np.where(inside, matrix.astype(np.uint64) + np.uint64(1), np.uint64(0))
+    doc, tie = rows["doc"].to_numpy(), rows["tie"].to_numpy()
+    pieces, owners, firsts, later = [], [], [], []
     for p, (a, b) in enumerate(zip(PARTS, PARTS[1:], strict=False)):
         low, high = SPAN - 1 - (b - 1), frame - a
         core = slice(SPAN - 1 - a, frame - (b - 1))
         # Only rows whose shared bytes of this part occur twice can hold equal strings of it.
         able = np.flatnonzero(((part == -1) | (part == p)) & inside[:, core].all(1))
-        width = core.stop - core.start
-        hashes = ((matrix[able, core].astype(np.uint64) + np.uint64(1)) * up[:width]).sum(1, dtype=np.uint64)
+        hashes = values[able, core] @ up[: core.stop - core.start]
         _, group, counts = np.unique(_mixed(hashes ^ route[able].view(np.uint64)), return_inverse=True, return_counts=True)
         able = able[counts[group] > 1]
-        pieces.append(np.pad(matrix[able, low:high], ((0, 0), (0, LENGTH + b - a - (high - low) + 1))).ravel())
         at = np.arange(b - a) + low
         fits = inside[able][:, at] & inside[able][:, at + LENGTH - 1]
+        # Of rows that are equal in the whole part the first is sorted, the strings of the others go.
+        whole = _mixed(values[able, low:high] @ up[: high - low])
+        by = np.lexsort((origin[able], tie[able], doc[able], whole))
+        copy = np.zeros(len(able), bool)
+        copy[by[1:][whole[by[1:]] == whole[by[:-1]]]] = True
+        rows_at, starts_at = np.nonzero(fits & copy[:, None])
+        later.append((able[rows_at], low + starts_at))
+        able, fits = able[~copy], fits[~copy]
+        pieces.append(np.pad(matrix[able, low:high], ((0, 0), (0, LENGTH + b - a - (high - low) + 1))).ravel())
         rows_at, starts_at = np.nonzero(fits)
         owners.append(able[rows_at])
         firsts.append((rows_at, starts_at, LENGTH + b - a + 1))
@@ -195,25 +249,25 @@ def repeated_starts(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     for piece, (rows_at, starts_at, width) in zip(pieces, firsts, strict=True):
         wanted.append(base + rows_at * width + starts_at)
         base += len(piece)
-    columns = [PARTS[1:][i] - 1 for i in range(len(pieces))]
-    shift = np.concatenate([SPAN - 1 - c + s for c, (_, s, _) in zip(columns, firsts, strict=True)])
+    shift = np.concatenate([SPAN - b + starts for b, (_, starts, _) in zip(PARTS[1:], firsts, strict=True)])
     owner, wanted = np.concatenate(owners), np.concatenate(wanted)
-    if not len(wanted):
-        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
     text = np.concatenate([*pieces, np.zeros(LENGTH + 8, np.uint8)])
-    order = two_stage_order(text, wanted)
-    fresh = adjacent_prefixes(text, order) < LENGTH
-    index = np.searchsorted(wanted, order)
-    doc, tie = rows["doc"].to_numpy()[owner[index]], rows["tie"].to_numpy()[owner[index]]
-    start = origin[owner[index]] + shift[index]
-    # Equal strings stand together; the first of them by document and place stays.
-    run = np.cumsum(fresh)
-    by = np.lexsort((start, tie, doc, run))
-    run, doc, tie, start = run[by], doc[by], tie[by], start[by]
-    head = np.flatnonzero(np.r_[True, run[1:] != run[:-1]])
-    first = np.repeat(head, np.diff(np.r_[head, len(run)]))
-    later = (doc != doc[first]) | (tie != tie[first]) | (start != start[first])
-    return doc[later], tie[later], start[later]
+    if len(wanted):
+        order = two_stage_order(text, wanted)
+        fresh = adjacent_prefixes(text, order) < LENGTH
+        index = np.searchsorted(wanted, order)
+        owner, shift = owner[index], shift[index]
+        # Equal strings stand together; the first of them by document and place stays.
+        run = np.cumsum(fresh)
+        by = np.lexsort((origin[owner] + shift, tie[owner], doc[owner], run))
+        run, owner, shift = run[by], owner[by], shift[by]
+        head = np.flatnonzero(np.r_[True, run[1:] != run[:-1]])
+        first = np.repeat(head, np.diff(np.r_[head, len(run)]))
+        start = origin[owner] + shift
+        other = (doc[owner] != doc[owner[first]]) | (tie[owner] != tie[owner[first]]) | (start != start[first])
+        later.append((owner[other], shift[other]))
+    owner, shift = (np.concatenate([x[i] for x in later]) for i in (0, 1))
+    return doc[owner], tie[owner], origin[owner] + shift
 
 
 def _numbered(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -233,34 +287,22 @@ def _numbered(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def _anchor_rows(texts: DataFrame) -> DataFrame:
     def listed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for number in range(batch.num_rows):
-                _, gram, around = anchors(batch.column(2)[number].as_py())
-                around, first = np.unique(around, return_index=True)
-                same = [pa.array(np.full(len(around), batch.column(i)[number].as_py(), t)) for i, t in ((0, "i8"), (1, "i4"))]
-                yield pa.RecordBatch.from_arrays([pa.array(gram[first]), pa.array(around), *same], names)
+        for batch in _parts(batches):
+            found = Anchors(batch.column(2).to_pylist())
+            once = np.flatnonzero(~found.again)
+            who = [batch.column(i).take(pa.array(found.text[once])) for i in (0, 1)]
+            yield pa.RecordBatch.from_arrays([pa.array(found.gram[once]), pa.array(found.around[once]), *who], names)
 
     names = ["gram", "around", "doc", "tie"]
     long_enough = texts.filter(F.octet_length("text") >= LENGTH)
-    return map_arrow(long_enough, _gathered(listed), "gram long, around long, doc long, tie int")
+    return map_arrow(long_enough, listed, "gram long, around long, doc long, tie int")
 
 
-def _gathered(function, rows: int = 1 << 15):  # noqa: ANN001, ANN202
-    """Join the small batches that ``function`` yields."""
-
-    def gathered(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts: list[pa.RecordBatch] = []
-        held = 0
-        for part in function(batches):
-            parts.append(part)
-            held += part.num_rows
-            if held >= rows:
-                yield from pa.Table.from_batches(parts).combine_chunks().to_batches()
-                parts, held = [], 0
-        if parts:
-            yield from pa.Table.from_batches(parts).combine_chunks().to_batches()
-
-    return gathered
+def _parts(batches: Iterable[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """The same rows, fewer at a time: what is derived from a text takes more room than the text."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
 
 
 def _hits(texts: DataFrame) -> DataFrame:
@@ -293,23 +335,22 @@ def _compared(packed: DataFrame, hits: DataFrame) -> DataFrame:
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor()
-        for batch in batches:
-            for doc, tie, blob, open_, dealt in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                text = unpack.decompress(blob)
-                place, gram, around = anchors(text)
-                around, first = np.unique(around, return_index=True)
-                place, gram = place[first], gram[first]
-                begin, end = _surroundings(place, len(text))
-                rows = [(int(gram[i]), -1, i) for i in np.flatnonzero(np.isin(around, open_))]
-                for i in np.flatnonzero(np.isin(around, dealt)):
-                    rows += [(r, p, i) for p, r in _part_routes(text, int(place[i]), int(begin[i]), int(end[i]))]
-                at = np.array([i for _, _, i in rows], np.int64)
-                columns = [
-                    pa.array([r for r, _, _ in rows], pa.int64()), pa.array([p for _, p, _ in rows], pa.int32()),
-                    pa.array(np.full(len(rows), doc, "i8")), pa.array(np.full(len(rows), tie, "i4")), pa.array(begin[at]),
-                    pa.array((place - begin)[at]), pa.array([text[begin[i] : end[i]] for i in at], pa.binary()),
-                ]
-                yield pa.RecordBatch.from_arrays(columns, names)
+        for batch in _parts(batches):
+            texts = [unpack.decompress(blob) for blob in batch.column(2).to_pylist()]
+            found = Anchors(texts)
+            opened, dealt = (~found.again & found.among(batch.column(i).to_pylist()) for i in (3, 4))
+            at = np.flatnonzero(opened)
+            route, part = found.gram[at], np.full(len(at), -1, np.int32)
+            if dealt.any():
+                more = [(i, p, r) for i in np.flatnonzero(dealt) for p, r in _part_routes(texts[found.text[i]], found, i)]
+                at = np.r_[at, [i for i, _, _ in more]].astype(np.int64)
+                part = np.r_[part, [p for _, p, _ in more]].astype(np.int32)
+                route = np.r_[route, [r for _, _, r in more]].astype(np.int64)
+            begin, end, number = found.begin[at], found.end[at], found.text[at]
+            cuts = [texts[n][b:e] for n, b, e in zip(number.tolist(), begin.tolist(), end.tolist(), strict=True)]
+            who = [batch.column(i).take(pa.array(number)) for i in (0, 1)]
+            columns = [pa.array(route), pa.array(part), *who, pa.array(begin), pa.array(found.place[at] - begin)]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(cuts, pa.binary())], names)
 
     def sorted_out(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _whole_routes(batches):
@@ -325,18 +366,17 @@ def _compared(packed: DataFrame, hits: DataFrame) -> DataFrame:
     spans = ["doc", "tie", "start", "end"]
     some = hits.filter("size(open) > 0 OR size(dealt) > 0").select("doc", "tie", "open", "dealt")
     rows = packed.join(some, ["doc", "tie"]).select("doc", "tie", "blob", "open", "dealt")
-    rows = map_arrow(
-        rows, _gathered(cut, 1 << 12), "route long, part int, doc long, tie int, begin long, lead long, bytes binary"
-    )
+    rows = map_arrow(rows, cut, "route long, part int, doc long, tie int, begin long, lead long, bytes binary")
     rows = rows.repartition("route").sortWithinPartitions("route")
     found = map_arrow(rows, sorted_out, "doc long, tie int, start long, end long")
     return found.groupBy("doc", "tie").agg(F.collect_list("start").alias("starts"), F.collect_list("end").alias("ends"))
 
 
-def _part_routes(text: bytes, place: int, begin: int, end: int) -> Iterator[tuple[int, int]]:
+def _part_routes(text: bytes, found: Anchors, i: int) -> Iterator[tuple[int, int]]:
+    place = int(found.place[i])
     for p, (a, b) in enumerate(zip(PARTS, PARTS[1:], strict=False)):
         low, high = place - a, place + LENGTH - (b - 1)
-        if low >= begin and high <= end:
+        if low >= found.begin[i] and high <= found.end[i]:
             digest = hashlib.blake2b(text[low:high], digest_size=8, person=bytes([p])).digest()
             yield p, int.from_bytes(digest, "little", signed=True)
 
@@ -361,21 +401,26 @@ def _whole_routes(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(parts)
 
 
-def _kept(text: bytes, gone: list[int], starts: list[int], ends: list[int]) -> tuple[int, int, bytes]:
-    """Bytes removed, runs removed, and what is left."""
-    place, _, around = anchors(text)
-    _, first = np.unique(around, return_index=True)
-    again = np.ones(len(place), bool)
-    again[first] = False  # equal surroundings further up in the same document
-    again |= np.isin(around, gone)
-    begin, end = _surroundings(place[again], len(text))
-    whole = end - begin >= LENGTH
-    delta = np.zeros(len(text) + 1, np.int32)
-    np.add.at(delta, np.r_[begin[whole], np.array(starts, np.int64)], 1)
-    np.add.at(delta, np.r_[end[whole], np.array(ends, np.int64)], -1)
+def _kept(
+    texts: list[bytes], gone: list[list[int] | None], starts: list[list[int] | None], ends: list[list[int] | None]
+) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """Bytes removed, runs removed, and what is left, of every text."""
+    found = Anchors(texts)
+    away = (found.again | found.among(gone)) & (found.end - found.begin >= LENGTH)
+    sizes = np.array([len(t) for t in texts], np.int64)
+    base = np.r_[0, np.cumsum(sizes + 1)[:-1]]  # a byte that stays stands between two texts
+    owner = np.repeat(np.arange(len(texts)), [len(x or ()) for x in starts])
+    spans = [np.array([x for own in lists for x in own or ()], np.int64) + base[owner] for lists in (starts, ends)]
+    delta = np.zeros(int((sizes + 1).sum()) + 1, np.int32)
+    np.add.at(delta, np.r_[(found.begin + base[found.text])[away], spans[0]], 1)
+    np.add.at(delta, np.r_[(found.end + base[found.text])[away], spans[1]], -1)
     removed = np.cumsum(delta[:-1]) > 0
-    runs = int(removed[:1].sum() + (removed[1:] & ~removed[:-1]).sum())
-    return int(removed.sum()), runs, np.frombuffer(text, np.uint8)[~removed].tobytes() if runs else text
+    counts = np.add.reduceat(removed, base, dtype=np.int64)
+    runs = np.add.reduceat(removed & ~np.r_[False, removed[:-1]], base, dtype=np.int64)
+    kept = []
+    for text, at, size, n in zip(texts, base.tolist(), sizes.tolist(), runs.tolist(), strict=True):
+        kept.append(np.frombuffer(text, np.uint8)[~removed[at : at + size]].tobytes() if n else text)
+    return counts, runs, kept
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -408,14 +453,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     def clean(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor()
-        for batch in batches:
-            texts = [unpack.decompress(blob.as_py()) for blob in batch.column(1)]
-            rest = [[x or [] for x in batch.column(i).to_pylist()] for i in (2, 3, 4)]
-            found = [_kept(text, *lists) for text, *lists in zip(texts, *rest, strict=True)]
-            columns = [
-                batch.column(0), pa.array([len(t) for t in texts], pa.int64()), pa.array([x[0] for x in found], pa.int64()),
-                pa.array([x[1] for x in found], pa.int64()), pa.array([x[2] for x in found], pa.binary()),
-            ]
+        for batch in _parts(batches):
+            texts = [unpack.decompress(blob) for blob in batch.column(1).to_pylist()]
+            counts, runs, kept = _kept(texts, *(batch.column(i).to_pylist() for i in (2, 3, 4)))
+            sizes = pa.array([len(t) for t in texts], pa.int64())
+            columns = [batch.column(0), sizes, pa.array(counts), pa.array(runs), pa.array(kept, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, names)
 
     names = ["doc", "n_bytes", "n_removed", "n_spans", "kept"]
