@@ -29,21 +29,22 @@ def test_two_stage_order_sorts_suffixes(symbols, rnd):
         assert prefixes[k] == next((i for i in range(100) if a[i] != b[i]), 100)
 
 
-@pytest.mark.parametrize("piece", [1 << 20, 256])
+@pytest.mark.parametrize("piece", [1 << 17, 256])
 def test_every_window_has_an_anchor_that_moves_with_it(monkeypatch, piece):
     suffix_dedup._powers()
     rnd = random.Random(3)
     shared = bytes(rnd.choices(b"abc ", k=700))
-    a, b = bytes(rnd.choices(b"xyz ", k=333)) + shared, shared + bytes(rnd.choices(b"uvw ", k=90))
+    texts = [bytes(rnd.choices(b"xyz ", k=333)) + shared, b"short", shared + bytes(rnd.choices(b"uvw ", k=90)), b""]
+    whole = suffix_dedup.Anchors(texts)
     monkeypatch.setattr(suffix_dedup, "PIECE", piece)
-    found = {x: suffix_dedup.anchors(x)[0] for x in (a, b)}
-    for text in (a, b):
-        assert max(np.diff(np.r_[-1, found[text], len(text) - suffix_dedup.GRAM + 1])) <= suffix_dedup.SPAN
-    inner = lambda place, at: {p - at for p in place if at + 70 <= p < at + 600}
-    assert inner(found[a], 333) == inner(found[b], 0)
-    monkeypatch.undo()
-    for text in (a, b):
-        assert all(np.array_equal(x, y) for x, y in zip(suffix_dedup.anchors(text)[:1], [found[text]]))
+    found = suffix_dedup.Anchors(texts)
+    for column in ("text", "place", "gram", "around", "begin", "end", "again"):
+        assert np.array_equal(getattr(found, column), getattr(whole, column))
+    places = [found.place[found.text == i] for i in range(4)]
+    for text, place in zip(texts, places):
+        assert len(text) < 100 or max(np.diff(np.r_[-1, place, len(text) - suffix_dedup.GRAM + 1])) <= suffix_dedup.SPAN
+    inner = lambda place, at: {p - at for p in place.tolist() if at + 70 <= p < at + 600}
+    assert inner(places[0], 333) == inner(places[2], 0) and not len(places[1]) and not found.again.any()
 
 
 def test_gray_rank(spark):
