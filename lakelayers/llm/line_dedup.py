@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakelayers.llm.common import BLANKS, ascii_lower, text_hash
+from lakelayers.llm.common import BLANKS, ascii_lower, stored, text_hash
 
 MIN_CHARS = 20
 MIN_DOCS = 3
@@ -32,18 +32,16 @@ def line_bitmaps(
     A null text is one empty line. ``rid`` tells rows of one id with different texts apart; such rows count as
     one document. A null id is a document smaller than all others. Empty tables give empty tables.
     """
-    key = line_key(F.col("line"))
     lines = docs.select(
         F.col(id_col).alias("doc_id"),
         text_hash(F.col(text_col)).alias("rid"),
-        F.posexplode(lines_of(F.col(text_col))).alias("pos", "line"),
+        F.posexplode(F.transform(lines_of(F.col(text_col)), line_key)).alias("pos", "key"),
     )
-    occurrences = (
-        lines.filter(F.char_length("line") >= min_chars)
-        .withColumn("key", key)
-        .filter(F.char_length("key") >= min_chars)
-        .select(F.xxhash64("key").alias("h"), F.hash("key").alias("g"), "doc_id", "rid", "pos")
+    occurrences = lines.filter(F.char_length("key") >= min_chars).select(
+        F.xxhash64("key").alias("h"), F.hash("key").alias("g"), "doc_id", "rid", "pos"
     )
+    # Read three times below: to find the ranges, to deal them out, and to mark what goes.
+    occurrences = stored(occurrences, "lines")
     ranged = occurrences.repartitionByRange("h", "g", "doc_id").sortWithinPartitions("h", "g", "doc_id", "pos")
     per_doc = ranged.groupBy("h", "g", "doc_id").agg(F.min("pos").alias("first"))
     shared = per_doc.groupBy("h", "g").agg(F.count(F.lit(1)).alias("docs"), F.max("doc_id").alias("keeper"))
