@@ -26,45 +26,48 @@ def _metric(path: str, namespace: str, **parts: str) -> Column:
     return F.format_string(text, *[F.col(column) for column in parts.values()])
 
 
-def _sample(df: DataFrame, ts: str, metric: Column, value: Column, kind: str) -> DataFrame:
+def _sample(df: DataFrame, ts: str, metric: Column, value: Column, kind: str, about: Sequence[str] = ()) -> DataFrame:
     return df.select(
         F.col(ts).alias("ts"),
         metric.alias("metric"),
         value.cast("double").alias("value"),
         F.lit(kind).alias("kind"),
+        *about,
     )
 
 
-def row_count_gauge(runs: DataFrame, namespace: str = NAMESPACE) -> DataFrame:
-    """Rows written, per layer and dataset, by successful runs."""
+def row_count_gauge(runs: DataFrame, namespace: str = NAMESPACE, about: Sequence[str] = ()) -> DataFrame:
+    """Rows written, per layer and dataset, by successful runs; ``about`` names further columns to keep."""
     done = runs.filter((F.col("state") == "success") & F.col("row_count").isNotNull())
     metric = _metric(ROW_COUNT_PATH, namespace, layer="layer", dataset="dataset")
-    return _sample(done, "finished_at", metric, F.col("row_count"), GAUGE)
+    return _sample(done, "finished_at", metric, F.col("row_count"), GAUGE, about)
 
 
-def pass_rate_gauge(summary: DataFrame, ts: Column | None = None, namespace: str = NAMESPACE) -> DataFrame:
+def pass_rate_gauge(
+    summary: DataFrame, ts: Column | None = None, namespace: str = NAMESPACE, about: Sequence[str] = ()
+) -> DataFrame:
     """Pass rate in percent; skipped checks have none."""
     checked = summary.filter(~F.col("skipped")).withColumn("_ts", F.current_timestamp() if ts is None else ts)
     metric = _metric(PASS_RATE_PATH, namespace, dataset="dataset")
-    return _sample(checked, "_ts", metric, F.col("pass_rate") * 100, GAUGE)
+    return _sample(checked, "_ts", metric, F.col("pass_rate") * 100, GAUGE, about)
 
 
 def seconds_between(start: str, end: str) -> Column:
     return F.timestamp_diff("MICROSECOND", F.col(start), F.col(end)) / F.lit(1e6)
 
 
-def task_duration(runs: DataFrame, namespace: str = NAMESPACE) -> DataFrame:
+def task_duration(runs: DataFrame, namespace: str = NAMESPACE, about: Sequence[str] = ()) -> DataFrame:
     """Seconds from start to finish, of successful runs only."""
     done = runs.filter(F.col("state") == "success")
     metric = _metric(DURATION_PATH, namespace, task="task_id")
-    return _sample(done, "finished_at", metric, seconds_between("started_at", "finished_at"), GAUGE)
+    return _sample(done, "finished_at", metric, seconds_between("started_at", "finished_at"), GAUGE, about)
 
 
-def failure_samples(runs: DataFrame, namespace: str = NAMESPACE) -> DataFrame:
+def failure_samples(runs: DataFrame, namespace: str = NAMESPACE, about: Sequence[str] = ()) -> DataFrame:
     """One counter increment per failed run."""
     failed = runs.filter(F.col("state") == "failed")
     metric = _metric(FAILURE_PATH, namespace, dag="dag_id", task="task_id")
-    return _sample(failed, "finished_at", metric, F.lit(1.0), COUNTER)
+    return _sample(failed, "finished_at", metric, F.lit(1.0), COUNTER, about)
 
 
 def failure_counter(runs: DataFrame) -> DataFrame:
@@ -147,9 +150,14 @@ def map_metrics(samples: DataFrame, patterns: Sequence[MetricPattern] = PATTERNS
     return split.withColumns({"name": name, "labels": labels}).drop("_parts")
 
 
-def series_state(samples: DataFrame) -> DataFrame:
-    """Last value of each gauge (the larger one of two at the same instant), total of each counter."""
-    last = F.max_by("value", F.struct("ts", "value"))
-    return samples.groupBy("metric", "kind").agg(
+def series_state(samples: DataFrame, labels: Sequence[str] = (), order: Sequence[str] = ("ts", "value")) -> DataFrame:
+    """Last value of each gauge, total of each counter.
+
+    The last value is that of the highest ``order``; by default the larger one of two at the same instant. Samples with
+    different ``labels`` are series of their own: a run's samples say their layer, and of days that one run
+    finished together the latest day counts (``order=("ts", "partition_date", "value")``).
+    """
+    last = F.max_by("value", F.struct(*order))
+    return samples.groupBy("metric", "kind", *labels).agg(
         F.when(F.col("kind") == COUNTER, F.sum("value")).otherwise(last).alias("value")
     )

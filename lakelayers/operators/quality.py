@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field, replace
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -140,6 +141,8 @@ def rule_results(
     row rules along, and the small per-key result is aggregated once more. One scan, one shuffle of one record
     per key and task. Each further unique rule reads only its own column.
     """
+    if not rules:
+        return df.sparkSession.createDataFrame([], QUALITY_RULES)
     present = {name.lower(): name for name in df.columns}
     unique_columns = [present.get(r.column.lower()) for r in rules if r.method == UNIQUE]
     keys = list(dict.fromkeys(column for column in unique_columns if column is not None))
@@ -233,8 +236,9 @@ def _rule_values(number: int, rule: Rule, column: str | None, missing: str | Non
 
 
 def score(results: DataFrame, threshold: float = DEFAULT_THRESHOLD) -> DataFrame:
-    """Share of passed rules per dataset and date; reported to four places, compared unrounded."""
+    """Share of passed rules per dataset and date; reported to four places, compared unrounded; 0 without scored rules."""
     total, passed = F.col("total_checks"), F.col("passed")
+    share = F.coalesce(F.try_divide(passed, total), F.lit(0.0))
     return (
         results.groupBy("dataset", "partition_date")
         .agg(
@@ -247,9 +251,9 @@ def score(results: DataFrame, threshold: float = DEFAULT_THRESHOLD) -> DataFrame
             "total_checks",
             "passed",
             (total - passed).alias("failed"),
-            F.bround(passed / total, 4).alias("pass_rate"),
+            F.bround(share, 4).alias("pass_rate"),
             F.lit(float(threshold)).alias("threshold"),
-            (passed / total >= F.lit(float(threshold))).alias("success"),
+            (share >= F.lit(float(threshold))).alias("success"),
             F.lit(False).alias("skipped"),
         )
     )
@@ -271,7 +275,13 @@ FAILURE_TEXT = "[QUALITY] FAILED for '%s' on %s. Pass rate: %.1f%% < threshold %
 
 
 def failure_text(dataset: str, dt: str, passed: int, total: int, threshold: float) -> str:
-    return FAILURE_TEXT % (dataset, dt, passed / total * 100, threshold * 100)
+    percent = lambda share: round(Decimal(repr(share * 100)), 1)  # noqa: E731 -- as ``bround`` does
+    return FAILURE_TEXT % (dataset, dt, percent(passed / total if total else 0.0), percent(threshold))
+
+
+def _percent(share: Column) -> Column:
+    """In percent with one decimal, halves to even."""
+    return F.bround(share * 100, 1)
 
 
 def gate(summary: DataFrame, on_fail: str = "raise") -> DataFrame:
@@ -284,8 +294,8 @@ def gate(summary: DataFrame, on_fail: str = "raise") -> DataFrame:
             FAILURE_TEXT,
             "dataset",
             "partition_date",
-            F.bround(F.col("passed") / F.col("total_checks") * 100, 1),
-            F.col("threshold") * 100,
+            _percent(F.coalesce(F.try_divide("passed", "total_checks"), F.lit(0.0))),
+            _percent(F.col("threshold")),
         )
         return summary.withColumn("message", F.when(~F.col("success"), text))
     if on_fail != "raise":

@@ -48,11 +48,14 @@ def sla_miss(runs: DataFrame, sla: Mapping[str, int] = TASK_SLA, as_of: datetime
 
 def attempts(
     runs: DataFrame,
-    keys: Sequence[str] = ("run_id", "dag_id", "task_id"),
+    keys: Sequence[str] = ("dag_id", "task_id", "partition_date"),
     retries: int = RETRIES,
     time_limit: int = TIME_LIMIT,
 ) -> DataFrame:
-    """Attempts per task, state of the last one, whether retries are used up, attempts over the time limit."""
+    """Attempts per task and date, state of the last one, whether retries are used up, attempts over the time limit.
+
+    A repeated run has a run id of its own, so by default runs of one date are the attempts of that date.
+    """
     last = F.max_by("state", F.struct("started_at", "finished_at", "state"))
     over = seconds_between("started_at", "finished_at") > time_limit
     counted = runs.groupBy(*keys).agg(
@@ -73,8 +76,10 @@ def alert_messages(df: DataFrame, level: str | Column, text: str = "text") -> Da
     return df.withColumn("message", F.format_string(ALERT_TEXT, emoji, F.col(text)))
 
 
-def failure_alerts(runs: DataFrame, ts_format: str = "yyyy-MM-dd HH:mm:ss") -> DataFrame:
-    """One message per failed run."""
+def failure_alerts(
+    runs: DataFrame, ts_format: str = "yyyy-MM-dd HH:mm:ss", about: Sequence[str] = ()
+) -> DataFrame:
+    """One message per failed run; ``about`` names further columns to keep."""
     text = F.format_string(
         FAILURE_ALERT,
         "dag_id",
@@ -83,7 +88,7 @@ def failure_alerts(runs: DataFrame, ts_format: str = "yyyy-MM-dd HH:mm:ss") -> D
         "log_url",
     )
     failed = runs.filter(F.col("state") == "failed").withColumn("text", text)
-    return alert_messages(failed, "error").select("run_id", "dag_id", "task_id", "message")
+    return alert_messages(failed, "error").select("run_id", "dag_id", "task_id", *about, "message")
 
 
 def sla_alerts(misses: DataFrame) -> DataFrame:

@@ -3,16 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 from datetime import datetime, timezone
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakelayers.operators.clean import add_bronze_metadata
 from lakelayers.plans.lake import Lake
-from lakelayers.schemas import PARTITION
+from lakelayers.schemas import ORDER_COLUMNS, PARTITION
+from lakelayers.sources.files import DATE_LENGTH, before_date, literal
 from lakelayers.sources.layers import (
     Writer,
     Written,
@@ -65,47 +69,97 @@ def ingest_to_bronze(
     return {"dataset": dataset, "row_count": rows, "path": out}
 
 
+class SourceError(ValueError):
+    """The source of a date cannot be used."""
+
+
+# Fixed by this package: why a date is not brought in, or not carried on.
+EMPTY_SOURCE = "[INGEST] source of %s is empty: %s"
+MISSING_COLUMNS = "[INGEST] source of %s lacks the columns %s"
+
+PROBES = 8
+
+
+@dataclass(frozen=True)
+class Source:
+    """The dates of a run that can be read, by header, and why the others cannot be carried on."""
+
+    alike: list[list[str]]
+    failures: dict[str, str]
+
+    @property
+    def dates(self) -> list[str]:
+        return sorted(dt for group in self.alike for dt in group)
+
+
+def probe(spark: SparkSession, lake: Lake, dates: Sequence[str]) -> Source:
+    """Read each date's header, several at a time, and group the dates by it.
+
+    A date whose header lacks one of the order columns is reported, whatever other dates the run has. Where types
+    are given or inferred, and for JSON, columns are those of the whole scan, so there is nothing to compare.
+    """
+    if lake.raw_format == "json" or lake.raw_schema is not None or lake.infer:
+        return Source([list(dates)], {})
+
+    def columns(dt: str) -> tuple[str, ...] | Exception:
+        try:
+            return tuple(read_raw(spark, literal(lake.raw_path(dt)), lake.raw_format).columns)
+        except Exception as error:  # noqa: BLE001 -- the date's own failure
+            return error
+
+    with ThreadPoolExecutor(PROBES) as pool:
+        headers = dict(zip(dates, pool.map(inheritable_thread_target(spark)(columns), dates), strict=True))
+    groups: dict[tuple[str, ...], list[str]] = {}
+    failures = {}
+    for dt, found in headers.items():
+        if isinstance(found, Exception):
+            failures[dt] = str(found)
+            continue
+        groups.setdefault(found, []).append(dt)
+        lacking = [c for c in ORDER_COLUMNS if c not in {name.lower() for name in found}]
+        if lacking:
+            failures[dt] = MISSING_COLUMNS % (dt, ", ".join(lacking))
+    return Source(list(groups.values()), failures)
+
+
 def bronze_frame(
-    spark: SparkSession, lake: Lake, dates: Sequence[str], run_id: str, as_of: datetime | None = None
+    spark: SparkSession, lake: Lake, alike: Sequence[Sequence[str]], run_id: str, as_of: datetime | None = None
 ) -> DataFrame:
     """Raw rows of several dates in one scan; each row's date comes from the path of its file.
 
-    The date is cut out by position, once per row: on text files a regular expression here costs as much time
-    as parsing the line. Days whose headers differ are scanned apart and get the columns of all days.
+    ``alike`` groups the dates by header: groups are scanned apart and get the columns of all. The date stands
+    behind a known part of the path and is cut out by position, once per row: on text files a regular expression here
+    costs as much time as parsing the line. A path whose text there is no date of the run is an error.
     """
-    frames = [
-        read_raw(spark, lake.raw_glob(alike), lake.raw_format, lake.raw_schema, lake.infer)
-        for alike in _same_header(spark, lake, dates)
-    ]
-    frames = [_with_date(frame, lake, len(dates[0])) for frame in frames]
+    before = before_date(spark, lake.raw_layout)
+    found = F.col("_metadata.file_path")
+    date = F.substr(found, F.locate(before, found) + len(before), F.lit(DATE_LENGTH))
+    wrong = F.raise_error(F.concat(F.lit("no date of the run in "), found)).cast("string")
+    frames = []
+    for dates in alike:
+        paths = [literal(lake.raw_path(dt)) for dt in dates]
+        raw = read_raw(spark, paths, lake.raw_format, lake.raw_schema, lake.infer)
+        frames.append(raw.withColumn(PARTITION, F.when(date.isin(*dates), date).otherwise(wrong)))
     raw = reduce(lambda one, other: one.unionByName(other, allowMissingColumns=True), frames)
-    before, after = lake.raw_path("{dt}").split("{dt}")
-    source = F.concat(F.lit(before), F.col(PARTITION), F.lit(after))
+    head, tail = lake.raw_layout.split("{dt}")
+    source = F.concat(F.lit(head), F.col(PARTITION), F.lit(tail))
     return add_bronze_metadata(raw, source, F.col(PARTITION), run_id, as_of)
 
 
-def _with_date(raw: DataFrame, lake: Lake, length: int) -> DataFrame:
-    after = F.substring_index(F.col("_metadata.file_path"), lake.date_marker, -1)
-    return raw.withColumn(PARTITION, F.substring(after, 1, length))
-
-
-def _same_header(spark: SparkSession, lake: Lake, dates: Sequence[str]) -> list[list[str]]:
-    """The dates by the columns of their text files; reads one line per date, and none where types are given."""
-    if len(dates) == 1 or lake.raw_format != "csv" or lake.raw_schema is not None or lake.infer:
-        return [list(dates)]
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for dt in dates:
-        groups.setdefault(tuple(read_raw(spark, lake.raw_path(dt)).columns), []).append(dt)
-    return list(groups.values())
-
-
 def ingest_days(
-    spark: SparkSession, lake: Lake, dates: Sequence[str], run_id: str, as_of: datetime | None = None
-) -> Written:
-    """All dates in one job. A scan task reads one date's file, so no shuffle is needed to sort out dates."""
-    bronze = bronze_frame(spark, lake, dates, run_id, as_of)
+    spark: SparkSession,
+    lake: Lake,
+    dates: Sequence[str],
+    run_id: str,
+    as_of: datetime | None = None,
+    source: Source | None = None,
+) -> tuple[Written, T.StructType]:
+    """All dates in one job, and the columns written. A scan task reads one date's file: no shuffle sorts out dates."""
+    groups = (source or probe(spark, lake, dates)).alike
+    groups = [kept for group in groups if (kept := [dt for dt in group if dt in dates])]
+    bronze = bronze_frame(spark, lake, groups, run_id, as_of)
     writer = _writer(lake.bronze, lake.bronze_mode, lake.fmt)
     written = write_days(bronze, writer, lake.bronze, dates, lake.fmt, run_id)
     if lake.bronze_mode == "overwrite":
         clear_empty(bronze, lake.bronze, written.by_date, lake.fmt)
-    return written
+    return written, bronze.schema

@@ -9,6 +9,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakelayers.operators.metrics import (
     failure_samples,
@@ -17,14 +18,16 @@ from lakelayers.operators.metrics import (
     task_duration,
 )
 from lakelayers.operators.quality import QualityGateError, parses_as_money
-from lakelayers.plans.bronze import ingest_days, new_run_id
+from lakelayers.operators.runs import failure_alerts, sla_alerts, sla_miss
+from lakelayers.plans.bronze import EMPTY_SOURCE, ingest_days, new_run_id, probe
 from lakelayers.plans.gold import build_days
 from lakelayers.plans.lake import Lake
-from lakelayers.plans.silver import Checked, check_dates, transform_days
-from lakelayers.schemas import RUNS
+from lakelayers.plans.silver import Checked, Silver, check_dates, transform_days
+from lakelayers.schemas import ALERTS, RUNS
 from lakelayers.session import shuffle_width
-from lakelayers.sources.layers import read_dates, read_layer
-from lakelayers.sources.raw import available_dates, list_files, pending_dates
+from lakelayers.sources.files import exists, sizes_of
+from lakelayers.sources.layers import Written, read_dates, read_layer
+from lakelayers.sources.raw import available_dates, pending_dates
 
 # Names under which runs are recorded.
 DAG_ID = "orders_pipeline"
@@ -45,7 +48,8 @@ class DayRun:
     failures: dict[str, str] = field(default_factory=dict)
     duplicates: dict[str, int] = field(default_factory=dict)
     records: list[tuple] = field(default_factory=list)
-    checks: dict[str, Checked] = field(default_factory=dict)
+    checks: list[tuple[str, Checked]] = field(default_factory=list)
+    errors: list[Exception] = field(default_factory=list)
 
     def record(self, lake, task, layer, started, states: Mapping[str, str], rows=None, path=None) -> None:
         finished = _now()
@@ -61,13 +65,6 @@ def _now() -> datetime:
     return datetime.now(timezone.utc)
 
 
-def source_sizes(spark: SparkSession, lake: Lake, dates: Sequence[str]) -> dict[str, int]:
-    """Bytes of raw files for each of the dates that has any."""
-    files = list_files(spark, lake.raw_glob(dates))
-    sizes = files.groupBy(F.regexp_extract("path", lake.date_pattern, 1).alias("dt")).agg(F.sum("length"))
-    return {row[0]: row[1] for row in sizes.collect() if row[0]}
-
-
 def processed_dates(spark: SparkSession, lake: Lake) -> DataFrame:
     """Dates whose summary was built, from the run table."""
     runs = read_layer(spark, lake.control("runs"), schema=RUNS)
@@ -77,10 +74,10 @@ def processed_dates(spark: SparkSession, lake: Lake) -> DataFrame:
 
 def find_pending(spark: SparkSession, lake: Lake) -> list[str]:
     """Dates with a source that have no summary yet; a list of days, so small enough for the driver."""
-    available = available_dates(spark, lake.raw_root, lake.date_pattern)
-    if list_files(spark, lake.control("runs")).isEmpty():
-        return sorted(row.dt for row in available.collect())
-    return sorted(row.dt for row in pending_dates(available, processed_dates(spark, lake)).collect())
+    available = available_dates(spark, lake.raw_layout)
+    if exists(spark, lake.control("runs")):
+        available = pending_dates(available, processed_dates(spark, lake))
+    return sorted(row.dt for row in available.collect())
 
 
 def run_days(
@@ -88,9 +85,10 @@ def run_days(
 ) -> DayRun:
     """Bring the given dates through all layers, each layer in one job for all of them.
 
-    A date without source files is skipped. A date that fails a gate is left out of the later layers; the
-    others are published, then the gate error is raised. Run records, check results and metrics are written in
-    any case. The day list and everything recorded about it is small; rows stay in tables.
+    A date without source is skipped. A date whose source cannot be read or lacks a column, that fails a gate or in
+    whose rows a step breaks is left out of the later layers; the others are published, then the error is raised.
+    Such a date stays pending. Run records, check results, metrics and alerts are written in any case. The day
+    list and everything recorded about it is small; rows stay in tables.
     """
     wanted = sorted({date.fromisoformat(dt).isoformat() for dt in dates})
     run = DayRun(new_run_id())
@@ -98,6 +96,8 @@ def run_days(
         _run(spark, lake, wanted, run, as_of)
     finally:
         emit_metrics(spark, lake, run)
+    if run.errors:
+        raise run.errors[0]
     if run.failures:
         raise QualityGateError("\n".join(run.failures.values()))
     return run
@@ -114,95 +114,142 @@ def run_pending(spark: SparkSession, lake: Lake, as_of: datetime | None = None)
 
 def _run(spark, lake: Lake, dates: list[str], run: DayRun, as_of) -> None:
     started = _now()
-    sizes = source_sizes(spark, lake, dates) if dates else {}
+    sizes = sizes_of(spark, lake.raw_layout, dates)
     run.skipped = [dt for dt in dates if dt not in sizes]
     run.record(lake, SKIP, None, started, dict.fromkeys(run.skipped, "success"))
     dates = [dt for dt in dates if dt in sizes]
     if not dates:
         return
 
-    def step(task: str, layer: str | None, todo: list[str], job: Callable):
-        """Run one layer's job; an error fails the step for all its dates and ends the run."""
+    def step(task: str, layer: str | None, todo: list[str], job: Callable[[list[str]], object]) -> list[tuple]:
+        """Run one layer's job for all dates; if it breaks, for either half, so that a bad date is left alone.
+
+        Returns begin, dates and outcome of what went through. A date that breaks the job by itself is recorded.
+        """
         begun = _now()
         try:
-            return begun, job()
-        except Exception:
-            run.record(lake, task, layer, begun, dict.fromkeys(todo, "failed"))
-            raise
-
-    with shuffle_width(spark, sum(sizes.values())):
-        begun, bronze = step(INGEST, "bronze", dates, lambda: ingest_days(spark, lake, dates, run.run_id, as_of))
-        run.record(lake, INGEST, "bronze", begun, dict.fromkeys(dates, "success"), bronze.by_date, lake.bronze)
-
-        def validate() -> Checked:
-            rows = read_dates(spark, lake.bronze, dates, lake.fmt)
-            rules = [*lake.rules, parses_as_money("amount")]
-            return check_dates(rows, rules, lake.dataset, dates, lake.threshold)
-
-        begun, checked = step(VALIDATE, None, dates, validate)
-        run.checks["bronze"] = checked
-        stopped = checked.failures if lake.bronze_gate == "raise" else {}
-        run.failures.update(stopped)
-        run.record(lake, VALIDATE, None, begun, {dt: "failed" if dt in stopped else "success" for dt in dates})
-        dates = [dt for dt in dates if dt not in stopped]
-        if not dates:
-            return
-
-        begun, silver = step(
-            TRANSFORM,
-            "silver",
-            dates,
-            lambda: transform_days(
+            return [(begun, todo, job(todo))]
+        except Exception as error:  # noqa: BLE001 -- kept for the end of the run
+            if len(todo) > 1:
+                half = len(todo) // 2
+                return step(task, layer, todo[:half], job) + step(task, layer, todo[half:], job)
+            run.record(lake, task, layer, begun, {todo[0]: "failed"})
+            run.errors.append(error)
+            return []
+
+    def left_out(task: str, layer: str | None, failures: Mapping[str, str]) -> None:
+        run.failures.update(failures)
+        run.record(lake, task, layer, _now(), dict.fromkeys(failures, "failed"))
+
+    with shuffle_width(spark, sum(sizes.values()), lake.widest):
+        empty = {dt: EMPTY_SOURCE % (dt, lake.raw_path(dt)) for dt in dates if not sizes[dt]}
+        source = probe(spark, lake, [dt for dt in dates if dt not in empty])
+        unread = {dt: text for dt, text in source.failures.items() if dt not in source.dates}
+        left_out(INGEST, "bronze", empty | unread)
+        dates = source.dates
+
+        columns: list[T.StructType] = []
+        counts: dict[str, int] = {}
+
+        def ingest(todo: list[str]) -> Written:
+            written, schema = ingest_days(spark, lake, todo, run.run_id, as_of, source)
+            columns.append(schema)
+            counts.update(written.by_date)
+            return written
+
+        done = step(INGEST, "bronze", dates, ingest) if dates else []
+        for begun, todo, written in done:
+            run.record(lake, INGEST, "bronze", begun, dict.fromkeys(todo, "success"), written.by_date, lake.bronze)
+        lacking = {dt: text for dt, text in source.failures.items() if dt in counts}
+        left_out(VALIDATE, None, lacking)
+        dates = [dt for _, todo, _ in done for dt in todo if dt not in lacking]
+        # Days run in one job have one schema; halves of a broken one may differ, then the files are asked.
+        schema = columns[0] if len(columns) == 1 and lake.bronze_mode == "overwrite" else None
+
+        def validate(todo: list[str]) -> Checked:
+            rows = read_dates(spark, lake.bronze, todo, lake.fmt, schema)
+            rules = [*lake.rules, parses_as_money("amount")] if lake.rules else []
+            return check_dates(rows, rules, lake.dataset, todo, lake.threshold)
+
+        passed = []
+        for begun, todo, checked in step(VALIDATE, None, dates, validate) if dates else []:
+            run.checks.append(("bronze", checked))
+            stopped = checked.failures if lake.bronze_gate == "raise" else {}
+            run.failures.update(stopped)
+            run.record(lake, VALIDATE, None, begun, {dt: "failed" if dt in stopped else "success" for dt in todo})
+            passed += [dt for dt in todo if dt not in stopped]
+
+        def transform(todo: list[str]) -> Silver:
+            return transform_days(
                 spark,
                 lake.bronze,
                 lake.silver,
-                lake.staging,
-                dates,
+                lake.staging(run.run_id),
+                todo,
                 dataset=lake.dataset,
                 rules=lake.rules,
                 threshold=lake.threshold,
                 scope=lake.scope,
                 fmt=lake.fmt,
                 as_of=as_of,
-            ),
-        )
-        run.checks["silver"] = silver.checked
-        run.duplicates = silver.duplicates
-        run.failures.update(silver.checked.failures)
-        states = {dt: "failed" if dt in silver.checked.failures else "success" for dt in dates}
-        run.record(lake, TRANSFORM, "silver", begun, states, silver.written.by_date, lake.silver)
-        dates = silver.checked.passed
-        if not dates:
-            return
-
-        begun, gold = step(
-            BUILD,
-            "gold",
-            dates,
-            lambda: build_days(spark, lake.silver, lake.gold, dates, lake.scope, lake.fmt, as_of),
-        )
-        run.record(lake, BUILD, "gold", begun, dict.fromkeys(dates, "success"), gold.by_date, lake.gold)
-        run.published = dates
+                order_by=lake.order_by,
+                schema=schema,
+                rows_in=counts if lake.bronze_mode == "overwrite" else None,
+            )
+
+        ready = []
+        for begun, todo, silver in step(TRANSFORM, "silver", passed, transform) if passed else []:
+            run.checks.append(("silver", silver.checked))
+            run.duplicates.update(silver.duplicates)
+            run.failures.update(silver.checked.failures)
+            states = {dt: "failed" if dt in silver.checked.failures else "success" for dt in todo}
+            run.record(lake, TRANSFORM, "silver", begun, states, silver.written.by_date, lake.silver)
+            ready += silver.checked.passed
+
+        def build(todo: list[str]) -> Written:
+            return build_days(spark, lake.silver, lake.gold, todo, lake.scope, lake.fmt, as_of)
+
+        for begun, todo, gold in step(BUILD, "gold", ready, build) if ready else []:
+            run.record(lake, BUILD, "gold", begun, dict.fromkeys(todo, "success"), gold.by_date, lake.gold)
+            run.published += todo
 
 
 def emit_metrics(spark: SparkSession, lake: Lake, run: DayRun) -> None:
-    """Append the run's records, check results and metric samples to the control tables."""
+    """Append the run's records, check results, metric samples and alerts to the control tables.
+
+    A row count belongs to a layer and date, a pass rate to the gate's layer and date at the time the gate was done, a
+    duration to a task of the run, as all its dates are one job.
+    """
     if not run.records:
         return
     runs = spark.createDataFrame(run.records, RUNS)
-    samples = row_count_gauge(runs).unionByName(task_duration(runs)).unionByName(failure_samples(runs))
+    once = runs.dropDuplicates(["run_id", "task_id", "started_at", "finished_at"])
+    about, nothing = ("layer", "partition_date"), F.lit(None).cast("string")
+    whole_job = task_duration(once, about=("layer",)).withColumn("partition_date", nothing)
+    samples = [row_count_gauge(runs, about=about), failure_samples(runs, about=about), whole_job]
+    gates = {"bronze": VALIDATE, "silver": TRANSFORM}
+    finished = {(r[2], r[5]): r[8] for r in run.records}
     for table, part in (("quality_rules", "results"), ("quality_summary", "summary")):
         tables = [
             getattr(checked, part).withColumns({"layer": F.lit(layer), "run_id": F.lit(run.run_id)})
-            for layer, checked in run.checks.items()
+            for layer, checked in run.checks
         ]
         if tables:
             _append(reduce(DataFrame.unionByName, tables), lake.control(table))
-    for checked in run.checks.values():
-        samples = samples.unionByName(pass_rate_gauge(checked.summary))
-    _append(samples, lake.control("metric_samples"))
+    for layer, checked in run.checks:
+        dates = [*checked.passed, *checked.failures]
+        times = {dt: finished[gates[layer], dt] for dt in dates if (gates[layer], dt) in finished}
+        ts = F.lit(max(times.values())) if times else None
+        summary = checked.summary.withColumn("layer", F.lit(layer))
+        samples.append(pass_rate_gauge(summary, ts, about=about))
+    _append(reduce(DataFrame.unionByName, samples), lake.control("metric_samples"))
     _append(runs, lake.control("runs"))
+    failed = failure_alerts(runs, about=("partition_date",))
+    late = sla_alerts(sla_miss(runs)).withColumns({"run_id": F.lit(run.run_id), "task_id": nothing, "partition_date": nothing})
+    alerts = failed.unionByName(late)
+    _append(alerts.select(*ALERTS.names), lake.control("alerts"))
 
 
 def _append(df: DataFrame, path: str) -> None:
-    df.write.mode("append").parquet(path)
+    """The control tables get one file per run."""
+    df.coalesce(1).write.mode("append").parquet(path)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from lakelayers.operators.clean import add_gold_metadata
 from lakelayers.operators.summary import daily_order_summary
 from lakelayers.plans.silver import compact
-from lakelayers.schemas import PARTITION
+from lakelayers.schemas import CLEAN_ORDERS, PARTITION
 from lakelayers.sources.layers import (
     Written,
     clear_empty,
@@ -34,9 +34,12 @@ def build_days(
     fmt: str = "parquet",
     as_of: datetime | None = None,
 ) -> Written:
-    """Summaries of several dates in one job; columns may be added to the table over time."""
+    """Summaries of several dates in one job; columns may be added to the table over time.
+
+    Only the clean order columns are read, whose types are fixed, so no file footer is opened to find them.
+    """
     dates = list(dates)
-    summary = gold_frame(read_dates(spark, silver, dates, fmt), as_of)
+    summary = gold_frame(read_dates(spark, silver, dates, fmt, CLEAN_ORDERS), as_of)
     written = write_days(
         compact(summary, dates),
         lambda df: overwrite_layer(df, gold, scope, "merge", fmt),

@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import types as T
 
 from lakelayers.operators.quality import DEFAULT_THRESHOLD, RULES, Rule, allow, limit_rows
-from lakelayers.sources.raw import layout_pattern
+from lakelayers.session import MAX_WIDTH
 
 
 @dataclass(frozen=True)
@@ -17,7 +17,9 @@ class Lake:
 
     ``bronze_gate`` is ``report`` or ``raise``. ``bronze_mode`` ``overwrite`` replaces a date that is ingested
     again, ``append`` keeps every delivery. ``scope`` ``partition`` replaces only the dates of the run in the
-    later layers, ``table`` leaves nothing but the dates of the last run.
+    later layers, ``table`` leaves nothing but the dates of the last run. ``order_by`` names the columns that tell
+    which row of an order is the newest, e.g. a time that the source writes; without it the ingestion time does.
+    ``max_rows`` replaces the upper bound of the row-count rule, ``widest`` bounds the shuffle width of a run.
     """
 
     root: str
@@ -34,6 +36,8 @@ class Lake:
     scope: str = "partition"
     extra_allowed: Mapping[str, Sequence[str]] = field(default_factory=dict)
     max_rows: int | None = None
+    order_by: Sequence[str] = ()
+    widest: int = MAX_WIDTH
 
     @property
     def bronze(self) -> str:
@@ -43,9 +47,9 @@ class Lake:
     def silver(self) -> str:
         return f"{self.root}/silver/{self.dataset}"
 
-    @property
-    def staging(self) -> str:
-        return f"{self.root}/staging/{self.dataset}"
+    def staging(self, run_id: str) -> str:
+        """Where a run keeps rows between check and publication; a run has its own folder."""
+        return f"{self.root}/staging/{self.dataset}/{run_id.replace(':', '-')}"
 
     @property
     def gold(self) -> str:
@@ -55,24 +59,12 @@ class Lake:
         return f"{self.root}/control/{table}"
 
     @property
-    def raw_root(self) -> str:
-        """Deepest folder of the raw layout that does not depend on the date."""
-        return self.raw_path("{dt}").split("{dt}")[0].rpartition("/")[0]
+    def raw_layout(self) -> str:
+        """Path of a date's source, with ``{dt}`` in the date's place."""
+        return self.layout.replace("{raw}", self.raw).replace("{dataset}", self.dataset)
 
     def raw_path(self, dt: str) -> str:
-        return self.layout.replace("{raw}", self.raw).replace("{dataset}", self.dataset).replace("{dt}", dt)
-
-    def raw_glob(self, dates: Sequence[str]) -> str:
-        return self.raw_path(dates[0] if len(dates) == 1 else "{" + ",".join(dates) + "}")
-
-    @property
-    def date_marker(self) -> str:
-        """Text that stands directly before the date in a raw file's path."""
-        return self.layout.removeprefix("{raw}").replace("{dataset}", self.dataset).split("{dt}")[0]
-
-    @property
-    def date_pattern(self) -> str:
-        return layout_pattern(self.layout, self.dataset)
+        return self.raw_layout.replace("{dt}", dt)
 
     @property
     def rules(self) -> tuple[Rule, ...]:

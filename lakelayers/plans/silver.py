@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakelayers.operators.clean import add_silver_metadata, clean_orders
 from lakelayers.operators.dedup import dedup
@@ -20,7 +21,8 @@ from lakelayers.operators.quality import (
     rule_results,
     score,
 )
-from lakelayers.schemas import PARTITION, QUALITY_RULES, QUALITY_SUMMARY
+from lakelayers.schemas import ORDER_COLUMNS, PARTITION, QUALITY_RULES, QUALITY_SUMMARY
+from lakelayers.sources.files import remove
 from lakelayers.sources.layers import (
     Written,
     clear_empty,
@@ -47,8 +49,14 @@ class Checked:
 def check_dates(
     df: DataFrame, rules: Sequence[Rule], dataset: str, dates: Sequence[str], threshold: float
 ) -> Checked:
-    """Check every date of ``df`` on its own, in one job. Only rules x dates rows come to the driver."""
+    """Check every date of ``df`` on its own, in one job. Only rules x dates rows come to the driver.
+
+    Without rules nothing is read and every date passes, with a summary that says it was skipped.
+    """
     spark = df.sparkSession
+    if not rules:
+        none = [(dataset, dt, 0, 0, 0, None, float(threshold), True, True) for dt in dates]
+        return Checked(spark.createDataFrame([], QUALITY_RULES), spark.createDataFrame(none, QUALITY_SUMMARY), list(dates), {})
     rows = rule_results(df, rules, dataset, by=PARTITION, expected=dates).collect()
     results = spark.createDataFrame(rows, QUALITY_RULES)
     verdicts = score(results, threshold).collect()
@@ -70,9 +78,15 @@ def compact(df: DataFrame, dates: Sequence[str]) -> DataFrame:
     return df if len(dates) == 1 else df.hint("rebalance", F.col(PARTITION))
 
 
-def silver_frame(bronze: DataFrame, as_of: datetime | None = None) -> DataFrame:
-    """Latest row per order and date, cleaned; the shuffle is on (date, order)."""
-    latest = dedup(bronze, [PARTITION, "order_id"])
+def silver_frame(bronze: DataFrame, as_of: datetime | None = None, order_by: Sequence[str] = ()) -> DataFrame:
+    """Latest row per order and date, cleaned; the shuffle is on (date, order).
+
+    ``order_by`` says which row is the latest; the ingestion time decides between equal ones and where it is empty.
+    """
+    lacking = [c for c in (*ORDER_COLUMNS, *order_by) if c not in bronze.columns]
+    if lacking:
+        raise ValueError(f"the bronze rows lack the columns {', '.join(lacking)}")
+    latest = dedup(bronze, [PARTITION, "order_id"], [*order_by, "_ingested_at"] if order_by else None)
     return add_silver_metadata(clean_orders(latest), None, as_of)
 
 
@@ -95,33 +109,40 @@ def transform_days(
     scope: str = "partition",
     fmt: str = "parquet",
     as_of: datetime | None = None,
+    order_by: Sequence[str] = (),
+    schema: T.StructType | None = None,
+    rows_in: Mapping[str, int] | None = None,
 ) -> Silver:
     """Transform the given dates and publish those that pass the gate.
 
     The rows are written once to ``staging``; the gate reads that table and the same rows are then copied into
     the layer. What is served is therefore exactly what was checked, and neither the check nor the copy
-    repeats the shuffle of the deduplication.
+    repeats the shuffle of the deduplication. ``staging`` is removed at the end. Who knows the columns of the
+    bronze rows (``schema``) and how many each date has (``rows_in``) saves reading file footers for them.
     """
     dates = list(dates)
-    source = read_dates(spark, bronze, dates, fmt)
-    rows = silver_frame(source, as_of)
-    kept = write_days(
-        compact(rows, dates),
-        lambda df: overwrite_layer(df, staging, "table", "replace", fmt),
-        staging,
-        dates,
-        fmt,
-    )
-    rows_in = rows_by_date(source)
-    duplicates = {dt: rows_in.get(dt, 0) - kept.by_date[dt] for dt in dates}
-
-    # With the schema given nothing is inferred, not even from a table without files.
-    staged = read_layer(spark, staging, fmt, schema=rows.schema)
-    checked = check_dates(staged, RULES[dataset] if rules is None else rules, dataset, dates, threshold)
-    if not checked.passed:
-        return Silver(Written(0, {}), duplicates, checked)
-    good = for_partition(staged, *checked.passed)
-    total = write_counted(good, lambda df: overwrite_layer(df, silver, scope, "replace", fmt))
+    source = read_dates(spark, bronze, dates, fmt, schema)
+    rows = silver_frame(source, as_of, order_by)
+    try:
+        kept = write_days(
+            compact(rows, dates),
+            lambda df: overwrite_layer(df, staging, "table", "replace", fmt),
+            staging,
+            dates,
+            fmt,
+        )
+        rows_in = rows_by_date(source) if rows_in is None else rows_in
+        duplicates = {dt: rows_in.get(dt, 0) - kept.by_date[dt] for dt in dates}
+
+        # With the schema given nothing is inferred, not even from a table without files.
+        staged = read_layer(spark, staging, fmt, schema=rows.schema)
+        checked = check_dates(staged, RULES.get(dataset, ()) if rules is None else rules, dataset, dates, threshold)
+        if not checked.passed:
+            return Silver(Written(0, {}), duplicates, checked)
+        good = for_partition(staged, *checked.passed)
+        total = write_counted(good, lambda df: overwrite_layer(df, silver, scope, "replace", fmt))
+    finally:
+        remove(spark, staging)
     written = Written(total, {dt: kept.by_date[dt] for dt in checked.passed})
     if scope == "partition":
         clear_empty(good, silver, written.by_date, fmt)

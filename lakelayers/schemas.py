@@ -13,6 +13,16 @@ RAW_ORDERS = T.StructType([T.StructField(name, T.StringType()) for name in ORDER
 RAW_CUSTOMERS = T.StructType([T.StructField(name, T.StringType()) for name in ("customer_id", "email")])
 
 MONEY = T.DecimalType(18, 2)
+CLEAN_ORDERS = T.StructType(
+    [
+        T.StructField("order_id", T.StringType()),
+        T.StructField("customer_id", T.StringType()),
+        T.StructField("amount", MONEY),
+        T.StructField("order_date", T.TimestampType()),
+        T.StructField("status", T.StringType()),
+        T.StructField(PARTITION, T.StringType()),
+    ]
+)
 
 QUALITY_RULES = T.StructType(
     [
@@ -70,3 +80,7 @@ METRIC_SAMPLES = T.StructType(
         T.StructField("kind", T.StringType()),
     ]
 )
+
+ALERTS = T.StructType(
+    [T.StructField(name, T.StringType()) for name in ("run_id", "dag_id", "task_id", "partition_date", "message")]
+)

@@ -12,6 +12,9 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
+    # A write of several dates keeps a file open per date instead of sorting its rows by date; a task that meets
+    # more dates than this falls back to sorting.
+    "spark.sql.maxConcurrentOutputFileWriters": "8",
     # These two carry meaning: dates are days in UTC, and a partition date stays text when read back.
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
@@ -33,15 +36,15 @@ def get_spark(app_name: str, **conf: object) -> SparkSession:
 
 
 @contextmanager
-def shuffle_width(spark: SparkSession, input_bytes: int) -> Iterator[int]:
-    """Widen the shuffles started inside the block to about 128 MB of input per task.
+def shuffle_width(spark: SparkSession, input_bytes: int, widest: int = MAX_WIDTH) -> Iterator[int]:
+    """Widen the shuffles started inside the block to about 128 MB of input per task, ``widest`` tasks at most.
 
     Adaptive execution can merge reduce partitions but never add any, so a day of several terabytes would
     otherwise be squeezed into the session's ``spark.sql.shuffle.partitions``. The width is only ever raised.
     """
     before = spark.conf.get(WIDTH_CONF, None)
     current = int(before or spark.conf.get("spark.sql.shuffle.partitions"))
-    width = max(current, min(MAX_WIDTH, -(-input_bytes // SHUFFLE_BYTES_PER_TASK)))
+    width = max(current, min(widest, -(-input_bytes // SHUFFLE_BYTES_PER_TASK)))
     if width == current:
         yield current
         return

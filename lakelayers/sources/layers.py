@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakelayers.schemas import PARTITION
+from lakelayers.sources.files import exists, size_of
 
 Writer = Callable[[DataFrame], None]
 
@@ -41,15 +41,12 @@ def read_dates(
     """
     if fmt != "parquet":
         return for_partition(read_layer(spark, path, fmt, schema), *dates)
-    folders = dates[0] if len(dates) == 1 else "{" + ",".join(dates) + "}"
+    folders = [folder for dt in dates if exists(spark, folder := f"{path}/{PARTITION}={dt}")]
+    if not folders:
+        return for_partition(read_layer(spark, path, fmt, schema), *dates)
     reader = spark.read if schema is None else spark.read.schema(schema)
     reader = reader.option("mergeSchema", schema is None and len(dates) > 1).option("basePath", path)
-    try:
-        return _dated(reader.parquet(f"{path}/{PARTITION}={folders}"))
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return for_partition(read_layer(spark, path, fmt, schema), *dates)
+    return _dated(reader.parquet(*folders))
 
 
 def _dated(df: DataFrame) -> DataFrame:
@@ -103,13 +100,9 @@ def clear_empty(df: DataFrame, path: str, by_date: Mapping[str, int], fmt: str =
 
 
 def _check_mergeable(df: DataFrame, path: str, fmt: str) -> None:
-    try:
-        stored = df.sparkSession.read.format(fmt).load(path).schema
-    except AnalysisException as error:
-        # Nothing is stored yet: no path, or a folder without a data file.
-        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            raise
-        return
+    if not exists(df.sparkSession, path) or not size_of(df.sparkSession, path):
+        return  # nothing is stored yet
+    stored = df.sparkSession.read.format(fmt).load(path).schema
     types = {field.name: field.dataType for field in stored if field.name != PARTITION}
     changed = [f.name for f in df.schema if types.get(f.name, f.dataType) != f.dataType]
     if changed:

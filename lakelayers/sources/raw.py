@@ -1,15 +1,11 @@
-"""Raw file scans and the list of dates that have a file."""
+"""Raw file scans and the dates that have a source."""
 
 from __future__ import annotations
 
-import re
-
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-DATE_PATTERN = r"\d{4}-\d{2}-\d{2}"
+from lakelayers.sources.files import dates_of
 
 
 def read_raw(
@@ -38,31 +34,9 @@ def read_raw(
     return reader.format(fmt).load(path)
 
 
-def list_files(spark: SparkSession, root: str) -> DataFrame:
-    """``path, length`` of every file below ``root``: a listing, no file is opened. Empty if there is no root."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True)
-    try:
-        return files.load(root).select("path", "length")
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], "path string, length bigint")
-
-
-def layout_pattern(layout: str, dataset: str) -> str:
-    """Regex that finds the date in the path of a file stored under ``layout``.
-
-    ``layout`` is e.g. ``{raw}/{dataset}/{dt}.csv``; a folder of part files under that name matches as well.
-    """
-    tail = layout.removeprefix("{raw}").replace("{dataset}", dataset)
-    before, after = tail.split("{dt}")
-    return f"{re.escape(before)}({DATE_PATTERN}){re.escape(after)}(?:/|$)"
-
-
-def available_dates(spark: SparkSession, root: str, pattern: str) -> DataFrame:
-    """The dates (``dt``) for which at least one file lies below ``root``."""
-    dt = F.regexp_extract("path", pattern, 1)
-    return list_files(spark, root).select(dt.alias("dt")).filter("dt <> ''").distinct()
+def available_dates(spark: SparkSession, layout: str) -> DataFrame:
+    """The dates (``dt``) for which a file or folder lies under ``layout``, a path with ``{dt}``."""
+    return spark.createDataFrame([(dt,) for dt in dates_of(spark, layout)], "dt string")
 
 
 def pending_dates(available: DataFrame, processed: DataFrame) -> DataFrame:

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 from uuid import uuid4
 
 from pyspark.sql import SparkSession
 
+from lakelayers.sources.files import remove
+
 _local_base: tempfile.TemporaryDirectory | None = None
 
 
@@ -16,16 +19,27 @@ def shared_dir(spark: SparkSession) -> str:
     Only a local master, where driver and executors are one process, may fall back to a temporary folder.
     """
     global _local_base
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    if not re.match(r"local(\[|$)", spark.conf.get("spark.master", "")):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if _local_base is None:
         _local_base = tempfile.TemporaryDirectory(prefix="lakelayers-")
     return _local_base.name
 
 
+_made: dict[str, list[str]] = {}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_dir(spark)}/lakelayers/{name}-{uuid4().hex}"
+    """A fresh path below the shared folder; :func:`clear_scratch` removes what was written there."""
+    path = f"{shared_dir(spark)}/lakelayers/{name}-{uuid4().hex}"
+    _made.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove the session's intermediate tables, once nothing that was read from them is needed any more."""
+    for path in _made.pop(spark.sparkContext.applicationId, []):
+        remove(spark, path)

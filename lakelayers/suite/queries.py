@@ -29,7 +29,7 @@ from lakelayers.plans.lake import Lake
 from lakelayers.plans.silver import compact, transform_orders_silver
 from lakelayers.schemas import ORDER_COLUMNS, PARTITION, RAW_ORDERS
 from lakelayers.sources.layers import append_layer, for_partition, overwrite_layer, read_layer, write_counted
-from lakelayers.sources.raw import available_dates, layout_pattern, pending_dates, read_raw
+from lakelayers.sources.raw import available_dates, pending_dates, read_raw
 from lakelayers.sources.workspace import scratch_path
 from lakelayers.suite import views
 from lakelayers.suite.views import AS_OF, DAY_1, DAY_2, DAY_3
@@ -103,8 +103,8 @@ def pending(spark, sf_dir):
     months = views.table(spark, sf_dir, "orders").groupBy(month.alias("dt")).agg(F.count(F.lit(1)).alias("rows"))
     write_csv(months, f"{raw}/orders", "dt")
     months.filter(F.col("dt") < "1998-01-01").write.partitionBy("dt").parquet(layer)
-    available = available_dates(spark, f"{raw}/orders", layout_pattern(HIVE_LAYOUT, "orders"))
-    processed = available_dates(spark, layer, layout_pattern("{raw}/dt={dt}", ""))
+    available = available_dates(spark, f"{raw}/orders/dt={{dt}}")
+    processed = available_dates(spark, f"{layer}/dt={{dt}}")
     return pending_dates(available, processed)
 
 

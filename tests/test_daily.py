@@ -2,7 +2,9 @@
 
 import pytest
 
+from lakelayers.operators import metrics
 from lakelayers.operators.quality import QualityGateError
+from lakelayers.operators.runs import attempts
 from lakelayers.plans import bronze as bronze_plan
 from lakelayers.plans import daily
 from lakelayers.plans.bronze import ingest_to_bronze
@@ -191,3 +193,137 @@ def test_a_day_reads_only_its_own_folders(spark, lake):
     assert all(D2 in file for file in one.inputFiles()) and one.count() == 2
     assert both.count() == 5 and dict(both.dtypes)[PARTITION] == "string"
     assert read_dates(spark, lake.bronze, [D3]).count() == 0
+
+
+NO_AMOUNT = "order_id,customer_id,order_date,status\n7,z,2024-01-03,SHIPPED\n"
+OTHER_ORDER = "status,order_id,customer_id,amount,order_date,channel\nSHIPPED,9,z,4,2024-01-02,web\n"
+
+
+def tables(spark, lake):
+    columns = [PARTITION, "order_id", "customer_id", "amount", "order_date", "status"]
+    gold = [PARTITION, "order_date", "status", "total_orders", "total_revenue", "unique_customers"]
+    raw = rows(spark, lake.bronze, PARTITION, "order_id", "status", "channel", merge=True)
+    return raw, rows(spark, lake.silver, *columns), rows(spark, lake.gold, *gold)
+
+
+def test_a_day_does_not_depend_on_the_days_it_runs_with(spark, tmp_path):
+    """A day without amounts fails by itself, run together with others or alone."""
+    lakes = [Lake(str(tmp_path / name), str(tmp_path / "raw")) for name in ("one", "all")]
+    for dt, text in ((D1, DAY_1), (D2, OTHER_ORDER), (D3, NO_AMOUNT)):
+        put(lakes[0], dt, text)
+    for dt in (D1, D2, D3):
+        if dt != D3:
+            daily.run_day(spark, lakes[0], dt)
+            continue
+        with pytest.raises(QualityGateError, match="source of 2024-01-03 lacks the columns amount"):
+            daily.run_day(spark, lakes[0], dt)
+    with pytest.raises(QualityGateError, match="source of 2024-01-03 lacks the columns amount"):
+        daily.run_pending(spark, lakes[1])
+    assert tables(spark, lakes[0]) == tables(spark, lakes[1])
+    for lake in lakes:
+        assert {r[0] for r in rows(spark, lake.gold, PARTITION)} == {D1, D2} and daily.find_pending(spark, lake) == [D3]
+        states = rows(spark, lake.control("runs"), "partition_date", "task_id", "state")
+        assert [x for x in states if x[0] == D3] == [(D3, daily.INGEST, "success"), (D3, daily.VALIDATE, "failed")]
+
+
+def test_a_day_that_cannot_be_read_leaves_the_others_alone(spark, tmp_path):
+    lake = Lake(str(tmp_path / "lake"), str(tmp_path / "raw"), layout="{raw}/{dataset}/{dt}")
+    days = {f"2024-02-{i:02d}": DAY_2 for i in range(1, 6)}
+    for dt, text in days.items():
+        folder = tmp_path / "raw" / "orders" / dt
+        folder.mkdir(parents=True)
+        (folder / "part-0.csv").write_text(text)
+    (folder / "part-1.csv").write_text("status,order_id\nSHIPPED,1\n")
+    (tmp_path / "raw" / "orders" / "2024-02-02" / "part-0.csv").write_text("")
+    with pytest.raises(Exception, match="CSV"):
+        daily.run_pending(spark, lake)
+    good = ["2024-02-01", "2024-02-03", "2024-02-04"]
+    assert sorted({r[0] for r in rows(spark, lake.gold, PARTITION)}) == good
+    assert daily.find_pending(spark, lake) == ["2024-02-02", "2024-02-05"]
+    failed = read_layer(spark, lake.control("runs")).filter("state = 'failed'")
+    assert rows_of(failed, "partition_date", "task_id") == [("2024-02-02", daily.INGEST), ("2024-02-05", daily.INGEST)]
+    alerts = read_layer(spark, lake.control("alerts")).filter("task_id = 'ingest_bronze'")
+    assert rows_of(alerts, "partition_date", "task_id") == rows_of(failed, "partition_date", "task_id")
+
+
+def rows_of(df, *columns):
+    return sorted(tuple(r) for r in df.select(*columns).collect())
+
+
+@pytest.mark.parametrize("folder", [False, True])
+@pytest.mark.parametrize("layout", ["{raw}/{dataset}/{dt}.csv", "{raw}/{dataset}/dt={dt}", "{raw}/{dt}", "{raw}/my [or] ders/{dt}/x.csv"])
+def test_layouts(spark, tmp_path, layout, folder):
+    from pathlib import Path
+
+    lake = Lake(str(tmp_path / "lake"), str(tmp_path / "raw files"), layout=layout)
+    for dt, text in ((D1, DAY_1), (D2, DAY_2)):
+        path = Path(lake.raw_path(dt)) / "part-0.csv" if folder else Path(lake.raw_path(dt))
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_text(text)
+    assert daily.run_pending(spark, lake).published == [D1, D2]
+    assert silver(spark, lake) == SILVER_1 + SILVER_2
+    assert {r[0] for r in rows(spark, lake.bronze, "_source_path")} == {lake.raw_path(D1), lake.raw_path(D2)}
+
+
+def test_dataset_without_rules_is_published_unchecked(spark, tmp_path):
+    lake = Lake(str(tmp_path / "lake"), str(tmp_path / "raw"), dataset="returns")
+    put(lake, D1, DAY_1)
+    assert daily.run_day(spark, lake, D1).published == [D1]
+    summary = read_layer(spark, lake.control("quality_summary"))
+    assert rows_of(summary, "layer", "dataset", "skipped", "success") == [
+        ("bronze", "returns", True, True), ("silver", "returns", True, True)
+    ]
+    transform_orders_silver(spark, lake.bronze, str(tmp_path / "single"), D1, dataset="returns")
+
+
+def test_other_columns_fail_early_with_a_plain_text(spark, tmp_path):
+    lake = Lake(str(tmp_path / "lake"), str(tmp_path / "raw"), dataset="customers")
+    put(lake, D1, "customer_id,email\n1,a@b.c\n")
+    with pytest.raises(QualityGateError, match="lacks the columns order_id, amount, order_date, status"):
+        daily.run_day(spark, lake, D1)
+    with pytest.raises(ValueError, match="the bronze rows lack the columns order_id"):
+        transform_orders_silver(spark, lake.bronze, lake.silver, D1)
+
+
+def test_the_user_names_what_newest_means(spark, tmp_path):
+    """The later of two rows has the smaller amount text."""
+    text = HEADER.strip() + ",seen\n1,a,9,2024-01-01,SHIPPED,08:00\n1,a,10,2024-01-01,SHIPPED,09:00\n"
+    kept = []
+    for order_by in ((), ("seen",)):
+        lake = Lake(str(tmp_path / f"lake{len(order_by)}"), str(tmp_path / "raw"), order_by=order_by)
+        put(lake, D1, text)
+        daily.run_day(spark, lake, D1)
+        kept += rows(spark, lake.silver, "amount")
+    assert kept == [("9.00",), ("10.00",)]
+
+
+def test_staging_is_removed(spark, lake):
+    put(lake, D1, DAY_1)
+    run = daily.run_day(spark, lake, D1)
+    from pathlib import Path
+
+    assert not Path(lake.staging(run.run_id)).exists() and lake.staging("airflow_a") != lake.staging("airflow_b")
+
+
+def test_control_tables_tell_what_happened(spark, tmp_path):
+    lake = Lake(str(tmp_path / "lake"), str(tmp_path / "raw"))
+    put(lake, D1, DAY_1)
+    put(lake, D2, DAY_2)
+    put(lake, D3, HEADER + "1,a,1,2024-01-01,\n")
+    with pytest.raises(QualityGateError):
+        daily.run_pending(spark, lake)
+    put(lake, D3, HEADER + "1,a,1,2024-01-01,SHIPPED\n2,a,1,2024-01-01,SHIPPED\n3,a,1,2024-01-01,SHIPPED\n")
+    daily.run_pending(spark, lake)
+    samples = read_layer(spark, lake.control("metric_samples"))
+    state = metrics.series_state(samples, ("layer",), ("ts", "partition_date", "value"))
+    found = {(r.metric.removeprefix("data_pipeline."), r.layer): r.value for r in state.collect()}
+    assert found["bronze.orders.row_count", "bronze"] == 3 and found["silver.orders.row_count", "silver"] == 3
+    assert found["quality.orders.pass_rate", "bronze"] == found["quality.orders.pass_rate", "silver"] == 100
+    durations = samples.filter("metric LIKE '%duration%'").groupBy("metric").count()
+    assert {r["count"] for r in durations.collect()} <= {1, 2}
+    tried = {(r.task_id, r.partition_date): (r.attempts, r.final_state) for r in attempts(read_layer(spark, lake.control("runs"))).collect()}
+    assert tried[daily.TRANSFORM, D3] == (2, "success") and tried[daily.TRANSFORM, D1] == (1, "success")
+    assert tried[daily.BUILD, D3] == (1, "success")
+    alerts = read_layer(spark, lake.control("alerts")).collect()
+    assert [(a.task_id, a.partition_date) for a in alerts if a.task_id] == [(daily.TRANSFORM, D3)]
+    assert any(a.task_id is None and "SLA MISS" in a.message for a in alerts)

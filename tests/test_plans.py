@@ -2,15 +2,15 @@
 
 import pytest
 
-import __spark_entry__ as entry_points
 from lakelayers.operators import quality as q
 from lakelayers.operators.dedup import dedup
 from lakelayers.plans.silver import compact
 from lakelayers.schemas import PARTITION
 from lakelayers.sources.layers import for_partition, overwrite_layer, read_layer
 from lakelayers.suite import views
+from lakelayers.suite.queries import QUERIES as SUITE
 
-QUERIES = entry_points.queries()
+QUERIES = SUITE
 WRITING = {
     "raw_csv_scan", "raw_csv_text_scan", "raw_csv_inferred_scan", "raw_json_scan", "raw_parquet_scan", "pending_dates",
     "append_history", "partition_overwrite", "table_overwrite", "schema_merge", "row_counts", "gold_partition",

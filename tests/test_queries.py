@@ -4,8 +4,11 @@ import pytest
 from compare import connect, differences
 
 import __spark_entry__ as entry_points
+from lakelayers.suite.queries import QUERIES as SUITE
 
-QUERIES, SQL = entry_points.queries(), entry_points.oracle_sql()
+# The subpackage for training data has tests of its own.
+QUERIES = {name: query for name, query in entry_points.queries().items() if name in SUITE}
+SQL = {name: sql for name, sql in entry_points.oracle_sql().items() if name in SUITE}
 
 
 @pytest.fixture(scope="module")

@@ -112,7 +112,7 @@ def test_attempts(spark):
         (2, "d", "a", at(0), at(0), at(1), "failed", "l"),
         (2, "d", "a", at(0), at(300), at(301), "success", "l"),
     )
-    got = sorted((x.run_id, x.attempts, x.final_state, x.over_time, x.exhausted) for x in r.attempts(rows).collect())
+    got = sorted((x.run_id, x.attempts, x.final_state, x.over_time, x.exhausted) for x in r.attempts(rows, ("run_id", "dag_id", "task_id")).collect())
     assert got == [(1, 3, "failed", 1, True), (2, 2, "success", 0, False)]
 
 

@@ -15,7 +15,9 @@ from lakelayers.sources.layers import (
     write_counted,
     write_days,
 )
-from lakelayers.sources.raw import available_dates, layout_pattern, list_files, pending_dates, read_raw
+from lakelayers.sources.files import dates_of, exists, sizes_of
+from lakelayers.sources.raw import available_dates, pending_dates, read_raw
+from lakelayers.sources.workspace import clear_scratch, scratch_path
 
 HEADER = "order_id,customer_id,amount,order_date,status\n"
 
@@ -66,7 +68,10 @@ def test_schema_or_inference(spark):
         read_raw(spark, "/nowhere", schema=RAW_ORDERS, infer=True)
 
 
-@pytest.mark.parametrize("layout", ["{raw}/{dataset}/{dt}.csv", "{raw}/{dataset}/dt={dt}"])
+LAYOUTS = ["{raw}/{dataset}/{dt}.csv", "{raw}/{dataset}/dt={dt}", "{raw}/{dt}", "{raw}/in [1] {x}/{dt}/{dataset}.csv"]
+
+
+@pytest.mark.parametrize("layout", LAYOUTS)
 def test_available_dates(spark, tmp_path, layout):
     def place(dt):
         return tmp_path / layout.removeprefix("{raw}/").replace("{dataset}", "orders").replace("{dt}", dt)
@@ -77,8 +82,8 @@ def test_available_dates(spark, tmp_path, layout):
         put(place("2024-01-03"), HEADER)
     else:
         put(place("2024-01-03") / "part-0.csv", HEADER)
-    put(tmp_path / "orders" / "notes.txt", "no date")
-    available = available_dates(spark, str(tmp_path), layout_pattern(layout, "orders"))
+    put(place("notes") / "notes.txt", "no date")
+    available = available_dates(spark, layout.replace("{raw}", str(tmp_path)).replace("{dataset}", "orders"))
     done = spark.createDataFrame([("2024-01-02",)], "dt string")
     pending = pending_dates(available, done)
     assert sorted(r.dt for r in available.collect()) == ["2024-01-01", "2024-01-02", "2024-01-03"]
@@ -86,7 +91,33 @@ def test_available_dates(spark, tmp_path, layout):
 
 
 def test_no_raw_folder_means_no_dates(spark, tmp_path):
-    assert list_files(spark, str(tmp_path / "none")).count() == 0
+    assert available_dates(spark, f"{tmp_path}/none/{{dt}}.csv").count() == 0
+    assert sizes_of(spark, f"{tmp_path}/none/{{dt}}.csv", ["2024-01-01"]) == {}
+
+
+def test_listing_days_starts_no_job(spark, tmp_path):
+    """Sparse files of 256 MB: neither their number nor their size is read."""
+    for i in range(12):
+        path = tmp_path / f"2024-01-{i + 1:02d}" / "part-0.csv"
+        put(path, "")
+        with path.open("r+b") as file:
+            file.truncate(256 << 20)
+    tracker, group = spark.sparkContext.statusTracker(), f"listing-{tmp_path}"
+    spark.sparkContext.setJobGroup(group, "listing")
+    layout = f"{tmp_path}/{{dt}}"
+    days = dates_of(spark, layout)
+    sizes = sizes_of(spark, layout, days)
+    jobs = tracker.getJobIdsForGroup(group)
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(days) == 12 and set(sizes.values()) == {256 << 20} and len(jobs) == 0
+
+
+def test_scratch_is_removed(spark, tmp_path):
+    path = scratch_path(spark, "gone")
+    spark.range(3).write.parquet(path)
+    assert exists(spark, path)
+    clear_scratch(spark)
+    assert not exists(spark, path)
 
 
 def day(spark, dt, *ids, **more):
@@ -154,15 +185,19 @@ def test_shared_folder(spark):
     assert workspace.scratch_path(spark, "x") != workspace.scratch_path(spark, "x")
 
     class Session:
-        def __init__(self, **conf):
+        def __init__(self, folder=None, **conf):
             self.conf = {k.replace("_", "."): v for k, v in conf.items()}
+            self.sparkContext = self
+            self.getCheckpointDir = lambda: folder
 
     shared = Session(spark_checkpoint_dir="hdfs://shared/work/", spark_master="yarn")
     assert workspace.shared_dir(shared) == "hdfs://shared/work"
     local = Session(spark_master="local[2]")
     assert workspace.shared_dir(local) == workspace.shared_dir(local)
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        workspace.shared_dir(Session(spark_master="yarn"))
+    assert workspace.shared_dir(Session("s3://shared/set", spark_master="yarn")) == "s3://shared/set"
+    for master in ("yarn", "local-cluster[2,1,1024]"):
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            workspace.shared_dir(Session(spark_master=master))
 
 
 def test_session(spark):
