@@ -217,6 +217,17 @@ kept AS (
     FROM orders_text) WHERE rn = 1),
 silver AS (SELECT {CLEAN_COLUMNS}, '2024-01-01' AS _partition_dt FROM kept)"""
 
+LAST_DAY = "dt = '2024-01-03'"
+
+ORDERED = """
+orders_text AS (
+  SELECT order_id, customer_id, CAST(CAST(amount AS DECIMAL(18,2)) AS VARCHAR) AS amount, order_date, status,
+         CAST(seq AS VARCHAR) AS seq
+  FROM orders_raw),
+kept AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY seq DESC) AS rn FROM orders_text) WHERE rn = 1)"""
+ORDERED = f"{ORDERS_RAW},{ORDERED}"
+
 AS_OF = "TIMESTAMP '2024-01-02 03:04:05'"
 LATE = "epoch_us(finished_at) / 1e6 - epoch_us(scheduled_at) / 1e6 - sla_seconds"
 MISSES = RUNS + """,
@@ -423,6 +434,60 @@ FROM rules""",
         f"""SELECT {SUMMARY_COLUMNS}, _partition_dt, {AS_OF} AS _gold_at
             FROM silver GROUP BY _partition_dt, CAST(order_date AS DATE), status""",
     ),
+    "silver_transform_ordered": _with(
+        ORDERED, f"SELECT {CLEAN_COLUMNS}, seq, '2024-01-01' AS _partition_dt, {AS_OF} AS _silver_at FROM kept"
+    ),
+    "daily_run_mixed": _with(
+        DAYS,
+        f"""SELECT {SUMMARY_COLUMNS}, _partition_dt, {AS_OF} AS _gold_at
+            FROM silver WHERE _partition_dt < '2024-01-03' GROUP BY _partition_dt, CAST(order_date AS DATE), status""",
+    ),
+    "quality_skip_layer": _with(
+        DAYS,
+        """SELECT 'returns' AS dataset, dt AS partition_date, 0 AS total_checks, 0 AS passed, 0 AS failed,
+                  CAST(NULL AS DOUBLE) AS pass_rate, CAST(0.95 AS DOUBLE) AS threshold, true AS success, true AS skipped, layer,
+                  CAST(count(*) OVER () // 2 AS INTEGER) AS published
+           FROM (SELECT DISTINCT dt FROM by_day), (VALUES ('bronze'), ('silver')) l(layer)""",
+    ),
+    "control_series": _with(
+        DAYS,
+        f"""
+SELECT 'data_pipeline.bronze.orders.row_count' AS metric, 'g' AS kind, 'bronze' AS layer, CAST(count(*) AS DOUBLE) AS value
+FROM by_day WHERE {LAST_DAY}
+UNION ALL
+SELECT 'data_pipeline.silver.orders.row_count', 'g', 'silver', count(*) FROM kept WHERE {LAST_DAY}
+UNION ALL
+SELECT 'data_pipeline.gold.orders.row_count', 'g', 'gold', count(*)
+FROM (SELECT DISTINCT order_date, status FROM silver WHERE _partition_dt = '2024-01-03')
+UNION ALL
+SELECT 'data_pipeline.quality.orders.pass_rate', 'g', 'bronze',
+       (6 + CAST(count(*) = count(DISTINCT order_id) AS INT)
+          + CAST(count(*) FILTER (status NOT IN ('PENDING', 'CONFIRMED', 'SHIPPED', 'DELIVERED', 'CANCELLED')) = 0 AS INT))
+       / 8.0 * 100 FROM by_day WHERE {LAST_DAY}
+UNION ALL
+SELECT 'data_pipeline.quality.orders.pass_rate', 'g', 'silver', 100 FROM by_day WHERE {LAST_DAY} HAVING count(*) > 0
+UNION ALL
+SELECT 'data_pipeline.failure.orders_pipeline.transform_silver', 'c', 'silver', 1 FROM by_day WHERE {LAST_DAY} HAVING count(*) > 0""",
+    ),
+    "control_attempts": _with(
+        DAYS,
+        """SELECT 'orders_pipeline' AS dag_id, task_id, dt AS partition_date,
+                  CASE WHEN dt = '2024-01-03' AND task_id <> 'build_gold' THEN 2 ELSE 1 END::BIGINT AS attempts,
+                  'success' AS final_state, 0::BIGINT AS over_time, false AS exhausted
+           FROM (SELECT DISTINCT dt FROM by_day), (VALUES ('ingest_bronze'), ('quality_bronze.validate_bronze'),
+                ('transform_silver'), ('build_gold')) t(task_id)""",
+    ),
+    "control_alerts": _with(
+        DAYS,
+        """SELECT 'orders_pipeline' AS dag_id, 'transform_silver' AS task_id, dt AS partition_date,
+                  '❌ *[DataPipeline]* DAG `orders_pipeline` | Task `transform_silver` FAILED' || chr(10)
+                  || 'Execution: ' || strftime(CAST(dt AS DATE) + 1, '%Y-%m-%d %H:%M:%S') AS message
+           FROM (SELECT DISTINCT dt FROM by_day) WHERE dt = '2024-01-03'
+           UNION ALL
+           SELECT 'orders_pipeline', NULL, NULL, '⚠️ *[DataPipeline]* SLA MISS on DAG `orders_pipeline`: tasks '
+                  || '[''build_gold'', ''ingest_bronze'', ''quality_bronze.validate_bronze'', ''transform_silver'']'
+           FROM (VALUES (1), (2))""",
+    ),
     "row_count_gauge": _with(
         RUNS,
         """SELECT finished_at AS ts, 'data_pipeline.' || layer || '.' || dataset || '.row_count' AS metric,

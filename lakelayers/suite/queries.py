@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import suppress
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -341,6 +342,81 @@ def daily_run(spark, sf_dir):
     return without_zone(read_layer(spark, lake.gold, merge=True), "_gold_at")
 
 
+def silver_transform_ordered(spark, sf_dir):
+    """The row that was delivered last wins, whatever its amount is as text."""
+    base = scratch_path(spark, "ordered")
+    source, bronze, silver = f"{base}/raw/orders/{DAY_1}.csv", f"{base}/bronze/orders", f"{base}/silver/orders"
+    write_csv(views.orders_text(spark, sf_dir).select(*ORDER_COLUMNS, "seq"), source)
+    ingest_to_bronze(spark, source, "orders", DAY_1, bronze, run_id="airflow_1", as_of=AS_OF)
+    rules = quality.limit_rows(quality.allow(RULES["orders"], UNKNOWN_ALLOWED), 10**15)
+    transform_orders_silver(spark, bronze, silver, DAY_1, rules=rules, as_of=AS_OF, order_by=["seq"])
+    return without_zone(read_layer(spark, silver), "order_date", "_silver_at")
+
+
+def daily_run_mixed(spark, sf_dir):
+    """Of three days one has other columns in another order, one has no amounts: it fails, the others do not."""
+    base = scratch_path(spark, "mixed")
+    lake = Lake(base, f"{base}/raw", layout=HIVE_LAYOUT, extra_allowed=UNKNOWN_ALLOWED, max_rows=10**15)
+    rows = views.orders_by_day(spark, sf_dir)
+    headers = {
+        DAY_1: ORDER_COLUMNS,
+        DAY_2: ("status", "order_date", F.lit("web").alias("channel"), "amount", "customer_id", "order_id"),
+        DAY_3: [c for c in ORDER_COLUMNS if c != "amount"],
+    }
+    for dt, columns in headers.items():
+        write_csv(rows.filter(F.col("dt") == dt).select(*columns), lake.raw_path(dt))
+    _run_with_failures(spark, lake)
+    return without_zone(read_layer(spark, lake.gold, merge=True), "_gold_at")
+
+
+def _run_with_failures(spark, lake):
+    """The failed dates are what the control tables are then asked about."""
+    with suppress(quality.QualityGateError):
+        run_pending(spark, lake, AS_OF)
+
+
+def quality_skip_layer(spark, sf_dir):
+    """A dataset without rules goes through the layers unchecked, and the summaries say so."""
+    base = scratch_path(spark, "unchecked")
+    lake = Lake(base, f"{base}/raw", "returns", layout=HIVE_LAYOUT)
+    write_csv(views.orders_by_day(spark, sf_dir).hint("rebalance", F.col("dt")), f"{lake.raw}/{lake.dataset}", "dt")
+    run_pending(spark, lake, AS_OF)
+    summary = read_layer(spark, lake.control("quality_summary")).drop("run_id")
+    return summary.withColumn("published", F.lit(read_layer(spark, lake.gold, merge=True).select(PARTITION).distinct().count()))
+
+
+def _controlled(spark, sf_dir) -> Lake:
+    """Three days, of which the last fails its gate at first and is delivered again."""
+    base = scratch_path(spark, "control")
+    lake = Lake(base, f"{base}/raw", layout=HIVE_LAYOUT, extra_allowed=UNKNOWN_ALLOWED, max_rows=10**15)
+    rows = views.orders_by_day(spark, sf_dir)
+    last = F.col("dt") == DAY_3
+    spoilt = rows.withColumn("status", F.when(last, "LOST").otherwise(F.col("status")))
+    write_csv(spoilt.hint("rebalance", F.col("dt")), f"{lake.raw}/{lake.dataset}", "dt")
+    _run_with_failures(spark, lake)
+    rows.filter(last).drop("dt").write.mode("overwrite").option("header", True).csv(lake.raw_path(DAY_3))
+    run_pending(spark, lake, AS_OF)
+    return lake
+
+
+def control_series(spark, sf_dir):
+    """State of the series that a run's samples make: the last day's rows, both gates' rates, failures."""
+    samples = read_layer(spark, _controlled(spark, sf_dir).control("metric_samples"))
+    lasting = samples.filter(~F.col("metric").endswith("duration_seconds"))
+    return metrics.series_state(lasting, ("layer",), ("ts", "partition_date", "value"))
+
+
+def control_attempts(spark, sf_dir):
+    """Attempts per task and day; each day counts its own runs."""
+    return attempts(read_layer(spark, _controlled(spark, sf_dir).control("runs")))
+
+
+def control_alerts(spark, sf_dir):
+    """Alerts of the runs: the failed task and the late ones. The run's id in the path of the log is left out."""
+    alerts = read_layer(spark, _controlled(spark, sf_dir).control("alerts"))
+    return alerts.select("dag_id", "task_id", "partition_date", F.regexp_replace("message", "\nLog: .*", "").alias("message"))
+
+
 # --- run analytics -----------------------------------------------------------------------------------------
 
 
@@ -451,7 +527,13 @@ QUERIES: dict[str, Query] = {
     "bronze_ingest": bronze_ingest,
     "silver_transform": silver_transform,
     "gold_build": gold_build,
+    "silver_transform_ordered": silver_transform_ordered,
     "daily_run": daily_run,
+    "daily_run_mixed": daily_run_mixed,
+    "quality_skip_layer": quality_skip_layer,
+    "control_series": control_series,
+    "control_attempts": control_attempts,
+    "control_alerts": control_alerts,
     "row_count_gauge": row_count_gauge,
     "pass_rate_gauge": pass_rate_gauge,
     "task_duration": task_duration,
