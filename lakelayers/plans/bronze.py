@@ -82,14 +82,17 @@ PROBES = 8
 
 @dataclass(frozen=True)
 class Source:
-    """The dates of a run that can be read, by header, and why the others cannot be carried on."""
+    """The dates of a run that can be read, by header, and why some cannot be brought in or carried on.
 
-    alike: list[list[str]]
+    ``alike`` pairs dates of one header with the columns as text, or with None where the scan finds them.
+    """
+
+    alike: list[tuple[list[str], T.StructType | None]]
     failures: dict[str, str]
 
     @property
     def dates(self) -> list[str]:
-        return sorted(dt for group in self.alike for dt in group)
+        return sorted(dt for dates, _ in self.alike for dt in dates)
 
 
 def probe(spark: SparkSession, lake: Lake, dates: Sequence[str]) -> Source:
@@ -99,35 +102,39 @@ def probe(spark: SparkSession, lake: Lake, dates: Sequence[str]) -> Source:
     are given or inferred, and for JSON, columns are those of the whole scan, so there is nothing to compare.
     """
     if lake.raw_format == "json" or lake.raw_schema is not None or lake.infer:
-        return Source([list(dates)], {})
+        return Source([(list(dates), lake.raw_schema)], {})
 
-    def columns(dt: str) -> tuple[str, ...] | Exception:
+    def columns(dt: str) -> T.StructType | Exception:
         try:
-            return tuple(read_raw(spark, literal(lake.raw_path(dt)), lake.raw_format).columns)
+            return read_raw(spark, literal(lake.raw_path(dt)), lake.raw_format).schema
         except Exception as error:  # noqa: BLE001 -- the date's own failure
             return error
 
     with ThreadPoolExecutor(PROBES) as pool:
         headers = dict(zip(dates, pool.map(inheritable_thread_target(spark)(columns), dates), strict=True))
-    groups: dict[tuple[str, ...], list[str]] = {}
+    groups: dict[str, tuple[list[str], T.StructType]] = {}
     failures = {}
     for dt, found in headers.items():
         if isinstance(found, Exception):
             failures[dt] = str(found)
             continue
-        groups.setdefault(found, []).append(dt)
-        lacking = [c for c in ORDER_COLUMNS if c not in {name.lower() for name in found}]
+        groups.setdefault(found.json(), ([], found))[0].append(dt)
+        lacking = [c for c in ORDER_COLUMNS if c not in {name.lower() for name in found.names}]
         if lacking:
             failures[dt] = MISSING_COLUMNS % (dt, ", ".join(lacking))
     return Source(list(groups.values()), failures)
 
 
 def bronze_frame(
-    spark: SparkSession, lake: Lake, alike: Sequence[Sequence[str]], run_id: str, as_of: datetime | None = None
+    spark: SparkSession,
+    lake: Lake,
+    alike: Sequence[tuple[Sequence[str], T.StructType | None]],
+    run_id: str,
+    as_of: datetime | None = None,
 ) -> DataFrame:
     """Raw rows of several dates in one scan; each row's date comes from the path of its file.
 
-    ``alike`` groups the dates by header: groups are scanned apart and get the columns of all. The date stands
+    ``alike`` has the dates by header: dates of one header are scanned together, and all get the columns of all. The date stands
     behind a known part of the path and is cut out by position, once per row: on text files a regular expression here
     costs as much time as parsing the line. A path whose text there is no date of the run is an error.
     """
@@ -136,9 +143,9 @@ def bronze_frame(
     date = F.substr(found, F.locate(before, found) + len(before), F.lit(DATE_LENGTH))
     wrong = F.raise_error(F.concat(F.lit("no date of the run in "), found)).cast("string")
     frames = []
-    for dates in alike:
+    for dates, schema in alike:
         paths = [literal(lake.raw_path(dt)) for dt in dates]
-        raw = read_raw(spark, paths, lake.raw_format, lake.raw_schema, lake.infer)
+        raw = read_raw(spark, paths, lake.raw_format, schema, lake.infer)
         frames.append(raw.withColumn(PARTITION, F.when(date.isin(*dates), date).otherwise(wrong)))
     raw = reduce(lambda one, other: one.unionByName(other, allowMissingColumns=True), frames)
     head, tail = lake.raw_layout.split("{dt}")
@@ -156,7 +163,7 @@ def ingest_days(
 ) -> tuple[Written, T.StructType]:
     """All dates in one job, and the columns written. A scan task reads one date's file: no shuffle sorts out dates."""
     groups = (source or probe(spark, lake, dates)).alike
-    groups = [kept for group in groups if (kept := [dt for dt in group if dt in dates])]
+    groups = [(kept, schema) for group, schema in groups if (kept := [dt for dt in group if dt in dates])]
     bronze = bronze_frame(spark, lake, groups, run_id, as_of)
     writer = _writer(lake.bronze, lake.bronze_mode, lake.fmt)
     written = write_days(bronze, writer, lake.bronze, dates, lake.fmt, run_id)

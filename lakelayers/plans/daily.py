@@ -222,7 +222,7 @@ def emit_metrics(spark: SparkSession, lake: Lake, run: DayRun) -> None:
     """
     if not run.records:
         return
-    runs = spark.createDataFrame(run.records, RUNS)
+    runs = spark.createDataFrame(run.records, RUNS).coalesce(1)
     once = runs.dropDuplicates(["run_id", "task_id", "started_at", "finished_at"])
     about, nothing = ("layer", "partition_date"), F.lit(None).cast("string")
     whole_job = task_duration(once, about=("layer",)).withColumn("partition_date", nothing)
