@@ -180,3 +180,19 @@ def test_counts_equal_python(spark, rows):
 def test_email(spark, email, ok):
     df = spark.createDataFrame([(email,)], "email string")
     assert results(df, [q.matches("email", q.EMAIL)])[0].success is ok
+
+
+def test_report_and_error_print_the_same(spark):
+    rows = [("orders", f"{n}/{i}", n, n // 2, n - n // 2, 0.5, i / 10_000, False, False) for n in (0, 3, 7, 8, 9) for i in range(9000, 10_000, 25)]
+    told = q.gate(spark.createDataFrame(rows, q.QUALITY_SUMMARY), on_fail="report").collect()
+    for r in told:
+        assert r.message == q.failure_text(r.dataset, r.partition_date, r.passed, r.total_checks, r.threshold)
+    assert any("< threshold 97.2%" in r.message and r.threshold == 0.9725 for r in told)
+
+
+def test_nothing_to_score(spark):
+    df = spark.createDataFrame(GOOD, ORDERS)
+    assert q.rule_results(df, [], "orders", "2024-01-01").collect() == []
+    unscored = [q.parses_as_money("amount")]
+    row = q.score(q.rule_results(df, unscored, "orders", "2024-01-01")).collect()[0]
+    assert (row.total_checks, row.pass_rate, row.success) == (0, 0.0, False)
