@@ -45,7 +45,8 @@ def line_bitmaps(
     ranged = occurrences.repartitionByRange("h", "g", "doc_id").sortWithinPartitions("h", "g", "doc_id", "pos")
     per_doc = ranged.groupBy("h", "g", "doc_id").agg(F.min("pos").alias("first"))
     shared = per_doc.groupBy("h", "g").agg(F.count(F.lit(1)).alias("docs"), F.max("doc_id").alias("keeper"))
-    shared = shared.filter(F.col("docs") >= min_docs).select("h", "g", "keeper")
+    # Written, so that the join below has a plain shuffle on either side, which can be split where one line is hot.
+    shared = stored(shared.filter(F.col("docs") >= min_docs).select("h", "g", "keeper"), "shared_lines")
     dropped = occurrences.join(shared, ["h", "g"]).filter(~F.col("doc_id").eqNullSafe(F.col("keeper")))
     word = (F.col("pos") / 64).cast("int")
     words = dropped.groupBy("doc_id", "rid", word.alias("word")).agg(
