@@ -23,7 +23,7 @@ GRID = 2
 CHUNK = 8192
 ROWS_AT_ONCE = 512
 PAIRS_AT_ONCE = 1 << 16
-# Rotated coordinates are rounded to 32 bits; budgets are widened by far more than that can move a distance.
+# Distances are filtered in 32 bits first; budgets are widened by far more than rounding can move a distance.
 SLACK = 1e-4
 
 
@@ -55,8 +55,14 @@ def _unit(vectors: np.ndarray) -> np.ndarray:
     return scaled / np.linalg.norm(scaled, axis=1, keepdims=True)
 
 
+def _turned(vectors: np.ndarray) -> np.ndarray:
+    """The rotated unit vectors; ``einsum`` gives a row the same numbers whatever rows it comes with."""
+    return np.einsum("ij,jk->ik", _unit(vectors), _rotation(vectors.shape[1]))
+
+
 def _placed(classes: DataFrame, blocks: int, min_cosine: float) -> DataFrame:
-    """A row per class and block: its cell, the vector, the rotated unit vector."""
+    """A row per class and block: its cell, and the vector as bytes in the precision it came in."""
+    narrow = classes.schema["vector"].dataType.elementType.simpleString() == "float"
 
     def place(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -65,7 +71,8 @@ def _placed(classes: DataFrame, blocks: int, min_cosine: float) -> DataFrame:
             for size in np.unique(sizes):
                 rows = np.flatnonzero(sizes == size)
                 vectors = flat[at[rows][:, None] + np.arange(size)]
-                turned = (_unit(vectors) @ _rotation(int(size))).astype(np.float32)
+                turned = _turned(vectors)
+                packed = [v.tobytes() for v in (vectors.astype(np.float32) if narrow else vectors)]
                 radius = np.sqrt(_budgets(int(size), blocks, min_cosine))
                 for b, (low, high) in enumerate(_bounds(int(size), blocks)):
                     lead = turned[:, low : min(high, low + GRID)]
@@ -74,20 +81,17 @@ def _placed(classes: DataFrame, blocks: int, min_cosine: float) -> DataFrame:
                     columns = [
                         pa.array(np.full(len(rows), size, np.int32)), pa.array(np.full(len(rows), b, np.int32)),
                         pa.array(cells.tolist(), pa.list_(pa.int32())), batch.column(0).take(pa.array(rows)),
-                        batch.column(1).take(pa.array(rows)), pa.array([v.tobytes() for v in vectors], pa.binary()),
-                        pa.array([t.tobytes() for t in turned], pa.binary()),
+                        batch.column(1).take(pa.array(rows)), pa.array(packed, pa.binary()),
                     ]
                     yield pa.RecordBatch.from_arrays(columns, names)
 
-    names = ["size", "block", "cell", "cid", "n", "vector", "turned"]
-    schema = "size int, block int, cell array<int>, cid long, n long, vector binary, turned binary"
+    names = ["size", "block", "cell", "cid", "n", "vector"]
+    schema = "size int, block int, cell array<int>, cid long, n long, vector binary"
     return map_arrow(classes.select("cid", "n", "vector"), place, schema)
 
 
-def _tiles(placed: DataFrame, chunk: int) -> DataFrame:
+def _tiles(cells: DataFrame) -> DataFrame:
     """``tile, side, self`` by cell and chunk: every two chunks of the same or of adjacent cells are one tile."""
-    cells = placed.groupBy("size", "block", "cell").agg(F.ceil(F.count(F.lit(1)) / chunk).cast("int").alias("chunks"))
-    cells = stored(cells, "cells")
     steps = F.array(*[F.array(*map(F.lit, step)) for step in product((-1, 0, 1), repeat=GRID) if step >= (0,) * GRID])
     ahead = cells.select("size", "block", "cell", "chunks", F.explode(steps).alias("step"))
     ahead = ahead.withColumn("other", F.zip_with("cell", "step", lambda c, s: c + s))
@@ -119,14 +123,17 @@ class _Tile:
         side = rows["side"].to_numpy()
         self.left = np.flatnonzero(side == 0)
         self.right = self.left if self.alone else np.flatnonzero(side == 1)
-        self.vectors = np.frombuffer(b"".join(rows["vector"].to_pylist()), np.float64).reshape(len(side), -1)
-        self.turned = np.frombuffer(b"".join(rows["turned"].to_pylist()), np.float32).reshape(len(side), -1)
+        data = b"".join(rows["vector"].to_pylist())
+        narrow = len(data) == 4 * self.size * len(side)
+        vectors = np.frombuffer(data, np.float32 if narrow else np.float64).reshape(len(side), self.size)
+        self.vectors = vectors.astype(np.float64)
+        self.turned = _turned(self.vectors)
 
     def links(self, blocks: int, min_cosine: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Row pairs linked, each only in the first block whose budget it keeps."""
         bounds, budgets = _bounds(self.size, blocks), _budgets(self.size, blocks, min_cosine)
         low, high = bounds[self.block]
-        own = self.turned[:, low:high]
+        own = self.turned[:, low:high].astype(np.float32)
         square = (own * own).sum(1)
         unit = _unit(self.vectors)
         for at in range(0, len(self.left), ROWS_AT_ONCE):
@@ -138,7 +145,7 @@ class _Tile:
                 i, j = i[i < j], j[i < j]
             for cut in range(0, len(i), PAIRS_AT_ONCE):
                 a, b = i[cut : cut + PAIRS_AT_ONCE], j[cut : cut + PAIRS_AT_ONCE]
-                gap = (self.turned[a].astype(np.float64) - self.turned[b]) ** 2
+                gap = (self.turned[a] - self.turned[b]) ** 2
                 kept = np.stack([gap[:, x:y].sum(1) for x, y in bounds], axis=1) <= budgets
                 first = kept[:, self.block] & ~kept[:, : self.block].any(1)
                 a, b = a[first], b[first]
@@ -171,12 +178,13 @@ def class_links(classes: DataFrame, min_cosine: float, blocks: int, chunk: int)
     blocks that finds them. Pairs never leave a task: it returns sums per vector and a forest.
     """
     placed = stored(_placed(classes, blocks, min_cosine), "blocks")
-    tiles = _tiles(placed, chunk)
-    chunks = placed.groupBy("size", "block", "cell").agg(F.ceil(F.count(F.lit(1)) / chunk).cast("int").alias("chunks"))
-    own = placed.join(chunks, ["size", "block", "cell"])
+    cells = placed.groupBy("size", "block", "cell").agg(F.ceil(F.count(F.lit(1)) / chunk).cast("int").alias("chunks"))
+    cells = stored(cells, "cells")
+    tiles = _tiles(cells)
+    own = placed.join(cells, ["size", "block", "cell"])
     own = own.withColumn("chunk", F.pmod(F.xxhash64("cid", F.lit("chunk")), F.col("chunks")).cast("int"))
     dealt = own.join(tiles, ["size", "block", "cell", "chunk"]).select(
-        "tile", "side", "self", "size", "block", "cid", "n", "vector", "turned"
+        "tile", "side", "self", "size", "block", "cid", "n", "vector"
     )
     dealt = dealt.repartition("tile").sortWithinPartitions("tile", "side")
 
