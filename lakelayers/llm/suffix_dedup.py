@@ -22,7 +22,7 @@ SPAN = LENGTH - GRAM + 1
 PIECE = 1 << 17
 # An anchor's strings start 0 to SPAN - 1 bytes before it. Those of one part share all but a few of their bytes.
 PARTS = (0, 18, 35, 52, SPAN)
-# Surroundings of one gram that are sorted together; a gram with more is dealt by the longer shared parts.
+# Surroundings of one gram that are sorted together; the strings around a gram with more are dealt out one by one.
 TOGETHER = 20_000
 
 
@@ -208,28 +208,27 @@ def adjacent_prefixes(text: np.ndarray, order: np.ndarray, most: int = LENGTH) -
 def repeated_starts(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``doc, tie, start`` of the strings in these surroundings that another one holds earlier; some several times.
 
-    Columns ``route, part, doc, tie, begin, lead, bytes``: rows with one route share the gram ``lead`` bytes in;
-    ``part`` -1 means all strings around it, else one part of them.
+    Columns ``gram, doc, tie, begin, lead, bytes``: rows with one gram hold it ``lead`` bytes in.
     """
     frame = SPAN - 1 + LENGTH
-    lead, part = rows["lead"].to_numpy(), rows["part"].to_numpy()
+    lead = rows["lead"].to_numpy()
     sizes = np.array([len(b) for b in rows["bytes"].to_pylist()])
     matrix = np.zeros((len(sizes), frame), np.uint8)
     inside = np.arange(frame) >= (SPAN - 1 - lead)[:, None]
     inside &= np.arange(frame) < (SPAN - 1 - lead + sizes)[:, None]
     matrix[inside] = np.frombuffer(b"".join(rows["bytes"].to_pylist()), np.uint8)
-    route, origin = rows["route"].to_numpy(), rows["begin"].to_numpy() - (SPAN - 1 - lead)
+    gram, origin = rows["gram"].to_numpy(), rows["begin"].to_numpy() - (SPAN - 1 - lead)
     up, _ = _powers()
     values = np.where(inside, matrix.astype(np.uint64) + np.uint64(1), np.uint64(0))
     doc, tie = rows["doc"].to_numpy(), rows["tie"].to_numpy()
     pieces, owners, firsts, later = [], [], [], []
-    for p, (a, b) in enumerate(zip(PARTS, PARTS[1:], strict=False)):
+    for a, b in zip(PARTS, PARTS[1:], strict=False):
         low, high = SPAN - 1 - (b - 1), frame - a
         core = slice(SPAN - 1 - a, frame - (b - 1))
         # Only rows whose shared bytes of this part occur twice can hold equal strings of it.
-        able = np.flatnonzero(((part == -1) | (part == p)) & inside[:, core].all(1))
+        able = np.flatnonzero(inside[:, core].all(1))
         hashes = values[able, core] @ up[: core.stop - core.start]
-        _, group, counts = np.unique(_mixed(hashes ^ route[able].view(np.uint64)), return_inverse=True, return_counts=True)
+        _, group, counts = np.unique(_mixed(hashes ^ gram[able].view(np.uint64)), return_inverse=True, return_counts=True)
         able = able[counts[group] > 1]
         at = np.arange(b - a) + low
         fits = inside[able][:, at] & inside[able][:, at + LENGTH - 1]
@@ -331,29 +330,19 @@ def _hits(texts: DataFrame) -> DataFrame:
 
 
 def _compared(packed: DataFrame, hits: DataFrame) -> DataFrame:
-    """``doc, tie, starts, ends``: strings that the suffix sort found earlier, as spans, by document."""
+    """``doc, tie, starts, ends``: strings that were found earlier, as spans, by document."""
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unpack = zstandard.ZstdDecompressor()
-        for batch in _parts(batches):
-            texts = [unpack.decompress(blob) for blob in batch.column(2).to_pylist()]
-            found = Anchors(texts)
-            opened, dealt = (~found.again & found.among(batch.column(i).to_pylist()) for i in (3, 4))
-            at = np.flatnonzero(opened)
-            route, part = found.gram[at], np.full(len(at), -1, np.int32)
-            if dealt.any():
-                more = [(i, p, r) for i in np.flatnonzero(dealt) for p, r in _part_routes(texts[found.text[i]], found, i)]
-                at = np.r_[at, [i for i, _, _ in more]].astype(np.int64)
-                part = np.r_[part, [p for _, p, _ in more]].astype(np.int32)
-                route = np.r_[route, [r for _, _, r in more]].astype(np.int64)
+        for batch, texts, found in _chosen(batches):
+            at = np.flatnonzero(~found.again & found.among(batch.column(3).to_pylist()))
             begin, end, number = found.begin[at], found.end[at], found.text[at]
             cuts = [texts[n][b:e] for n, b, e in zip(number.tolist(), begin.tolist(), end.tolist(), strict=True)]
             who = [batch.column(i).take(pa.array(number)) for i in (0, 1)]
-            columns = [pa.array(route), pa.array(part), *who, pa.array(begin), pa.array(found.place[at] - begin)]
+            columns = [pa.array(found.gram[at]), *who, pa.array(begin), pa.array(found.place[at] - begin)]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(cuts, pa.binary())], names)
 
     def sorted_out(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in _whole_routes(batches):
+        for rows in _whole_grams(batches):
             doc, tie, start = repeated_starts(rows)
             by = np.lexsort((start, tie, doc))
             doc, tie, start = doc[by], tie[by], start[by]
@@ -362,35 +351,66 @@ def _compared(packed: DataFrame, hits: DataFrame) -> DataFrame:
             ends = start[np.r_[at[1:], len(doc)] - 1] + LENGTH if len(at) else start
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in (doc[at], tie[at], start[at], ends)], spans)
 
-    names = ["route", "part", "doc", "tie", "begin", "lead", "bytes"]
+    names = ["gram", "doc", "tie", "begin", "lead", "bytes"]
     spans = ["doc", "tie", "start", "end"]
-    some = hits.filter("size(open) > 0 OR size(dealt) > 0").select("doc", "tie", "open", "dealt")
-    rows = packed.join(some, ["doc", "tie"]).select("doc", "tie", "blob", "open", "dealt")
-    rows = map_arrow(rows, cut, "route long, part int, doc long, tie int, begin long, lead long, bytes binary")
-    rows = rows.repartition("route").sortWithinPartitions("route")
+    opened = hits.filter("size(open) > 0").select("doc", "tie", "open")
+    rows = packed.join(opened, ["doc", "tie"]).select("doc", "tie", "blob", "open")
+    rows = map_arrow(rows, cut, "gram long, doc long, tie int, begin long, lead long, bytes binary")
+    rows = rows.repartition("gram").sortWithinPartitions("gram")
     found = map_arrow(rows, sorted_out, "doc long, tie int, start long, end long")
+    dealt = hits.filter("size(dealt) > 0").select("doc", "tie", "dealt")
+    if not dealt.isEmpty():
+        found = found.unionByName(_dealt_out(packed, dealt))
     return found.groupBy("doc", "tie").agg(F.collect_list("start").alias("starts"), F.collect_list("end").alias("ends"))
 
 
-def _part_routes(text: bytes, found: Anchors, i: int) -> Iterator[tuple[int, int]]:
-    place = int(found.place[i])
-    for p, (a, b) in enumerate(zip(PARTS, PARTS[1:], strict=False)):
-        low, high = place - a, place + LENGTH - (b - 1)
-        if low >= found.begin[i] and high <= found.end[i]:
-            digest = hashlib.blake2b(text[low:high], digest_size=8, person=bytes([p])).digest()
-            yield p, int.from_bytes(digest, "little", signed=True)
+def _chosen(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[bytes], Anchors]]:
+    """Some rows at a time with their texts (third column) and anchors."""
+    unpack = zstandard.ZstdDecompressor()
+    for batch in _parts(batches):
+        texts = [unpack.decompress(blob) for blob in batch.column(2).to_pylist()]
+        yield batch, texts, Anchors(texts)
+
 
+def _dealt_out(packed: DataFrame, dealt: DataFrame) -> DataFrame:
+    """``doc, tie, start, end`` of strings around very frequent grams that another one holds earlier.
 
-def _whole_routes(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Table]:
-    """The sorted rows in parts that end where a route ends."""
+    Each string is a row with its 128-bit digest. Equal ones are reduced to the first in every map task before they
+    meet, so neither a frequent gram nor a frequent string gathers in one task.
+    """
+
+    def listed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, texts, found in _chosen(batches):
+            at = np.flatnonzero(~found.again & found.among(batch.column(3).to_pylist()))
+            sizes = np.maximum(found.end[at] - found.begin[at] - LENGTH + 1, 0)
+            number = np.repeat(found.text[at], sizes)
+            start = np.repeat(found.begin[at] - np.r_[0, np.cumsum(sizes)[:-1]][: len(at)], sizes) + np.arange(len(number))
+            both = np.unique(np.stack([number, start]), axis=1)
+            digests = [hashlib.blake2b(texts[n][s : s + LENGTH], digest_size=16).digest() for n, s in both.T.tolist()]
+            halves = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
+            who = [batch.column(i).take(pa.array(both[0])) for i in (0, 1)]
+            columns = [pa.array(halves[:, 0]), pa.array(halves[:, 1]), *who, pa.array(both[1])]
+            yield pa.RecordBatch.from_arrays(columns, ["h", "g", "doc", "tie", "start"])
+
+    rows = packed.join(dealt, ["doc", "tie"]).select("doc", "tie", "blob", "dealt")
+    strings = stored(map_arrow(rows, listed, "h long, g long, doc long, tie int, start long"), "strings")
+    who = F.struct("doc", "tie", "start")
+    first = strings.groupBy("h", "g").agg(F.min(who).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    first = stored(first.select("h", "g", "first"), "first_strings")
+    later = strings.join(first, ["h", "g"]).filter(F.col("first") != who)
+    return later.select("doc", "tie", "start", (F.col("start") + LENGTH).alias("end"))
+
+
+def _whole_grams(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The sorted rows in parts that end where a gram ends."""
     parts: list[pa.RecordBatch] = []
     held = 0
     for batch in batches:
-        route = batch.column(0).to_numpy()
-        ends = np.flatnonzero(route[1:] != route[:-1]) + 1
-        if held and len(route) and parts[-1].column(0)[-1].as_py() != route[0]:
+        gram = batch.column(0).to_numpy()
+        ends = np.flatnonzero(gram[1:] != gram[:-1]) + 1
+        if held and len(gram) and parts[-1].column(0)[-1].as_py() != gram[0]:
             ends = np.r_[0, ends]
-        if held + len(route) >= TOGETHER and len(ends):
+        if held + len(gram) >= TOGETHER and len(ends):
             cut = int(ends[-1])
             yield pa.Table.from_batches([*parts, batch.slice(0, cut)])
             parts, held, batch = [], 0, batch.slice(cut)
@@ -433,8 +453,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     strings have equal anchors, and only anchors travel, 16 bytes for some 30 bytes of text. Anchors whose
     gram occurs once are done. Of equal surroundings (all strings around an anchor) only the first matters. The
     surroundings that remain, different texts around one gram, meet by gram; a two-stage suffix sort brings
-    equal strings together, their common prefixes tell which are equal, and all but the earliest go. Grams with more
-    than ``TOGETHER`` different surroundings are dealt out by longer parts of them.
+    equal strings together, their common prefixes tell which are equal, and all but the earliest go. The strings around
+    grams with more than ``TOGETHER`` different surroundings are compared by digest instead.
 
     A null text is empty; a text shorter than ``LENGTH`` stays. Rows of one id with different texts are ordered by hash
     of the text; identical rows of one id are one document and get the same result. A null id is the largest
