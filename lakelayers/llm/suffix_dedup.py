@@ -24,6 +24,7 @@ PIECE = 1 << 17
 PARTS = (0, 18, 35, 52, SPAN)
 # Surroundings of one gram that are sorted together; the strings around a gram with more are dealt out one by one.
 TOGETHER = 20_000
+ROWS_AT_ONCE = 8_000
 
 
 @lru_cache(maxsize=1)
@@ -148,13 +149,13 @@ def two_stage_order(text: np.ndarray, wanted: np.ndarray, depth: int = LENGTH) -
     """
     size = len(text) - depth - 8
     step = np.sign(text[1 : size + 1].astype(np.int16) - text[:size])
-    later = np.where(step != 0, np.arange(size), size - 1)
+    later = np.where(step != 0, np.arange(size, dtype=np.int32), np.int32(size - 1))
     decided = np.minimum.accumulate(later[::-1])[::-1]
     smaller = (step[decided] > 0) | (decided == size - 1)
     # A larger suffix needs its successor, up to the next smaller one.
     stops = np.flatnonzero(smaller)
     until = stops[np.searchsorted(stops, wanted)]
-    delta = np.zeros(size + 1, np.int64)
+    delta = np.zeros(size + 1, np.int32)
     np.add.at(delta, wanted, 1)
     np.add.at(delta, until + 1, -1)
     needed = np.cumsum(delta[:-1]) > 0
@@ -219,45 +220,40 @@ def repeated_starts(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     matrix[inside] = np.frombuffer(b"".join(rows["bytes"].to_pylist()), np.uint8)
     gram, origin = rows["gram"].to_numpy(), rows["begin"].to_numpy() - (SPAN - 1 - lead)
     up, _ = _powers()
-    values = np.where(inside, matrix.astype(np.uint64) + np.uint64(1), np.uint64(0))
     doc, tie = rows["doc"].to_numpy(), rows["tie"].to_numpy()
-    pieces, owners, firsts, later = [], [], [], []
+    later: list[tuple[np.ndarray, np.ndarray]] = []
+    # Equal strings hold their anchor at the same place, so each part of the strings is a sort of its own.
     for a, b in zip(PARTS, PARTS[1:], strict=False):
         low, high = SPAN - 1 - (b - 1), frame - a
-        core = slice(SPAN - 1 - a, frame - (b - 1))
         # Only rows whose shared bytes of this part occur twice can hold equal strings of it.
-        able = np.flatnonzero(inside[:, core].all(1))
-        hashes = values[able, core] @ up[: core.stop - core.start]
-        _, group, counts = np.unique(_mixed(hashes ^ gram[able].view(np.uint64)), return_inverse=True, return_counts=True)
-        able = able[counts[group] > 1]
-        at = np.arange(b - a) + low
-        fits = inside[able][:, at] & inside[able][:, at + LENGTH - 1]
+        core = slice(b - 1 - a, LENGTH)
+        able = np.flatnonzero(inside[:, low:high][:, core].all(1))
+        values = np.where(inside[able, low:high], matrix[able, low:high].astype(np.uint64) + np.uint64(1), np.uint64(0))
+        hashes = _mixed((values[:, core] @ up[: core.stop - core.start]) ^ gram[able].view(np.uint64))
+        _, group, counts = np.unique(hashes, return_inverse=True, return_counts=True)
+        twice = counts[group] > 1
+        able, values = able[twice], values[twice]
         # Of rows that are equal in the whole part the first is sorted, the strings of the others go.
-        whole = _mixed(values[able, low:high] @ up[: high - low])
+        whole = _mixed(values @ up[: high - low])
         by = np.lexsort((origin[able], tie[able], doc[able], whole))
         copy = np.zeros(len(able), bool)
         copy[by[1:][whole[by[1:]] == whole[by[:-1]]]] = True
+        at = np.arange(b - a) + low
+        fits = inside[able][:, at] & inside[able][:, at + LENGTH - 1]
         rows_at, starts_at = np.nonzero(fits & copy[:, None])
         later.append((able[rows_at], low + starts_at))
         able, fits = able[~copy], fits[~copy]
-        pieces.append(np.pad(matrix[able, low:high], ((0, 0), (0, LENGTH + b - a - (high - low) + 1))).ravel())
+        width = high - low + 1
         rows_at, starts_at = np.nonzero(fits)
-        owners.append(able[rows_at])
-        firsts.append((rows_at, starts_at, LENGTH + b - a + 1))
-    base, wanted = 0, []
-    for piece, (rows_at, starts_at, width) in zip(pieces, firsts, strict=True):
-        wanted.append(base + rows_at * width + starts_at)
-        base += len(piece)
-    shift = np.concatenate([SPAN - b + starts for b, (_, starts, _) in zip(PARTS[1:], firsts, strict=True)])
-    owner, wanted = np.concatenate(owners), np.concatenate(wanted)
-    text = np.concatenate([*pieces, np.zeros(LENGTH + 8, np.uint8)])
-    if len(wanted):
+        wanted = rows_at * width + starts_at
+        if not len(wanted):
+            continue
+        text = np.zeros(len(able) * width + LENGTH + 8, np.uint8)
+        text[: len(able) * width].reshape(-1, width)[:, :-1] = matrix[able, low:high]
         order = two_stage_order(text, wanted)
-        fresh = adjacent_prefixes(text, order) < LENGTH
-        index = np.searchsorted(wanted, order)
-        owner, shift = owner[index], shift[index]
+        run = np.cumsum(adjacent_prefixes(text, order) < LENGTH)
+        owner, shift = able[order // width], low + order % width
         # Equal strings stand together; the first of them by document and place stays.
-        run = np.cumsum(fresh)
         by = np.lexsort((origin[owner] + shift, tie[owner], doc[owner], run))
         run, owner, shift = run[by], owner[by], shift[by]
         head = np.flatnonzero(np.r_[True, run[1:] != run[:-1]])
@@ -410,7 +406,7 @@ def _whole_grams(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Table]:
         ends = np.flatnonzero(gram[1:] != gram[:-1]) + 1
         if held and len(gram) and parts[-1].column(0)[-1].as_py() != gram[0]:
             ends = np.r_[0, ends]
-        if held + len(gram) >= TOGETHER and len(ends):
+        if held + len(gram) >= ROWS_AT_ONCE and len(ends):
             cut = int(ends[-1])
             yield pa.Table.from_batches([*parts, batch.slice(0, cut)])
             parts, held, batch = [], 0, batch.slice(cut)
