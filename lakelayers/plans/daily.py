@@ -124,16 +124,18 @@ def _run(spark, lake: Lake, dates: list[str], run: DayRun, as_of) -> None:
     def step(task: str, layer: str | None, todo: list[str], job: Callable[[list[str]], object]) -> list[tuple]:
         """Run one layer's job for all dates; if it breaks, for either half, so that a bad date is left alone.
 
-        Returns begin, dates and outcome of what went through. A date that breaks the job by itself is recorded.
+        Returns begin, dates and outcome of what went through. A date that breaks the job by itself is recorded. Where
+        a step leaves nothing but its own dates (``scope="table"``), halves would replace each other: all dates fail.
         """
         begun = _now()
+        whole = lake.scope == "table" and layer in ("silver", "gold")
         try:
             return [(begun, todo, job(todo))]
         except Exception as error:  # noqa: BLE001 -- kept for the end of the run
-            if len(todo) > 1:
+            if len(todo) > 1 and not whole:
                 half = len(todo) // 2
                 return step(task, layer, todo[:half], job) + step(task, layer, todo[half:], job)
-            run.record(lake, task, layer, begun, {todo[0]: "failed"})
+            run.record(lake, task, layer, begun, dict.fromkeys(todo, "failed"))
             run.errors.append(error)
             return []
 

@@ -297,6 +297,17 @@ def test_the_user_names_what_newest_means(spark, tmp_path):
     assert kept == [("9.00",), ("10.00",)]
 
 
+def test_a_broken_step_of_a_whole_table_fails_for_all_days(spark, tmp_path, monkeypatch):
+    lake = Lake(str(tmp_path / "lake"), str(tmp_path / "raw"), scope="table")
+    put(lake, D1, DAY_1)
+    put(lake, D2, DAY_2)
+    asked = []
+    monkeypatch.setattr(daily, "build_days", lambda *args: asked.append(args[3]) or 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        daily.run_pending(spark, lake)
+    assert asked == [[D1, D2]] and daily.find_pending(spark, lake) == [D1, D2]
+
+
 def test_staging_is_removed(spark, lake):
     put(lake, D1, DAY_1)
     run = daily.run_day(spark, lake, D1)
