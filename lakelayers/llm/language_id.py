@@ -22,7 +22,9 @@ MAX_GRAMS = 2_000_000
 # Documents per language that calibrate the rejection.
 CALIBRATION_DOCS = 2000
 UNKNOWN = "und"
-PIECE = 1 << 19
+PIECE = 1 << 18
+# Rows that are judged together.
+AT_ONCE = 512
 
 
 @lru_cache(maxsize=1)
@@ -42,7 +44,7 @@ def _alphabet() -> tuple[np.ndarray, np.ndarray]:
     return symbols, letters
 
 
-def _pieces(texts: Iterable[bytes | None]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def _pieces(texts: Iterable[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """``(document, length, packed n-grams)`` for a bounded stretch of text at a time.
 
     A document begins after a gap and ends with one; runs of gaps count once. A text longer than a piece is read
@@ -54,7 +56,7 @@ def _pieces(texts: Iterable[bytes | None]) -> Iterator[tuple[np.ndarray, np.ndar
     size = 0
     pad = np.zeros(ORDER - 1, np.int64)
     for number, text in enumerate(texts):
-        whole = np.frombuffer((text or b"").decode("utf-8", "replace").encode("utf-32-le"), "<u4")
+        whole = np.frombuffer((text or "").encode("utf-32-le"), "<u4")
         if not letters[whole].any():
             continue
         for at in range(0, len(whole), PIECE):
@@ -113,7 +115,7 @@ def gram_counts(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
             yield sent(lang)
 
     rows = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    rows = rows.select(F.col(lang_col).alias("lang"), F.col(text_col).cast("binary").alias("text"))
+    rows = rows.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
     parts = map_arrow(rows, counted, "lang string, gram long, n long")
     return parts.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
@@ -191,7 +193,7 @@ class LanguageModel:
             return out
         return self.logs[at]
 
-    def entropies(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
+    def entropies(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Cross-entropy per symbol of every text under every language, and its number of symbols (0: no letter)."""
         sums = np.zeros((len(texts), len(self.languages)))
         sizes = np.zeros(len(texts), np.int64)
@@ -202,7 +204,7 @@ class LanguageModel:
             np.add.at(sizes, docs, lengths)
         return -sums / np.maximum(sizes, 1)[:, None], sizes
 
-    def judged(self, texts: list[bytes | None]) -> tuple[list[str], list[float], list[float], list[int], list[bool]]:
+    def judged(self, texts: list[str | None]) -> tuple[list[str], list[float], list[float], list[int], list[bool]]:
         """Language, share of the likelihood (0 to 1), cross-entropy, symbols, rejection of every text."""
         entropy, sizes = self.entropies(texts)
         if not self.languages:
@@ -223,16 +225,18 @@ def _scored(docs: DataFrame, model: LanguageModel, text_col: str) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def scored(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = (pa.string(), pa.float64(), pa.float64(), pa.int64(), pa.bool_())
         for batch in batches:
-            found = shared.value.judged(batch.column(1).to_pylist())
-            kinds = (pa.string(), pa.float64(), pa.float64(), pa.int64(), pa.bool_())
-            columns = [pa.array(x, t) for x, t in zip(found, kinds, strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names)
+            for at in range(0, batch.num_rows, AT_ONCE):
+                part = batch.slice(at, AT_ONCE).column(0)
+                found = shared.value.judged(part.field(place).to_pylist())
+                columns = [pa.array(x, t) for x, t in zip(found, kinds, strict=True)]
+                yield pa.RecordBatch.from_arrays([part, *columns], names)
 
     names = ["_row", "lang_pred", "score", "entropy", "symbols", "rejected"]
-    rows = docs.select(
-        F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("_row"), docs[text_col].cast("binary").alias("_text")
-    )
+    # The text is sent once, inside its row.
+    place = docs.columns.index(text_col)
+    rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("_row"))
     schema = T.StructType([rows.schema["_row"]])
     schema.add("lang_pred", "string").add("score", "double").add("entropy", "double")
     return map_arrow(rows, scored, schema.add("symbols", "long").add("rejected", "boolean"))

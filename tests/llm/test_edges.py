@@ -118,7 +118,7 @@ def test_language_id_rejects_what_it_was_not_calibrated_on(spark, sf_dir):
 
 
 def test_language_pieces(monkeypatch):
-    texts = [b"some text, to be read in pieces " * 5, None, b"", b"x", b"1"]
+    texts = ["some text, to be read in pieces " * 5, None, "", "x", "1"]
     counts = np.unique(np.concatenate([g for _, _, g in language_id._pieces(texts)]), return_counts=True)
     model = language_id.LanguageModel({"en": counts})
     whole, sizes = model.entropies(texts)
