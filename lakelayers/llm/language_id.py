@@ -9,22 +9,28 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakelayers.llm.common import map_arrow
+from lakelayers.llm.common import map_arrow, stored
 
 ORDER = 4
 BITS = 12
-# Rows of the broadcast model: at most this many n-grams of all languages together, the most frequent ones.
+# The model is broadcast up to this many n-grams of all languages together, and this many log probabilities for each
+# of them; a larger one stays in written tables.
 MAX_GRAMS = 2_000_000
+LOGS_PER_GRAM = 8
 # Documents per language that calibrate the rejection.
 CALIBRATION_DOCS = 2000
 UNKNOWN = "und"
 PIECE = 1 << 18
 # Rows that are judged together.
 AT_ONCE = 512
+FOUND = ["lang_pred", "score", "entropy", "symbols", "rejected"]
+KINDS = (pa.string(), pa.float64(), pa.float64(), pa.int64(), pa.bool_())
+
+Judged = tuple[list[str], list[float], list[float], list[int], list[bool]]
 
 
 @lru_cache(maxsize=1)
@@ -98,6 +104,9 @@ def gram_counts(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
                 n = np.bincount(place, n).astype(np.int64)
             sums[lang] = [grams, n]
 
+        def full() -> bool:
+            return sum(len(grams) for grams, _ in sums.values()) > 1 << 20
+
         def sent(lang: str) -> pa.RecordBatch:
             grams, n = sums.pop(lang)
             return pa.RecordBatch.from_arrays([pa.array([lang] * len(grams)), pa.array(grams), pa.array(n)], names)
@@ -109,8 +118,8 @@ def gram_counts(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
                 own = [i for i, x in enumerate(langs) if x == lang]
                 for _, _, grams in _pieces(batch.column(1)[i].as_py() for i in own):
                     add(lang, *np.unique(grams, return_counts=True))
-                    if len(sums[lang][0]) > 1 << 20:
-                        yield sent(lang)
+                    if full():
+                        yield from map(sent, list(sums))
         for lang in list(sums):
             yield sent(lang)
 
@@ -120,6 +129,11 @@ def gram_counts(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
     return parts.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
+def _logged(probabilities: np.ndarray) -> np.ndarray:
+    """Logarithms as multiples of 2^-20, so that sums of them are exact in any order."""
+    return (np.round(np.log(probabilities) * (1 << 20)) / (1 << 20)).astype(np.float32)
+
+
 def _looked_up(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray, missing: float) -> np.ndarray:
     if not len(keys):
         return np.full(len(wanted), missing)
@@ -172,8 +186,8 @@ class LanguageModel:
         return (grams.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(self.shift)
 
     def _logs(self, grams: np.ndarray) -> np.ndarray:
-        columns = [np.log(m.probability(grams)) for m in self.models]
-        return np.stack(columns, axis=1).astype(np.float32) if columns else np.zeros((len(grams), 0), np.float32)
+        columns = [_logged(m.probability(grams)) for m in self.models]
+        return np.stack(columns, axis=1) if columns else np.zeros((len(grams), 0), np.float32)
 
     def log_probabilities(self, grams: np.ndarray) -> np.ndarray:
         if not len(self.grams):
@@ -204,36 +218,121 @@ class LanguageModel:
             np.add.at(sizes, docs, lengths)
         return -sums / np.maximum(sizes, 1)[:, None], sizes
 
-    def judged(self, texts: list[str | None]) -> tuple[list[str], list[float], list[float], list[int], list[bool]]:
-        """Language, share of the likelihood (0 to 1), cross-entropy, symbols, rejection of every text."""
-        entropy, sizes = self.entropies(texts)
-        if not self.languages:
-            return [UNKNOWN] * len(texts), [0.0] * len(texts), [0.0] * len(texts), sizes.tolist(), [True] * len(texts)
-        best = entropy.argmin(1)
-        least = entropy[np.arange(len(texts)), best]
-        # Neighbouring symbols depend on each other, so a text counts as that many independent ones at most.
-        weight = np.exp(-(entropy - least[:, None]) * np.minimum(sizes, 100)[:, None])
-        score = np.where(sizes > 0, 1.0 / weight.sum(1), 0.0)
-        lang = [self.languages[b] if n else UNKNOWN for b, n in zip(best, sizes, strict=True)]
-        mean, spread = np.array([self.limits.get(x, (np.inf, 0.0)) for x in self.languages]).T
-        limit = mean[best] + spread[best] / np.sqrt(np.maximum(sizes, 1))
-        return lang, score.tolist(), least.tolist(), sizes.tolist(), ((sizes == 0) | (least > limit)).tolist()
-
-
-def _scored(docs: DataFrame, model: LanguageModel, text_col: str) -> DataFrame:
+    def judged(self, texts: list[str | None]) -> Judged:
+        return decided(self.languages, self.limits, *self.entropies(texts))
+
+
+def decided(languages: list[str], limits: dict[str, tuple[float, float]], entropy: np.ndarray, sizes: np.ndarray) -> Judged:
+    """Language, share of the likelihood (0 to 1), cross-entropy, symbols, rejection of every text."""
+    if not languages:
+        return [UNKNOWN] * len(sizes), [0.0] * len(sizes), [0.0] * len(sizes), sizes.tolist(), [True] * len(sizes)
+    best = entropy.argmin(1)
+    least = entropy[np.arange(len(sizes)), best]
+    # Neighbouring symbols depend on each other, so a text counts as that many independent ones at most.
+    weight = np.exp(-(entropy - least[:, None]) * np.minimum(sizes, 100)[:, None])
+    score = np.where(sizes > 0, 1.0 / weight.sum(1), 0.0)
+    lang = [languages[b] if n else UNKNOWN for b, n in zip(best, sizes, strict=True)]
+    mean, spread = np.array([limits.get(x, (np.inf, 0.0)) for x in languages]).T
+    limit = mean[best] + spread[best] / np.sqrt(np.maximum(sizes, 1))
+    return lang, score.tolist(), least.tolist(), sizes.tolist(), ((sizes == 0) | (least > limit)).tolist()
+
+
+class LanguageTables:
+    """The same models as written tables, for any number of n-grams.
+
+    For each order the shares by n-gram and the rests by context, with the languages that have them. An n-gram and a
+    context meet at most ``1 << BITS`` others in a join.
+    """
+
+    def __init__(self, counts: DataFrame, languages: list[str], max_logs: int) -> None:
+        self.languages, self.max_logs = languages, max_logs
+        self.limits: dict[str, tuple[float, float]] = {}
+        self.levels: list[tuple[DataFrame, DataFrame]] = []
+        places = counts.sparkSession.createDataFrame(list(enumerate(languages)), "place int, lang string")
+        level = counts.join(places, "lang").select("place", "gram", F.col("n").cast("double").alias("n"))
+        for size in range(ORDER, 0, -1):
+            level = stored(level, "level")
+            kinds = [F.count_if(F.col("n") == x).alias(name) for x, name in ((1, "once"), (2, "twice"))]
+            discounts = [0.5] * len(languages)
+            for r in level.groupBy("place").agg(*kinds).collect():  # one row per language
+                if r["once"] and r["twice"]:
+                    discounts[r["place"]] = r["once"] / (r["once"] + 2 * r["twice"])
+            discount = F.array(*map(F.lit, discounts))[F.col("place")]
+            context = F.shiftright("gram", BITS)
+            total = F.sum("n").over(Window.partitionBy("place", context))
+            share = F.greatest(F.col("n") - discount, F.lit(0.0)) / total
+            rest = discount * F.count(F.lit(1)) / F.sum("n")
+            shares = level.select("gram", F.struct("place", share.alias("x")).alias("own"))
+            rests = level.groupBy("place", context.alias("context")).agg(rest.alias("x"))
+            rests = rests.select("context", F.struct("place", "x").alias("own"))
+            shares = shares.groupBy("gram").agg(F.collect_list("own").alias("shares"))
+            rests = rests.groupBy("context").agg(F.collect_list("own").alias("rests"))
+            self.levels.append((stored(shares, "shares"), stored(rests, "rests")))
+            lower = F.col("gram").bitwiseAND((1 << BITS * (size - 1)) - 1)
+            level = level.groupBy("place", lower.alias("gram")).agg(F.count(F.lit(1)).cast("double").alias("n"))
+
+    def logs(self, grams: DataFrame) -> DataFrame:
+        """``gram, logs``: log probability under every language of each of the different ``grams``."""
+        width = len(self.languages)
+
+        def dense(places: pa.Array, values: pa.Array, missing: float) -> np.ndarray:
+            out = np.full((len(places), width), missing)
+            rows = np.repeat(np.arange(len(places)), places.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+            out[rows, places.flatten().to_numpy()] = values.flatten().to_numpy()
+            return out
+
+        def interpolated(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                gram, share_of, shares, rest_of, rests, lower = batch.columns
+                below = np.full((len(gram), width), 1.0 / (1 << BITS)) if lower.null_count else _matrix(lower, width)
+                found = dense(share_of, shares, 0.0) + dense(rest_of, rests, 1.0) * below
+                yield pa.RecordBatch.from_arrays([gram, _lists(found)], ["gram", "p"])
+
+        def logged(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                found = _lists(_logged(_matrix(batch.column(1), width)))
+                yield pa.RecordBatch.from_arrays([batch.column(0), found], ["gram", "logs"])
+
+        wanted = [grams.select("gram")]
+        for size in range(ORDER - 1, 0, -1):
+            part = F.col("gram").bitwiseAND((1 << BITS * size) - 1)
+            wanted.append(wanted[-1].select(part.alias("gram")).distinct())
+        lower = None
+        for size, own, (shares, rests) in zip(range(1, ORDER + 1), wanted[::-1], self.levels[::-1], strict=True):
+            rows = own.join(shares, "gram", "left").withColumn("context", F.shiftright("gram", BITS)).join(rests, "context", "left")
+            if lower is None:
+                rows = rows.withColumn("lower", F.lit(None).cast("array<double>"))
+            else:
+                rows = rows.withColumn("below", F.col("gram").bitwiseAND((1 << BITS * (size - 1)) - 1))
+                rows = rows.join(lower.select(F.col("gram").alias("below"), F.col("p").alias("lower")), "below")
+            rows = rows.select("gram", "shares.place", "shares.x", "rests.place", "rests.x", "lower")
+            rows = rows.toDF("gram", "share_of", "share", "rest_of", "rest", "lower")
+            lower = map_arrow(rows, interpolated, "gram long, p array<double>")
+        return map_arrow(lower, logged, "gram long, logs array<float>")
+
+
+def _matrix(lists: pa.Array, width: int) -> np.ndarray:
+    return lists.flatten().to_numpy().reshape(-1, width)
+
+
+def _lists(rows: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1) * rows.shape[1], pa.int32()), pa.array(rows.ravel()))
+
+
+def _scored(docs: DataFrame, model: LanguageModel | LanguageTables, text_col: str) -> DataFrame:
     """``_row`` (all columns of ``docs``) with ``lang_pred, score, entropy, symbols, rejected``."""
+    if isinstance(model, LanguageTables):
+        return _joined(docs, model, text_col)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def scored(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = (pa.string(), pa.float64(), pa.float64(), pa.int64(), pa.bool_())
         for batch in batches:
             for at in range(0, batch.num_rows, AT_ONCE):
                 part = batch.slice(at, AT_ONCE).column(0)
                 found = shared.value.judged(part.field(place).to_pylist())
-                columns = [pa.array(x, t) for x, t in zip(found, kinds, strict=True)]
-                yield pa.RecordBatch.from_arrays([part, *columns], names)
+                columns = [pa.array(x, t) for x, t in zip(found, KINDS, strict=True)]
+                yield pa.RecordBatch.from_arrays([part, *columns], ["_row", *FOUND])
 
-    names = ["_row", "lang_pred", "score", "entropy", "symbols", "rejected"]
     # The text is sent once, inside its row.
     place = docs.columns.index(text_col)
     rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("_row"))
@@ -242,6 +341,80 @@ def _scored(docs: DataFrame, model: LanguageModel, text_col: str) -> DataFrame:
     return map_arrow(rows, scored, schema.add("symbols", "long").add("rejected", "boolean"))
 
 
+def _joined(docs: DataFrame, model: LanguageTables, text_col: str) -> DataFrame:
+    """As ``_scored``, from tables: what the documents' most frequent n-grams cost is broadcast, the others are joined.
+
+    An n-gram that is not broadcast holds a small share of the text, so no key of the join is frequent. Logarithms
+    are summed exactly: the result is that of a broadcast model.
+    """
+    spark, languages, limits = docs.sparkSession, model.languages, model.limits
+    width = len(languages)
+    rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("_row"))
+    rows = stored(rows.withColumn("_id", F.monotonically_increasing_id()), "rows")
+    texts = rows.select("_id", F.col("_row")[text_col].alias("text"))
+    wanted = stored(gram_counts(texts.withColumn("lang", F.lit("")), "text", "lang").select("gram", "n"), "wanted")
+    logs = stored(model.logs(wanted), "logs")
+    frequent = wanted.orderBy(F.desc("n"), "gram").limit(model.max_logs // width)
+    found = logs.join(frequent, "gram", "left_semi").toArrow().combine_chunks()
+    grams, costs = found["gram"].to_numpy(), found["logs"].combine_chunks()
+    order = np.argsort(grams)
+    shared = spark.sparkContext.broadcast((grams[order], _matrix(costs, width)[order]))
+
+    def summed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, costs = shared.value
+        for batch in batches:
+            for start in range(0, batch.num_rows, AT_ONCE):
+                ids, texts = (c.slice(start, AT_ONCE) for c in batch.columns)
+                sums, sizes = np.zeros((len(ids), width)), np.zeros(len(ids), np.int64)
+                for numbers, lengths, grams in _pieces(texts.to_pylist()):
+                    owner = np.repeat(numbers, lengths)
+                    np.add.at(sizes, numbers, lengths)
+                    at = np.minimum(np.searchsorted(known, grams), max(len(known) - 1, 0))
+                    here = known[at] == grams if len(known) else np.zeros(len(grams), bool)
+                    for lang in range(width):
+                        sums[:, lang] += np.bincount(owner[here], costs[at[here], lang], len(ids))
+                    owner, grams = owner[~here], grams[~here]
+                    order = np.lexsort((grams, owner))
+                    owner, grams = owner[order], grams[order]
+                    first = np.flatnonzero(np.diff(owner, prepend=-1) | np.diff(grams, prepend=-1))
+                    n = np.diff(first, append=len(grams))
+                    late = ids.take(pa.array(owner[first]))
+                    none = pa.nulls(len(late), pa.list_(pa.float64()))
+                    yield pa.RecordBatch.from_arrays([late, pa.array(grams[first]), pa.array(n, pa.int64()), none], names)
+                yield pa.RecordBatch.from_arrays([ids, pa.nulls(len(ids), pa.int64()), pa.array(sizes), _lists(sums)], names)
+
+    def judged(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def sent(ids: np.ndarray, sums: np.ndarray, sizes: np.ndarray) -> pa.RecordBatch:
+            found = decided(languages, limits, -sums / np.maximum(sizes, 1)[:, None], sizes)
+            columns = [pa.array(x, t) for x, t in zip(found, KINDS, strict=True)]
+            return pa.RecordBatch.from_arrays([pa.array(ids), *columns], ["_id", *FOUND])
+
+        # The last document of a batch may go on in the next.
+        held = np.zeros(0, np.int64), np.zeros((0, width)), np.zeros(0, np.int64)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            ids, sizes, times = (batch.column(i).to_numpy() for i in range(3))
+            ids = np.r_[held[0], ids]
+            sums = np.r_[held[1], _matrix(batch.column(3), width) * times[:, None]]
+            first = np.flatnonzero(np.diff(ids, prepend=-1))
+            sums, sizes = np.add.reduceat(sums, first, axis=0), np.add.reduceat(np.r_[held[2], sizes], first)
+            ids = ids[first]
+            held = ids[-1:], sums[-1:], sizes[-1:]
+            yield sent(ids[:-1], sums[:-1], sizes[:-1])
+        if len(held[0]):
+            yield sent(*held)
+
+    names = ["_id", "gram", "n", "sums"]
+    parts = stored(map_arrow(texts, summed, "_id long, gram long, n long, sums array<double>"), "parts")
+    whole = parts.filter("gram IS NULL").select("_id", F.col("n").alias("size"), F.lit(1).cast("long").alias("times"), "sums")
+    late = parts.filter("gram IS NOT NULL").select("_id", "gram", "n").join(logs, "gram")
+    late = late.select("_id", F.lit(0).cast("long"), "n", F.col("logs").cast("array<double>"))
+    both = whole.union(late).repartition("_id").sortWithinPartitions("_id")
+    results = map_arrow(both, judged, "_id long, lang_pred string, score double, entropy double, symbols long, rejected boolean")
+    return rows.join(results, "_id").select("_row", *FOUND)
+
+
 @dataclass(frozen=True)
 class Calibration:
     """Rejected is what costs over ``slack`` more per symbol than the training texts' mean, plus ``sds`` deviations."""
@@ -257,22 +430,29 @@ def train(
     lang_col: str = "lang",
     max_grams: int = MAX_GRAMS,
     calibration: Calibration = Calibration(),
-) -> LanguageModel:
+) -> LanguageModel | LanguageTables:
     """Models from the whole texts of all rows with a language.
 
-    Counts cover all rows. The model is broadcast, so beyond ``max_grams`` n-grams the rarest are left out. The
-    rejection is calibrated on ``calibration.docs`` documents of each language, picked by hash.
+    Counts cover all rows and every n-gram. A model of up to ``max_grams`` n-grams is broadcast, a larger one stays in
+    tables; both give the same results. The rejection is calibrated on ``calibration.docs`` documents of each
+    language, picked by hash.
     """
-    counts = gram_counts(docs, text_col, lang_col).orderBy(F.desc("n"), "lang", "gram").limit(max_grams)
-    found = counts.toArrow()
-    langs = np.array(found["lang"].to_pylist(), dtype=object)
-    grams, n = found["gram"].to_numpy(), found["n"].to_numpy()
-    model = LanguageModel({lang: (grams[langs == lang], n[langs == lang]) for lang in sorted(set(langs))})
+    counts = stored(gram_counts(docs, text_col, lang_col), "grams")
+    size = counts.count()
+    languages = sorted(r["lang"] for r in counts.select("lang").distinct().collect())  # one row per language
+    model: LanguageModel | LanguageTables
+    if size > max_grams or size * len(languages) > LOGS_PER_GRAM * max_grams:
+        model = LanguageTables(counts, languages, LOGS_PER_GRAM * max_grams)
+    else:
+        found = counts.toArrow()
+        langs = np.array(found["lang"].to_pylist(), dtype=object)
+        grams, n = found["gram"].to_numpy(), found["n"].to_numpy()
+        model = LanguageModel({lang: (grams[langs == lang], n[langs == lang]) for lang in languages})
     _calibrate(model, docs, text_col, lang_col, calibration)
     return model
 
 
-def _calibrate(model: LanguageModel, docs: DataFrame, text_col: str, lang_col: str, by: Calibration) -> None:
+def _calibrate(model: LanguageModel | LanguageTables, docs: DataFrame, text_col: str, lang_col: str, by: Calibration) -> None:
     labelled = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     labelled = labelled.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
     labelled = labelled.withColumn("h", F.xxhash64("text"))
@@ -289,7 +469,7 @@ def _calibrate(model: LanguageModel, docs: DataFrame, text_col: str, lang_col: s
 
 
 def identify(
-    docs: DataFrame, model: LanguageModel, text_col: str = "text"
+    docs: DataFrame, model: LanguageModel | LanguageTables, text_col: str = "text"
 ) -> DataFrame:
     """``_row`` with ``lang_pred``, ``score``, ``entropy``, ``symbols`` and ``rejected`` for every row of ``docs``.
 
@@ -301,7 +481,7 @@ def identify(
     return _scored(docs, model, text_col)
 
 
-def known_language(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> DataFrame:
+def known_language(docs: DataFrame, model: LanguageModel | LanguageTables, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that are not rejected, columns as before."""
     kept = identify(docs, model, text_col).filter("NOT rejected")
     return kept.select(*[F.col("_row")[c].alias(c) for c in docs.columns])

@@ -108,6 +108,21 @@ def test_language_id(docs, empty):
     assert {(r.lang_pred, r.score, r.rejected) for r in language_id.identify(docs, none).collect()} == {("und", 0.0, True)}
 
 
+def test_language_id_keeps_every_gram(spark, docs, empty):
+    rare = [(20, "qwx jzkv", "zz"), (21, "zażółć gęślą jaźń", "pl"), (22, LINE + " Щъы unseen", None), (23, None, "zz")]
+    more = docs.select("doc_id", "text", "lang").union(spark.createDataFrame(rare, "doc_id long, text string, lang string"))
+    found = []
+    for most in (language_id.MAX_GRAMS, 40, 1):
+        model = language_id.train(more, max_grams=most)
+        assert isinstance(model, language_id.LanguageModel) == (most > 40)
+        rows = language_id.identify(more, model).collect()
+        found.append(sorted((r["_row"]["doc_id"], *r[1:]) for r in rows))
+        assert {r[0]: r[1] for r in found[-1] if r[0] >= 20} == {20: "zz", 21: "pl", 22: "en", 23: "und"}
+        assert len(rows) == len(DOCS) + 4 and language_id.identify(empty, model).collect() == []
+    # Not nearly but wholly the same, limits and scores too.
+    assert found[0] == found[1] == found[2]
+
+
 def test_language_id_rejects_what_it_was_not_calibrated_on(spark, sf_dir):
     given = spark.read.parquet(f"{sf_dir}/documents.parquet")
     model = language_id.train(given)
