@@ -24,7 +24,8 @@ TOKEN = re.compile(
     r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[/a-zA-Z][^>]*\Z|([^<]+|<)",
     re.S,
 )
-NAMES = re.compile(r"""\b(class|id|role|itemprop|hidden|aria-hidden)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.I)
+ATTRIBUTE = re.compile(r"""([^\s=/>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]*))?""")
+NAMING = set("class id role itemprop".split())
 WORDS = re.compile(r"[a-z0-9]+")
 
 BLOCK = set(
@@ -43,6 +44,11 @@ APART_NAMES = set(
     "share sharing sidebar signup skip social sponsor sponsored subscribe subscription teaser toolbar topbar widget".split()
 )
 MAIN_NAMES = set("article articlebody content entry main maincontent post story".split())
+# Parts behind which a name stays what it is, and parts that make it tell of something else (``has-sidebar``).
+BOXES = set("area block box body container content inner item items link links list section slot text unit wrapper".split())
+STATES = set("has have hide is no non not show with without".split())
+# Their classes tell of the page or of its state.
+NEVER_APART = set("html body main article".split())
 # An open element of the first kind ends where one of the second begins.
 ENDS = {
     "p": BLOCK, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th", "tr"},
@@ -52,17 +58,30 @@ ENDS = {
 Item = str | tuple[str, tuple]
 
 
-def _named(attributes: str) -> tuple[str, bool]:
-    """The element's telling name as a suffix, and whether it is apart from the article."""
+def _named(tag: str, attributes: str) -> tuple[str, bool]:
+    """The element's telling name as a suffix, and whether it is apart from the article.
+
+    A word of class or id tells by the whole of it or by its last part, a ``sidebar-box`` is a ``sidebar``.
+    """
     words: set[str] = set()
-    for name, value in NAMES.findall(attributes):
-        name, value = name.lower(), value.strip("\"'").lower()
-        if name == "hidden" or name == "aria-hidden" and value == "true":
-            return ".hidden", True
-        words.update(WORDS.findall(value))
-        words.add("".join(WORDS.findall(value)))
+    given: dict[str, str] = {}
+    for name, value in ATTRIBUTE.findall(attributes):
+        given.setdefault(name.lower(), value.strip("\"'").lower())
+    if "hidden" in given or given.get("aria-hidden") == "true":
+        return ".hidden", True
+    if tag in ("html", "body"):
+        return "", False
+    for name in NAMING & given.keys():
+        for word in given[name].split():
+            parts = WORDS.findall(word)
+            if not parts or STATES.intersection(parts):
+                continue
+            words.add("".join(parts))
+            while len(parts) > 1 and parts[-1] in BOXES:
+                parts.pop()
+            words.add(parts[-1])
     apart = sorted(words & APART_NAMES)
-    if apart:
+    if apart and tag not in NEVER_APART:
         return f".{apart[0]}", True
     main = sorted(words & MAIN_NAMES)
     return (f".{main[0]}", False) if main else ("", False)
@@ -103,7 +122,7 @@ def events(page: str) -> Iterator[tuple[str, str]]:
         if tag == "br":
             yield "text", " "
             continue
-        if tag not in BLOCK and (end or not _named(attributes)[1] or tag in VOID):
+        if tag not in BLOCK and (end or not _named(tag, attributes)[1] or tag in VOID):
             if end and tag in tags[-1:]:
                 tags.pop()
                 yield "close", stack.pop()
@@ -123,7 +142,7 @@ def events(page: str) -> Iterator[tuple[str, str]]:
             yield "open", "hr"
             yield "close", "hr"
             continue
-        suffix, apart = _named(attributes)
+        suffix, apart = _named(tag, attributes)
         name = f"{'!' if apart or tag in APART else ''}{tag}{suffix}"
         stack.append(name)
         tags.append(tag)
@@ -295,26 +314,42 @@ def slots(wrapper: tuple[Item, ...], path: tuple[str, ...] = (), repeated: bool
             open_.append(item)
 
 
+def _by_tag(name: str) -> bool:
+    return name.startswith("!") and name[1:].split(".")[0] in APART - {"form"}
+
+
+def _aparts(path: tuple[str, ...]) -> int:
+    return sum(x.startswith("!") for x in path)
+
+
+def _last_apart(path: tuple[str, ...]) -> int:
+    return max((i for i, x in enumerate(path) if x.startswith("!")), default=-1)
+
+
 def main_container(wrapper: tuple[Item, ...], weights: dict[tuple[str, ...], int]) -> tuple[str, ...]:
     """Path of the element whose text slots are the article.
 
     The outermost article or main element, by tag or by class or id; without one, the element whose own slots and
     paragraphs hold the most text on the host's pages, those in repeated groups before others. Slots apart from
-    articles do not count.
+    articles do not count. If there are no others, those in the fewest elements that only their class or id, or a
+    form around the whole page, sets apart do.
     """
-    free = [(p, r) for p, r in slots(wrapper) if not any(x.startswith("!") for x in p)]
+    every = [(p, r) for p, r in slots(wrapper) if not any(map(_by_tag, p))]
+    fewest = min((_aparts(p) for p, _ in every), default=0)
+    free = [(p, r) for p, r in every if _aparts(p) == fewest]
     for wanted in (lambda x: x.split(".")[0] in ("article", "main"), lambda x: "." in x):
         found: Counter[tuple[str, ...]] = Counter()
         for path, _ in free:
             at = next((i for i, x in enumerate(path) if wanted(x)), None)
             if at is not None:
+                at = max(at, _last_apart(path))
                 found[path[: at + 1]] += weights.get(path, 0) + 1
         if found:
             return max(sorted(found), key=lambda p: found[p])
     found = Counter()
     for path, repeated in free:
         container = path
-        while container and container[-1].split(".")[0] not in ("div", "section", "td", "body", "center"):
+        while len(container) > _last_apart(path) + 1 and container[-1].split(".")[0] not in ("div", "section", "td", "body", "center"):
             container = container[:-1]
         found[container] += (weights.get(path, 0) + 1) * (2 if repeated else 1)
     return max(sorted(found), key=lambda p: found[p]) if found else ()
@@ -323,13 +358,17 @@ def main_container(wrapper: tuple[Item, ...], weights: dict[tuple[str, ...], int
 def article(page: str, container: tuple[str, ...] | None) -> str:
     """The text under the container, without what is apart; a page that lacks it is judged by its own wrapper."""
     found = list(blocks(page))
-    free = [(path, text) for path, text in found if not any(x.startswith("!") for x in path)]
-    if container is None or free and not any(path[: len(container)] == container for path, _ in free):
+
+    def under(top: tuple[str, ...]) -> list[str]:
+        return [text for path, text in found if path[: len(top)] == top and not _aparts(path[len(top) :])]
+
+    texts = [] if container is None else under(container)
+    if found and not texts:
         weights: Counter[tuple[str, ...]] = Counter()
-        for path, text in free:
+        for path, text in found:
             weights[path] += len(text)
-        container = main_container(signature(page), weights)
-    return "\n\n".join(text for path, text in free if path[: len(container)] == container)
+        texts = under(main_container(signature(page), weights))
+    return "\n\n".join(texts)
 
 
 def _decoded(value: object) -> Item:

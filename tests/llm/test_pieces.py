@@ -167,6 +167,25 @@ def test_article(page, text):
     assert html_extract.article(page, None) == text
 
 
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<body class='has-sidebar'>{}</body>", "<body class=no-ads>{}", "<article class='post comment-open'>{}</article>",
+        "<div class='content with-sidebar'>{}</div>", "<div style='overflow:hidden'>{}</div>", "<div data-hidden=0>{}</div>",
+        "<main class=search id=header>{}</main>", "<div title='hidden or role=search'>{}</div><div hidden>no</div>",
+        "<body><form id=aspnetForm><nav>no</nav><div>{}</div><div class=ad-box>no</div></form>",
+        "<div class=sidebar>{}</div><footer>no</footer>", "<div id=wrapper class='page--has-sidebar'>{}<ul class=site-menu><li>no</ul></div>",
+    ],
+)
+@pytest.mark.parametrize("host", [None, ("body", "div.content")])
+def test_article_of_odd_names(page, host):
+    assert html_extract.article(page.format("<p>The text</p><p>of it</p>"), host) == "The text\n\nof it"
+
+
+def test_article_of_navigation_only():
+    assert html_extract.article("<body><nav>Home</nav><footer>end</footer>", None) == ""
+
+
 def test_term_counts_see_the_whole_text(monkeypatch):
     text = ("Some words, 12 of them.\n" * 50).encode()
     whole = quality.term_counts(text)
