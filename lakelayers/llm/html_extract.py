@@ -34,7 +34,10 @@ BLOCK = set(
     "td tfoot th thead tr ul".split()
 )
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-RAW = set("script style textarea title noscript template iframe object svg math head xmp noembed noframes".split())
+RAW = set("script style textarea title noscript iframe xmp noembed noframes".split())
+# Left out with the elements in them.
+SKIPPED = set("template object svg math".split())
+RAW_ENDS = {tag: re.compile(rf"</{tag}(?![^\s/>])", re.I) for tag in RAW}
 # Never part of the article, and what class or id names tell the same.
 APART = set("nav header footer aside form menu dialog select button fieldset".split())
 APART_NAMES = set(
@@ -87,6 +90,20 @@ def _named(tag: str, attributes: str) -> tuple[str, bool]:
     return (f".{main[0]}", False) if main else ("", False)
 
 
+def _tokens(page: str) -> Iterator[re.Match]:
+    """The tokens of the page; what stands in a raw element is none, up to its literal end tag."""
+    at: int | None = 0
+    while at is not None:
+        start, at = at, None
+        for match in TOKEN.finditer(page, start):
+            yield match
+            end, tag, attributes = (match[1], match[2], match[3]) if match[2] else match.group(4, 5, 6)
+            if tag is not None and not end and not attributes.endswith("/") and tag.lower() in RAW:
+                closed = RAW_ENDS[tag.lower()].search(page, match.end())
+                at = closed.start() if closed else None
+                break
+
+
 def events(page: str) -> Iterator[tuple[str, str]]:
     """``("open", name)``, ``("close", name)`` of block elements and ``("text", text)``, nested properly.
 
@@ -96,7 +113,7 @@ def events(page: str) -> Iterator[tuple[str, str]]:
     stack: list[str] = []
     tags: list[str] = []
     skip_to, nested = "", 0
-    for match in TOKEN.finditer(page):
+    for match in _tokens(page):
         text = match[7]
         if text is not None:
             if not skip_to:
@@ -110,12 +127,12 @@ def events(page: str) -> Iterator[tuple[str, str]]:
             if tag == skip_to:
                 nested += -1 if end else 1
                 skip_to = skip_to if nested > 0 else ""
-            elif tag == "body" and skip_to == "head":
-                skip_to = ""
-            if skip_to or tag != "body":
-                continue
+            continue
         attributes = match[3] or match[6] or ""
-        if tag in RAW:
+        # A head needs no end tag: what may stand in it has no text, so text or a block is the body's.
+        if tag in RAW or tag == "head":
+            continue
+        if tag in SKIPPED:
             if not end and not attributes.endswith("/"):
                 skip_to, nested = tag, 1
             continue

@@ -182,6 +182,24 @@ def test_article_of_odd_names(page, host):
     assert html_extract.article(page.format("<p>The text</p><p>of it</p>"), host) == "The text\n\nof it"
 
 
+@pytest.mark.parametrize(
+    "before",
+    [
+        "<body><script>for(i=0;i<n;i++){f(i)}</script><script>g()</script>", "<SCRIPT>a<b</sCript ><script>'</scripts>'</script>",
+        "<html><head><title>a <b c</title><meta charset=utf-8><link rel=x>", "<head><style>p<q{}</style><script src=x></script>\n",
+        "<svg><style>a<b{}</style><text>no</text></svg><textarea><p>no</textarea>", "<head><title>T</title></head><body><iframe>no</iframe>",
+        "<noscript><img src='a></noscript>",
+    ],
+)
+def test_article_after_raw_elements(before):
+    assert html_extract.article(f"{before}<article><p>The text<script>if(a<b)c()</script></p></article>", None) == "The text"
+
+
+def test_article_needs_no_body_tag():
+    assert html_extract.article("<head><title>T</title>Text <b>and</b> more", None) == "Text and more"
+    assert html_extract.article("<p>a</p><script>never closed<p>b", None) == "a"
+
+
 def test_article_of_navigation_only():
     assert html_extract.article("<body><nav>Home</nav><footer>end</footer>", None) == ""
 
