@@ -21,8 +21,6 @@ BITS = 12
 # of them; a larger one stays in written tables.
 MAX_GRAMS = 2_000_000
 LOGS_PER_GRAM = 8
-# Documents per language that calibrate the rejection.
-CALIBRATION_DOCS = 2000
 UNKNOWN = "und"
 PIECE = 1 << 18
 # Rows that are judged together.
@@ -419,7 +417,6 @@ def _joined(docs: DataFrame, model: LanguageTables, text_col: str) -> DataFrame:
 class Calibration:
     """Rejected is what costs over ``slack`` more per symbol than the training texts' mean, plus ``sds`` deviations."""
 
-    docs: int = CALIBRATION_DOCS
     sds: float = 8.0
     slack: float = 1.0
 
@@ -434,8 +431,7 @@ def train(
     """Models from the whole texts of all rows with a language.
 
     Counts cover all rows and every n-gram. A model of up to ``max_grams`` n-grams is broadcast, a larger one stays in
-    tables; both give the same results. The rejection is calibrated on ``calibration.docs`` documents of each
-    language, picked by hash.
+    tables; both give the same results. The rejection is calibrated on all rows with a language.
     """
     counts = stored(gram_counts(docs, text_col, lang_col), "grams")
     size = counts.count()
@@ -455,17 +451,14 @@ def train(
 def _calibrate(model: LanguageModel | LanguageTables, docs: DataFrame, text_col: str, lang_col: str, by: Calibration) -> None:
     labelled = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     labelled = labelled.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
-    labelled = labelled.withColumn("h", F.xxhash64("text"))
-    sizes = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    for lang, n in sizes.collect():  # one row per language
-        share = F.pmod("h", F.lit(1_000_003)) < min(1.0, by.docs / n) * 1_000_003
-        sample = labelled.filter((F.col("lang") == lang) & share)
-        seen = _scored(sample.select("text"), model, "text").filter("symbols > 0")
-        weight = F.col("symbols").cast("double")
-        mean = F.sum(F.col("entropy") * weight) / F.sum(weight)
-        row = seen.agg(mean.alias("mean"), F.stddev("entropy").alias("sd"), F.avg(F.sqrt(weight)).alias("root")).first()
-        if row["mean"] is not None:
-            model.limits[lang] = (row["mean"] + by.slack, by.sds * (row["sd"] or 0.0) * row["root"])
+    seen = _scored(labelled, model, "text").filter("symbols > 0")
+    weight = F.col("symbols").cast("double")
+    mean = F.sum(F.col("entropy") * weight) / F.sum(weight)
+    found = seen.groupBy(F.col("_row.lang").alias("lang")).agg(
+        mean.alias("mean"), F.stddev("entropy").alias("sd"), F.avg(F.sqrt(weight)).alias("root")
+    )
+    for row in found.collect():  # one row per language
+        model.limits[row["lang"]] = (row["mean"] + by.slack, by.sds * (row["sd"] or 0.0) * row["root"])
 
 
 def identify(

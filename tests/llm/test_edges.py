@@ -123,6 +123,17 @@ def test_language_id_keeps_every_gram(spark, docs, empty):
     assert found[0] == found[1] == found[2]
 
 
+def test_language_id_is_calibrated_on_copies(spark):
+    copies = [(i, f"{LINE} {t}", "en") for t, n in (("one", 3000), ("two of them", 1500)) for i in range(n)]
+    labelled = copies + [(9000, "Noch eine Zeile mit Text", "de")]
+    model = language_id.train(spark.createDataFrame(labelled, "doc_id long, text string, lang string"))
+    assert set(model.limits) == {"de", "en"}
+    entropy, sizes = model.entropies([LINE + " one", LINE + " two of them"])
+    own, n = np.repeat(entropy[:, model.languages.index("en")], (3000, 1500)), np.repeat(sizes, (3000, 1500))
+    mean, spread = (own * n).sum() / n.sum() + 1.0, 8.0 * own.std(ddof=1) * np.sqrt(n).mean()
+    assert model.limits["en"] == pytest.approx((mean, spread))
+
+
 def test_language_id_rejects_what_it_was_not_calibrated_on(spark, sf_dir):
     given = spark.read.parquet(f"{sf_dir}/documents.parquet")
     model = language_id.train(given)
