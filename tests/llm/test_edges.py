@@ -169,6 +169,32 @@ def test_mixing(docs, empty):
     assert finish == sorted(finish) and out.select(F.sum(F.size(F.split("text", " ")))).first()[0] > 0
 
 
+@pytest.mark.parametrize("copies", [300, 40])
+def test_mixing_of_copies(spark, copies):
+    texts = [(7, "the same words again and again", "a")] * copies + [(100 + i, "one two three " * (i % 5 + 1), "abc"[i % 3]) for i in range(200)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string, source string").repartition(7)
+    # Brute force: the copies as documents of their own, one behind the other in their source.
+    given = mixing.mix(docs).collect()
+    queue = []
+    for r in given:
+        queue += [((r.start + k * r.size) / r.target, r.source, r["pass"], r.doc_id, k, r.size) for k in range(1, r.copies + 1)]
+    taken, total, budget = [], 0, sum({r.source: r.target for r in given}.values())
+    for entry in sorted(queue):
+        total += entry[-1]
+        if total > budget:
+            break
+        taken.append(entry)
+    got = {(r.doc_id, r["pass"]): r.taken for r in given}
+    assert all(sum(t[3] == d and t[2] == p for t in taken) == n for (d, p), n in got.items())
+    assert any(0 < got[7, p] < copies for p in (0, 1)) == (copies == 300)
+    out = mixing.mixed_documents(docs).collect()
+    assert [(r.mix_finish, r.source, r.mix_pass, r.doc_id) for r in out] == [t[:4] for t in taken]
+    sizes = mixing.mixture_sizes(mixing.mix(docs)).collect()
+    assert len(sizes) == len(texts) and sum(r.taken for r in sizes) == sum(t[-1] for t in taken)
+    for r in {(r.target, r.source_size) for r in sizes}:
+        assert abs(sum(x.taken for x in sizes if x.target == r[0]) - r[0]) <= 30
+
+
 def test_mixing_without_words(spark):
     rows = spark.createDataFrame([(1, None, "a"), (2, "", None)], "doc_id long, text string, source string")
     assert {(r.size, r.target, r.taken) for r in mixing.mixture_sizes(mixing.mix(rows)).collect()} == {(0, 0.0, 0)}
