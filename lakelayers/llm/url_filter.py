@@ -34,6 +34,10 @@ RULES = (
 )
 
 
+# Any word of a link's rel.
+CANONICAL = r"""(?:"(?:[^">]*\s)?canonical(?:\s[^">]*)?"|'(?:[^'>]*\s)?canonical(?:\s[^'>]*)?'|canonical(?=[\s/>]))"""
+
+
 def _rest(url: Column) -> Column:
     """What follows the first ``://``; null if there is none."""
     at = F.locate("://", url)
@@ -65,12 +69,39 @@ def rule_of(host: Column, path: Column, rules: tuple[UrlRule, ...] = RULES) -> C
     return F.get(F.transform(F.array(F.struct(host.alias("host"), path.alias("path"))), choose), 0)
 
 
+def _resolved(url: Column) -> Column:
+    """The address without the segments ``.`` and ``..`` in its path, which take the one before with them."""
+
+    def walked(whole: Column) -> Column:
+        head = F.regexp_extract(whole, r"(?s)^.*?://[^/?#]*", 0)
+        path = F.regexp_extract(F.substr(whole, F.length(head) + 1), r"^[^?#]*", 0)
+        tail = F.substr(whole, F.length(head) + F.length(path) + 1)
+        parts = F.split(path, "/", -1)
+        plain = lambda part: F.replace(F.lower(part), F.lit("%2e"), F.lit("."))
+
+        def step(kept: Column, part: Column) -> Column:
+            up = F.slice(kept, F.lit(1), F.greatest(F.size(kept) - 1, F.lit(0)))
+            return F.when(plain(part) == ".", kept).when(plain(part) == "..", up).otherwise(F.array_append(kept, part))
+
+        kept = F.aggregate(F.slice(parts, F.lit(2), F.size(parts)), F.array().cast("array<string>"), step)
+        folder = plain(F.element_at(parts, -1)).isin(".", "..") & (F.size(kept) > 0)
+        return F.concat(head, F.lit("/"), F.array_join(kept, "/"), F.when(folder, F.lit("/")).otherwise(F.lit("")), tail)
+
+    # The lambda binds the address once.
+    dots = url.rlike(r"(?i)/(?:\.|%2e){1,2}(?:[/?#]|$)")
+    return F.when(dots, F.get(F.transform(F.array(url), walked), 0)).otherwise(url)
+
+
 def _place(url: Column) -> Column:
-    """What two addresses of one document share: host, path and query, without scheme and fragment."""
-    rest = F.regexp_replace(_rest(url), "#.*$", "")
-    host = F.regexp_extract(rest, r"^[^/?]*", 0)
-    tail = F.substr(rest, F.length(host) + 1)
-    return F.concat(ascii_lower(host), F.when(tail == "", F.lit("/")).otherwise(tail))
+    """What two addresses of one document share: host, path and query, without scheme, fragment and dot segments."""
+
+    def place(whole: Column) -> Column:
+        rest = F.regexp_replace(_rest(whole), "#.*$", "")
+        host = F.regexp_extract(rest, r"^[^/?]*", 0)
+        tail = F.substr(rest, F.length(host) + 1)
+        return F.concat(ascii_lower(host), F.when(F.startswith(tail, F.lit("/")), tail).otherwise(F.concat(F.lit("/"), tail)))
+
+    return F.get(F.transform(F.array(_resolved(url)), place), 0)
 
 
 def _absolute(target: Column, base: Column) -> Column:
@@ -79,20 +110,24 @@ def _absolute(target: Column, base: Column) -> Column:
     root = F.regexp_extract(base, r"^[^:]*://[^/?#]*", 0)
     folder = F.regexp_extract(base, r"^[^:]*://[^/?#]*(/(?:[^?#]*/)?)?", 0)
     folder = F.when(F.endswith(folder, F.lit("/")), folder).otherwise(F.concat(folder, F.lit("/")))
-    return (
+    document = F.regexp_extract(base, r"^[^:]*://[^?#]*", 0)
+    found = (
         F.when(target == "", None)
         .when(target.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), target)
         .when(F.startswith(target, F.lit("//")), F.concat(scheme, F.lit(":"), target))
         .when(target.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), None)
         .when(F.startswith(target, F.lit("/")), F.concat(root, target))
+        .when(F.startswith(target, F.lit("?")), F.concat(document, target))
+        .when(F.startswith(target, F.lit("#")), base)
         .otherwise(F.concat(folder, target))
     )
+    return _resolved(found)
 
 
 def alias_links(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
     """``url, target``: canonical links and refresh redirects in the whole html of the pages."""
     html = F.col(html_col)
-    canonical = F.regexp_extract_all(html, F.lit(r"(?is)<link\b[^>]*\brel\s*=\s*[\"']?canonical\b[^>]*>"), F.lit(0))
+    canonical = F.regexp_extract_all(html, F.lit(rf"(?is)<link\b[^>]*\brel\s*=\s*{CANONICAL}[^>]*>"), F.lit(0))
     refresh = F.regexp_extract_all(html, F.lit(r"(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b[^>]*>"), F.lit(0))
     href = r"(?is)\bhref\s*=\s*[\"']?([^\"'\s>]+)"
     to = r"(?is)\burl\s*=\s*[\"']?([^\"'\s>]+)"
@@ -122,7 +157,8 @@ def judge_urls(
     """
     links = alias_links(pages, url_col, html_col)
     if redirects is not None:
-        links = links.unionByName(redirects.select("url", "target").filter("url IS NOT NULL AND target IS NOT NULL"))
+        given = redirects.filter("url IS NOT NULL AND target IS NOT NULL")
+        links = links.unionByName(given.select("url", _resolved(F.col("target")).alias("target")))
     node = lambda url: F.xxhash64(_place(F.col(url)))
     links = links.filter((F.locate("://", F.col("url")) > 0) & (F.locate("://", F.col("target")) > 0))
     ends = stored(links.select(node("url").alias("a"), node("target").alias("b"), "url", "target"), "aliases")

@@ -302,6 +302,26 @@ def test_url_filter_spreads_over_aliases(spark):
     assert {i for i, v in found.items() if v == "block"} == {1, 2, 3, 8, 11, 12} and len(found) == 12
 
 
+@pytest.mark.parametrize(
+    ("url", "target", "bad"),
+    [
+        ("http://a.com/en/x", "../de/1", "http://a.com/de/1"), ("http://a.com/en/x", "./y", "http://a.com/en/y"),
+        ("http://a.com/en/x", "/b/./c/../d", "http://a.com/b/d"), ("http://a.com/en/x", "http://B.com/../q/..?z=/../", "http://b.com/?z=/../"),
+        ("http://a.com/en/x?p=1#f", "?p=2", "http://a.com/en/x?p=2"), ("http://a.com", "?p=2", "http://a.com/?p=2"),
+        ("http://a.com/en/x/", "..", "http://a.com/en/"), ("http://a.com/u/../en/x", "%2E%2e/./v/", "http://a.com/v/"),
+        ("http://a.com/en/x", "y", "http://a.com/z/../en/./y"), ("http://a.com/en/x", "a/b//../c", "http://a.com/en/a/b/c"),
+    ],
+)
+def test_url_filter_resolves_targets(spark, url, target, bad):
+    tag = f'<link title="x" rel="alternate Canonical shortlink" href="{target}">'
+    rows = [(1, url, tag), (2, bad, '<link rel=canonical href="http://bad.net/">'), (3, "http://a.com/en/", ""), (4, "http://a.com/x", "")]
+    rows += [(5, "http://c.com/1", '<link rel="no-canonical" href="http://bad.net/">'), (6, "http://c.com/d/2", "<link rel='canonical' href='#top'>")]
+    pages = spark.createDataFrame([*rows, (7, "http://c.com/d/", "<link rel='x canonical' href=http://bad.net/>")], "page_id int, url string, html string")
+    found = {r.page_id: r.verdict for r in url_filter.judge_urls(pages).collect()}
+    same = {3} if bad == "http://a.com/en/" else set()
+    assert {i for i, v in found.items() if v == "block"} == {1, 2, 7} | same
+
+
 def test_quality(spark, docs, empty):
     labels = spark.createDataFrame([(1, 1), (2, 0), (3, None), (None, 1), (6, 1), (6, 0), (999, 1)], "doc_id long, quality int")
     model = quality.train(docs, labels)
