@@ -26,8 +26,8 @@ def line_bitmaps(
 
     Bit ``p % 64`` of word ``p / 64`` is set if line ``p`` goes; words after the last set bit are left out, and
     a document without a row keeps all lines. Hashes (96 bits) of the keys are range-partitioned by hash and
-    document, so a line that a third of the documents share is cut into several ranges. Within a range the
-    sorted rows stream by: one row per hash and document counts, then one per hash and range is merged.
+    document, so a line that a third of the documents share is cut into several ranges. Within a range hash
+    aggregates leave one row per hash and document, then one per hash and range, which are merged.
 
     A null text is one empty line. ``rid`` tells rows of one id with different texts apart; such rows count as
     one document. A null id is a document smaller than all others. Empty tables give empty tables.
@@ -42,8 +42,8 @@ def line_bitmaps(
     )
     # Read three times below: to find the ranges, to deal them out, and to mark what goes.
     occurrences = stored(occurrences, "lines")
-    ranged = occurrences.repartitionByRange("h", "g", "doc_id").sortWithinPartitions("h", "g", "doc_id", "pos")
-    per_doc = ranged.groupBy("h", "g", "doc_id").agg(F.min("pos").alias("first"))
+    ranged = occurrences.select("h", "g", "doc_id").repartitionByRange("h", "g", "doc_id")
+    per_doc = ranged.distinct()
     shared = per_doc.groupBy("h", "g").agg(F.count(F.lit(1)).alias("docs"), F.max("doc_id").alias("keeper"))
     # Written, so that the join below has a plain shuffle on either side, which can be split where one line is hot.
     shared = stored(shared.filter(F.col("docs") >= min_docs).select("h", "g", "keeper"), "shared_lines")

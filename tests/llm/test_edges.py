@@ -85,6 +85,12 @@ def test_line_dedup_of_many_lines(spark):
     assert sorted((r.n_lines, r.n_dropped) for r in found.collect()) == [(5000, 5000)] * 3 + [(5001, 0)]
 
 
+def test_line_dedup_asks_for_no_order_that_is_not_used(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, LINE) for i in range(4)], "doc_id long, text string")
+    monkeypatch.delattr(type(docs), "sortWithinPartitions")
+    assert sorted(r.doc_id for r in line_dedup.line_bitmaps(docs).collect()) == [0, 1, 2]
+
+
 def test_html_extract(spark):
     rows = [(1, "http://h/a", "<article><p>x</p></article>"), (2, None, None), (3, "", ""), (3, "", ""), (None, "http://h/b", "<p>y"),
             (4, "http://h/" + "c" * 9999, "<article>" + "<p>text" * 20_000)]
