@@ -40,6 +40,14 @@ def map_arrow(
     return df.mapInArrow(function, schema)
 
 
+def apply_arrow(
+    df: DataFrame, keys: list[str], function: Callable[[pa.Table], pa.Table], schema: str | T.StructType
+) -> DataFrame:
+    """``applyInArrow`` per group of ``keys``; a group has to fit in a task, so callers bound its rows."""
+    _ship(df.sparkSession)
+    return df.groupBy(*keys).applyInArrow(function, schema)
+
+
 _shipped: set[str] = set()
 
 

@@ -135,9 +135,108 @@ SELECT p.page_id, p.host, p.path, o.rule,
 FROM parts p LEFT JOIN own o ON p.place = o.place LEFT JOIN spread s ON p.place = s.place
 """
 
+# Term counts of every source over all kept terms of its language, in whole numbers of 128 bits.
+DIVERGENCE = rf"""
+WITH docs AS (
+    SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+        list_filter(string_split_regex(translate(coalesce(text, ''), {LOWER}),
+            '[\x00-\x40\x5B-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w
+    FROM documents
+), counted AS (
+    SELECT rid, lang, source, term, count(*) AS n
+    FROM (SELECT rid, lang, source, unnest(w) AS term FROM docs) GROUP BY ALL
+), kept AS (
+    SELECT lang, term, sum(n) AS total FROM counted GROUP BY ALL HAVING count(*) >= 3
+), counts AS (
+    SELECT c.lang, source, term, sum(n) AS n FROM counted c SEMI JOIN kept USING (lang, term) GROUP BY ALL
+), sizes AS (
+    SELECT lang, sum(total)::HUGEINT AS lang_size, count(*)::HUGEINT AS v FROM kept GROUP BY lang
+), sources AS (
+    SELECT g.lang, g.source, coalesce(n, 0)::HUGEINT AS size
+    FROM (SELECT DISTINCT lang, source FROM docs) g LEFT JOIN
+        (SELECT lang, source, sum(n) AS n FROM counts GROUP BY ALL) s ON g.lang = s.lang AND g.source = s.source
+), dense AS (
+    SELECT s.lang, s.source, k.term, coalesce(c.n, 0) AS n,
+        1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 1)) // (s.size + z.v) AS p,
+        1 + (1000000000::HUGEINT * (k.total + 1)) // (z.lang_size + z.v) AS q
+    FROM sources s JOIN sizes z ON s.lang = z.lang JOIN kept k ON s.lang = k.lang
+    LEFT JOIN counts c ON c.lang = s.lang AND c.source = s.source AND c.term = k.term
+), pairs AS (
+    SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // b.p) AS value
+    FROM dense a JOIN dense b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), found AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+    FROM sources a JOIN sources b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+    UNION ALL SELECT lang, source, 'term', term, ((p - q) * (p - q)) // q FROM dense WHERE n > 0 AND p > q
+)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value,
+    CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INT) AS rank
+FROM found QUALIFY part = 'pair' OR rank <= 200
+"""
+
+TOP_K = """
+WITH whole AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+    WHERE embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(CAST(x AS DOUBLE)))) = 0
+), scored AS (
+    SELECT a.vec_id AS query_id, b.vec_id, CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+    FROM whole a JOIN whole b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0
+)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank, vec_id, score
+FROM scored QUALIFY rank <= 5
+"""
+
+FILTER_AUDIT = rf"""
+WITH texts AS (
+    SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+        list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+    FROM documents
+), judged AS (
+    SELECT doc_id, part, CASE WHEN len(w) < 50 THEN 'A' ELSE '' END
+        || CASE WHEN 100 * len(list_distinct(w)) < 65 * len(w) THEN 'B' ELSE '' END
+        || CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 5 * length(text) THEN 'C' ELSE '' END
+        || CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' ELSE '' END
+        || CASE WHEN min(doc_id) OVER (PARTITION BY text) < doc_id THEN 'E' ELSE '' END AS fails
+    FROM texts
+), marked AS (
+    SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id
+), alike AS (
+    SELECT part, fails, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic, count(*) AS n
+    FROM judged j LEFT JOIN marked m ON j.doc_id = m.doc_id GROUP BY ALL
+), letters AS (
+    SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x
+), orders AS (
+    SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM letters a, letters b, letters c, letters d, letters e
+    WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+), steps AS (
+    SELECT filter_order, step, filter_order[step] AS filter, left(filter_order, step - 1) AS before,
+    FROM orders, (SELECT CAST(unnest(range(1, 6)) AS INT) AS step)
+), flags AS (
+    SELECT s.*, a.*, contains(fails, filter) AS fails_it, translate(fails, before, '') = fails AS there FROM alike a, steps s
+), counts AS (
+    SELECT part, filter_order, step, filter,
+        coalesce(sum(n) FILTER (there AND NOT fails_it), 0) AS kept,
+        coalesce(sum(n) FILTER (there AND fails_it), 0) AS removed,
+        coalesce(sum(n) FILTER (fails_it AND NOT there), 0) AS redundant,
+        coalesce(sum(n) FILTER (fails = filter), 0) AS unique_fails,
+        coalesce(sum(n) FILTER (there AND fails_it AND good), 0) AS good_lost,
+        coalesce(sum(n) FILTER (there AND fails_it AND toxic), 0) AS toxic_lost
+    FROM flags GROUP BY ALL
+)
+SELECT part, filter_order, step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant,
+    unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
+    CAST(sum(removed) OVER (PARTITION BY part, filter) AS BIGINT) AS shapley
+FROM counts
+"""
+
 ORACLES = {
     "op2_line_dedup": LINE_DEDUP,
     "op5_mixing": MIXING,
     "op7_decontamination": DECONTAMINATION,
     "op9_url_filter": URL_FILTER,
+    "op11_source_divergence": DIVERGENCE,
+    "op12_exact_top_k": TOP_K,
+    "op13_filter_audit": FILTER_AUDIT,
 }

@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakelayers.llm import decontamination, embeddings, html_extract, language_id, line_dedup, mixing, quality, simhash, suffix_dedup, url_filter
+from lakelayers.llm import (
+    decontamination,
+    embeddings,
+    filter_audit,
+    html_extract,
+    language_id,
+    line_dedup,
+    mixing,
+    quality,
+    simhash,
+    source_divergence,
+    suffix_dedup,
+    term_search,
+    url_filter,
+)
 from lakelayers.llm.common import held_out, table
 
 
@@ -73,6 +87,20 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scores.select("doc_id", held_out(F.col("doc_id"), 3, 1).alias("held_out"), "score", predicted.alias("predicted"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence.divergence(table(spark, sf_dir, "documents"))
+
+
+def op12_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    found = term_search.top_k(vectors, vectors.filter(F.col("vec_id") % 50 == 0))
+    return found.withColumnRenamed("id", "vec_id")
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_line_dedup": op2_line_dedup,
@@ -84,4 +112,7 @@ QUERIES = {
     "op8_embedding_near_dedup": op8_embedding_near_dedup,
     "op9_url_filter": op9_url_filter,
     "op10_quality": op10_quality,
+    "op11_source_divergence": op11_source_divergence,
+    "op12_exact_top_k": op12_exact_top_k,
+    "op13_filter_audit": op13_filter_audit,
 }
