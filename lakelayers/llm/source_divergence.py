@@ -61,11 +61,8 @@ def divergence(
     """
     filled = [F.coalesce(F.col(c), F.lit("")).alias(name) for name, c in (("lang", lang_col), ("source", source_col), ("text", text_col))]
     rows = docs.select(*filled)
-    counts = stored(_term_counts(rows), "term_counts")
-    terms = counts.groupBy("lang", "term").agg(F.sum("n").alias("total"), F.sum("docs").alias("docs"))
-    terms = stored(terms.filter(F.col("docs") >= min_docs).drop("docs"), "terms")
-    postings = stored(counts.drop("docs").join(terms, ["lang", "term"]), "postings")
-    groups = stored(_groups(rows.select("lang", "source").distinct(), postings, terms), "groups")
+    postings = stored(_postings(rows, min_docs), "postings")
+    groups = stored(_groups(rows.select("lang", "source").distinct(), postings), "groups")
 
     # A row per source: adaptive execution sends it along if it is small, or splits a hot source's postings.
     sized = postings.join(groups.select("lang", "source", "size", "terms", "lang_size", "slices", "blocks"), ["lang", "source"])
@@ -97,10 +94,23 @@ def _ranked(values: DataFrame) -> DataFrame:
     return values.withColumn("rank", F.row_number().over(order))
 
 
-def _term_counts(rows: DataFrame) -> DataFrame:
-    """Occurrences and documents per language, source and term; tasks sum before the shuffle."""
-    partial = map_arrow(rows, _count_terms, COUNTS)
-    return partial.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+def _postings(rows: DataFrame, min_docs: int) -> DataFrame:
+    """The term-major index: per kept term and source its count ``n``, beside the language's ``total``.
+
+    Map tasks sum before the shuffle. That is by language and term and serves the sums of each source as well as
+    those of the language. ``first`` marks one row of each term.
+    """
+    partial = map_arrow(rows, _count_terms, COUNTS).repartition("lang", "term")
+    counts = partial.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    own = W.partitionBy("lang", "term")
+    whole = counts.withColumns(
+        {
+            "total": F.sum("n").over(own),
+            "docs": F.sum("docs").over(own),
+            "first": F.col("source") == F.min("source").over(own),
+        }
+    )
+    return whole.filter(F.col("docs") >= min_docs).drop("docs")
 
 
 def _count_terms(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -147,12 +157,12 @@ def _counted(found: dict[tuple[str, str], Counter], docs: dict[tuple[str, str],
             yield pa.RecordBatch.from_arrays(columns, names=["lang", "source", "term", "n", "docs"])
 
 
-def _groups(groups: DataFrame, postings: DataFrame, terms: DataFrame) -> DataFrame:
+def _groups(groups: DataFrame, postings: DataFrame) -> DataFrame:
     """A row per source: its kept words, its language's kept words and terms, and into how many slices and blocks the language is cut."""
     zero = F.lit(0).cast("long")
     sizes = postings.groupBy("lang", "source").agg(F.sum("n").alias("size"), F.count(F.lit(1)).alias("n"))
     rows = groups.join(sizes, ["lang", "source"], "left").fillna(0, ["size", "n"])
-    kept = terms.groupBy("lang").agg(F.sum("total").alias("lang_size"), F.count(F.lit(1)).alias("terms"))
+    kept = postings.groupBy("lang").agg(F.sum("n").alias("lang_size"), F.count_if("first").alias("terms"))
     # Languages are reduced before they meet; what is joined by language has one row for each.
     langs = rows.groupBy("lang").agg(F.sum("n").alias("postings"), F.count(F.lit(1)).alias("sources"))
     langs = stored(langs.join(kept, "lang", "left"), "languages")
