@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakelayers.functions.scalar import now_or, parse_ts, standardise, to_money
-from lakelayers.schemas import BRONZE_ONLY, PARTITION
+from lakelayers.schemas import BRONZE_ONLY, PARTITION, REJECT_COLUMNS
 
 # What a missing status or amount is filled with.
 FILLS = {"status": "UNKNOWN", "amount": 0.0}
@@ -72,4 +72,4 @@ def clean_orders(df: DataFrame) -> DataFrame:
             "status": standardise("status"),
         }
     )
-    return drop_columns(fill_nulls(typed), BRONZE_ONLY)
+    return drop_columns(fill_nulls(typed), (*BRONZE_ONLY, *REJECT_COLUMNS))

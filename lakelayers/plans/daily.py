@@ -6,6 +6,7 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import date, datetime, timedelta, timezone
 from functools import reduce
+from time import sleep
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +21,7 @@ from lakelayers.operators.metrics import (
 from lakelayers.operators.quality import QualityGateError, parses_as_money
 from lakelayers.operators.runs import failure_alerts, sla_alerts, sla_miss
 from lakelayers.plans.bronze import EMPTY_SOURCE, ingest_days, new_run_id, probe
+from lakelayers.plans.errors import names_data
 from lakelayers.plans.gold import build_days
 from lakelayers.plans.lake import Lake
 from lakelayers.plans.silver import Checked, Silver, check_dates, transform_days
@@ -47,6 +49,7 @@ class DayRun:
     published: list[str] = field(default_factory=list)
     failures: dict[str, str] = field(default_factory=dict)
     duplicates: dict[str, int] = field(default_factory=dict)
+    rejected: dict[str, int] = field(default_factory=dict)
     records: list[tuple] = field(default_factory=list)
     checks: list[tuple[str, Checked]] = field(default_factory=list)
     errors: list[Exception] = field(default_factory=list)
@@ -122,22 +125,31 @@ def _run(spark, lake: Lake, dates: list[str], run: DayRun, as_of) -> None:
         return
 
     def step(task: str, layer: str | None, todo: list[str], job: Callable[[list[str]], object]) -> list[tuple]:
-        """Run one layer's job for all dates; if it breaks, for either half, so that a bad date is left alone.
+        """Run one layer's job for all dates.
 
-        Returns begin, dates and outcome of what went through. A date that breaks the job by itself is recorded. Where
-        a step leaves nothing but its own dates (``scope="table"``), halves would replace each other: all dates fail.
+        If it breaks for another reason than its data, the same dates are tried again, and all fail if that does not help. If the
+        error names data, either half of the dates is run, so that a bad date is left alone. Returns begin, dates and
+        outcome of what went through. A date that breaks the job by itself is recorded. Where a step leaves nothing but
+        its own dates (``scope="table"``), halves would replace each other: all dates fail.
         """
-        begun = _now()
         whole = lake.scope == "table" and layer in ("silver", "gold")
-        try:
-            return [(begun, todo, job(todo))]
-        except Exception as error:  # noqa: BLE001 -- kept for the end of the run
-            if len(todo) > 1 and not whole:
-                half = len(todo) // 2
-                return step(task, layer, todo[:half], job) + step(task, layer, todo[half:], job)
-            run.record(lake, task, layer, begun, dict.fromkeys(todo, "failed"))
-            run.errors.append(error)
-            return []
+        for tried in range(lake.retries + 1):
+            begun = _now()
+            try:
+                return [(begun, todo, job(todo))]
+            except Exception as error:  # noqa: BLE001 -- kept for the end of the run
+                if names_data(error):
+                    if len(todo) > 1 and not whole:
+                        half = len(todo) // 2
+                        return step(task, layer, todo[:half], job) + step(task, layer, todo[half:], job)
+                elif tried < lake.retries:
+                    run.record(lake, task, layer, begun, dict.fromkeys(todo, "up_for_retry"))
+                    sleep(lake.retry_wait)
+                    continue
+                run.record(lake, task, layer, begun, dict.fromkeys(todo, "failed"))
+                run.errors.append(error)
+                return []
+        return []
 
     def left_out(task: str, layer: str | None, failures: Mapping[str, str]) -> None:
         run.failures.update(failures)
@@ -154,10 +166,11 @@ def _run(spark, lake: Lake, dates: list[str], run: DayRun, as_of) -> None:
         counts: dict[str, int] = {}
 
         def ingest(todo: list[str]) -> Written:
-            written, schema = ingest_days(spark, lake, todo, run.run_id, as_of, source)
-            columns.append(schema)
-            counts.update(written.by_date)
-            return written
+            done = ingest_days(spark, lake, todo, run.run_id, as_of, source)
+            columns.append(done.schema)
+            counts.update(done.written.by_date)
+            run.rejected.update(done.rejected)
+            return done.written
 
         done = step(INGEST, "bronze", dates, ingest) if dates else []
         for begun, todo, written in done:

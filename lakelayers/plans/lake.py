@@ -16,9 +16,12 @@ class Lake:
     """Paths and choices of one dataset's layers.
 
     ``bronze_gate`` is ``report`` or ``raise``. ``bronze_mode`` ``overwrite`` replaces a date that is ingested
-    again, ``append`` keeps every delivery. ``scope`` ``partition`` replaces only the dates of the run in the
+    again, ``append`` keeps every delivery and takes a delivered file in once, however often a run is repeated. ``rejects`` ``keep`` takes rows
+    that do not fit the header as Spark parses them, short ones filled up and long ones cut; ``divert`` puts them into
+    a reject table instead. ``scope`` ``partition`` replaces only the dates of the run in the
     later layers, ``table`` leaves nothing but the dates of the last run. ``order_by`` names the columns that tell
     which row of an order is the newest, e.g. a time that the source writes; without it the ingestion time does.
+    A step that fails for another reason than its data is repeated ``retries`` times, ``retry_wait`` seconds apart.
     ``max_rows`` replaces the upper bound of the row-count rule, ``widest`` bounds the shuffle width of a run.
     """
 
@@ -38,6 +41,16 @@ class Lake:
     max_rows: int | None = None
     order_by: Sequence[str] = ()
     widest: int = MAX_WIDTH
+    rejects: str = "keep"
+    retries: int = 1
+    retry_wait: float = 0.0
+
+    def __post_init__(self) -> None:
+        for name, allowed in (("bronze_mode", ("overwrite", "append")), ("rejects", ("keep", "divert"))):
+            if getattr(self, name) not in allowed:
+                raise ValueError(f"{name} must be one of {allowed}, not {getattr(self, name)!r}")
+        if self.rejects == "divert" and self.fmt != "parquet":
+            raise ValueError("rejected rows can be diverted from Parquet layers only")
 
     @property
     def bronze(self) -> str:
@@ -51,6 +64,11 @@ class Lake:
         """Where a run keeps rows between check and publication; a run has its own folder."""
         return f"{self.root}/staging/{self.dataset}/{run_id.replace(':', '-')}"
 
+    @property
+    def rejected(self) -> str:
+        """Where diverted rows go."""
+        return f"{self.root}/rejects/{self.dataset}"
+
     @property
     def gold(self) -> str:
         return f"{self.root}/gold/daily_order_summary"

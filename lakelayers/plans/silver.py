@@ -34,6 +34,7 @@ from lakelayers.sources.layers import (
     write_counted,
     write_days,
 )
+from lakelayers.sources.publish import finish, publish_dates
 
 
 @dataclass(frozen=True)
@@ -119,12 +120,16 @@ def transform_days(
 ) -> Silver:
     """Transform the given dates and publish those that pass the gate.
 
-    The rows are written once to ``staging``; the gate reads that table and the same rows are then copied into
-    the layer. What is served is therefore exactly what was checked, and neither the check nor the copy
-    repeats the shuffle of the deduplication. ``staging`` is removed at the end. Who knows the columns of the
+    The rows are written once to ``staging``; the gate reads that table, and the folders of the dates that pass are
+    then moved into the layer (:mod:`lakelayers.sources.publish`). What is served is therefore exactly what was checked, and
+    neither the check nor the publication repeats the shuffle of the deduplication. A publication that an earlier run
+    left unfinished is finished first. Other formats than Parquet keep a log of files, there the rows are copied. ``staging`` is
+    removed at the end. Who knows the columns of the
     bronze rows (``schema``) and how many each date has (``rows_in``) saves reading file footers for them.
     """
     dates = list(dates)
+    if fmt == "parquet":
+        finish(spark, silver)
     source = read_dates(spark, bronze, dates, fmt, schema)
     rows = silver_frame(source, as_of, order_by)
     try:
@@ -143,14 +148,18 @@ def transform_days(
         checked = check_dates(staged, RULES.get(dataset, ()) if rules is None else rules, dataset, dates, threshold)
         if not checked.passed:
             return Silver(Written(0, {}), duplicates, checked)
-        good = for_partition(staged, *checked.passed)
-        total = write_counted(good, lambda df: overwrite_layer(df, silver, scope, "replace", fmt))
+        by_date = {dt: kept.by_date[dt] for dt in checked.passed}
+        if fmt == "parquet":
+            clear_empty(staged, staging, by_date)
+            publish_dates(spark, staging, silver, checked.passed, whole=scope == "table")
+        else:
+            good = for_partition(staged, *checked.passed)
+            write_counted(good, lambda df: overwrite_layer(df, silver, scope, "replace", fmt))
+            if scope == "partition":
+                clear_empty(good, silver, by_date, fmt)
     finally:
         remove(spark, staging)
-    written = Written(total, {dt: kept.by_date[dt] for dt in checked.passed})
-    if scope == "partition":
-        clear_empty(good, silver, written.by_date, fmt)
-    return Silver(written, duplicates, checked)
+    return Silver(Written(sum(by_date.values()), by_date), duplicates, checked)
 
 
 def transform_orders_silver(

@@ -7,6 +7,8 @@ from pyspark.sql import types as T
 # Names of the metadata and order columns, type of money.
 PARTITION = "_partition_dt"
 BRONZE_ONLY = ("_ingested_at", "_source_path", "_pipeline_run")
+# Set in the rows of the reject table; null in the rows written beside them.
+REJECT_COLUMNS = ("_row_text", "_reason", "_source_file")
 
 ORDER_COLUMNS = ("order_id", "customer_id", "amount", "order_date", "status")
 RAW_ORDERS = T.StructType([T.StructField(name, T.StringType()) for name in ORDER_COLUMNS])

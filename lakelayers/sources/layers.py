@@ -2,17 +2,23 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakelayers.schemas import PARTITION
-from lakelayers.sources.files import exists, size_of
+from lakelayers.sources.files import each, exists, literal, names_in, size_of
+from lakelayers.sources.publish import date_folder, stored_dates
+from lakelayers.sources.types import cast_to, join_schemas
 
 Writer = Callable[[DataFrame], None]
+# What the names of the files of one job have in common.
+_JOB = re.compile(r"[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}")
 
 
 def read_layer(
@@ -37,16 +43,54 @@ def read_dates(
     """Rows of the given dates, listing only their folders, however many other dates the table has.
 
     Without a schema the columns are those of these dates: days whose files have other columns do not matter,
-    and several days are read with the columns of all of them.
+    and several days are read with the columns of all of them, as :func:`read_mixed` does.
     """
     if fmt != "parquet":
         return for_partition(read_layer(spark, path, fmt, schema), *dates)
-    folders = [folder for dt in dates if exists(spark, folder := f"{path}/{PARTITION}={dt}")]
-    if not folders:
+    there = each(spark, lambda dt: exists(spark, date_folder(path, dt)), list(dates))
+    found = [dt for dt, is_there in zip(dates, there, strict=True) if is_there]
+    if not found:
         return for_partition(read_layer(spark, path, fmt, schema), *dates)
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    reader = reader.option("mergeSchema", schema is None and len(dates) > 1).option("basePath", path)
-    return _dated(reader.parquet(*folders))
+    if schema is None:
+        return read_mixed(spark, path, found)
+    reader = spark.read.schema(schema).option("basePath", path)
+    return _dated(reader.parquet(*[date_folder(path, dt) for dt in found]))
+
+
+def read_mixed(spark: SparkSession, path: str, dates: Sequence[str] | None = None) -> DataFrame:
+    """A Parquet layer whose days differ in columns or types, each column with the join of its types.
+
+    Types that were inferred day by day cannot be read in one scan. The files of one write are alike and are told by the
+    name that Spark gives them, so one footer per write is opened, several at a time; writes of one schema are scanned
+    together, and what differs is cast to the join (:func:`lakelayers.sources.types.join_types`). A layer without files
+    has no columns to read and is an error, as for any reader.
+    """
+    dates = stored_dates(spark, path) if dates is None else list(dates)
+    writes = [write for found in each(spark, lambda dt: _writes(spark, date_folder(path, dt)), dates) for write in found]
+    if not writes:
+        return spark.read.parquet(path)
+    schemas = each(spark, lambda files: spark.read.parquet(files[0]).schema, writes)
+    alike: dict[str, tuple[T.StructType, list[str]]] = {}
+    for files, schema in zip(writes, schemas, strict=True):
+        alike.setdefault(schema.json(), (schema, []))[1].extend(files)
+    partition = T.StructField(PARTITION, T.StringType())
+    joined = join_schemas(schema for schema, _ in alike.values())
+    joined = T.StructType([*joined.fields, partition])
+    frames = [
+        cast_to(_dated(spark.read.schema(T.StructType([*schema.fields, partition])).option("basePath", path).parquet(*files)), joined)
+        for schema, files in alike.values()
+    ]
+    return reduce(DataFrame.unionByName, frames)
+
+
+def _writes(spark: SparkSession, folder: str) -> list[list[str]]:
+    """The data files of a folder, together those that one job wrote."""
+    found: dict[str, list[str]] = {}
+    for name in names_in(spark, folder):
+        if name[0] not in "_.":
+            job = _JOB.search(name)
+            found.setdefault(job[0] if job else name, []).append(literal(f"{folder}/{name}"))
+    return list(found.values())
 
 
 def _dated(df: DataFrame) -> DataFrame:

@@ -14,6 +14,7 @@ def read_raw(
     fmt: str = "csv",
     schema: T.StructType | None = None,
     infer: bool = False,
+    rejected: str | None = None,
 ) -> DataFrame:
     """Scan raw files.
 
@@ -22,10 +23,20 @@ def read_raw(
     pass. Text headers are checked against the schema, so that columns in another order fail instead of
     swapping. JSON needs a schema to avoid a pass of its own; without one its scalars are read as text, or
     typed with ``infer=True``.
+
+    ``rejected`` names a further text column with the whole row where it does not fit the columns: more or fewer
+    fields than the header, a value that its type does not take, broken JSON. Every field of a row is then parsed, whatever
+    columns are used. It needs a schema.
     """
     if schema is not None and infer:
         raise ValueError("give a schema or infer one, not both")
+    if rejected is not None:
+        if schema is None:
+            raise ValueError("rejected rows are found against a schema")
+        schema = T.StructType([*schema.fields, T.StructField(rejected, T.StringType())])
     reader = spark.read if schema is None else spark.read.schema(schema)
+    if rejected is not None:
+        reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", rejected).option("columnPruning", False)
     if fmt == "csv":
         reader = reader.option("header", True).option("inferSchema", infer)
         return (reader if infer else reader.option("enforceSchema", False)).csv(path)

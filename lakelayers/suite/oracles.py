@@ -442,6 +442,35 @@ FROM rules""",
         f"""SELECT {SUMMARY_COLUMNS}, _partition_dt, {AS_OF} AS _gold_at
             FROM silver WHERE _partition_dt < '2024-01-03' GROUP BY _partition_dt, CAST(order_date AS DATE), status""",
     ),
+    "append_once": _with(
+        DAYS,
+        """SELECT order_id, customer_id, amount, order_date, status, dt AS _partition_dt, 'airflow_1' AS _pipeline_run FROM by_day
+           UNION ALL
+           SELECT order_id, customer_id, amount, order_date, status, dt, 'airflow_3'
+           FROM by_day WHERE dt = '2024-01-02' AND CAST(order_id AS BIGINT) % 20 = 0""",
+    ),
+    "bronze_mixed_types": _with(
+        DAYS,
+        """SELECT CASE WHEN dt = '2024-01-02' THEN 'A' ELSE '' END || order_id AS order_id,
+                  CAST(customer_id AS BIGINT) AS customer_id,
+                  CASE WHEN dt = '2024-01-02' THEN floor(CAST(amount AS DOUBLE)) ELSE CAST(amount AS DOUBLE) END AS amount,
+                  CAST(order_date AS TIMESTAMP)
+                  + CASE WHEN dt = '2024-01-02' THEN INTERVAL 10 HOUR ELSE INTERVAL 0 HOUR END AS order_date,
+                  status, dt AS _partition_dt
+           FROM by_day""",
+    ),
+    "raw_rejects": _with(
+        DAYS,
+        """SELECT CASE WHEN CAST(order_id AS BIGINT) % 29 = 0
+                       THEN order_id || ',' || customer_id || ',' || coalesce(amount, '') || ',' || order_date || ','
+                            || coalesce(status, '') || ',more,and more'
+                       ELSE order_id || ',' || customer_id END AS _row_text,
+                  CASE WHEN CAST(order_id AS BIGINT) % 29 = 0 THEN '7' ELSE '2' END || ' fields in 5 columns' AS _reason,
+                  dt AS file_day, dt AS _partition_dt,
+                  (SELECT count(*) FROM by_day WHERE CAST(order_id AS BIGINT) % 29 <> 0 AND CAST(order_id AS BIGINT) % 31 <> 0)
+                    AS kept
+           FROM by_day WHERE CAST(order_id AS BIGINT) % 29 = 0 OR CAST(order_id AS BIGINT) % 31 = 0""",
+    ),
     "quality_skip_layer": _with(
         DAYS,
         """SELECT 'returns' AS dataset, dt AS partition_date, 0 AS total_checks, 0 AS passed, 0 AS failed,

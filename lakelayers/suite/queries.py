@@ -23,13 +23,20 @@ from lakelayers.operators.dedup import dedup, duplicate_count
 from lakelayers.operators.quality import RULES, rule_results, score
 from lakelayers.operators.runs import attempts, failure_alerts, sla_alerts, sla_miss
 from lakelayers.operators.summary import daily_order_summary
-from lakelayers.plans.bronze import ingest_to_bronze
+from lakelayers.plans.bronze import ingest_days, ingest_to_bronze, read_rejects
 from lakelayers.plans.daily import run_pending
 from lakelayers.plans.gold import build_daily_order_summary
 from lakelayers.plans.lake import Lake
 from lakelayers.plans.silver import compact, transform_orders_silver
 from lakelayers.schemas import ORDER_COLUMNS, PARTITION, RAW_ORDERS
-from lakelayers.sources.layers import append_layer, for_partition, overwrite_layer, read_layer, write_counted
+from lakelayers.sources.layers import (
+    append_layer,
+    for_partition,
+    overwrite_layer,
+    read_layer,
+    read_mixed,
+    write_counted,
+)
 from lakelayers.sources.raw import available_dates, pending_dates, read_raw
 from lakelayers.sources.workspace import scratch_path
 from lakelayers.suite import views
@@ -43,9 +50,9 @@ HIVE_LAYOUT = "{raw}/{dataset}/dt={dt}"
 UNKNOWN_ALLOWED = {"status": ["UNKNOWN"]}
 
 
-def write_csv(df: DataFrame, path: str, *by: str) -> None:
+def write_csv(df: DataFrame, path: str, *by: str, mode: str = "error") -> None:
     """CSV with header; padding of values is kept."""
-    writer = df.write.option("header", True).option("ignoreLeadingWhiteSpace", False)
+    writer = df.write.mode(mode).option("header", True).option("ignoreLeadingWhiteSpace", False)
     writer.option("ignoreTrailingWhiteSpace", False).partitionBy(*by).csv(path)
 
 
@@ -417,6 +424,66 @@ def control_alerts(spark, sf_dir):
     return alerts.select("dag_id", "task_id", "partition_date", F.regexp_replace("message", "\nLog: .*", "").alias("message"))
 
 
+# --- deliveries --------------------------------------------------------------------------------------------
+
+
+def append_once(spark, sf_dir):
+    """Three days are delivered, ingested twice, and again after one more file came for the second day: each file is in once."""
+    base = scratch_path(spark, "once")
+    lake = Lake(base, f"{base}/raw", layout=HIVE_LAYOUT, bronze_mode="append")
+    rows = views.orders_by_day(spark, sf_dir)
+    write_csv(rows.hint("rebalance", F.col("dt")), f"{lake.raw}/{lake.dataset}", "dt")
+    dates = [DAY_1, DAY_2, DAY_3]
+    ingest_days(spark, lake, dates, "airflow_1", AS_OF)
+    ingest_days(spark, lake, dates, "airflow_2", AS_OF)
+    late = rows.filter((F.col("dt") == DAY_2) & (F.col("order_id").cast("bigint") % 20 == 0)).drop("dt")
+    write_csv(late, lake.raw_path(DAY_2), mode="append")
+    ingest_days(spark, lake, dates, "airflow_3", AS_OF)
+    return read_layer(spark, lake.bronze).select(*ORDER_COLUMNS, PARTITION, "_pipeline_run")
+
+
+def bronze_mixed_types(spark, sf_dir):
+    """Types are inferred day by day: on the second day ids are text, dates have times and amounts are whole."""
+    base = scratch_path(spark, "types")
+    lake = Lake(base, f"{base}/raw", layout=HIVE_LAYOUT, infer=True)
+    rows, second = views.orders_by_day(spark, sf_dir), F.col("dt") == DAY_2
+    rows = rows.withColumns(
+        {
+            "order_id": F.when(second, F.concat(F.lit("A"), "order_id")).otherwise(F.col("order_id")),
+            "amount": F.when(second, F.floor(F.col("amount").cast("double")).cast("string")).otherwise(F.col("amount")),
+            "order_date": F.when(second, F.concat("order_date", F.lit(" 10:00:00"))).otherwise(F.col("order_date")),
+        }
+    )
+    write_csv(rows.hint("rebalance", F.col("dt")), f"{lake.raw}/{lake.dataset}", "dt")
+    ingest_days(spark, lake, [DAY_1], "airflow_1", AS_OF)
+    ingest_days(spark, lake, [DAY_2, DAY_3], "airflow_2", AS_OF)
+    found = read_mixed(spark, lake.bronze).select(*ORDER_COLUMNS, PARTITION)
+    # Inference picks int or bigint by the largest value.
+    return without_zone(found.withColumn("customer_id", F.col("customer_id").cast("bigint")), "order_date")
+
+
+def raw_rejects(spark, sf_dir):
+    """Lines with two further fields or without the last three; the other rows of their files go into the layer."""
+    base = scratch_path(spark, "rejects")
+    lake = Lake(base, f"{base}/raw", layout=HIVE_LAYOUT, rejects="divert")
+    key = F.col("order_id").cast("bigint")
+    rows = views.orders_by_day(spark, sf_dir)
+    fields = [F.coalesce(F.col(c), F.lit("")) for c in ORDER_COLUMNS]
+    line = (
+        F.when(key % 29 == 0, F.concat_ws(",", *fields, F.lit("more"), F.lit("and more")))
+        .when(key % 31 == 0, F.concat_ws(",", *fields[:2]))
+        .otherwise(F.concat_ws(",", *fields))
+    )
+    lines = rows.select("dt", line.alias(",".join(ORDER_COLUMNS)))
+    # With another separator the line is one value, and the header is the name of its column.
+    writer = lines.hint("rebalance", F.col("dt")).write.option("header", True).option("sep", "\x01").partitionBy("dt")
+    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(f"{lake.raw}/{lake.dataset}")
+    done = ingest_days(spark, lake, [DAY_1, DAY_2, DAY_3], "airflow_1", AS_OF)
+    file_day = F.regexp_extract("_source_file", "/dt=([^/]*)/", 1).alias("file_day")
+    rejects = read_rejects(spark, lake).select("_row_text", "_reason", file_day, PARTITION)
+    return rejects.withColumn("kept", F.lit(done.written.rows).cast("long"))
+
+
 # --- run analytics -----------------------------------------------------------------------------------------
 
 
@@ -534,6 +601,9 @@ QUERIES: dict[str, Query] = {
     "control_series": control_series,
     "control_attempts": control_attempts,
     "control_alerts": control_alerts,
+    "append_once": append_once,
+    "bronze_mixed_types": bronze_mixed_types,
+    "raw_rejects": raw_rejects,
     "row_count_gauge": row_count_gauge,
     "pass_rate_gauge": pass_rate_gauge,
     "task_duration": task_duration,

@@ -71,8 +71,8 @@ def test_jobs_of_a_run(tmp_path, dates):
                 stack += node["children"]
             if any("InsertIntoHadoopFsRelationCommand" in n and "_partition_dt" in n for n in nodes):
                 writes[event["executionId"]] = nodes
-    # One write each for bronze, staging, silver and gold; none sorts its rows by date.
-    assert len(writes) == 4
+    # One write each for bronze, silver (to staging, whose folders are then moved) and gold; none sorts its rows by date.
+    assert len(writes) == 3
     assert not [n for nodes in writes.values() for n in nodes if re.match(r"Sort \[_partition_dt#\d+ [A-Z ]+\]", n)]
     # Adaptive execution makes a job of every shuffle; five of the jobs append to the control tables.
     assert jobs <= (21 if len(dates) == 1 else 31), jobs

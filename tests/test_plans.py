@@ -15,7 +15,8 @@ WRITING = {
     "raw_csv_scan", "raw_csv_text_scan", "raw_csv_inferred_scan", "raw_json_scan", "raw_parquet_scan", "pending_dates",
     "append_history", "partition_overwrite", "table_overwrite", "schema_merge", "row_counts", "gold_partition",
     "bronze_ingest", "silver_transform", "gold_build", "daily_run", "silver_transform_ordered", "daily_run_mixed",
-    "quality_skip_layer", "control_series", "control_attempts", "control_alerts",
+    "quality_skip_layer", "control_series", "control_attempts", "control_alerts", "append_once", "bronze_mixed_types",
+    "raw_rejects",
 }
 
 
