@@ -7,7 +7,7 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field, replace
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -235,6 +235,66 @@ def _rule_values(number: int, rule: Rule, column: str | None, missing: str | Non
     return ", ".join((str(number), *values))
 
 
+def with_failed_rules(df: DataFrame, rules: Sequence[Rule], by: str | None = None) -> DataFrame:
+    """``df`` with ``_failed``: bit n - 1 is set in rows that fail rule n.
+
+    A rule that judges the table as a whole (existence, row count) or whose column is missing sets no bit. Uniqueness, within
+    each value of ``by``, takes a shuffle by its column; the other rules take none. At most 63 rules.
+    """
+    present = {name.lower(): name for name in df.columns}
+    kinds = {f.name: f.dataType for f in df.schema}
+    mask = F.lit(0).cast("long")
+    for number, rule in enumerate(rules):
+        column = None if rule.column is None else present.get(rule.column.lower())
+        if column is None or rule.method in (EXISTS, ROW_COUNT):
+            continue
+        value = F.col(column)
+        if rule.method == NOT_NULL:
+            fails = value.isNull()
+        elif rule.method == UNIQUE:
+            same = Window.partitionBy(*([] if by is None else [by]), column)
+            fails = value.isNotNull() & (F.count(F.lit(1)).over(same) > 1)
+        else:
+            fails = value.isNotNull() & ~F.coalesce(rule.conforms(value, kinds[column]), F.lit(False))
+        mask = mask.bitwiseOR(F.when(fails, F.lit(1 << number)).otherwise(F.lit(0)).cast("long"))
+    return df.withColumn("_failed", mask)
+
+
+def failing_rows(
+    df: DataFrame,
+    rules: Sequence[Rule],
+    dataset: str,
+    show: Sequence[str],
+    dt: str | None = None,
+    by: str | None = None,
+    keep: int = 5,
+    rank: Column | None = None,
+) -> DataFrame:
+    """Which rows fail: ``dataset, partition_date, rule_no, method, column, failed, slot`` and the columns ``show``.
+
+    ``failed`` counts the rows that fail the rule; up to ``keep`` of them are shown, in each of ``keep`` slots the row
+    whose ``rank`` is lowest (a long; a hash of the shown columns unless given, the slot is its remainder), so that every run shows the
+    same rows. Counts and examples come out of one aggregate over one scan: a task passes on no more than a row per date, rule and
+    slot, however many rows fail. A rule that nothing fails has no row.
+    """
+    ordered = F.xxhash64(*show) if rank is None else rank
+    date = F.lit(dt).cast("string") if by is None else F.col(by)
+    marked = with_failed_rules(df, rules, by).filter("_failed <> 0")
+    numbers = F.filter(
+        F.sequence(F.lit(1), F.lit(len(rules))), lambda n: F.col("_failed").bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), n - 1)) != 0
+    )
+    rows = marked.select(
+        date.alias("partition_date"), F.explode(numbers).alias("rule_no"), F.struct(ordered.alias("_rank"), *show).alias("_row")
+    ).withColumn("slot", F.pmod("_row._rank", F.lit(keep)).cast("int"))
+    found = rows.groupBy("partition_date", "rule_no", "slot").agg(F.count(F.lit(1)).alias("_n"), F.min("_row").alias("_row"))
+    whole = Window.partitionBy("partition_date", "rule_no")
+    described = F.element_at(F.from_json(F.lit(_describe(rules)), _DESCRIPTION), F.col("rule_no"))
+    found = found.withColumns({"failed": F.sum("_n").over(whole), "_rule": described, "dataset": F.lit(dataset)})
+    return found.select(
+        "dataset", "partition_date", "rule_no", "_rule.method", "_rule.column", "failed", "slot", *[F.col(f"_row.{c}").alias(c) for c in show]
+    )
+
+
 def score(results: DataFrame, threshold: float = DEFAULT_THRESHOLD) -> DataFrame:
     """Share of passed rules per dataset and date; reported to four places, compared unrounded; 0 without scored rules."""
     total, passed = F.col("total_checks"), F.col("passed")

@@ -19,7 +19,7 @@ from lakelayers.operators.metrics import (
     task_duration,
 )
 from lakelayers.operators.quality import QualityGateError, parses_as_money
-from lakelayers.operators.runs import failure_alerts, sla_alerts, sla_miss
+from lakelayers.operators.runs import TASK_SLA, failure_alerts, sla_alerts, sla_miss
 from lakelayers.plans.bronze import EMPTY_SOURCE, ingest_days, new_run_id, probe
 from lakelayers.plans.errors import names_data
 from lakelayers.plans.gold import build_days
@@ -184,7 +184,7 @@ def _run(spark, lake: Lake, dates: list[str], run: DayRun, as_of) -> None:
         def validate(todo: list[str]) -> Checked:
             rows = read_dates(spark, lake.bronze, todo, lake.fmt, schema)
             rules = [*lake.rules, parses_as_money("amount")] if lake.rules else []
-            return check_dates(rows, rules, lake.dataset, todo, lake.threshold)
+            return check_dates(rows, rules, lake.dataset, todo, lake.threshold, lake.bronze_gate == "raise")
 
         passed = []
         for begun, todo, checked in step(VALIDATE, None, dates, validate) if dates else []:
@@ -244,10 +244,11 @@ def emit_metrics(spark: SparkSession, lake: Lake, run: DayRun) -> None:
     samples = [row_count_gauge(runs, about=about), failure_samples(runs, about=about), whole_job]
     gates = {"bronze": VALIDATE, "silver": TRANSFORM}
     finished = {(r[2], r[5]): r[8] for r in run.records}
-    for table, part in (("quality_rules", "results"), ("quality_summary", "summary")):
+    for table, part in (("quality_rules", "results"), ("quality_summary", "summary"), ("quality_examples", "examples")):
         tables = [
             getattr(checked, part).withColumns({"layer": F.lit(layer), "run_id": F.lit(run.run_id)})
             for layer, checked in run.checks
+            if getattr(checked, part) is not None
         ]
         if tables:
             _append(reduce(DataFrame.unionByName, tables), lake.control(table))
@@ -260,11 +261,28 @@ def emit_metrics(spark: SparkSession, lake: Lake, run: DayRun) -> None:
     _append(reduce(DataFrame.unionByName, samples), lake.control("metric_samples"))
     _append(runs, lake.control("runs"))
     failed = failure_alerts(runs, about=("partition_date",))
-    late = sla_alerts(sla_miss(runs)).withColumns({"run_id": F.lit(run.run_id), "task_id": nothing, "partition_date": nothing})
+    expected = spark.createDataFrame([*run.records, *_never_ran(run)], RUNS).coalesce(1)
+    late = sla_alerts(sla_miss(expected, as_of=_now()))
+    late = late.withColumns({"run_id": F.lit(run.run_id), "task_id": nothing, "partition_date": nothing})
     alerts = failed.unionByName(late)
     _append(alerts.select(*ALERTS.names), lake.control("alerts"))
 
 
+def _never_ran(run: DayRun) -> list[tuple]:
+    """Records of the tasks of the run's dates that were not even tried, because a step before them failed.
+
+    The run's own few records tell; :func:`lakelayers.operators.runs.sla_absent` finds them in a whole history.
+    """
+    tried = {(r[2], r[5]) for r in run.records}
+    first = {r[5]: r for r in run.records if r[2] != SKIP}
+    return [
+        (r[0], r[1], task, r[3], None, dt, r[6], None, None, "absent", None, None, None)
+        for dt, r in first.items()
+        for task in TASK_SLA
+        if (task, dt) not in tried
+    ]
+
+
 def _append(df: DataFrame, path: str) -> None:
     """The control tables get one file per run."""
     df.coalesce(1).write.mode("append").parquet(path)

@@ -17,11 +17,12 @@ from lakelayers.operators.quality import (
     RULES,
     QualityGateError,
     Rule,
+    failing_rows,
     failure_text,
     rule_results,
     score,
 )
-from lakelayers.schemas import ORDER_COLUMNS, PARTITION, QUALITY_RULES, QUALITY_SUMMARY
+from lakelayers.schemas import ORDER_COLUMNS, PARTITION, QUALITY_EXAMPLES, QUALITY_RULES, QUALITY_SUMMARY
 from lakelayers.sources.files import remove
 from lakelayers.sources.layers import (
     Written,
@@ -39,19 +40,22 @@ from lakelayers.sources.publish import finish, publish_dates
 
 @dataclass(frozen=True)
 class Checked:
-    """Results of one gate: a row per rule and date, a row per date, and the dates on either side."""
+    """Results of one gate: a row per rule and date, a row per date, the dates on either side, rows of those that failed."""
 
     results: DataFrame
     summary: DataFrame
     passed: list[str]
     failures: dict[str, str]
+    examples: DataFrame | None = None
 
 
 def check_dates(
-    df: DataFrame, rules: Sequence[Rule], dataset: str, dates: Sequence[str], threshold: float
+    df: DataFrame, rules: Sequence[Rule], dataset: str, dates: Sequence[str], threshold: float, examples: bool = True
 ) -> Checked:
     """Check every date of ``df`` on its own, in one job. Only rules x dates rows come to the driver.
 
+    Of dates that fail a second scan takes a few ``examples``, unless the gate only reports.
+
     Without rules nothing is read and every date passes, with a summary that says it was skipped.
     """
     spark = df.sparkSession
@@ -71,7 +75,15 @@ def check_dates(
         if not v.success
     }
     passed = [dt for dt in dates if dt not in failures]
-    return Checked(results, spark.createDataFrame(verdicts, QUALITY_SUMMARY), passed, failures)
+    shown = _examples(df, rules, dataset, failures) if failures and examples else None
+    return Checked(results, spark.createDataFrame(verdicts, QUALITY_SUMMARY), passed, failures, shown)
+
+
+def _examples(df: DataFrame, rules: Sequence[Rule], dataset: str, failures: Mapping[str, str]) -> DataFrame:
+    """A few rows per failed date and rule, as JSON; read only if a date failed."""
+    row = F.to_json(F.struct(*[c for c in df.columns if c != PARTITION])).alias("row")
+    found = failing_rows(for_partition(df, *failures).select("*", row), rules, dataset, ("row",), by=PARTITION)
+    return df.sparkSession.createDataFrame(found.collect(), QUALITY_EXAMPLES)
 
 
 def compact(df: DataFrame, dates: Sequence[str]) -> DataFrame:

@@ -42,6 +42,19 @@ QUALITY_RULES = T.StructType(
     ]
 )
 
+QUALITY_EXAMPLES = T.StructType(
+    [
+        T.StructField("dataset", T.StringType()),
+        T.StructField("partition_date", T.StringType()),
+        T.StructField("rule_no", T.IntegerType()),
+        T.StructField("method", T.StringType()),
+        T.StructField("column", T.StringType()),
+        T.StructField("failed", T.LongType()),
+        T.StructField("slot", T.IntegerType()),
+        T.StructField("row", T.StringType()),
+    ]
+)
+
 QUALITY_SUMMARY = T.StructType(
     [
         T.StructField("dataset", T.StringType()),

@@ -282,6 +282,36 @@ RATE = r"^data_pipeline\.quality\.([^.]*)\.pass_rate$"
 SECONDS = r"^data_pipeline\.task\.([^.]*)\.duration_seconds$"
 FAILED = r"^data_pipeline\.failure\.([^.]*)\.([^.]*)$"
 
+SLOTS = RUNS + """,
+sla(task_id, sla_seconds) AS (VALUES ('click', 60), ('purchase', 120), ('signup', 30), ('view', 90)),
+spans AS (SELECT dag_id, min(scheduled_at) AS lo, max(scheduled_at) AS hi FROM runs GROUP BY dag_id),
+slots AS (
+  SELECT dag_id, unnest(generate_series(
+           date_trunc('hour', lo) + CASE WHEN lo = date_trunc('hour', lo) THEN INTERVAL 0 HOUR ELSE INTERVAL 1 HOUR END,
+           hi, INTERVAL 1 HOUR)) AS scheduled_at
+  FROM spans),
+known AS (
+  SELECT dag_id, task_id, date_trunc('hour', scheduled_at) AS scheduled_at, count(*) AS attempts,
+         min(finished_at) FILTER (state = 'success' AND finished_at <= TIMESTAMP '2024-01-20 12:00:30') AS finished_at,
+         count(*) FILTER (finished_at > TIMESTAMP '2024-01-20 12:00:30') AS still
+  FROM runs WHERE started_at <= TIMESTAMP '2024-01-20 12:00:30' GROUP BY 1, 2, 3),
+due AS (
+  SELECT dag_id, task_id, scheduled_at, scheduled_at + to_seconds(sla_seconds) AS due_at FROM slots, sla),
+status AS (
+  SELECT d.dag_id, d.task_id, d.scheduled_at, d.due_at, coalesce(k.attempts, 0) AS attempts, k.finished_at,
+         CASE WHEN k.finished_at <= d.due_at THEN 'in_time' WHEN k.finished_at IS NOT NULL THEN 'late'
+              WHEN d.due_at > TIMESTAMP '2024-01-20 12:00:30' THEN 'pending'
+              WHEN k.attempts IS NULL THEN 'absent' WHEN k.still > 0 THEN 'running' ELSE 'failed' END AS status
+  FROM due d LEFT JOIN known k ON d.dag_id = k.dag_id AND d.task_id = k.task_id AND d.scheduled_at = k.scheduled_at)"""
+
+RANKED = ORDERS_RAW + f""",
+failed AS (
+  SELECT *, CAST('0x' || substr(md5(order_id || '/' || seq), 1, 15) AS BIGINT) AS rank, unnest([
+      CASE WHEN count(*) OVER (PARTITION BY order_id) > 1 THEN 3 END,
+      CASE WHEN NOT (amount BETWEEN 0 AND 10000000) THEN 5 END,
+      CASE WHEN status NOT IN ({STATUS_LIST}) THEN 7 END]) AS rule_no
+  FROM orders_raw)"""
+
 ORACLES: dict[str, str] = {
     "raw_csv_scan": _with(ORDERS_TEXT, "SELECT * FROM orders_text"),
     "raw_csv_text_scan": _with(ORDERS_TEXT, "SELECT * FROM orders_text"),
@@ -442,6 +472,61 @@ FROM rules""",
         f"""SELECT {SUMMARY_COLUMNS}, _partition_dt, {AS_OF} AS _gold_at
             FROM silver WHERE _partition_dt < '2024-01-03' GROUP BY _partition_dt, CAST(order_date AS DATE), status""",
     ),
+    "quality_rejects": _with(
+        RANKED,
+        """SELECT 'orders' AS dataset, '2024-01-01' AS partition_date, rule_no,
+                  CASE rule_no WHEN 3 THEN 'expect_column_values_to_be_unique' WHEN 5 THEN 'expect_column_values_to_be_between'
+                       ELSE 'expect_column_values_to_be_in_set' END AS method,
+                  CASE rule_no WHEN 3 THEN 'order_id' WHEN 5 THEN 'amount' ELSE 'status' END AS "column",
+                  CAST(sum(count(*)) OVER (PARTITION BY rule_no) AS BIGINT) AS failed,
+                  CAST(rank % 5 AS INTEGER) AS slot, arg_min(order_id, rank) AS order_id, arg_min(seq, rank) AS seq
+           FROM failed WHERE rule_no IS NOT NULL GROUP BY rule_no, rank % 5""",
+    ),
+    "gold_rollup": _with(
+        DAYS
+        + """,
+again AS (
+  SELECT * FROM silver WHERE _partition_dt <> '2024-01-02'
+  UNION ALL
+  SELECT * REPLACE (CAST(amount + 1 AS DECIMAL(18,2)) AS amount) FROM silver
+  WHERE _partition_dt = '2024-01-02' AND CAST(order_id AS BIGINT) % 2 = 0)""",
+        f"SELECT {SUMMARY_COLUMNS.rpartition(',')[0]} FROM again GROUP BY CAST(order_date AS DATE), status",
+    ),
+    "customers_rollup": _with(
+        DAYS, "SELECT status, count(DISTINCT customer_id) AS unique_customers, true AS close FROM silver GROUP BY status"
+    ),
+    "unique_across_dates": _with(
+        DELIVERIES,
+        """SELECT d._partition_dt, d.order_id AS key, count(DISTINCT e._partition_dt) AS other_dates,
+                  min(e._partition_dt) AS first_date
+           FROM (SELECT DISTINCT _partition_dt, order_id FROM deliveries WHERE _partition_dt = '2024-01-02') d
+           JOIN deliveries e ON d.order_id = e.order_id AND e._partition_dt < d._partition_dt
+           GROUP BY d._partition_dt, d.order_id""",
+    ),
+    "series_incremental": _with(
+        METRIC_SAMPLES,
+        """SELECT metric, kind, CASE kind WHEN 'c' THEN sum(value) ELSE arg_max(value, {ts: ts, value: value}) END AS value
+           FROM samples GROUP BY metric, kind""",
+    ),
+    "sla_status": _with(SLOTS, "SELECT * FROM status"),
+    "sla_absent": _with(SLOTS, "SELECT dag_id, task_id, scheduled_at, due_at FROM status WHERE status = 'absent'"),
+    "attempt_episodes": _with(
+        RUNS
+        + """,
+ended AS (SELECT *, greatest(started_at, coalesce(finished_at, started_at)) AS ended_at FROM runs),
+before AS (
+  SELECT *, max(ended_at) OVER (PARTITION BY dag_id, task_id ORDER BY started_at, ended_at, state
+                                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS until FROM ended),
+numbered AS (
+  SELECT *, count(*) FILTER (until IS NULL OR started_at > until + INTERVAL 30 MINUTE) OVER (
+              PARTITION BY dag_id, task_id ORDER BY started_at, ended_at, state ROWS UNBOUNDED PRECEDING) AS episode
+  FROM before)""",
+        """SELECT dag_id, task_id, min(started_at) AS first_start, max(ended_at) AS last_end, count(*) AS attempts,
+                  count(*) FILTER (state = 'failed') AS failures,
+                  arg_max(state, {s: started_at, e: ended_at, state: state}) AS final_state,
+                  count(*) FILTER (started_at < until) AS overlapping
+           FROM numbered GROUP BY dag_id, task_id, episode""",
+    ),
     "append_once": _with(
         DAYS,
         """SELECT order_id, customer_id, amount, order_date, status, dt AS _partition_dt, 'airflow_1' AS _pipeline_run FROM by_day

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from contextlib import suppress
+from datetime import datetime, timezone
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakelayers.functions.scalar import parse_ts, standardise, to_money
-from lakelayers.operators import metrics, quality
+from lakelayers.operators import metrics, quality, rollup
 from lakelayers.operators.clean import (
     add_bronze_metadata,
     add_gold_metadata,
@@ -21,11 +22,22 @@ from lakelayers.operators.clean import (
 )
 from lakelayers.operators.dedup import dedup, duplicate_count
 from lakelayers.operators.quality import RULES, rule_results, score
-from lakelayers.operators.runs import attempts, failure_alerts, sla_alerts, sla_miss
+from lakelayers.operators.runs import (
+    attempt_episodes,
+    attempts,
+    expected_runs,
+    failure_alerts,
+    sla_absent,
+    sla_alerts,
+    sla_miss,
+    sla_status,
+)
 from lakelayers.operators.summary import daily_order_summary
+from lakelayers.plans import series
 from lakelayers.plans.bronze import ingest_days, ingest_to_bronze, read_rejects
 from lakelayers.plans.daily import run_pending
 from lakelayers.plans.gold import build_daily_order_summary
+from lakelayers.plans.keys import read_keys, register_keys, repeated_keys
 from lakelayers.plans.lake import Lake
 from lakelayers.plans.silver import compact, transform_orders_silver
 from lakelayers.schemas import ORDER_COLUMNS, PARTITION, RAW_ORDERS
@@ -48,6 +60,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 EVENT_SLA = {"click": 60, "purchase": 120, "signup": 30, "view": 90}
 HIVE_LAYOUT = "{raw}/{dataset}/dt={dt}"
 UNKNOWN_ALLOWED = {"status": ["UNKNOWN"]}
+HOUR = 3600
+STATUS_AS_OF = datetime(2024, 1, 20, 12, 0, 30, tzinfo=timezone.utc)
 
 
 def write_csv(df: DataFrame, path: str, *by: str, mode: str = "error") -> None:
@@ -303,6 +317,62 @@ def quality_skip(spark, sf_dir):
     return skipped.unionByName(checked.drop("message"))
 
 
+def quality_rejects(spark, sf_dir):
+    """Which rows fail the order rules: how many, and the lowest by digest in each of five slots per rule."""
+    text = F.concat("order_id", F.lit("/"), F.col("seq").cast("string"))
+    rank = F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("bigint")
+    rows = views.orders_raw(spark, sf_dir)
+    return quality.failing_rows(rows, RULES["orders"], "orders", ("order_id", "seq"), DAY_1, rank=rank)
+
+
+# --- summaries over dates and keys across dates --------------------------------------------------------------
+
+
+def _silver_by_day(spark, sf_dir) -> DataFrame:
+    rows = views.orders_by_day(spark, sf_dir).withColumnRenamed("dt", PARTITION)
+    return clean_orders(dedup(rows, [PARTITION, "order_id"]))
+
+
+def gold_rollup(spark, sf_dir):
+    """Parts of three dates added up, after one date came again with fewer rows and other amounts."""
+    path, silver = scratch_path(spark, "parts"), _silver_by_day(spark, sf_dir)
+    overwrite_layer(compact(rollup.summary_parts(silver), [DAY_1, DAY_2]), path)
+    again = silver.filter((F.col(PARTITION) == DAY_2) & (F.col("order_id").cast("bigint") % 2 == 0))
+    again = again.withColumn("amount", (F.col("amount") + 1).cast("decimal(18,2)"))
+    overwrite_layer(rollup.summary_parts(again), path)
+    return rollup.summary_over_dates(read_layer(spark, path)).drop("approx_customers")
+
+
+def customers_rollup(spark, sf_dir):
+    """Customers per status over all dates, counted, and whether the sketches of the dates come within 3 percent of that."""
+    path, silver = scratch_path(spark, "sketches"), _silver_by_day(spark, sf_dir)
+    overwrite_layer(compact(rollup.summary_parts(silver), [DAY_1, DAY_2]), path)
+    estimated = rollup.summary_over_dates(read_layer(spark, path), by=["status"])
+    counted = silver.groupBy("status").agg(F.count_distinct("customer_id").alias("unique_customers"))
+    off = F.abs(F.col("approx_customers") - F.col("unique_customers"))
+    joined = counted.join(estimated, "status")
+    return joined.select("status", "unique_customers", (off <= F.col("unique_customers") * 0.03).alias("close"))
+
+
+def unique_across_dates(spark, sf_dir):
+    """Orders of the second date whose keys an earlier date has."""
+    path, rows = scratch_path(spark, "keys"), views.deliveries(spark, sf_dir)
+    register_keys(for_partition(rows, DAY_1), path, "order_id")
+    second = for_partition(rows, DAY_2)
+    register_keys(second, path, "order_id")
+    return repeated_keys(second, read_keys(spark, path), "order_id")
+
+
+def series_incremental(spark, sf_dir):
+    """Samples folded in by three batches that overlap by a day."""
+    path = scratch_path(spark, "series")
+    samples = views.metric_samples(spark, sf_dir, "event_id")
+    for first, end in (("2024-01-01", "2024-01-11"), ("2024-01-10", "2024-01-21"), ("2024-01-20", "2024-03-01")):
+        batch = samples.filter((F.col("ts") >= F.lit(first).cast("timestamp")) & (F.col("ts") < F.lit(end).cast("timestamp")))
+        state = series.fold(spark, path, batch, 2 * 24 * 3600, ("event_id", "kind"))
+    return state.values()
+
+
 # --- layer jobs --------------------------------------------------------------------------------------------
 
 
@@ -552,6 +622,29 @@ def task_attempts(spark, sf_dir):
     return attempts(history, ("dag_id", "task_id", "day"), time_limit=120)
 
 
+def _hourly(spark, sf_dir):
+    """Every task of every DAG is due once an hour."""
+    history = views.runs(spark, sf_dir)
+    spans = history.groupBy("dag_id").agg(F.min("scheduled_at").alias("first"), F.max("scheduled_at").alias("last"))
+    return expected_runs(spans, EVENT_SLA, HOUR), history
+
+
+def task_status(spark, sf_dir):
+    """In time, late, failed, running, absent or not due yet, as of a time within the history."""
+    found = sla_status(*_hourly(spark, sf_dir), STATUS_AS_OF, HOUR)
+    return without_zone(found, "scheduled_at", "due_at", "finished_at")
+
+
+def absent_tasks(spark, sf_dir):
+    found = sla_absent(*_hourly(spark, sf_dir), STATUS_AS_OF, HOUR)
+    return without_zone(found.select("dag_id", "task_id", "scheduled_at", "due_at"), "scheduled_at", "due_at")
+
+
+def episodes(spark, sf_dir):
+    """Attempts of a task that follow each other within half an hour."""
+    return without_zone(attempt_episodes(views.runs(spark, sf_dir), gap=HOUR // 2), "first_start", "last_end")
+
+
 QUERIES: dict[str, Query] = {
     "raw_csv_scan": raw_csv_scan,
     "raw_csv_text_scan": raw_csv_text_scan,
@@ -617,4 +710,12 @@ QUERIES: dict[str, Query] = {
     "alert_failures": alert_failures,
     "alert_sla": alert_sla,
     "attempts": task_attempts,
+    "quality_rejects": quality_rejects,
+    "gold_rollup": gold_rollup,
+    "customers_rollup": customers_rollup,
+    "unique_across_dates": unique_across_dates,
+    "series_incremental": series_incremental,
+    "sla_status": task_status,
+    "sla_absent": absent_tasks,
+    "attempt_episodes": episodes,
 }

@@ -102,8 +102,8 @@ def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def metric_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A duration gauge per event, and a failure increment as well for each error event."""
+def metric_samples(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
+    """A duration gauge per event, and a failure increment as well for each error event; ``more`` event columns."""
     events = table(spark, sf_dir, "events")
     kinds = F.when(F.col("event_type") == "error", F.array(F.lit("g"), F.lit("c"))).otherwise(F.array(F.lit("g")))
     rows = events.withColumn("kind", F.explode(kinds))
@@ -116,6 +116,7 @@ def metric_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(is_counter, counter).otherwise(gauge).alias("metric"),
         F.when(is_counter, F.lit(1.0)).otherwise(F.col("value")).alias("value"),
         "kind",
+        *more,
     )
 
 
