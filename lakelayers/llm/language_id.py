@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+import zlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -25,6 +26,8 @@ UNKNOWN = "und"
 PIECE = 1 << 18
 # Rows that are judged together.
 AT_ONCE = 512
+# Characters of a stretch when texts are halved for the calibration.
+STRETCH = 100
 FOUND = ["lang_pred", "score", "entropy", "symbols", "rejected"]
 KINDS = (pa.string(), pa.float64(), pa.float64(), pa.int64(), pa.bool_())
 
@@ -352,7 +355,7 @@ def _joined(docs: DataFrame, model: LanguageTables, text_col: str) -> DataFrame:
     texts = rows.select("_id", F.col("_row")[text_col].alias("text"))
     wanted = stored(gram_counts(texts.withColumn("lang", F.lit("")), "text", "lang").select("gram", "n"), "wanted")
     logs = stored(model.logs(wanted), "logs")
-    frequent = wanted.orderBy(F.desc("n"), "gram").limit(model.max_logs // width)
+    frequent = wanted.filter(F.col("n") >= _threshold(wanted, model.max_logs // width))
     found = logs.join(frequent, "gram", "left_semi").toArrow().combine_chunks()
     grams, costs = found["gram"].to_numpy(), found["logs"].combine_chunks()
     order = np.argsort(grams)
@@ -413,12 +416,31 @@ def _joined(docs: DataFrame, model: LanguageTables, text_col: str) -> DataFrame:
     return rows.join(results, "_id").select("_row", *FOUND)
 
 
+def _threshold(wanted: DataFrame, most: int) -> int:
+    """The least power of two that at most ``most`` n-grams reach by their count, from a histogram of a row per power."""
+    power = F.floor(F.log2("n")).cast("int")
+    sizes = {r["power"]: r["count"] for r in wanted.groupBy(power.alias("power")).count().collect()}
+    above, at = 0, max(sizes, default=0) + 1
+    while at > 0 and above + sizes.get(at - 1, 0) <= most:
+        at -= 1
+        above += sizes.get(at, 0)
+    return 1 << at
+
+
 @dataclass(frozen=True)
 class Calibration:
-    """Rejected is what costs over ``slack`` more per symbol than the training texts' mean, plus ``sds`` deviations."""
+    """Rejected is what costs over ``slack`` more per symbol than unseen text of the language, plus ``sds`` deviations.
+
+    What unseen text costs is measured on parts of texts under a model that was trained without them. A language with
+    fewer than ``few`` such parts takes the largest deviation of the others, ``spread`` if there is none, and its limit
+    is at least ``floor``, which is between what ordinary text and what random letters cost under a model of a few sentences.
+    """
 
     sds: float = 8.0
     slack: float = 1.0
+    few: int = 20
+    spread: float = 0.25
+    floor: float = 4.0
 
 
 def train(
@@ -431,34 +453,81 @@ def train(
     """Models from the whole texts of all rows with a language.
 
     Counts cover all rows and every n-gram. A model of up to ``max_grams`` n-grams is broadcast, a larger one stays in
-    tables; both give the same results. The rejection is calibrated on all rows with a language.
+    tables; both give the same results. The rejection is calibrated on all rows with a language, on text that the
+    measuring models have not seen (:class:`Calibration`).
     """
-    counts = stored(gram_counts(docs, text_col, lang_col), "grams")
+    model = _model(stored(gram_counts(docs, text_col, lang_col), "grams"), max_grams)
+    _calibrate(model, docs, text_col, lang_col, max_grams, calibration)
+    return model
+
+
+def _model(counts: DataFrame, max_grams: int) -> LanguageModel | LanguageTables:
+    """A model of ``lang, gram, n``, in the form that its size asks for."""
     size = counts.count()
     languages = sorted(r["lang"] for r in counts.select("lang").distinct().collect())  # one row per language
-    model: LanguageModel | LanguageTables
     if size > max_grams or size * len(languages) > LOGS_PER_GRAM * max_grams:
-        model = LanguageTables(counts, languages, LOGS_PER_GRAM * max_grams)
-    else:
-        found = counts.toArrow()
-        langs = np.array(found["lang"].to_pylist(), dtype=object)
-        grams, n = found["gram"].to_numpy(), found["n"].to_numpy()
-        model = LanguageModel({lang: (grams[langs == lang], n[langs == lang]) for lang in languages})
-    _calibrate(model, docs, text_col, lang_col, calibration)
-    return model
-
+        return LanguageTables(counts, languages, LOGS_PER_GRAM * max_grams)
+    found = counts.toArrow()
+    langs = np.array(found["lang"].to_pylist(), dtype=object)
+    grams, n = found["gram"].to_numpy(), found["n"].to_numpy()
+    return LanguageModel({lang: (grams[langs == lang], n[langs == lang]) for lang in languages})
+
+
+def halves(text: str) -> tuple[str, str]:
+    """Two texts of every other stretch of about ``STRETCH`` characters each, cut behind a word; copies are cut alike."""
+    found: tuple[list[str], list[str]] = ([], [])
+    at, side = 0, zlib.crc32(text.encode("utf-8", "replace")) & 1
+    while at < len(text):
+        end = text.find(" ", at + STRETCH)
+        end = len(text) if end < 0 else end
+        found[side].append(text[at:end])
+        at, side = end, 1 - side
+    return "\n".join(found[0]), "\n".join(found[1])
+
+
+def _calibrate(
+    model: LanguageModel | LanguageTables, docs: DataFrame, text_col: str, lang_col: str, max_grams: int, by: Calibration
+) -> None:
+    """The limit of each language, from either half of every text under models of the other halves."""
+
+    def split(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, AT_ONCE):
+                langs, texts = (column.slice(at, AT_ONCE) for column in batch.columns)
+                sides = zip(*(halves(text.as_py()) for text in texts))
+                for side, own in enumerate(sides):
+                    arrays = [langs, pa.array([side] * len(own), pa.int32()), pa.array(own, pa.string())]
+                    yield pa.RecordBatch.from_arrays(arrays, names=["lang", "side", "text"])
 
-def _calibrate(model: LanguageModel | LanguageTables, docs: DataFrame, text_col: str, lang_col: str, by: Calibration) -> None:
     labelled = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     labelled = labelled.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
-    seen = _scored(labelled, model, "text").filter("symbols > 0")
+    parts = map_arrow(labelled, split, "lang string, side int, text string").filter("text <> ''")
+    both = F.concat(F.col("side").cast("string"), F.col("lang"))
+    counts = stored(gram_counts(parts.select(both.alias("lang"), "text"), "text", "lang"), "half_grams")
+    seen = []
+    for side in (0, 1):
+        other = counts.filter(F.col("lang").startswith(str(1 - side))).withColumn("lang", F.col("lang").substr(F.lit(2), F.length("lang")))
+        unseen = _model(other, max_grams)
+        # Where the other halves have no text of a language nothing can be said about it.
+        own = parts.filter((F.col("side") == side) & F.col("lang").isin(unseen.languages))
+        seen.append(_scored(own.select("lang", "text"), unseen, "text").select(F.col("_row.lang").alias("lang"), "entropy", "symbols"))
     weight = F.col("symbols").cast("double")
     mean = F.sum(F.col("entropy") * weight) / F.sum(weight)
-    found = seen.groupBy(F.col("_row.lang").alias("lang")).agg(
-        mean.alias("mean"), F.stddev("entropy").alias("sd"), F.avg(F.sqrt(weight)).alias("root")
+    found = seen[0].union(seen[1]).filter("symbols > 0").groupBy("lang").agg(
+        F.count(F.lit(1)).alias("n"), mean.alias("mean"), F.stddev("entropy").alias("sd"), F.avg(F.sqrt(weight)).alias("root")
     )
-    for row in found.collect():  # one row per language
-        model.limits[row["lang"]] = (row["mean"] + by.slack, by.sds * (row["sd"] or 0.0) * row["root"])
+    measured = {r["lang"]: r for r in found.collect()}  # one row per language
+    sure = [r["sd"] * r["root"] for r in measured.values() if r["n"] >= by.few]
+    widest = max(sure, default=None)
+    for lang in model.languages:
+        r = measured.get(lang)
+        if r is not None and r["n"] >= by.few:
+            model.limits[lang] = (r["mean"] + by.slack, by.sds * r["sd"] * r["root"])
+        elif r is not None:
+            spread = by.spread * r["root"] if widest is None else widest
+            model.limits[lang] = (max(r["mean"] + by.slack, by.floor), by.sds * spread)
+        else:
+            model.limits[lang] = (by.floor, by.sds * (widest or 0.0))
 
 
 def identify(
