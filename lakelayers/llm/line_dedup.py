@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakelayers.llm.common import BLANKS, ascii_lower, stored, text_hash
@@ -22,12 +22,15 @@ def line_key(line: Column) -> Column:
 def line_bitmaps(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS
 ) -> DataFrame:
-    """``doc_id, rid, drop_bits`` for every document that loses a line.
+    """``doc_id, rid, keep_runs`` for every document that loses a line.
 
-    Bit ``p % 64`` of word ``p / 64`` is set if line ``p`` goes; words after the last set bit are left out, and
-    a document without a row keeps all lines. Hashes (96 bits) of the keys are range-partitioned by hash and
-    document, so a line that a third of the documents share is cut into several ranges. Within a range hash
-    aggregates leave one row per hash and document, then one per hash and range, which are merged.
+    ``keep_runs`` is the bitmap of the lines that stay, run-length compressed: ``start`` and ``length`` of each run, in
+    order; the last run has no length and goes to the end. A document without a row keeps all lines.
+
+    Hashes (96 bits) of the keys are range-partitioned by hash and document, so a line that a third of the documents
+    share is cut into several ranges, and sorted by hash, document and position in them. The sorted rows stream by, and
+    the first occurrence of a hash in a document passes. What passes is counted per hash and range, and the ranges of a hash are merged.
+    Runs come from the lines that go, in the order of their positions: neighbours keep the same distance to their number.
 
     A null text is one empty line. ``rid`` tells rows of one id with different texts apart; such rows count as
     one document. A null id is a document smaller than all others. Empty tables give empty tables.
@@ -42,21 +45,36 @@ def line_bitmaps(
     )
     # Read three times below: to find the ranges, to deal them out, and to mark what goes.
     occurrences = stored(occurrences, "lines")
-    ranged = occurrences.select("h", "g", "doc_id").repartitionByRange("h", "g", "doc_id")
-    per_doc = ranged.distinct()
-    shared = per_doc.groupBy("h", "g").agg(F.count(F.lit(1)).alias("docs"), F.max("doc_id").alias("keeper"))
+    shared = first_occurrences(occurrences).groupBy("h", "g").agg(F.count(F.lit(1)).alias("docs"), F.max("doc_id").alias("keeper"))
     # Written, so that the join below has a plain shuffle on either side, which can be split where one line is hot.
     shared = stored(shared.filter(F.col("docs") >= min_docs).select("h", "g", "keeper"), "shared_lines")
     dropped = occurrences.join(shared, ["h", "g"]).filter(~F.col("doc_id").eqNullSafe(F.col("keeper")))
-    word = (F.col("pos") / 64).cast("int")
-    words = dropped.groupBy("doc_id", "rid", word.alias("word")).agg(
-        F.bit_or(F.expr("shiftleft(1L, pos % 64)")).alias("bits")
-    )
-    listed = words.groupBy("doc_id", "rid").agg(
-        F.map_from_entries(F.collect_list(F.struct("word", "bits"))).alias("m"), F.max("word").alias("last")
-    )
-    dense = F.transform(F.sequence(F.lit(0), F.col("last")), lambda w: F.coalesce(F.col("m")[w], F.lit(0).cast("long")))
-    return listed.select("doc_id", "rid", dense.alias("drop_bits"))
+    # Rows that repeat are reduced in the map tasks before a document's lines meet.
+    dropped = dropped.select("doc_id", "rid", "pos").distinct()
+    in_order = Window.partitionBy("doc_id", "rid").orderBy("pos")
+    numbered = dropped.withColumn("run", F.col("pos") - F.row_number().over(in_order))
+    runs = numbered.groupBy("doc_id", "rid", "run").agg(F.min("pos").alias("start"), F.count(F.lit(1)).cast("int").alias("length"))
+    listed = runs.groupBy("doc_id", "rid").agg(F.array_sort(F.collect_list(F.struct("start", "length"))).alias("gone"))
+    return listed.select("doc_id", "rid", _between(F.col("gone")).alias("keep_runs"))
+
+
+def first_occurrences(occurrences: DataFrame) -> DataFrame:
+    """``h, g, doc_id`` once per hash and document: the first row of each in the stream sorted by hash, document, position."""
+    ranged = occurrences.select("h", "g", "doc_id", "pos").repartitionByRange("h", "g", "doc_id")
+    stream = Window.partitionBy("h", "g", "doc_id").orderBy("pos")
+    first = ranged.withColumn("occurrence", F.row_number().over(stream)).filter("occurrence = 1")
+    return first.select("h", "g", "doc_id")
+
+
+def _between(gone: Column) -> Column:
+    """The runs between the runs of lines that go, before the first and behind the last of them."""
+
+    def run(i: Column) -> Column:
+        before, after = F.get(gone, i - 1), F.get(gone, i)
+        start = F.coalesce(before["start"] + before["length"], F.lit(0))
+        return F.struct(start.alias("start"), (after["start"] - start).alias("length"))
+
+    return F.filter(F.transform(F.sequence(F.lit(0), F.size(gone)), run), lambda r: r["length"].isNull() | (r["length"] > 0))
 
 
 def with_kept_lines(
@@ -68,17 +86,16 @@ def with_kept_lines(
         docs[id_col].alias("_id"),
         text_hash(docs[text_col]).alias("_rid"),
     )
-    bits = bitmaps.select(
-        F.col("doc_id").alias("_bid"), F.col("rid").alias("_brid"), F.col("drop_bits").alias("_bits")
+    runs = bitmaps.select(
+        F.col("doc_id").alias("_bid"), F.col("rid").alias("_brid"), F.col("keep_runs").alias("_runs")
     )
-    joined = rows.join(bits, rows["_id"].eqNullSafe(bits["_bid"]) & (rows["_rid"] == bits["_brid"]), "left")
+    joined = rows.join(runs, rows["_id"].eqNullSafe(runs["_bid"]) & (rows["_rid"] == runs["_brid"]), "left")
     lines = lines_of(F.col("_row")[text_col])
 
-    def stays(_: Column, p: Column) -> Column:
-        word = F.get("_bits", (p / 64).cast("int"))
-        return F.coalesce(F.getbit(word, p % 64), F.lit(0)) == 0
+    def piece(run: Column) -> Column:
+        return F.slice(lines, run["start"] + 1, F.coalesce(run["length"], F.size(lines) - run["start"]))
 
-    kept = F.when(F.col("_bits").isNull(), lines).otherwise(F.filter(lines, stays))
+    kept = F.when(F.col("_runs").isNull(), lines).otherwise(F.flatten(F.transform("_runs", piece)))
     counted = joined.select("_row", F.size(lines).alias("n_lines"), kept.alias("_kept"))
     return counted.select(
         "_row",

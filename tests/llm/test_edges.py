@@ -1,6 +1,7 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and clashing column names."""
 
 import hashlib
+import re
 
 import numpy as np
 import pytest
@@ -85,10 +86,26 @@ def test_line_dedup_of_many_lines(spark):
     assert sorted((r.n_lines, r.n_dropped) for r in found.collect()) == [(5000, 5000)] * 3 + [(5001, 0)]
 
 
-def test_line_dedup_asks_for_no_order_that_is_not_used(spark, monkeypatch):
-    docs = spark.createDataFrame([(i, LINE) for i in range(4)], "doc_id long, text string")
-    monkeypatch.delattr(type(docs), "sortWithinPartitions")
-    assert sorted(r.doc_id for r in line_dedup.line_bitmaps(docs).collect()) == [0, 1, 2]
+def test_line_dedup_streams_sorted_ranges(spark):
+    """Ranges by hash and document, sorted by position within; the first row of each passes, no hash aggregate does that."""
+    rows = spark.createDataFrame([(1, 2, 3, 4, 5)], "h long, g int, doc_id long, rid long, pos int")
+    first = line_dedup.first_occurrences(rows)
+    plan = re.sub(r"#\d+L?", "", first._jdf.queryExecution().executedPlan().toString())
+    assert "Exchange rangepartitioning(h ASC NULLS FIRST, g ASC NULLS FIRST, doc_id ASC NULLS FIRST" in plan
+    assert "Sort [h ASC NULLS FIRST, g ASC NULLS FIRST, doc_id ASC NULLS FIRST, pos ASC NULLS FIRST]" in plan
+    assert "Window" in plan and "Aggregate" not in plan and plan.count("Exchange") == 1
+
+
+def test_line_bitmaps_are_compressed(spark):
+    """Two runs for a block of lines that go, however long, and none of length 0."""
+    shared = [f"{LINE} {i}" for i in range(300)]
+    own = [f"own line number {i} of this document" for i in range(3000)]
+    rows = [(1, "\n".join(own + shared + own[:5])), (2, "\n".join(shared)), (3, "\n".join(shared[:150] + ["x"] + shared[150:])), (4, "\n".join(shared))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: [tuple(x) for x in r.keep_runs] for r in line_dedup.line_bitmaps(docs).collect()}
+    assert found == {1: [(0, 3000), (3300, None)], 2: [(300, None)], 3: [(150, 1), (301, None)]}
+    kept = {r["_row"].doc_id: r.kept for r in line_dedup.with_kept_lines(docs, line_dedup.line_bitmaps(docs)).collect()}
+    assert kept == {1: "\n".join(own + own[:5]), 2: "", 3: "x", 4: rows[3][1]}
 
 
 def test_html_extract(spark):
