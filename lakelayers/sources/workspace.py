@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import tempfile
+from collections.abc import Sequence
 from uuid import uuid4
 
 from pyspark.sql import SparkSession
@@ -39,6 +40,34 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+class Scratch:
+    """The intermediate tables made within a ``with`` block; all but the last one are removed at its end."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self._spark, self._application = spark, spark.sparkContext.applicationId
+        self._begin = len(_made.setdefault(self._application, []))
+
+    def last(self) -> str:
+        return _made[self._application][-1]
+
+    def remove(self, paths: Sequence[str]) -> None:
+        for path in paths:
+            remove(self._spark, path)
+            _made[self._application].remove(path)
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *error: object) -> None:
+        own = _made[self._application][self._begin :]
+        self.remove(own if error[0] else own[:-1])
+
+
+def scratch_since(spark: SparkSession) -> Scratch:
+    """Use as ``with scratch_since(spark) as made``; what is made last, the result, has to be complete by the end of the block."""
+    return Scratch(spark)
+
+
 def clear_scratch(spark: SparkSession) -> None:
     """Remove the session's intermediate tables, once nothing that was read from them is needed any more."""
     for path in _made.pop(spark.sparkContext.applicationId, []):
