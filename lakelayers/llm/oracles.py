@@ -231,7 +231,58 @@ SELECT part, filter_order, step, kept::BIGINT AS kept, removed::BIGINT AS remove
 FROM counts
 """
 
+# Every string of 100 bytes as 200 hexadecimal digits by its digest; pieces keep the cost of cutting them out linear.
+SUFFIX_DEDUP = """
+WITH raw AS (
+    SELECT doc_id, hex(encode(coalesce(text, ''))) AS t, octet_length(encode(coalesce(text, ''))) AS n FROM documents
+), pieces AS (
+    SELECT doc_id, n, piece * 500 AS base, substr(t, piece * 1000 + 1, 1200) AS t
+    FROM (SELECT *, unnest(range(n // 500 + 1)) AS piece FROM raw)
+), strings AS (
+    SELECT doc_id, base + i AS start, md5_number(substr(t, 2 * i + 1, 200)) AS s
+    FROM (SELECT *, unnest(range(least(500, n - base - 99))) AS i FROM pieces WHERE n - base >= 100)
+), repeated AS (
+    SELECT doc_id, start FROM strings
+    QUALIFY row_number() OVER (PARTITION BY s ORDER BY doc_id, start) > 1
+), runs AS (
+    SELECT doc_id, run, min(start) AS low, max(start) + 100 AS high FROM (
+        SELECT doc_id, start, sum(CAST(start - before > 100 OR before IS NULL AS INT)) OVER (PARTITION BY doc_id ORDER BY start) AS run
+        FROM (SELECT *, lag(start) OVER (PARTITION BY doc_id ORDER BY start) AS before FROM repeated)
+    ) GROUP BY doc_id, run
+), ends AS (
+    SELECT doc_id, list_concat([0], list(high ORDER BY low)) AS opens, list(low ORDER BY low) AS closes, CAST(sum(high - low) AS BIGINT) AS n_removed,
+        count(*) AS n_spans FROM runs GROUP BY doc_id
+)
+SELECT r.doc_id, n AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+    sha256(unhex(coalesce(array_to_string(list_transform(range(1, n_spans + 2),
+        lambda k: substr(t, 2 * opens[k] + 1, 2 * (coalesce(closes[k], n) - opens[k]))), ''), t))) AS kept_sha256
+FROM raw r LEFT JOIN ends e ON r.doc_id = e.doc_id
+"""
+
+EMBEDDINGS = """
+WITH RECURSIVE usable AS (
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings
+    WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(CAST(x AS DOUBLE)))) = 0
+        AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), linked AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b
+    ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.95
+), reached AS (
+    SELECT a AS origin, a AS node FROM linked
+    UNION SELECT r.origin, l.b FROM reached r JOIN linked l ON r.node = l.a
+), component AS (
+    SELECT origin AS vec_id, min(node) AS component_id FROM reached GROUP BY origin
+), counted AS (
+    SELECT a AS vec_id, count(*) AS n FROM linked GROUP BY a
+)
+SELECT e.vec_id, coalesce(n, 0) AS n_links, coalesce(component_id, e.vec_id) AS component_id,
+    coalesce(component_id, e.vec_id) = e.vec_id AS kept
+FROM embeddings e LEFT JOIN component c ON e.vec_id = c.vec_id LEFT JOIN counted k ON e.vec_id = k.vec_id
+"""
+
 ORACLES = {
+    "op1_suffix_dedup": SUFFIX_DEDUP,
+    "op8_embedding_near_dedup": EMBEDDINGS,
     "op2_line_dedup": LINE_DEDUP,
     "op5_mixing": MIXING,
     "op7_decontamination": DECONTAMINATION,

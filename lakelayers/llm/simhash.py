@@ -22,6 +22,8 @@ SEED = 42
 # Members of a bin that meet in one task; larger bins are cut into pairs of such chunks.
 CHUNK = 4096
 LEAF = 32
+# Codes that a bin of the index holds on average before its masks are widened.
+IN_BIN = 64
 PIECE = 1 << 16
 
 
@@ -66,28 +68,37 @@ def gray_rank(code: Column) -> Column:
     return code
 
 
-def _patterns(max_bits: int) -> list[int]:
-    """Masks of two whole blocks out of ``max_bits + 2``: codes within ``max_bits`` agree on one of them at least."""
-    edges = np.linspace(0, 64, max_bits + 3).round().astype(int).tolist()
+def _patterns(max_bits: int, agreeing: int) -> list[int]:
+    """Masks of ``agreeing`` whole blocks out of ``max_bits + agreeing``: codes within ``max_bits`` agree on one mask at least."""
+    edges = np.linspace(0, 64, max_bits + agreeing + 1).round().astype(int).tolist()
     blocks = [((1 << b) - 1) ^ ((1 << a) - 1) for a, b in zip(edges, edges[1:], strict=False)]
-    return [a | b for a, b in combinations(blocks, 2)]
+    return [sum(chosen) for chosen in combinations(blocks, agreeing)]
+
+
+def agreeing_blocks(n: int, max_bits: int = MAX_BITS) -> int:
+    """How many blocks a mask has: enough that a bin holds about ``IN_BIN`` of ``n`` codes or fewer, 2 to 4.
+
+    With 4 bits two blocks are 21 bits and 15 masks, three 27 bits and 35 masks, four 32 bits and 70 masks: more
+    copies of a code, so wider masks pay only for many codes.
+    """
+    return next((k for k in (2, 3) if n <= IN_BIN << (64 * k // (max_bits + k))), 4)
 
 
 def _signed(value: int) -> int:
     return value - (1 << 64) if value >= 1 << 63 else value
 
 
-def code_links(codes: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+def code_links(codes: DataFrame, max_bits: int = MAX_BITS, agreeing: int = 2) -> DataFrame:
     """Links ``a, b`` between distinct codes ``fp`` that connect just what lies within ``max_bits`` bits.
 
-    The roots of the index are masked bit patterns: for each of the masks, the codes that share the masked bits
-    are one bin, in which these bits add no difference. Bins of one code are left out; a bin of more than
+    The roots of the index are masked bit patterns: for each of the masks (``agreeing`` blocks of bits, see
+    :func:`agreeing_blocks`), the codes that share the masked bits are one bin, in which these bits add no difference. Bins of one code are left out; a bin of more than
     ``CHUNK`` codes becomes pairs of chunks, so that no task holds a whole large bin. A task has its codes in
     Gray order, where neighbours differ in few bits, and builds the lower nodes over runs of them: the bits that
     all codes of a run share. Two nodes whose shared bits differ in too many places are dropped with all their
     codes. Links found are thinned to a forest with the same components.
     """
-    masks = F.array(*[F.lit(_signed(m)) for m in _patterns(max_bits)])
+    masks = F.array(*[F.lit(_signed(m)) for m in _patterns(max_bits, agreeing)])
     binned = codes.select("fp", F.posexplode(masks).alias("t", "mask"))
     binned = binned.select("fp", "t", F.col("fp").bitwiseAND(F.col("mask")).alias("key"))
     sizes = binned.groupBy("t", "key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
@@ -180,7 +191,7 @@ def near_duplicates(
     rows = stored(fingerprints(docs, shingle, id_col, text_col), "fingerprints")
     least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rid")).alias("least")
     codes = stored(rows.groupBy("fp").agg(least), "codes")
-    joined = components(code_links(codes.select("fp"), max_bits))
+    joined = components(code_links(codes.select("fp"), max_bits, agreeing_blocks(codes.count(), max_bits)))
     grouped = codes.join(joined.withColumnRenamed("node", "fp"), "fp", "left")
     grouped = grouped.withColumn("component", F.coalesce("component", "fp"))
     best = grouped.groupBy("component").agg(F.min("least").alias("best"))
@@ -193,7 +204,12 @@ def near_duplicates(
 def first_of_each(
     docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """One row of ``docs`` for each component, columns as before; of identical rows one stays."""
+    """One row of ``docs`` for each component, columns as before.
+
+    Of rows with equal id and text the one whose other columns have the lowest hash stays, the same one in every run
+    (columns of maps, which have no hash, are not looked at). A null text is a document like any other; an empty table gives an
+    empty table.
+    """
     kept = near_duplicates(docs, shingle, max_bits, id_col, text_col).filter("keeper")
     kept = kept.select(F.col("doc_id").alias("_kid"), F.col("rid").alias("_krid")).distinct()
     rows = docs.select(
@@ -202,5 +218,6 @@ def first_of_each(
         text_hash(docs[text_col]).alias("_rid"),
     )
     joined = rows.join(kept, rows["_id"].eqNullSafe(kept["_kid"]) & (rows["_rid"] == kept["_krid"]))
-    single = joined.groupBy("_id", "_rid").agg(F.first("_row").alias("_row"))
+    hashed = [F.col("_row")[c] for c, kind in docs.dtypes if "map<" not in kind]
+    single = joined.groupBy("_id", "_rid").agg(F.min_by("_row", F.xxhash64(*hashed)).alias("_row"))
     return single.select(*[F.col("_row")[c].alias(c) for c in docs.columns])

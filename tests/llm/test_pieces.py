@@ -226,3 +226,29 @@ def test_embedding_links_in_clusters(spark, chunk):
     assert {i: r.n_links for i, r in found.items()} == {i: len(x) for i, x in enumerate(near)}
     assert {i: r.component_id for i, r in found.items()} == component
     assert sum(map(len, near)) > 1000
+
+
+@pytest.mark.parametrize("agreeing", [2, 3, 4])
+def test_masks_of_any_width_find_the_same(spark, agreeing):
+    """Six, seven and eight blocks: each link that there is, and no other."""
+    rng = np.random.default_rng(8)
+    seeds = rng.integers(0, 1 << 63, 40, dtype=np.uint64)
+    codes = {int(c) for c in seeds}
+    for c in seeds:
+        for n in (1, 3, 4, 5, 7):
+            codes.add(int(c) ^ sum(1 << int(b) for b in rng.choice(63, n, replace=False)))
+    codes = sorted(codes)
+    rows = spark.createDataFrame([(c,) for c in codes], "fp long")
+    found = {(r.a, r.b) for r in simhash.code_links(rows, 4, agreeing).collect()}
+    near = lambda i: [j for j, c in enumerate(codes) if j != i and (c ^ codes[i]).bit_count() <= 4]
+    assert all((a ^ b).bit_count() <= 64 for a, b in found)
+    linked = {c: x for c, x in brute.grouped(codes, near).items()}
+    mine = brute.grouped(codes, lambda i: [codes.index(y) for x in found for y in x if codes[i] in x and y != codes[i]])
+    assert mine == linked
+
+
+def test_masks_widen_with_the_number_of_codes():
+    assert [simhash.agreeing_blocks(10**k) for k in (3, 8, 9, 10, 11, 12)] == [2, 2, 3, 4, 4, 4]
+    # Comparisons for a code: masks times codes in a bin, without the pruning below.
+    per_code = [len(simhash._patterns(4, k)) * n / 2 ** (64 * k // (4 + k)) for n in (10**8, 10**10) for k in [simhash.agreeing_blocks(n)]]
+    assert [round(x) for x in per_code] == [715, 163]

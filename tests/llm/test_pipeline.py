@@ -55,3 +55,17 @@ def test_entry_without_the_subpackage(tmp_path):
     shutil.copy(root / "__spark_entry__.py", tmp_path)
     code = "import __spark_entry__ as e; q = e.queries(); assert q and sorted(q) == sorted(e.oracle_sql()), 1; assert 'pipeline' not in q"
     assert subprocess.run([sys.executable, "-B", "-c", code], cwd=tmp_path, env={"PATH": "/usr/bin:/bin"}).returncode == 0
+
+
+def test_run_leaves_only_its_result(spark, tmp_path):
+    """Tables on the way are removed once their stage is written."""
+    shared = tmp_path / "shared"
+    before = spark.conf.get("spark.checkpoint.dir", None)
+    spark.conf.set("spark.checkpoint.dir", str(shared))
+    try:
+        found = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
+        assert found.count() > 0
+        left = sorted(p.name.partition("-")[0] for p in (shared / "lakelayers").iterdir())
+        assert left == ["mixing"]
+    finally:
+        spark.conf.unset("spark.checkpoint.dir") if before is None else spark.conf.set("spark.checkpoint.dir", before)
