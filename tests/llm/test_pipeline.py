@@ -4,6 +4,8 @@ import inspect
 
 import pytest
 
+from lakelayers.sources import workspace
+
 from . import brute
 
 corpus_pipeline = pytest.importorskip("corpus_pipeline")
@@ -57,15 +59,9 @@ def test_entry_without_the_subpackage(tmp_path):
     assert subprocess.run([sys.executable, "-B", "-c", code], cwd=tmp_path, env={"PATH": "/usr/bin:/bin"}).returncode == 0
 
 
-def test_run_leaves_only_its_result(spark, tmp_path):
+def test_run_leaves_only_its_result(spark, tmp_path, monkeypatch):
     """Tables on the way are removed once their stage is written."""
-    shared = tmp_path / "shared"
-    before = spark.conf.get("spark.checkpoint.dir", None)
-    spark.conf.set("spark.checkpoint.dir", str(shared))
-    try:
-        found = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
-        assert found.count() > 0
-        left = sorted(p.name.partition("-")[0] for p in (shared / "lakelayers").iterdir())
-        assert left == ["mixing"]
-    finally:
-        spark.conf.unset("spark.checkpoint.dir") if before is None else spark.conf.set("spark.checkpoint.dir", before)
+    monkeypatch.setattr(workspace, "shared_dir", lambda spark: str(tmp_path))
+    found = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
+    assert found.count() > 0
+    assert [p.name.partition("-")[0] for p in (tmp_path / "lakelayers").iterdir()] == ["mixing"]
