@@ -5,19 +5,26 @@ from __future__ import annotations
 import html
 import json
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakelayers.llm.common import map_arrow, stored
 from lakelayers.llm.url_filter import host_of
 
-# Signatures of one host are aligned in this many groups first, whose wrappers are aligned in turn.
-SALTS = 16
+# Different signatures of one host that are aligned in one group; the wrappers of the groups are aligned in turn.
+FAN = 32
 LONGEST_GROUP = 12
+# Cells of one table of alignment; longer streams are cut at items that both have once.
+CELLS = 1 << 20
+# Text at one place of a host's pages is the template's if this share of the different pages have it, and so many.
+TEMPLATE_SHARE = 0.8
+TEMPLATE_PAGES = 4
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|"
@@ -277,6 +284,8 @@ def aligned(a: tuple[Item, ...], b: tuple[Item, ...]) -> tuple[Item, ...]:
     while stop < min(len(a), len(b)) - start and a[-1 - stop] == b[-1 - stop]:
         stop += 1
     left, right = a[start : len(a) - stop], b[start : len(b) - stop]
+    if len(left) * len(right) > CELLS:
+        return (*a[:start], *_cut(left, right), *a[len(a) - stop :])
     # Longest common subsequence of items that match.
     best = [[0] * (len(right) + 1) for _ in range(len(left) + 1)]
     match: dict[tuple[int, int], tuple[Item, int, int]] = {}
@@ -315,6 +324,36 @@ def aligned(a: tuple[Item, ...], b: tuple[Item, ...]) -> tuple[Item, ...]:
     return tuple(out)
 
 
+def _cut(left: tuple[Item, ...], right: tuple[Item, ...]) -> tuple[Item, ...]:
+    """Both aligned between the items that either has once and in the same order; without any, each is optional."""
+    once = [{x for x, n in Counter(side).items() if n == 1} for side in (left, right)]
+    place = {x: j for j, x in enumerate(right) if x in once[0] & once[1]}
+    # Longest rising run of places: patience sorting, with the pile below for each item.
+    tops: list[int] = []
+    kept: list[tuple[int, int, int]] = []
+    ends: list[int] = []
+    for i, x in enumerate(left):
+        if x in place:
+            pile = bisect_left(tops, place[x])
+            tops[pile : pile + 1] = [place[x]]
+            ends[pile : pile + 1] = [len(kept)]
+            kept.append((i, place[x], ends[pile - 1] if pile else -1))
+    anchors: list[tuple[int, int]] = []
+    at = ends[-1] if ends else -1
+    while at >= 0:
+        anchors.append(kept[at][:2])
+        at = kept[at][2]
+    if not anchors:
+        return ("?", left), ("?", right)
+    out: list[Item] = []
+    i = j = 0
+    for x, y in [*anchors[::-1], (len(left), len(right))]:
+        out += aligned(left[i:x], right[j:y])
+        out += left[x : x + 1]
+        i, j = x + 1, y + 1
+    return tuple(out)
+
+
 def slots(wrapper: tuple[Item, ...], path: tuple[str, ...] = (), repeated: bool = False) -> Iterator[tuple[tuple[str, ...], bool]]:
     """Path of every text slot of the wrapper, and whether it lies in a repeated group."""
     open_: list[str] = list(path)
@@ -372,9 +411,20 @@ def main_container(wrapper: tuple[Item, ...], weights: dict[tuple[str, ...], int
     return max(sorted(found), key=lambda p: found[p]) if found else ()
 
 
-def article(page: str, container: tuple[str, ...] | None) -> str:
-    """The text under the container, without what is apart; a page that lacks it is judged by its own wrapper."""
+def place_of(path: tuple[str, ...], text: str) -> int:
+    """What tells a text at its place in a page, as a signed long."""
+    found = xxhash.xxh64_intdigest("\t".join((*path, "", text)).encode("utf-8", "surrogatepass"))
+    return found - (1 << 64) if found >> 63 else found
+
+
+def article(page: str, container: tuple[str, ...] | None, template: frozenset[int] = frozenset()) -> str:
+    """The text under the container, without what is apart and without the template's text.
+
+    A page that lacks the container is judged by its own wrapper. A page whose whole text is the template's keeps it.
+    """
     found = list(blocks(page))
+    if template:
+        found = [block for block in found if place_of(*block) not in template] or found
 
     def under(top: tuple[str, ...]) -> list[str]:
         return [text for path, text in found if path[: len(top)] == top and not _aparts(path[len(top) :])]
@@ -397,40 +447,49 @@ def _read(text: str) -> tuple[Item, ...]:
 
 
 def wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """``host, wrapper, container, pages``: the expression of each host's pages, and where in it the article is.
-
-    Pages send their signature and the text length under each path. Equal ones are summed before they are
-    shuffled. The signatures of a host are aligned one after the other, in ``SALTS`` groups first, so that a host
-    with a third of the pages is many tasks.
+    """``host, wrapper, container, pages, template``: the expression of each host's pages, where in it the article is, and
+    which text is not a slot but part of the template.
+
+    Pages send their signature and the text length under each path, and a hash of each text at its place. Equal
+    signatures are summed before they are shuffled. The different signatures of a host are aligned as a tree: groups of about ``FAN`` of
+    them, then the wrappers of the groups, until one is left, so that a host with a third of the pages is as many
+    tasks as its signatures ask for. Text that most different pages of a host have at the same place is equal in the
+    alignment and belongs to the template; what differs is a slot.
     """
 
     def signed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found: dict[tuple[str, str], list] = {}
+            texts: list[tuple] = []
             for host, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 kept = found.setdefault((host, json.dumps(signature(page or ""), ensure_ascii=False)), [0, Counter()])
                 kept[0] += 1
+                places = set()
                 for path, text in blocks(page or ""):
                     kept[1]["\t".join(path)] += len(text)
-            yield _rows([(*k, n, json.dumps(w, ensure_ascii=False)) for k, (n, w) in found.items()], columns)
+                    places.add(place_of(path, text))
+                whole = place_of((), page or "")
+                texts += [(host, None, None, None, place, whole) for place in places]
+            rows = [(*k, n, json.dumps(w, ensure_ascii=False), None, None) for k, (n, w) in found.items()]
+            yield _rows(rows + texts, [*columns, "place", "page"])
 
     def merged(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        host, wrapper, n, weights = None, (), 0, Counter()
+        group, wrapper, n, weights = None, (), 0, Counter()
         seen: set[str] = set()
         for batch in batches:
-            for own, text, pages_, weighed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if own != host:
-                    if host is not None:
-                        yield _rows([(host, json.dumps(wrapper), n, json.dumps(weights))], columns)
-                    host, wrapper, n, weights = own, _read(text), 0, Counter()
+            for host, branch, text, pages_, weighed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (host, branch) != group:
+                    if group is not None:
+                        yield _rows([(group[0], json.dumps(wrapper), n, json.dumps(weights))], columns)
+                    group, wrapper, n, weights = (host, branch), _read(text), 0, Counter()
                     seen.clear()
                 elif text not in seen:
                     wrapper = aligned(wrapper, _read(text))
                 seen.add(text)
                 n += pages_
                 weights.update(json.loads(weighed))
-        if host is not None:
-            yield _rows([(host, json.dumps(wrapper), n, json.dumps(weights))], columns)
+        if group is not None:
+            yield _rows([(group[0], json.dumps(wrapper), n, json.dumps(weights))], columns)
 
     def chosen(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in merged(batches):
@@ -442,16 +501,40 @@ def wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html") ->
     columns = ["host", "wrapper", "n", "weights"]
     schema = "host string, wrapper string, n long, weights string"
     rows = pages.select(host_of(F.col(url_col)).alias("host"), F.col(html_col).alias("html"))
-    parts = map_arrow(rows, signed, schema)
-    salted = parts.withColumn("salt", F.pmod(F.xxhash64("wrapper"), F.lit(SALTS)))
-    salted = salted.repartition("host", "salt").sortWithinPartitions("host", "salt", "wrapper", "weights")
-    few = map_arrow(salted.select(*columns), merged, schema)
-    few = few.repartition("host").sortWithinPartitions("host", "wrapper", "weights")
-    return map_arrow(few, chosen, "host string, wrapper string, container string, pages long")
+    parts = stored(map_arrow(rows, signed, f"{schema}, place long, page long"), "signed")
+    level = parts.filter("wrapper IS NOT NULL").select(*columns)
+    while True:
+        widths = level.groupBy("host").agg(F.ceil(F.count_distinct("wrapper") / FAN).cast("int").alias("width"))
+        widths = stored(widths, "widths")
+        if widths.filter("width > 1").isEmpty():
+            break
+        # One row per host: sent along if it is small, else a hot host's signatures are split.
+        branch = F.pmod(F.xxhash64("wrapper"), F.col("width")).cast("int").alias("branch")
+        widths = widths.withColumnRenamed("host", "_host")
+        dealt = level.join(widths, F.col("host").eqNullSafe(F.col("_host"))).select("host", branch, "wrapper", "n", "weights")
+        dealt = dealt.repartition("host", "branch").sortWithinPartitions("host", "branch", "wrapper", "weights")
+        level = stored(map_arrow(dealt, merged, schema), "merged")
+    last = level.select("host", F.lit(0).alias("branch"), "wrapper", "n", "weights")
+    last = last.repartition("host").sortWithinPartitions("host", "wrapper", "weights")
+    found = map_arrow(last, chosen, "host string, wrapper string, container string, pages long")
+    template = _template(parts.filter("wrapper IS NULL"))
+    return found.join(template, found["host"].eqNullSafe(template["_host"]), "left").drop("_host")
+
+
+def _template(texts: DataFrame) -> DataFrame:
+    """``_host, template``: the texts by place that most different pages of a host have, not many more than a page has.
+
+    Counts of different pages go over ``(host, place, page)`` first, so a text that is on every page of a hot host is many tasks'.
+    """
+    pages = texts.select("host", "page").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("whole"))
+    counted = texts.groupBy("host", "place").agg(F.count_distinct("page").alias("n")).filter(F.col("n") >= TEMPLATE_PAGES)
+    pages = pages.withColumnRenamed("host", "_host")
+    common = counted.join(pages, F.col("host").eqNullSafe(F.col("_host"))).filter(F.col("n") >= TEMPLATE_SHARE * F.col("whole"))
+    return common.groupBy("_host").agg(F.collect_list("place").alias("template"))
 
 
 def _rows(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
-    kinds = {"n": pa.int64(), "pages": pa.int64()}
+    kinds = dict.fromkeys(("n", "pages", "place", "page"), pa.int64())
     columns = zip(*rows, strict=True) if rows else [[] for _ in names]
     return pa.RecordBatch.from_arrays([pa.array(c, kinds.get(n, pa.string())) for c, n in zip(columns, names, strict=True)], names)
 
@@ -462,7 +545,8 @@ def main_texts(
     """``page_id, url, text`` of every page: the article's blocks, joined by two line feeds.
 
     A block is the text between block elements, with character references decoded and white space made one
-    blank. A null or empty html has an empty text. Pages without host (null url) are one host. Repeated rows
+    blank. Text that at least ``TEMPLATE_SHARE`` of the different pages of a host have at the same place, and ``TEMPLATE_PAGES``
+    of them, is no article. Memory for a page follows its blocks and their depth. A null or empty html has an empty text. Pages without host (null url) are one host. Repeated rows
     get the same result, an empty table gives an empty table.
     """
     learned = stored(wrappers(pages, url_col, html_col), "wrappers")
@@ -470,8 +554,11 @@ def main_texts(
     def extracted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = []
-            for page, container in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                found.append(article(page or "", None if container is None else tuple(json.loads(container))))
+            templates: dict[tuple, frozenset[int]] = {}
+            for page, container, template in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4)), strict=True):
+                own = tuple(template or ())
+                known = templates.setdefault(own, frozenset(own))
+                found.append(article(page or "", None if container is None else tuple(json.loads(container)), known))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.string())], names)
 
     names = ["page_id", "url", "text"]
@@ -479,8 +566,8 @@ def main_texts(
         F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"),
         host_of(F.col(url_col)).alias("host"),
     )
-    joined = rows.join(learned.select("host", "container"), "host", "left")
+    joined = rows.join(learned.select("host", "container", "template"), "host", "left")
     kind = rows.schema["page_id"].dataType.simpleString()
     return map_arrow(
-        joined.select("page_id", "url", "html", "container"), extracted, f"page_id {kind}, url string, text string"
+        joined.select("page_id", "url", "html", "container", "template"), extracted, f"page_id {kind}, url string, text string"
     )

@@ -360,3 +360,50 @@ def test_quality(spark, docs, empty):
 def test_hashes_are_the_contracts():
     assert brute.sha("") == hashlib.sha256(b"").hexdigest()
     assert simhash.fingerprint(b"A  b\x0bC d e\x1c") == brute.fingerprint("A  b\x0bC d e\x1c")
+
+
+def texts_of(spark, htmls, host="h"):
+    pages = spark.createDataFrame([(i, f"http://{host}/{i}", h) for i, h in enumerate(htmls)], "page_id int, url string, html string")
+    return [r.text for r in sorted(html_extract.main_texts(pages).collect(), key=lambda r: r.page_id)]
+
+
+def test_html_template_text_is_no_article(spark):
+    """Menus and footers without a telling name, and a line inside the article, are the same on all pages of the host."""
+    own = [f"This is what page {i} has to say, and it says it at some length {'and more ' * i}." for i in range(6)]
+    untold = ["<div class=z9>Home | About | Contact</div><div class=c3><p>%s</p></div><div class=q2>Copyright of it all</div>" % t for t in own]
+    assert texts_of(spark, untold) == [t.strip() for t in own]
+    shared = ["<article><p>%s</p><p>Share on Facebook - Read more news</p></article>" % t for t in own]
+    assert texts_of(spark, shared) == [t.strip() for t in own]
+    # Few pages, or text that most pages do not have, tell nothing.
+    assert texts_of(spark, shared[:3])[0] == own[0].strip() + "\n\nShare on Facebook - Read more news"
+    some = [p if i % 3 else p.replace("Share on", "Found on") for i, p in enumerate(shared)]
+    assert all("Read more news" in t for t in texts_of(spark, some))
+    # Copies of one page do not make its text a template; a page that is nothing but template keeps its text.
+    assert texts_of(spark, [shared[0]] * 9)[0].startswith(own[0].strip())
+    assert texts_of(spark, ["<div><p>same</p></div><!-- %d -->" % i for i in range(5)]) == ["same"] * 5
+
+
+def test_html_of_a_host_with_many_signatures(spark, monkeypatch):
+    """More signatures than a group takes: wrappers are aligned as a tree."""
+    monkeypatch.setattr(html_extract, "FAN", 3)
+    rng = np.random.default_rng(2)
+    pages, texts = [], []
+    for i in range(60):
+        parts = [f"<{t}>Text {i} {j} with words</{t}>" for j, t in enumerate(rng.choice(["p", "h2", "pre", "blockquote"], rng.integers(1, 9)))]
+        pages.append(f"<nav>Menu {i}</nav><article>{''.join(parts)}</article><footer>end</footer>")
+        texts.append("\n\n".join(f"Text {i} {j} with words" for j in range(len(parts))))
+    assert texts_of(spark, pages) == texts
+    rows = spark.createDataFrame([("http://h/", p) for p in pages], "url string, html string")
+    (found,) = html_extract.wrappers(rows).collect()
+    assert found.pages == 60 and "article" in found.container
+
+
+def test_long_irregular_streams_are_cut_where_both_agree(monkeypatch):
+    monkeypatch.setattr(html_extract, "CELLS", 40)
+    left = tuple(f"a{i}" if i % 4 else f"k{i}" for i in range(60))
+    right = tuple(f"b{i}" if i % 4 else f"k{i}" for i in range(60))
+    out = html_extract.aligned(left, right)
+    assert [x for x in out if isinstance(x, str)] == [f"k{i}" for i in range(0, 60, 4)]
+    assert sum(isinstance(x, tuple) and x[0] == "?" for x in out) == 30
+    apart = html_extract.aligned(("x",) * 9 + ("y",) * 9, ("z",) * 18)
+    assert apart == (("?", ("x",) * 9 + ("y",) * 9), ("?", ("z",) * 18))
