@@ -222,24 +222,20 @@ def near_duplicates(
     a null id is larger than all others. An empty table gives an empty table.
     """
     rows = vectors.select(F.col(id_col).alias("vec_id"), F.col(vector_col).alias("vector"))
-    rows = rows.withColumn("cid", F.when(valid(F.col("vector")), F.xxhash64("vector")))
-    classes = rows.filter(F.col("cid").isNotNull()).groupBy("vector").agg(
-        F.first("cid").alias("cid"), F.count(F.lit(1)).alias("n"), F.min("vec_id").alias("least")
-    )
-    classes = stored(classes, "classes")
+    rows = rows.withColumn("usable", valid(F.col("vector")))
+    classes = rows.filter("usable").groupBy("vector").agg(F.count(F.lit(1)).alias("n"), F.min("vec_id").alias("least"))
+    # Numbers, not hashes: no two different vectors share one.
+    classes = stored(classes.withColumn("cid", F.monotonically_increasing_id()), "classes")
     found = stored(class_links(classes, min_cosine, blocks, chunk), "links")
     counts = found.filter("b IS NULL").groupBy(F.col("a").alias("cid")).agg(F.sum("n").alias("links"))
     joined = components(found.filter("b IS NOT NULL").select("a", "b")).withColumnRenamed("node", "cid")
     grouped = classes.select("cid", "n", "least").join(joined, "cid", "left").join(counts, "cid", "left")
     grouped = stored(grouped.withColumn("component", F.coalesce("component", "cid")), "grouped")
     least = grouped.groupBy("component").agg(F.min("least").alias("component_id"))
-    links = (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links")
+    links = (F.coalesce("links", F.lit(0)) + F.col("n") - 1).cast("long").alias("n_links")
     named = grouped.join(least, "component").select("cid", links, "component_id")
-    result = rows.select("vec_id", "cid").join(named, "cid", "left")
-    component = F.when(F.col("cid").isNull(), F.col("vec_id")).otherwise(F.col("component_id"))
-    return result.select(
-        "vec_id",
-        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-        component.alias("component_id"),
-        F.col("vec_id").eqNullSafe(component).alias("kept"),
-    )
+    named = stored(named.join(classes.select("cid", "vector"), "cid").drop("cid"), "named")
+    linked = rows.filter("usable").join(named, "vector").select("vec_id", "n_links", "component_id")
+    alone = rows.filter("NOT usable").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
+    kept = F.col("vec_id").eqNullSafe(F.col("component_id")).alias("kept")
+    return linked.unionByName(alone).select("vec_id", "n_links", "component_id", kept)

@@ -153,7 +153,8 @@ def judge_urls(
     The rule's verdict holds where a rule fits. Another page takes the decision of its aliases: pages and link
     targets that canonical links, refresh redirects or ``redirects(url, target)`` join are one component; it is
     blocked if a member is blocked by a rule and no member is allowed by one, else allowed. Every page is one
-    row, repeated rows too. A url that is null or has no ``://`` has empty host and path and no aliases.
+    row, repeated rows too. A url that is null or has no ``://`` has empty host and path and no aliases. An empty table
+    gives an empty table. Places are told apart by a hash of 64 bits.
     """
     links = alias_links(pages, url_col, html_col)
     if redirects is not None:
@@ -187,7 +188,11 @@ def judge_urls(
         .select("component")
     )
     spread = joined.join(blocked, "component").select("node", F.lit("block").alias("spread"))
+    # Only pages without a rule of their own ask their aliases; urls without host, who have none, would meet in one task.
+    asks = F.col("own").isNull() & F.col("node").isNotNull()
+    asking = judged.filter(asks).join(spread, "node", "left")
+    others = judged.filter(~asks).withColumn("spread", F.lit(None).cast("string"))
     verdict = F.coalesce("own.verdict", "spread", F.lit("allow"))
-    return judged.join(spread, "node", "left").select(
+    return asking.unionByName(others).select(
         "page_id", "host", "path", F.col("own.rule").alias("rule"), verdict.alias("verdict")
     )
