@@ -12,6 +12,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakelayers.llm.common import map_arrow, stored, text_hash
 
@@ -439,6 +440,19 @@ def _kept(
     return counts, runs, kept
 
 
+def _by_number(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """Documents ``number, text``, and ``number, _id`` of their ids: ids of any type, numbered in their order.
+
+    Different ids are range-sorted, and the numbers rise from one sorted part to the next.
+    """
+    ids = docs.select(F.col(id_col).alias("_id")).filter("_id IS NOT NULL").distinct().sort("_id")
+    ids = stored(ids.withColumn("number", F.monotonically_increasing_id()), "ids")
+    rows = docs.select(F.col(id_col).alias("_own"), F.col(text_col).alias("text"))
+    named = rows.filter("_own IS NOT NULL").join(ids, F.col("_own") == F.col("_id")).select("number", "text")
+    nameless = rows.filter("_own IS NULL").select(F.lit(None).cast("long").alias("number"), "text")
+    return stored(named.unionByName(nameless), "numbered"), ids
+
+
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept`` (bytes) for every row of ``docs``.
 
@@ -450,12 +464,23 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     gram occurs once are done. Of equal surroundings (all strings around an anchor) only the first matters. The
     surroundings that remain, different texts around one gram, meet by gram; a two-stage suffix sort brings
     equal strings together, their common prefixes tell which are equal, and all but the earliest go. The strings around
-    grams with more than ``TOGETHER`` different surroundings are compared by digest instead.
+    grams with more than ``TOGETHER`` different surroundings are compared by digest instead. Equality of surroundings is
+    that of two hashes of 64 bits, of strings around very frequent grams that of a digest of 128 bits.
+
+    Ids may have any type that can be ordered; whole numbers are taken as they are (the largest long stands for a null
+    id), others are numbered in their order first.
 
     A null text is empty; a text shorter than ``LENGTH`` stays. Rows of one id with different texts are ordered by hash
     of the text; identical rows of one id are one document and get the same result. A null id is the largest
     and comes back as null. An empty table gives an empty table.
     """
+    if not isinstance(docs.schema[id_col].dataType, T.IntegralType):
+        numbered, ids = _by_number(docs, id_col, text_col)
+        found = remove_repeats(numbered, "number", "text")
+        named = found.filter("doc_id IS NOT NULL").join(ids, F.col("doc_id") == F.col("number"))
+        nameless = found.filter("doc_id IS NULL").withColumn("_id", F.lit(None).cast(ids.schema["_id"].dataType))
+        columns = [F.col("_id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept"]
+        return named.select(*columns).unionByName(nameless.select(*columns))
     texts = _numbered(docs, id_col, text_col)
     hits = _hits(texts)
 

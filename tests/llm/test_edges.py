@@ -58,6 +58,19 @@ def test_suffix_dedup_of_one_id(spark):
     )
 
 
+def test_suffix_dedup_of_text_ids(spark):
+    """Ids in the order of their type: "10" before "9"; a null id is the largest."""
+    text = hashlib.sha512(b"x").hexdigest() + hashlib.md5(b"y").hexdigest()[:22]
+    rows = [("9", text), ("10", "ab" + text), (None, text + "c"), ("b", None), ("b2", "short")]
+    found = suffix_dedup.remove_repeats(spark.createDataFrame(rows, "name string, body string"), "name", "body").collect()
+    assert sorted(((r.doc_id or "~", r.n_bytes, r.n_removed, r.n_spans) for r in found)) == [
+        ("10", 152, 0, 0), ("9", 150, 150, 1), ("b", 0, 0, 0), ("b2", 5, 0, 0), ("~", 151, 150, 1),
+    ]
+    ids = spark.createDataFrame([(float(i) / 7, "x") for i in range(500)], "name double, body string")
+    numbered, ids = suffix_dedup._by_number(ids, "name", "body")
+    assert [r.number for r in ids.orderBy("_id").collect()] == sorted(r.number for r in ids.collect())
+
+
 def test_suffix_dedup_deals_out_frequent_grams(spark, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "TOGETHER", 5)
     rng = np.random.default_rng(4)

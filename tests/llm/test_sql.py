@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from compare import connect, differences
 
+from lakelayers.llm import quality
 from lakelayers.llm.oracles import ORACLES
 from lakelayers.llm.queries import QUERIES
 
@@ -64,6 +65,38 @@ def test_quality(spark, sf_dir):
     assert above >= 0.95
 
 
+def test_quality_votes(spark, sf_dir):
+    """Every cosine with every labelled vector in double precision, all neighbours sorted, one document after the other."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = quality.train(docs, labels)
+    found = {r.doc_id: r.score for r in quality.score(docs, model).collect()}
+    frequencies = np.zeros(quality.TERMS)
+    counts = {r.doc_id: quality.term_counts((r.text or "").encode()).astype(float) for r in docs.collect()}
+    for own in counts.values():
+        frequencies += own > 0
+    idf = np.log((len(counts) + 1) / (frequencies + 1)) + 0.1
+    assert np.allclose(idf, model.idf, atol=1e-5) and len(model.labels) == labels.filter("quality IS NOT NULL").count()
+    labelled = model.vectors.astype(float)
+    for doc, own in counts.items():
+        weights = np.log1p(own) * idf
+        for a, b in ((0, quality.SHAPES), (quality.SHAPES, quality.SHAPES + quality.WORDS), (quality.SHAPES + quality.WORDS, quality.TERMS)):
+            weights[a:b] /= max(np.linalg.norm(weights[a:b]), 1e-9)
+        vector = weights @ model.projection.astype(float)
+        cosines = labelled @ (vector / max(np.linalg.norm(vector), 1e-9))
+        order = sorted(range(len(cosines)), key=lambda i: -cosines[i])[: quality.NEIGHBOURS]
+        # Ties at the last place may be broken either way.
+        edge = [i for i in range(len(cosines)) if abs(cosines[i] - cosines[order[-1]]) < 1e-5]
+        near = {i for i in order} - set(edge)
+        votes = [max(cosines[i], 1e-6) ** 4 for i in near]
+        free = quality.NEIGHBOURS - len(near)
+        edge_labels = sorted(model.labels[i] for i in edge)
+        weight = max(cosines[order[-1]], 1e-6) ** 4
+        fixed, total = sum(v * model.labels[i] for v, i in zip(votes, near)), sum(votes) + free * weight
+        low, high = (fixed + weight * sum(edge_labels[:free])) / total, (fixed + weight * sum(edge_labels[-free:])) / total
+        assert low - 1e-3 <= found[doc] <= high + 1e-3
+
+
 def test_html_extract(spark, sf_dir):
     pages = {r.page_id: r for r in spark.read.parquet(f"{sf_dir}/pages.parquet").collect()}
     found = QUERIES["op3_html_extract"](spark, sf_dir).collect()
