@@ -27,7 +27,7 @@ from lakelayers.plans.lake import Lake
 from lakelayers.plans.silver import Checked, Silver, check_dates, transform_days
 from lakelayers.schemas import ALERTS, RUNS
 from lakelayers.session import shuffle_width
-from lakelayers.sources.files import exists, sizes_of
+from lakelayers.sources.files import each, exists, sizes_of
 from lakelayers.sources.layers import Written, read_dates, read_layer
 from lakelayers.sources.raw import available_dates, pending_dates
 
@@ -243,6 +243,7 @@ def emit_metrics(spark: SparkSession, lake: Lake, run: DayRun) -> None:
     whole_job = task_duration(once, about=("layer",)).withColumn("partition_date", nothing)
     samples = [row_count_gauge(runs, about=about), failure_samples(runs, about=about), whole_job]
     gates = {"bronze": VALIDATE, "silver": TRANSFORM}
+    writes: list[tuple[DataFrame, str]] = []
     finished = {(r[2], r[5]): r[8] for r in run.records}
     for table, part in (("quality_rules", "results"), ("quality_summary", "summary"), ("quality_examples", "examples")):
         tables = [
@@ -251,21 +252,23 @@ def emit_metrics(spark: SparkSession, lake: Lake, run: DayRun) -> None:
             if getattr(checked, part) is not None
         ]
         if tables:
-            _append(reduce(DataFrame.unionByName, tables), lake.control(table))
+            writes.append((reduce(DataFrame.unionByName, tables), lake.control(table)))
     for layer, checked in run.checks:
         dates = [*checked.passed, *checked.failures]
         times = {dt: finished[gates[layer], dt] for dt in dates if (gates[layer], dt) in finished}
         ts = F.lit(max(times.values())) if times else None
         summary = checked.summary.withColumn("layer", F.lit(layer))
         samples.append(pass_rate_gauge(summary, ts, about=about))
-    _append(reduce(DataFrame.unionByName, samples), lake.control("metric_samples"))
-    _append(runs, lake.control("runs"))
+    writes.append((reduce(DataFrame.unionByName, samples), lake.control("metric_samples")))
+    writes.append((runs, lake.control("runs")))
     failed = failure_alerts(runs, about=("partition_date",))
     expected = spark.createDataFrame([*run.records, *_never_ran(run)], RUNS).coalesce(1)
     late = sla_alerts(sla_miss(expected, as_of=_now()))
     late = late.withColumns({"run_id": F.lit(run.run_id), "task_id": nothing, "partition_date": nothing})
     alerts = failed.unionByName(late)
-    _append(alerts.select(*ALERTS.names), lake.control("alerts"))
+    writes.append((alerts.select(*ALERTS.names), lake.control("alerts")))
+    # Small jobs, each on a table of its own: they wait for each other no longer than for the slowest.
+    each(spark, lambda write: _append(*write), writes)
 
 
 def _never_ran(run: DayRun) -> list[tuple]:
