@@ -20,6 +20,7 @@ def daily_order_summary(
     row expansion; a hot customer or a hot day collapses before each of the two shuffles. The distinct count
     is exact unless ``approx_customers`` asks for the estimate. A sum that does not fit its decimal is NULL.
     """
+    # The names of the four results.
     customers = F.approx_count_distinct if approx_customers else F.count_distinct
     return df.groupBy(*by, day_of("order_date").alias("order_date"), "status").agg(
         F.count("order_id").alias("total_orders"),
