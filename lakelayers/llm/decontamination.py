@@ -150,6 +150,10 @@ def judge_documents(
 
 
 def clean_documents(docs: DataFrame, items: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` without any hit, columns as before."""
+    """The rows of ``docs`` without any hit, columns as before.
+
+    Null and wordless texts have no hit and stay, repeated rows share their verdict. Null and wordless items have no window;
+    without items all rows stay. An empty table gives an empty table.
+    """
     judged = judge_documents(docs, items, window, id_col=id_col, text_col=text_col).filter("n_hit = 0")
     return judged.select(*[F.col("_row")[c].alias(c) for c in docs.columns])

@@ -544,6 +544,9 @@ def identify(
 
 
 def known_language(docs: DataFrame, model: LanguageModel | LanguageTables, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that are not rejected, columns as before."""
+    """The rows of ``docs`` that are not rejected, columns as before.
+
+    Null texts and texts without a letter are rejected, repeated rows alike; an empty table gives an empty table.
+    """
     kept = identify(docs, model, text_col).filter("NOT rejected")
     return kept.select(*[F.col("_row")[c].alias(c) for c in docs.columns])
