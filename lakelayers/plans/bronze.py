@@ -217,10 +217,13 @@ def ingest_days(
 
     Rows that replace their date are written in place. Where deliveries are kept or rows diverted they are written
     to a staging folder once and published by moves, together with the ledger of delivered files and the reject
-    table: a repeated call finds its files in the ledger and adds nothing.
+    table: a repeated call finds its files in the ledger and adds nothing. A publication that an earlier call left unfinished is
+    finished first.
     """
     groups = (source or probe(spark, lake, dates)).alike
     groups = [(kept, schema) for group, schema in groups if (kept := [dt for dt in group if dt in dates])]
+    if lake.fmt == "parquet":
+        finish(spark, lake.bronze)
     if lake.fmt == "parquet" and (lake.bronze_mode == "append" or lake.rejects == "divert"):
         return _ingest_staged(spark, lake, groups, dates, run_id, as_of)
     bronze = bronze_frame(spark, lake, groups, run_id, as_of)
@@ -232,7 +235,6 @@ def ingest_days(
 
 
 def _ingest_staged(spark, lake: Lake, groups, dates: Sequence[str], run_id: str, as_of) -> Ingested:
-    finish(spark, lake.bronze)
     append, ledger = lake.bronze_mode == "append", lake.control("deliveries")
     staging = f"{lake.staging(run_id)}-bronze-{uuid4().hex}"
     found = new = None
@@ -248,9 +250,10 @@ def _ingest_staged(spark, lake: Lake, groups, dates: Sequence[str], run_id: str,
             if append:
                 entries(new, lake.dataset, run_id).coalesce(1).write.parquet(f"{staging}/ledger")
                 moves += additions(spark, f"{staging}/ledger", ledger)
-            publish(spark, lake.bronze, moves)
-        finally:
+        except BaseException:
             remove(spark, staging)
+            raise
+        publish(spark, lake.bronze, moves, staging=staging)
     else:
         columns = read_dates(spark, lake.bronze, dates).schema
     # What this run brought in, also if an earlier try of it did.

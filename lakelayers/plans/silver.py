@@ -136,7 +136,7 @@ def transform_days(
     then moved into the layer (:mod:`lakelayers.sources.publish`). What is served is therefore exactly what was checked, and
     neither the check nor the publication repeats the shuffle of the deduplication. A publication that an earlier run
     left unfinished is finished first. Other formats than Parquet keep a log of files, there the rows are copied. ``staging`` is
-    removed at the end. Who knows the columns of the
+    removed at the end, by the publication once that has begun. Who knows the columns of the
     bronze rows (``schema``) and how many each date has (``rows_in``) saves reading file footers for them.
     """
     dates = list(dates)
@@ -144,6 +144,7 @@ def transform_days(
         finish(spark, silver)
     source = read_dates(spark, bronze, dates, fmt, schema)
     rows = silver_frame(source, as_of, order_by)
+    own = True
     try:
         kept = write_days(
             compact(rows, dates),
@@ -163,6 +164,7 @@ def transform_days(
         by_date = {dt: kept.by_date[dt] for dt in checked.passed}
         if fmt == "parquet":
             clear_empty(staged, staging, by_date)
+            own = False
             publish_dates(spark, staging, silver, checked.passed, whole=scope == "table")
         else:
             good = for_partition(staged, *checked.passed)
@@ -170,7 +172,8 @@ def transform_days(
             if scope == "partition":
                 clear_empty(good, silver, by_date, fmt)
     finally:
-        remove(spark, staging)
+        if own:
+            remove(spark, staging)
     return Silver(Written(sum(by_date.values()), by_date), duplicates, checked)
 
 

@@ -119,9 +119,71 @@ def _die_after(monkeypatch, n):
     monkeypatch.setattr("lakelayers.plans.silver.remove", lambda spark, path: None)
 
 
+def _break_at(monkeypatch, n):
+    """The ``n``-th rename of a publication fails once, everything else goes on, cleaning up as well."""
+    rename, seen = moves.rename, []
+
+    def broken(spark, source, target):
+        seen.append(target)
+        if len(seen) == n:
+            raise OSError("Connection reset")
+        rename(spark, source, target)
+
+    monkeypatch.setattr(moves, "rename", broken)
+    monkeypatch.setattr(moves, "each", lambda spark, function, items: [function(item) for item in items])
+    return seen
+
+
+@pytest.mark.parametrize("n", [1, 2, 3])
+def test_an_append_whose_move_fails_is_finished_by_the_repeat(spark, appending, monkeypatch, n):
+    """Rows of two days and the ledger are three moves; whichever fails, all rows are in once and the ledger has both files."""
+    lake = appending
+    for dt in (D1, D2):
+        put(lake, dt, DAY, "a.csv")
+    seen = _break_at(monkeypatch, n)
+    run = daily.run_days(spark, lake, [D1, D2])
+    assert len(seen) > n and run.published == [D1, D2]
+    assert counts(spark, lake.bronze) == counts(spark, lake.silver) == {D1: 3, D2: 3}
+    assert read_ledger(spark, lake.control("deliveries")).count() == 2
+    assert moves.names_in(spark, f"{lake.bronze}/{moves.NOTES}") == []
+    assert moves.names_in(spark, f"{lake.root}/staging/{lake.dataset}") == []
+
+
 # --- publication by moves ----------------------------------------------------------------------------------
 
 
+@pytest.mark.parametrize("n", [1, 2, 3, 4])
+def test_a_publication_whose_move_fails_is_finished_by_the_repeat(spark, tmp_path, monkeypatch, n):
+    """Each of two days is two moves, the old folder aside and the new one in; the run tries the step again."""
+    lake = Lake(str(tmp_path / "lake"), str(tmp_path / "raw"))
+    for dt in (D1, D2):
+        put(lake, dt, DAY)
+    daily.run_days(spark, lake, [D1, D2])
+    for dt in (D1, D2):
+        put(lake, dt, DAY.replace("3,c", "9,c"))
+    seen = _break_at(monkeypatch, n)
+    run = daily.run_days(spark, lake, [D1, D2])
+    assert len(seen) > n and run.published == [D1, D2]
+    assert ids(spark, lake.silver) == [(dt, i) for dt in (D1, D2) for i in ("1", "2", "9")]
+    assert moves.names_in(spark, f"{lake.silver}/{moves.NOTES}") == []
+    assert moves.names_in(spark, f"{lake.root}/staging/{lake.dataset}") == []
+
+
+def test_staged_rows_that_are_gone_do_not_take_the_old_ones_with_them(spark, tmp_path):
+    table, staged = tmp_path / "t", tmp_path / "s"
+    old = Path(moves.date_folder(str(table), D1)) / "part-0"
+    old.parent.mkdir(parents=True)
+    old.write_text("old")
+    (todo,) = moves.replacements(str(staged), str(table), [D1], "x")
+    moves.rename(spark, todo.target, todo.aside)
+    for _ in range(2):
+        moves.publish(spark, str(table), [todo])
+        assert old.read_text() == "old"
+    with pytest.raises(OSError, match="is gone"):
+        moves.publish(spark, str(table), [moves.Move(f"{staged}/a", f"{table}/a")], "y")
+    assert moves.names_in(spark, f"{table}/{moves.NOTES}") == ["y.json"]
+
+
 @pytest.mark.parametrize("n", range(6))
 @pytest.mark.parametrize("scope", ["partition", "table"])
 def test_publication_stopped_between_moves(spark, tmp_path, monkeypatch, n, scope):
