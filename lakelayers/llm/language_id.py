@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from lakelayers.llm.common import map_arrow, stored
 
 ORDER = 4
-BITS = 12
+BITS = 15
 # The model is broadcast up to this many n-grams of all languages together, and this many log probabilities for each
 # of them; a larger one stays in written tables.
 MAX_GRAMS = 2_000_000
@@ -38,7 +38,9 @@ Judged = tuple[list[str], list[float], list[float], list[int], list[bool]]
 def _alphabet() -> tuple[np.ndarray, np.ndarray]:
     """Symbol of every code point, and whether it is a letter.
 
-    Letters and marks are lower-cased and keep 12 bits, those above U+07FF share symbols; all else is 0, the gap.
+    Letters and marks are lower-cased and keep 15 bits, so that four of them fit into a long; all else is 0, the gap. Those above U+7FFF
+    share symbols with letters of other scripts: ideographs of the basic block do not share any among themselves, nor do
+    syllables of Hangul.
     """
     symbols, letters = np.zeros(0x110000, np.int64), np.zeros(0x110000, bool)
     for cp in range(0x110000):
@@ -46,7 +48,7 @@ def _alphabet() -> tuple[np.ndarray, np.ndarray]:
         if kind in "LM":
             low = chr(cp).lower()
             base = ord(low) if len(low) == 1 else cp
-            symbols[cp] = base if base < 0x800 else 0x800 + base % 0x800
+            symbols[cp] = base if base < 0x8000 else 0x800 + base % 0x7800
             letters[cp] = kind == "L"
     return symbols, letters
 

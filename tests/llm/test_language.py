@@ -111,3 +111,25 @@ def test_threshold_keeps_at_most_that_many(spark):
         at = L._threshold(counts, most)
         assert counts.filter(f"n >= {at}").count() <= most and (at == 1 or counts.filter(f"n >= {at // 2}").count() > most)
     assert L._threshold(counts.limit(0), 3) == 1
+
+
+def test_letters_of_a_script_are_told_apart():
+    symbols, letters = L._alphabet()
+    assert symbols.min() == 0 and symbols.max() < 1 << L.BITS
+    for first, last in ((0x4E00, 0x9FFF), (0xAC00, 0xD7A3), (0x0900, 0x097F), (0x0E01, 0x0E30), (0x3041, 0x30FF)):
+        used = symbols[first : last + 1][letters[first : last + 1]]
+        assert len(used) == len(set(used.tolist())) and used.all()
+    # The widest n-gram is a positive long.
+    assert (1 << L.BITS * L.ORDER) - 1 < 1 << 63
+
+
+def test_languages_in_ideographs(spark):
+    """Ideographs that shared a symbol in a small alphabet tell these two languages apart."""
+    chinese = ["今天天气很好我们一起去公园散步然后回家吃饭看书。", "他昨天在图书馆里看了很多关于历史和文化的书。", "老师告诉学生们明天要早一点到学校来参加考试。"]
+    japanese = ["今日は天気が良いので公園を散歩してから家に帰ります。", "彼は昨日図書館で歴史と文化についての本を読みました。", "先生は学生たちに明日早く学校に来るように言いました。"]
+    rows = [(t, "zh") for t in chinese[:2]] + [(t, "ja") for t in japanese[:2]]
+    asked = spark.createDataFrame([(chinese[2],), (japanese[2],)], "text string")
+    for max_grams in (L.MAX_GRAMS, 10):
+        model = L.train(spark.createDataFrame(rows, "text string, lang string"), max_grams=max_grams)
+        found = {r["_row"].text: r.lang_pred for r in L.identify(asked, model).collect()}
+        assert found == {chinese[2]: "zh", japanese[2]: "ja"}
